@@ -13,7 +13,6 @@ small JSON map next to the versions: control-plane data, never row data.
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -88,38 +87,47 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> Data
 # -- store -------------------------------------------------------------------
 
 class ModelStore:
-    """Versions under ``root/<name>/<version>/``; aliases in ``root/<name>/registry.json``."""
+    """Versions under ``root/<name>/<version>/``; registry in ``root/<name>/registry``.
 
-    def __init__(self, root: str):
-        self.root = root.replace("file:", "", 1) if root.startswith("file:") else root
-        os.makedirs(self.root, exist_ok=True)
+    All reads and writes go through Spark (text files), so ``root`` may be any
+    cluster file system (the shared ``spark.checkpoint.dir``), never a
+    machine-local folder.  Each registry update writes a new generation
+    directory and never rewrites one in place.
+    """
+
+    def __init__(self, spark, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _write_text(self, path: str, text: str) -> None:
+        (self.spark.createDataFrame([(text,)], "value string").coalesce(1)
+             .write.mode("overwrite").text(path))
 
-    def _reg_path(self, name: str) -> str:
-        return os.path.join(self.root, name, "registry.json")
+    def _read_text(self, path: str) -> str | None:
+        try:
+            rows = self.spark.read.text(path).collect()  # one small control file
+        except Exception:
+            return None
+        return "\n".join(r["value"] for r in rows) if rows else None
 
     def _registry(self, name: str) -> dict:
-        p = self._reg_path(name)
-        if not os.path.exists(p):
-            return {"versions": [], "aliases": {}}
-        with open(p) as fh:
-            return json.load(fh)
+        head = self._read_text(f"{self.root}/{name}/registry-head")
+        if head is None:
+            return {"versions": [], "aliases": {}, "generation": 0}
+        return json.loads(self._read_text(f"{self.root}/{name}/registry-{head.strip()}"))
 
     def _save_registry(self, name: str, reg: dict) -> None:
-        os.makedirs(os.path.join(self.root, name), exist_ok=True)
-        tmp = self._reg_path(name) + ".tmp"
-        with open(tmp, "w") as fh:
-            json.dump(reg, fh)
-        os.replace(tmp, self._reg_path(name))
+        reg = dict(reg, generation=int(reg.get("generation", 0)) + 1)
+        self._write_text(f"{self.root}/{name}/registry-{reg['generation']}", json.dumps(reg))
+        self._write_text(f"{self.root}/{name}/registry-head", str(reg["generation"]))
 
     def log_model(self, name: str, contract: Contract, pipeline_model=None) -> int:
         reg = self._registry(name)
         version = self.latest_version(name) + 1
-        d = os.path.join(self.root, name, str(version))
-        os.makedirs(d, exist_ok=True)
+        d = f"{self.root}/{name}/{version}"
         if pipeline_model is not None:
-            pipeline_model.write().overwrite().save(os.path.join(d, "model"))
-        with open(os.path.join(d, "contract.json"), "w") as fh:
-            fh.write(contract.to_json())
+            pipeline_model.write().overwrite().save(f"{d}/model")
+        self._write_text(f"{d}/contract", contract.to_json())
         reg["versions"].append(str(version))
         self._save_registry(name, reg)
         return version
@@ -141,12 +149,11 @@ class ModelStore:
             version = self._registry(name)["aliases"][alias.lower()]
         else:
             name, version = uri.rsplit("/", 1)
-        return os.path.join(self.root, name, str(version))
+        return f"{self.root}/{name}/{version}"
 
     def load_contract(self, uri: str) -> Contract:
-        with open(os.path.join(self.resolve(uri), "contract.json")) as fh:
-            return Contract.from_json(fh.read())
+        return Contract.from_json(self._read_text(f"{self.resolve(uri)}/contract"))
 
     def load_pipeline(self, uri: str):
         from pyspark.ml import PipelineModel
-        return PipelineModel.load(os.path.join(self.resolve(uri), "model"))
+        return PipelineModel.load(f"{self.resolve(uri)}/model")

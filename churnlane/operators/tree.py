@@ -17,9 +17,7 @@ takes neither branch, so any NULL input yields a NULL prediction.
 
 from __future__ import annotations
 
-import glob
 import json
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -237,14 +235,21 @@ def proba_numpy(tree: TreeSpec, x: np.ndarray) -> np.ndarray:
 
 # -- pyspark.ml bridge (saved model directory) -------------------------------
 
-def _tree_stage_dir(model_dir: str) -> str:
-    """Directory of the tree inside a saved PipelineModel (or the tree itself)."""
-    if os.path.isdir(os.path.join(model_dir, "stages")):
-        cands = sorted(glob.glob(os.path.join(model_dir, "stages", "*")))
-        for c in reversed(cands):
-            meta = glob.glob(os.path.join(c, "metadata", "part-*"))
-            if meta and "DecisionTreeClassificationModel" in open(meta[0]).read():
-                return c
+def _tree_stage_dir(spark: SparkSession, model_dir: str) -> str:
+    """Directory of the tree inside a saved PipelineModel (or the tree itself).
+
+    Stage metadata is read through Spark, so the model may live on any
+    cluster file system.
+    """
+    try:
+        meta = json.loads(spark.read.text(f"{model_dir}/metadata").first()["value"])
+    except Exception:
+        meta = {}
+    if meta.get("class", "").endswith("PipelineModel"):
+        uids = meta["paramMap"]["stageUids"]
+        for i, uid in enumerate(uids):
+            if uid.startswith("DecisionTreeClassifier"):
+                return f"{model_dir}/stages/{i}_{uid}"
         raise ValueError(f"no decision tree stage under {model_dir}")
     return model_dir
 
@@ -256,8 +261,8 @@ def from_saved_model(spark: SparkSession, model_dir: str, features: Sequence[str
     ``features`` is the VectorAssembler input order; ``classes`` the
     StringIndexer labels (index -> label).
     """
-    d = _tree_stage_dir(model_dir)
-    rows = spark.read.parquet(os.path.join(d, "data")).select(
+    d = _tree_stage_dir(spark, model_dir)
+    rows = spark.read.parquet(f"{d}/data").select(
         "id", "prediction", "impurityStats", "leftChild", "rightChild",
         F.col("split.featureIndex").alias("fi"),
         F.col("split.leftCategoriesOrThreshold").alias("thr"),

@@ -171,3 +171,42 @@ def coerce_key(df: DataFrame, key: str, to_type: str) -> DataFrame:
     makes it NULL, so it simply matches nothing.
     """
     return df.withColumn(key, F.col(key).try_cast(to_type))
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
+    """Keys holding more than ``fraction`` of ``df``'s rows.
+
+    At most ``1/fraction`` keys can qualify, so the list returned to the driver
+    is bounded by the parameter, not by the data.  One count plus one
+    aggregation with map-side partial counts.
+    """
+    total = df.select(key).count()
+    threshold = max(1, int(total * fraction))
+    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > threshold).select(key)
+              .limit(int(1 / fraction) + 1).collect())
+    return [r[0] for r in rows if r[0] is not None]
+
+
+def lookup_skew_safe(spark: SparkSession, df: DataFrame, fl: FeatureLookup,
+                     fraction: float = 0.01, how: str = "left") -> DataFrame:
+    """Lookup join that splits hot request keys off explicitly.
+
+    Hot keys (each > ``fraction`` of the requests; at most ``1/fraction`` of
+    them) are joined against their feature rows broadcast — a side bounded by
+    ``1/fraction`` rows because the feature table is key-unique.  All other
+    rows take the ordinary shuffle join, where no key can dominate a task.
+    Works with AQE off as well; with AQE on it makes skew handling independent
+    of partition-size heuristics.
+    """
+    if len(fl.lookup_key) != 1:
+        return lookup(spark, df, [fl], how)
+    key = fl.lookup_key[0]
+    hot = hot_keys(df, key, fraction)
+    feats = fl.frame(spark)
+    if not hot:
+        return df.join(feats, key, how)
+    is_hot = F.col(key).isin(hot)
+    cold = df.where(~is_hot | F.col(key).isNull()).join(feats, key, how)
+    hot_rows = df.where(is_hot).join(F.broadcast(feats.where(is_hot)), key, how)
+    return cold.unionByName(hot_rows)

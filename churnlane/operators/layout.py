@@ -24,9 +24,33 @@ from churnlane.session import scratch_path
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Deterministic per-row hash of all columns (a tie-breaker, stable on task retry)."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
 def clustered(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
-    """Range-partition on ``cols`` into ``files`` partitions, sorted within each."""
-    return df.repartitionByRange(files, *cols).sortWithinPartitions(*cols)
+    """Range-partition on ``cols`` into ``files`` partitions, sorted within each.
+
+    The range key ends with a row hash: if one ``cols`` tuple holds a third of
+    all rows, its rows still spread over several range partitions (adjacent
+    files) instead of one task writing one giant file.  Sorting is by ``cols``
+    first, so clustering is unchanged.
+    """
+    return (df.withColumn("_rh", row_hash(df))
+              .repartitionByRange(files, *cols, "_rh").sortWithinPartitions(*cols, "_rh")
+              .drop("_rh"))
+
+
+def partitioned_write(df: DataFrame, path: str, col: str, files_per_value: int = 8,
+                      mode: str = "overwrite") -> None:
+    """``partitionBy(col)`` with each partition value written by up to
+    ``files_per_value`` tasks: ``repartition(col)`` alone would send every row
+    of a low-cardinality column (2 values here) to 2 tasks."""
+    salt = F.pmod(row_hash(df), F.lit(files_per_value))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    (df.repartition(max(n, files_per_value), F.col(col), salt)
+       .write.mode(mode).partitionBy(col).parquet(path))
 
 
 def table_bytes(spark: SparkSession, name: str) -> int:
@@ -108,5 +132,6 @@ def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 8) -> Dat
         out = qd.fit(out).transform(out)
         ranks.append(F.col(f"_zr_{c}"))
     z = interleave_bits(ranks, bits)
-    return (out.withColumn("_z", z).repartitionByRange(files, "_z").sortWithinPartitions("_z")
-               .drop("_z", *[f"_zr_{c}" for c in cols]))
+    return (out.withColumn("_z", z).withColumn("_rh", row_hash(df))
+               .repartitionByRange(files, "_z", "_rh").sortWithinPartitions("_z", "_rh")
+               .drop("_z", "_rh", *[f"_zr_{c}" for c in cols]))

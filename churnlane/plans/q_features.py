@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from churnlane.functions.columns import hash_bucket
 from churnlane.operators.contract import Contract, capture_schema
 from churnlane.operators.features import (FeatureLookup, coerce_key, create_feature_table,
-                                          create_training_set, key_violations, missing_features)
+                                          create_training_set, key_violations, lookup_skew_safe,
+                                          missing_features)
 from churnlane.operators.score import score_batch
-from churnlane.operators.tree import fixed_tree
+from churnlane.operators.tree import fixed_tree, predict_column
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, Z, bucket, tree_case, with_ctes
 from churnlane.plans.registry import query
@@ -90,3 +91,18 @@ def q_key_lookup(spark, sf):
            .select(F.col(KEY).cast("string").alias(KEY)))
     req = coerce_key(req, KEY, "bigint")
     return ft.join(req, KEY, "left_semi")
+
+
+@query("score_orders", f"""{BPZ}
+SELECT o_orderkey, o_custkey AS customer_id, senior, tenure, monthly, total, {tree_case()} AS prediction
+FROM orders LEFT JOIN z ON z.customer_id = o_custkey""", "JN-2 SCO-1")
+def q_score_orders(spark, sf):
+    """Score every order by its customer's features: a request side with repeated keys.
+
+    Uses the hot-key split lookup, so a customer owning a large share of all
+    orders is served from a bounded broadcast instead of one shuffle task.
+    """
+    name, _ = churn_feature_table(spark, sf)
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias(KEY))
+    joined = lookup_skew_safe(spark, orders, FeatureLookup.of(name, KEY), fraction=0.01)
+    return joined.withColumn("prediction", predict_column(fixed_tree()))

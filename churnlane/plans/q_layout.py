@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlane.functions.columns import hash_bucket
-from churnlane.operators.layout import compact, write_clustered, zorder
+from churnlane.operators.layout import compact, partitioned_write, write_clustered, zorder
 from churnlane.operators.score import score_batch, score_columns
 from churnlane.operators.tree import fixed_tree
 from churnlane.plans import common
@@ -56,7 +56,7 @@ def q_compact(spark, sf):
 def q_layout_partitioned(spark, sf):
     """Hive-style partitions by a low-cardinality column; partition pruning on read."""
     path = scratch_path(spark, "by-senior")
-    _inference_rows(spark, sf).repartition("senior").write.partitionBy("senior").parquet(path)
+    partitioned_write(_inference_rows(spark, sf), path, "senior")
     return spark.read.parquet(path)
 
 

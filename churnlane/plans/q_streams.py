@@ -25,22 +25,24 @@ from churnlane.streaming.snapshot import current_snapshot, maintain_latest
 PARTS = 4
 
 
-def _write_parts(df, path: str, part_col) -> None:
-    """One file per part, so ``maxFilesPerTrigger=1`` gives one micro-batch per part."""
-    df.withColumn("_part", part_col).repartition(PARTS, "_part").drop("_part") \
-      .write.mode("overwrite").parquet(path)
+def _write_parts(df, path: str) -> int:
+    """Stage stream input as many files (round-robin, so each file holds rows
+    from everywhere); returns ``maxFilesPerTrigger`` giving ~PARTS micro-batches."""
+    files = max(PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    df.repartition(files).write.mode("overwrite").parquet(path)
+    return max(1, files // PARTS)
 
 
 def _run_score_stream(spark, sf):
     req_path = scratch_path(spark, "requests")
     keys = common.b(spark, sf).where(hash_bucket(KEY) >= 80).select(F.col(KEY).cast("string").alias(KEY))
-    _write_parts(keys, req_path, hash_bucket(KEY, "part:", PARTS))
+    per_trigger = _write_parts(keys, req_path)
     snap_path = scratch_path(spark, "online-features")
     publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), snap_path, KEY)
     out, log = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-log")
     score_stream(spark, req_path, T.StructType([T.StructField(KEY, T.StringType())]),
                  spark.read.parquet(snap_path), churn_contract(spark, sf, "unused"), KEY, out, log,
-                 scratch_path(spark, "stream-ckpt"), "churn_model-1")
+                 scratch_path(spark, "stream-ckpt"), "churn_model-1", per_trigger)
     return out, log
 
 
@@ -70,8 +72,8 @@ def q_stream_latest(spark, sf):
     """Events arrive in four interleaved micro-batches; the snapshot equals the batch result."""
     ev = events(spark, sf)
     src = scratch_path(spark, "events-stream")
-    _write_parts(ev, src, hash_bucket("event_id", "part:", PARTS))
+    per_trigger = _write_parts(ev, src)
     root = scratch_path(spark, "latest-snapshot")
     maintain_latest(spark, src, ev.schema, root, scratch_path(spark, "latest-ckpt"),
-                    "user_id", "ts", "event_id")
+                    "user_id", "ts", "event_id", per_trigger)
     return current_snapshot(spark, root)

@@ -37,9 +37,12 @@ def row_position(df: DataFrame, key: str, out: str = "position",
     probs = [i / n for i in range(1, n)]
     cuts = df.approxQuantile(key, probs, 1.0 / (4 * n)) if probs else []
     splits = [float("-inf")] + sorted(set(float(c) for c in cuts if c is not None)) + [float("inf")]
-    keyed = df.withColumn("_kd", F.col(key).cast("double"))
-    bz = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep")
-    bucketed = bz.transform(keyed).drop("_kd")
+    if len(splits) < 3:
+        bucketed = df.withColumn("_b", F.lit(0.0))
+    else:
+        keyed = df.withColumn("_kd", F.col(key).cast("double"))
+        bz = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep")
+        bucketed = bz.transform(keyed).drop("_kd")
     counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_b", F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))

@@ -116,9 +116,9 @@ class TreeSpec:
 # -- compile to Catalyst expressions ---------------------------------------
 
 def _null_guard(tree: TreeSpec) -> Column:
-    used = tree.used_features() or list(tree.features)
+    """NULL in any declared input feature -> NULL output (not only the tested ones)."""
     cond = None
-    for f in used:
+    for f in tree.features:
         c = F.col(f).isNull()
         cond = c if cond is None else (cond | c)
     return cond if cond is not None else F.lit(False)

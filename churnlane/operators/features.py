@@ -64,22 +64,29 @@ def create_feature_table(spark: SparkSession, name: str, df: DataFrame,
                          buckets: int | None = None) -> DataFrame:
     """Write ``df`` as a keyed feature table and return it read back by name (SNK-4).
 
+    The key check runs on the *written* files (a scan of the key columns
+    only), so the upstream plan — often a large aggregation — runs once; a
+    table that violates its key is dropped again before the error is raised.
     ``buckets``: optionally bucket the table by its key so later lookups on
     the key can skip the shuffle of the feature side.
     """
-    if check_keys:
-        assert_unique_key(df, primary_keys)
     drop_table(spark, name)
     path = path or scratch_path(spark, f"ft-{name}")
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if buckets:
         w = w.bucketBy(buckets, *primary_keys).sortBy(*primary_keys)
     w.saveAsTable(name)
+    if check_keys:
+        try:
+            assert_unique_key(spark.read.table(name), primary_keys)
+        except KeyViolation:
+            drop_table(spark, name)
+            raise
     props = {"primary_keys": ",".join(primary_keys), "kind": "feature_table"}
+    if description:
+        props["comment"] = description
     prop_sql = ", ".join(f"'{k}' = '{_quote(v)}'" for k, v in props.items())
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({prop_sql})")
-    if description:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{_quote(description)}')")
     return spark.read.table(name)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnlane.functions.columns import hash_bucket
-from churnlane.operators.contract import Contract, capture_schema
+from churnlane.operators.contract import Contract, ModelStore, capture_schema
 from churnlane.operators.features import (FeatureLookup, coerce_key, create_feature_table,
                                           create_training_set, key_violations, lookup_skew_safe,
                                           missing_features)
@@ -14,7 +14,7 @@ from churnlane.operators.tree import fixed_tree, predict_column
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, Z, bucket, tree_case, with_ctes
 from churnlane.plans.registry import query
-from churnlane.session import unique_name
+from churnlane.session import scratch_path, unique_name
 from churnlane.sources.tables import FEATURES, KEY, LABEL, table
 
 
@@ -62,11 +62,19 @@ _SCORE_KEYS = f"(SELECT customer_id FROM base WHERE {bucket('customer_id')} >= 8
 
 @query("score_batch", f"""{BPZ}
 SELECT k.customer_id, senior, tenure, monthly, total, {tree_case()} AS prediction
-FROM {_SCORE_KEYS} k LEFT JOIN z USING (customer_id)""", "JN-2 SCO-1 CTR-3")
+FROM {_SCORE_KEYS} k LEFT JOIN z USING (customer_id)""", "JN-2 SCO-1 CTR-3 SNK-9")
 def q_score_batch(spark, sf):
-    """Held-out keys (of all customers) -> the model's own lookups -> prediction."""
+    """Held-out keys (of all customers) -> model resolved by alias -> its own lookups -> prediction.
+
+    The model is logged with its contract (feature lookups + tree), resolved
+    as ``churn_model@champion`` and scored with no table argument: the
+    contract says which feature table to join.
+    """
     name, _ = churn_feature_table(spark, sf)
-    contract = churn_contract(spark, sf, name)
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    v = store.log_model("churn_model", churn_contract(spark, sf, name))
+    store.set_alias("churn_model", "Champion", v)
+    contract = store.load_contract("churn_model@champion")
     keys = common.b(spark, sf).where(hash_bucket(KEY) >= 80).select(KEY)
     return score_batch(spark, contract, keys, "string")
 

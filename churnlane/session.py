@@ -72,3 +72,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def unique_name(prefix: str) -> str:
     """A fresh table name; every call of a query uses its own tables."""
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster, derived from the input size.
+
+    Shuffle partitions start at roughly ``input / 256 MB`` (never below the
+    number of task slots) and AQE coalesces small ones at run time, so a
+    partition fits comfortably in an executor's memory and spills rarely.
+    Skew handling stays on; broadcasts stay behind Spark's measured-size
+    thresholds.
+    """
+    slots = executors * cores_per_executor
+    parts = max(slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -121,14 +121,18 @@ class ModelStore:
         self._write_text(f"{self.root}/{name}/registry-{reg['generation']}", json.dumps(reg))
         self._write_text(f"{self.root}/{name}/registry-head", str(reg["generation"]))
 
-    def log_model(self, name: str, contract: Contract, pipeline_model=None) -> int:
+    def log_model(self, name: str, contract: Contract, pipeline_model=None,
+                  aliases: Sequence[str] = ()) -> int:
+        """Store a new version (integer, one above the highest) and point ``aliases`` at it."""
         reg = self._registry(name)
-        version = self.latest_version(name) + 1
+        version = max([int(v) for v in reg["versions"]] or [0]) + 1
         d = f"{self.root}/{name}/{version}"
         if pipeline_model is not None:
             pipeline_model.write().overwrite().save(f"{d}/model")
         self._write_text(f"{d}/contract", contract.to_json())
         reg["versions"].append(str(version))
+        for a in aliases:
+            reg["aliases"][a.lower()] = str(version)
         self._save_registry(name, reg)
         return version
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlane.operators.tree import TreeSpec, leaf_index_column
+from churnlane.session import shared_dir
 
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
 
@@ -79,6 +80,11 @@ def best_split(df: DataFrame, features: Sequence[str], label: str, positive: str
     g = (long.groupBy("f", "x")
              .agg(F.sum(F.when(F.col("_y") == positive, 1).otherwise(0)).cast("bigint").alias("y"),
                   F.count(F.lit(1)).alias("n")))
+    # g feeds two jobs (cut points, then the scan); a reliable checkpoint in the
+    # shared checkpoint dir keeps the upstream (a large aggregation) from
+    # running twice and cuts the lineage.
+    shared_dir(df.sparkSession)
+    g = g.checkpoint(eager=True)
     # value-range bucket per feature: cut points from ONE aggregation over the
     # per-value frame (features x (buckets-1) doubles reach the driver)
     probs = [i / n_b for i in range(1, n_b)]

@@ -72,8 +72,7 @@ def q_score_batch(spark, sf):
     """
     name, _ = churn_feature_table(spark, sf)
     store = ModelStore(spark, scratch_path(spark, "models"))
-    v = store.log_model("churn_model", churn_contract(spark, sf, name))
-    store.set_alias("churn_model", "Champion", v)
+    store.log_model("churn_model", churn_contract(spark, sf, name), aliases=["Champion"])
     contract = store.load_contract("churn_model@champion")
     keys = common.b(spark, sf).where(hash_bucket(KEY) >= 80).select(KEY)
     return score_batch(spark, contract, keys, "string")

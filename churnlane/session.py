@@ -52,16 +52,20 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) create one and
     register it, so ``DataFrame.checkpoint()`` and our own tables agree.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle (remote session): conf only
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="churnlane-ckpt-")
-    sc.setCheckpointDir(d)
-    got = sc.getCheckpointDir() or d
-    return got.rstrip("/")
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        d = sc.getCheckpointDir() or d
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,13 +7,12 @@ single task.  Instead:
    ``n-1`` doubles to the driver);
 2. a ``Bucketizer`` (binary search, JVM side) assigns each row its key-range
    bucket — monotone in the key, so bucket order is key order;
-3. per-bucket counts (``n`` rows) become running offsets with a window over
-   that tiny frame;
+3. per-bucket counts (``n`` rows, bounded by the parameter) become running
+   offsets, inlined as a literal array — no global window, no join;
 4. ``row_number`` *within* each bucket (a shuffle by bucket, ~N/n rows per
    task) plus the bucket's offset is the global position.
 
-The offsets frame has exactly one row per bucket, so broadcasting it is
-bounded by ``n``, not by the data.  Keys should be unique (or made unique by
+Only ``n`` numbers ever reach the driver, whatever the data size.  Keys should be unique (or made unique by
 ``tie_break`` columns) for positions to be deterministic.
 """
 
@@ -43,12 +42,16 @@ def row_position(df: DataFrame, key: str, out: str = "position",
         keyed = df.withColumn("_kd", F.col(key).cast("double"))
         bz = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep")
         bucketed = bz.transform(keyed).drop("_kd")
-    counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))
-    order = [F.col(key).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tie_break]
+    # per-bucket counts: exactly one row per bucket (<= n), so the driver may hold them
+    counts = dict(bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, run = [], 0
+    # Bucketizer(handleInvalid="keep") puts NULL/NaN keys in one extra, last bucket
+    for b in range((len(splits) - 1 if len(splits) >= 3 else 1) + 1):
+        offsets.append(run)
+        run += counts.get(float(b), 0)
+    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_b").cast("int") + 1)
+    order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
     w_in = Window.partitionBy("_b").orderBy(*order)
-    ranked = bucketed.withColumn("_rn", F.row_number().over(w_in))
-    return (ranked.join(F.broadcast(offsets), "_b")
-                  .withColumn(out, (F.col("_off") + F.col("_rn") - 1 + start).cast("bigint"))
-                  .drop("_b", "_rn", "_off"))
+    return (bucketed.withColumn("_rn", F.row_number().over(w_in))
+                    .withColumn(out, (off + F.col("_rn") - 1 + start).cast("bigint"))
+                    .drop("_b", "_rn"))

@@ -26,26 +26,39 @@ def q_fit_tree(spark, sf):
     return out.select(KEY, LABEL, label_of.alias("prediction"))
 
 
-@query("model_round_trip", None, "SNK-9 CTR-1 FIT-3")
+@query("model_round_trip", None, "SNK-9 CTR-1 CTR-3 FIT-3 JN-1 JN-2")
 def q_model_round_trip(spark, sf):
-    """Fit, store (model dir + contract), resolve by alias, compile to CASE, score natively.
+    """The feature-table flow end to end with a *fitted* model.
 
-    Returns both the pyspark.ml ``transform`` label and the compiled-expression
-    label per test row; they must agree (tests assert it).
+    feature table -> training set (labels + lookup, key excluded) -> distributed
+    fit -> stored version with contract (input schema, lookups, compiled tree)
+    under alias ``champion`` -> ``score_batch`` by URI on held-out keys.  Also
+    returns pyspark.ml's own ``transform`` label per row; the two must agree
+    (tests assert it).
     """
+    from churnlane.plans.q_features import churn_feature_table
+    from churnlane.operators.features import FeatureLookup, create_training_set
+    from churnlane.operators.score import score_batch
+    name, _ = churn_feature_table(spark, sf)
     train, test = common.train_test(spark, sf)
-    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=3, seed=42)
+    lookups = [FeatureLookup.of(name, KEY)]
+    spec = create_training_set(train.select(KEY, LABEL), LABEL, lookups, exclude_columns=[KEY])
+    training_df = spec.load_df(spark)
+    model, classes = fit_tree(training_df, FEATURES, LABEL, max_depth=3, seed=42)
     store = ModelStore(spark, scratch_path(spark, "models"))
-    name = "churn_model"
-    v = store.log_model(name, Contract(capture_schema(train, FEATURES), LABEL, classes), model)
-    store.set_alias(name, "Champion", v)
-    loaded = store.load_pipeline(f"{name}@champion")
-    tree = from_saved_model(spark, store.resolve(f"{name}@champion") + "/model", FEATURES, classes)
-    t = test.select(KEY, *FEATURES)
-    ml = loaded.transform(t).select(
+    v = store.log_model("churn_model", Contract(capture_schema(training_df, FEATURES), LABEL, classes),
+                        model)
+    tree = from_saved_model(spark, store.resolve(f"churn_model/{v}") + "/model", FEATURES, classes)
+    contract = Contract(capture_schema(training_df, FEATURES), LABEL, classes, "string",
+                        tuple(lookups), KEY, tree)
+    store.log_model("churn_model", contract, model, aliases=["Champion"])
+    served = store.load_contract("churn_model@champion")
+    keys = test.select(KEY)
+    native = score_batch(spark, served, keys, "string")
+    loaded = store.load_pipeline("churn_model@champion")
+    ml = loaded.transform(test.select(KEY, *FEATURES)).select(
         KEY, F.element_at(F.array(*[F.lit(c) for c in classes]),
                           F.col("prediction").cast("int") + 1).alias("ml_prediction"))
-    native = t.select(KEY, predict_column(tree).alias("prediction"))
     return native.join(ml, KEY)
 
 

@@ -304,3 +304,10 @@ def test_stream_latest_survives_restart(spark):
     want = sorted(tuple(r) for r in latest_per_key(ev, "user_id", "ts", "event_id")
                   .select("user_id", "event_id").collect())
     assert got == want
+
+
+def test_model_round_trip_native_equals_transform(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["model_round_trip"](spark, SF_MID).collect()
+    assert len(rows) == 298
+    assert all(r["prediction"] == r["ml_prediction"] for r in rows)

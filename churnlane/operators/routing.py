@@ -60,12 +60,15 @@ def score_routed(df: DataFrame, key: str, routes: Sequence[Route], models: Mappi
 
 
 def score_both(df: DataFrame, key: str, models: Mapping[str, TreeSpec]) -> DataFrame:
-    """Every row under every version, long format (SET-1): ``unionByName`` of scored frames."""
-    out = None
-    for name, tree in models.items():
-        s = df.withColumns({"variant": F.lit(name), "prediction": predict_column(tree)})
-        out = s if out is None else out.unionByName(s)
-    return out
+    """Every row under every version, long format (SET-1).
+
+    One scan: both predictions are computed in the same projection and
+    ``explode`` emits one row per version — the result of a ``unionByName``
+    of per-version scored frames without scanning the input twice.
+    """
+    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), predict_column(tree).alias("prediction"))
+                      for name, tree in models.items()])
+    return df.withColumn("_v", F.explode(pairs)).select(*df.columns, "_v.variant", "_v.prediction")
 
 
 def agreement(df: DataFrame, models: Mapping[str, TreeSpec]) -> DataFrame:

@@ -33,11 +33,19 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2),
 
 def split_xy(df: DataFrame, key: str, features: Sequence[str], label: str,
              train_pct: int = 80) -> dict[str, DataFrame]:
-    """Split features and labels *together* (one split of the joined frame)."""
-    train, test = hash_split(df, key, train_pct)
+    """Split features and labels *together*.
+
+    One tagged frame (``xy``: key, features, label, ``part``) is the single
+    pass; the four familiar frames are projections + filters of it, so X and
+    Y rows of a part are aligned by construction — no join back on the key.
+    """
+    xy = df.select(key, *features, label).withColumn(
+        "part", F.when(hash_bucket(key) < train_pct, "train").otherwise("test"))
+    tr, te = xy.where(F.col("part") == "train"), xy.where(F.col("part") == "test")
     return {
-        "x_train": train.select(key, *features), "y_train": train.select(key, label),
-        "x_test": test.select(key, *features), "y_test": test.select(key, label),
+        "xy": xy,
+        "x_train": tr.select(key, *features), "y_train": tr.select(key, label),
+        "x_test": te.select(key, *features), "y_test": te.select(key, label),
     }
 
 

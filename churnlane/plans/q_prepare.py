@@ -49,13 +49,11 @@ def q_drop_columns(spark, sf):
     return drop_columns(common.z(spark, sf), "CUSTOMER_ID", LABEL, "not_a_column")
 
 
-@query("features_labels", f"{BPZS} SELECT customer_id, senior, tenure, monthly, total, churn FROM train",
-       "PRJ-1")
+@query("features_labels", f"{BPZS} SELECT customer_id, senior, tenure, monthly, total FROM train", "PRJ-1")
 def q_features_labels(spark, sf):
+    """``features_df = train.select(key, *features)`` (the labels are ``select(key, label)``)."""
     train, _ = common.train_test(spark, sf)
-    x = train.select(KEY, *FEATURES)
-    y = train.select(KEY, LABEL)
-    return x.join(y, KEY, "inner")
+    return train.select(KEY, *FEATURES)
 
 
 @query("struct_pack", f"{BPZ} SELECT customer_id, senior, tenure, monthly, total FROM z", "PRJ-6 FN-2")
@@ -90,10 +88,8 @@ def q_random_split(spark, sf):
 @query("split_xy", f"""{BPZ}
 SELECT *, CASE WHEN {bucket('customer_id')} < 80 THEN 'train' ELSE 'test' END AS part FROM z""", "SPL-2")
 def q_split_xy(spark, sf):
-    parts = split_xy(common.z(spark, sf), KEY, FEATURES, LABEL)
-    train = parts["x_train"].join(parts["y_train"], KEY).withColumn("part", F.lit("train"))
-    test = parts["x_test"].join(parts["y_test"], KEY).withColumn("part", F.lit("test"))
-    return train.unionByName(test)
+    """Features and labels split in one pass (the tagged frame the four parts project from)."""
+    return split_xy(common.z(spark, sf), KEY, FEATURES, LABEL)["xy"]
 
 
 @query("input_example", f"""{BPZS}

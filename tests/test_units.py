@@ -311,3 +311,37 @@ def test_model_round_trip_native_equals_transform(spark):
     rows = E.queries()["model_round_trip"](spark, SF_MID).collect()
     assert len(rows) == 298
     assert all(r["prediction"] == r["ml_prediction"] for r in rows)
+
+
+@pytest.mark.parametrize("name", ["latest_by_key", "row_position", "best_split", "score_multi",
+                                  "metrics", "pk_violations", "ab_compare", "column_stats"])
+def test_queries_partition_invariant(spark, name):
+    import __spark_entry__ as E
+    q = E.queries()[name]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = sorted(map(tuple, q(spark, SF_SMALL).collect()), key=repr)
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        many = sorted(map(tuple, q(spark, SF_SMALL).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert one == many
+
+
+def test_score_stream_restart_each_request_once(spark):
+    from churnlane.streaming.scoring import score_stream
+    from churnlane.plans.q_features import churn_contract
+    z = common.z(spark, SF_SMALL)
+    snap = z.select("customer_id", *FEATS)
+    keys = common.b(spark, SF_SMALL).select(F.col("customer_id").cast("string").alias("customer_id"))
+    src, out, log, ckpt = (scratch_path(spark, x) for x in ("rq", "rq-out", "rq-log", "rq-ckpt"))
+    schema = T.StructType([T.StructField("customer_id", T.StringType())])
+    contract = churn_contract(spark, SF_SMALL, "unused")
+    keys.where(hash_bucket("customer_id", "h:", 2) == 0).repartition(3).write.parquet(f"{src}/a")
+    score_stream(spark, f"{src}/*", schema, snap, contract, "customer_id", out, log, ckpt, "m-1")
+    keys.where(hash_bucket("customer_id", "h:", 2) == 1).repartition(3).write.parquet(f"{src}/b")
+    score_stream(spark, f"{src}/*", schema, snap, contract, "customer_id", out, log, ckpt, "m-1")
+    got = spark.read.parquet(out)
+    assert got.count() == keys.count() == got.select("request_key").distinct().count()
+    assert spark.read.parquet(log).count() == keys.count()

@@ -82,3 +82,22 @@ def hash_bucket(key: Column | str, salt: str = "", buckets: int = 100) -> Column
 
 def is_floating(t: DataType) -> bool:
     return isinstance(t, (DoubleType, FloatType))
+
+
+def range_bucket(c: Column | str, cuts: Sequence[float]) -> Column:
+    """Number of cut points strictly below ``c`` (0..len(cuts)) as a native expression.
+
+    The sorted cut points become a balanced tree of ``CASE WHEN c > cut``
+    tests, so each row costs ~log2(len(cuts)) comparisons inside codegen
+    (a binary search), and the bucket order equals the value order.  NULL
+    values land in bucket ``len(cuts) + 1`` (after every real value).
+    """
+    col = c if isinstance(c, Column) else F.col(c)
+    cuts = sorted(set(float(x) for x in cuts))
+
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(col > F.lit(cuts[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
+    return F.when(col.isNull(), F.lit(len(cuts) + 1)).otherwise(build(0, len(cuts)))

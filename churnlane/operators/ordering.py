@@ -5,8 +5,9 @@ single task.  Instead:
 
 1. ``approxQuantile`` gives ``n-1`` cut points of the key (one streaming pass,
    ``n-1`` doubles to the driver);
-2. a ``Bucketizer`` (binary search, JVM side) assigns each row its key-range
-   bucket — monotone in the key, so bucket order is key order;
+2. ``range_bucket`` (a binary search compiled to nested CASE, JVM side)
+   assigns each row its key-range bucket — monotone in the key, so bucket
+   order is key order;
 3. per-bucket counts (``n`` rows, bounded by the parameter) become running
    offsets, inlined as a literal array — no global window, no join;
 4. ``row_number`` *within* each bucket (a shuffle by bucket, ~N/n rows per
@@ -20,10 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlane.functions.columns import range_bucket
+
 
 def _buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
@@ -35,21 +37,17 @@ def row_position(df: DataFrame, key: str, out: str = "position",
     n = buckets or _buckets(df)
     probs = [i / n for i in range(1, n)]
     cuts = df.approxQuantile(key, probs, 1.0 / (4 * n)) if probs else []
-    splits = [float("-inf")] + sorted(set(float(c) for c in cuts if c is not None)) + [float("inf")]
-    if len(splits) < 3:
-        bucketed = df.withColumn("_b", F.lit(0.0))
-    else:
-        keyed = df.withColumn("_kd", F.col(key).cast("double"))
-        bz = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep")
-        bucketed = bz.transform(keyed).drop("_kd")
-    # per-bucket counts: exactly one row per bucket (<= n), so the driver may hold them
+    cuts = sorted(set(float(c) for c in cuts if c is not None))
+    # range bucket of the key (binary search of the cut points, JVM side);
+    # NULL keys get the last bucket, matching NULLS LAST ordering
+    bucketed = df.withColumn("_b", range_bucket(F.col(key).cast("double"), cuts))
+    # per-bucket counts: exactly one row per bucket (<= n + 1), so the driver may hold them
     counts = dict(bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).collect())
     offsets, run = [], 0
-    # Bucketizer(handleInvalid="keep") puts NULL/NaN keys in one extra, last bucket
-    for b in range((len(splits) - 1 if len(splits) >= 3 else 1) + 1):
+    for b in range(len(cuts) + 2):
         offsets.append(run)
-        run += counts.get(float(b), 0)
-    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_b").cast("int") + 1)
+        run += counts.get(b, 0)
+    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_b") + 1)
     order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
     w_in = Window.partitionBy("_b").orderBy(*order)
     return (bucketed.withColumn("_rn", F.row_number().over(w_in))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlane.operators.tree import TreeSpec, leaf_index_column
+from churnlane.functions.columns import range_bucket
 from churnlane.session import shared_dir
 
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
@@ -95,10 +96,7 @@ def best_split(df: DataFrame, features: Sequence[str], label: str, positive: str
             cuts_by_f[r["f"]] = sorted(set(c for c in (r["q"] or []) if c is not None))
     bexpr = F.lit(0)
     for f in features:
-        b = F.lit(0)
-        for c in cuts_by_f.get(f, []):
-            b = b + (F.col("x") > F.lit(c)).cast("int")
-        bexpr = F.when(F.col("f") == f, b).otherwise(bexpr)
+        bexpr = F.when(F.col("f") == f, range_bucket("x", cuts_by_f.get(f, []))).otherwise(bexpr)
     gb = g.withColumn("b", bexpr)
     tot_b = gb.groupBy("f", "b").agg(F.sum("y").alias("by"), F.sum("n").alias("bn"))
     w_prev = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)

@@ -345,3 +345,15 @@ def test_score_stream_restart_each_request_once(spark):
     got = spark.read.parquet(out)
     assert got.count() == keys.count() == got.select("request_key").distinct().count()
     assert spark.read.parquet(log).count() == keys.count()
+
+
+def test_range_bucket_is_binary_search(spark):
+    from churnlane.functions.columns import range_bucket
+    rng = np.random.default_rng(5)
+    vals = [float(v) for v in rng.integers(-50, 50, 500)] + [None]
+    for k in (0, 1, 2, 7, 33):
+        cuts = sorted(set(float(c) for c in rng.integers(-40, 40, k)))
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        got = [r[0] for r in df.select(range_bucket("x", cuts)).collect()]
+        want = [len(cuts) + 1 if v is None else int(np.searchsorted(cuts, v, side="left")) for v in vals]
+        assert got == want

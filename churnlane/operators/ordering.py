@@ -53,3 +53,21 @@ def row_position(df: DataFrame, key: str, out: str = "position",
     return (bucketed.withColumn("_rn", F.row_number().over(w_in))
                     .withColumn(out, (off + F.col("_rn") - 1 + start).cast("bigint"))
                     .drop("_b", "_rn"))
+
+
+def surrogate_key(df: DataFrame, out: str = "unique_id", order_by: str | None = None) -> DataFrame:
+    """Add a surrogate row id (PRJ-7).
+
+    ``order_by`` given: the stable variant — the 0-based position in that
+    column's order (``row_position``), identical across runs and layouts.
+    Otherwise ``monotonically_increasing_id()`` as the reference does: unique
+    and cheap (no shuffle), but its values depend on the partitioning (G10),
+    so the result is pinned with a reliable ``checkpoint()`` in the shared
+    checkpoint dir before anyone joins on it — a recomputation after an
+    executor loss would otherwise be free to hand out different ids.
+    """
+    if order_by is not None:
+        return row_position(df, order_by, out)
+    from churnlane.session import shared_dir
+    shared_dir(df.sparkSession)
+    return df.withColumn(out, F.monotonically_increasing_id()).checkpoint(eager=True)

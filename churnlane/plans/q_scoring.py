@@ -78,3 +78,10 @@ def q_surrogate_id(spark, sf):
 def q_preview(spark, sf):
     x = _test_features(spark, sf)
     return score_columns(x, fixed_tree()).orderBy(F.col(KEY)).limit(10)
+
+
+@query("surrogate_id_fast", None, "PRJ-7 G10")
+def q_surrogate_id_fast(spark, sf):
+    """``monotonically_increasing_id`` after ``na.drop`` (partition-dependent values, pinned by checkpoint)."""
+    from churnlane.operators.ordering import surrogate_key
+    return surrogate_key(common.z(spark, sf).drop(KEY), "unique_id")

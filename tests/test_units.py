@@ -357,3 +357,12 @@ def test_range_bucket_is_binary_search(spark):
         got = [r[0] for r in df.select(range_bucket("x", cuts)).collect()]
         want = [len(cuts) + 1 if v is None else int(np.searchsorted(cuts, v, side="left")) for v in vals]
         assert got == want
+
+
+def test_surrogate_key_fast_is_unique_and_pinned(spark):
+    from churnlane.operators.ordering import surrogate_key
+    z = common.z(spark, SF_MID).drop("customer_id")
+    s = surrogate_key(z, "uid")
+    a = sorted(tuple(r) for r in s.collect())
+    assert s.select("uid").distinct().count() == s.count() == 1387
+    assert sorted(tuple(r) for r in s.collect()) == a     # same ids on re-read

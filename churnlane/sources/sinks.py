@@ -117,3 +117,11 @@ def parse_capture(log: DataFrame, request_schema: StructType, response_schema: S
         F.from_json("request", request_schema).alias("q"),
         F.from_json("response", response_schema).alias("r")).select(
         "request_id", "served_model", "batch_id", "q.*", "r.*")
+
+
+def use_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    """``USE CATALOG c; USE SCHEMA s`` on the session catalog: create the database
+    (its files below the shared root unless ``location`` is given) and make it current."""
+    loc = location or scratch_path(spark, f"db-{schema}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{loc}'")
+    spark.catalog.setCurrentDatabase(schema)

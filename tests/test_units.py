@@ -366,3 +366,15 @@ def test_surrogate_key_fast_is_unique_and_pinned(spark):
     a = sorted(tuple(r) for r in s.collect())
     assert s.select("uid").distinct().count() == s.count() == 1387
     assert sorted(tuple(r) for r in s.collect()) == a     # same ids on re-read
+
+
+def test_use_schema_namespaces_tables(spark):
+    from churnlane.sources.sinks import use_schema, write_table
+    db = unique_name("lesson_db")
+    try:
+        use_schema(spark, db)
+        name = write_table(spark, spark.range(3), "t")
+        assert spark.catalog.currentDatabase() == db
+        assert spark.read.table(f"{db}.{name}").count() == 3
+    finally:
+        spark.catalog.setCurrentDatabase("default")

@@ -124,11 +124,18 @@ class FeatureLookup:
 
 
 def lookup(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup],
-           how: str = "left") -> DataFrame:
-    """Join each lookup's features onto ``df`` by its key (chained equi-joins)."""
+           how: str = "left", skew_fraction: float | None = None) -> DataFrame:
+    """Join each lookup's features onto ``df`` by its key (chained equi-joins).
+
+    ``skew_fraction``: split off request keys holding more than this share of
+    the rows and serve them from a bounded broadcast (``lookup_skew_safe``).
+    """
     out = df
     for fl in lookups:
-        out = out.join(fl.frame(spark), list(fl.lookup_key), how)
+        if skew_fraction:
+            out = lookup_skew_safe(spark, out, fl, skew_fraction, how)
+        else:
+            out = out.join(fl.frame(spark), list(fl.lookup_key), how)
     return out
 
 
@@ -140,8 +147,8 @@ class TrainingSet:
     feature_lookups: tuple[FeatureLookup, ...]
     exclude_columns: tuple[str, ...] = field(default_factory=tuple)
 
-    def load_df(self, spark: SparkSession) -> DataFrame:
-        out = lookup(spark, self.df, self.feature_lookups, "left")
+    def load_df(self, spark: SparkSession, skew_fraction: float | None = None) -> DataFrame:
+        out = lookup(spark, self.df, self.feature_lookups, "left", skew_fraction)
         return out.drop(*self.exclude_columns)
 
 

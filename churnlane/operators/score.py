@@ -25,7 +25,7 @@ from churnlane.operators.tree import (TreeSpec, predict_column, predict_numpy,
 
 
 def _positional(tree: TreeSpec, cols: Sequence[str]) -> TreeSpec:
-    """Bind the tree's features to ``cols`` by position (spark_udf(*cols) style)."""
+    """Bind the tree's features to ``cols`` by position (a UDF called as ``f(*cols)``)."""
     if list(cols) == list(tree.features):
         return tree
     mapping = dict(zip(tree.features, cols))
@@ -103,14 +103,16 @@ def score_map(df: DataFrame, tree: TreeSpec, out: str = "prediction") -> DataFra
 
 
 def score_batch(spark: SparkSession, contract: Contract, keys: DataFrame,
-                result_type: str | None = None, out: str = "prediction") -> DataFrame:
+                result_type: str | None = None, out: str = "prediction",
+                skew_fraction: float | None = None) -> DataFrame:
     """Keys -> features from the model's own lookups -> prediction (JN-2, CTR-3).
 
-    Left join: a key with no features keeps a NULL prediction.
+    Left join: a key with no features keeps a NULL prediction.  Pass
+    ``skew_fraction`` when the key side may repeat one key very often.
     """
     if contract.tree is None:
         raise ValueError("score_batch needs a tree contract")
-    feats = lookup(spark, keys, contract.lookups, "left")
+    feats = lookup(spark, keys, contract.lookups, "left", skew_fraction)
     pred = predict_column(contract.tree).cast(result_type or contract.result_type)
     return feats.withColumn(out, pred)
 

@@ -87,15 +87,21 @@ def q_missing_features(spark, sf):
     return missing_features(spark, keys, [FeatureLookup.of(name, KEY)])
 
 
+_URGENT_KEYS = """(SELECT DISTINCT CAST(o_custkey AS varchar) AS k FROM orders
+   WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= timestamp '2000-07-01')"""
+
+
 @query("key_lookup", f"""{BPZ}
 SELECT customer_id, senior, tenure, monthly, total FROM z
-WHERE customer_id IN (SELECT TRY_CAST(CAST(customer_id AS varchar) AS BIGINT) FROM base
-                      WHERE {bucket('customer_id', 'req:')} < 10)""", "FLT-3")
+WHERE customer_id IN (SELECT TRY_CAST(k AS BIGINT) FROM {_URGENT_KEYS})""", "FLT-3 G11")
 def q_key_lookup(spark, sf):
-    """Point lookup of requested keys sent as text: semi-join on the coerced key."""
+    """Point lookup of requested keys sent as text: features of every customer with an
+    urgent order after the cutoff (request keys come as strings), as a semi-join."""
     name, ft = churn_feature_table(spark, sf)
-    req = (common.b(spark, sf).where(hash_bucket(KEY, "req:") < 10)
-           .select(F.col(KEY).cast("string").alias(KEY)))
+    req = (table(spark, sf, "orders")
+           .where((F.col("o_orderpriority") == "1-URGENT")
+                  & (F.col("o_orderdate") >= F.lit("2000-07-01").cast("timestamp_ntz")))
+           .select(F.col("o_custkey").cast("string").alias(KEY)))
     req = coerce_key(req, KEY, "bigint")
     return ft.join(req, KEY, "left_semi")
 

@@ -20,7 +20,7 @@ def _run(spark, sf, until):
     path = scratch_path(spark, "bronze-csv")
     write_csv(common.b(spark, sf), path)          # the raw file the flow starts from
     spark.conf.set(CONF_PATH, path)
-    spark.conf.set(CONF_MODEL, "churn_model@dlt")
+    spark.conf.set(CONF_MODEL, "churn_model@layered")
     names = run_layers(spark, churn_layers(fixed_tree()), unique_name("flow"), until)
     return spark.read.table(names[until])
 

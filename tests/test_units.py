@@ -378,3 +378,17 @@ def test_use_schema_namespaces_tables(spark):
         assert spark.read.table(f"{db}.{name}").count() == 3
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def test_score_batch_with_skew_split_equals_plain(spark):
+    from churnlane.operators.score import score_batch
+    feats = spark.createDataFrame([(k, 0.0, float(k * 100), 10.0, 1000.0) for k in range(40)],
+                                  "customer_id bigint, senior double, tenure double, monthly double, total double")
+    name = unique_name("ft_sb")
+    create_feature_table(spark, name, feats, ["customer_id"])
+    c = Contract(FSCHEMA, "churn", ("No", "Yes"), "string", (FeatureLookup.of(name, "customer_id"),),
+                 "customer_id", fixed_tree())
+    keys = spark.createDataFrame([(3,)] * 200 + [(k,) for k in range(60)], "customer_id bigint")
+    a = sorted(map(tuple, score_batch(spark, c, keys).collect()), key=repr)
+    b = sorted(map(tuple, score_batch(spark, c, keys, skew_fraction=0.05).collect()), key=repr)
+    assert a == b and len(a) == 260

@@ -30,7 +30,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts: str,
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def publish_snapshot(df: DataFrame, path: str, key: str, buckets: int | None = None) -> None:
-    """Write a key-unique snapshot clustered by key (full copy, overwrite of a NEW path)."""
+def publish_snapshot(df: DataFrame, path: str, key: str, buckets: int | None = None,
+                     table: str | None = None) -> None:
+    """Write a key-unique snapshot as a full copy into a NEW path (SNK-6).
+
+    With ``table``: a Parquet table bucketed and sorted by the key.  An
+    equality lookup then reads one bucket (bucket pruning), and joins on the
+    key reuse the bucketing instead of shuffling the snapshot side — only the
+    (small) request side moves.  ``repartition(n, key)`` first uses the same
+    hash as the buckets, so each task writes exactly one bucket file.
+    """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    df.repartition(n, key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+    out = df.repartition(n, key)
+    if table:
+        (out.write.mode("overwrite").format("parquet").option("path", path)
+            .bucketBy(n, key).sortBy(key).saveAsTable(table))
+    else:
+        out.sortWithinPartitions(key).write.mode("overwrite").parquet(path)

@@ -11,7 +11,7 @@ from churnlane.plans import common
 from churnlane.plans.oracle_sql import BPZ, bucket, tree_case
 from churnlane.plans.q_features import churn_contract
 from churnlane.plans.registry import query
-from churnlane.session import scratch_path
+from churnlane.session import scratch_path, unique_name
 from churnlane.sources.tables import FEATURES, KEY, events, table
 
 LATEST_SQL = """
@@ -28,9 +28,10 @@ def q_latest_by_key(spark, sf):
 @query("online_latest", LATEST_SQL, "SNK-6 WIN-1")
 def q_online_latest(spark, sf):
     """Publish the newest-per-key snapshot as a key-clustered full copy and serve from it."""
-    path = scratch_path(spark, "online-events")
-    publish_snapshot(latest_per_key(events(spark, sf), "user_id", "ts", "event_id"), path, "user_id")
-    return spark.read.parquet(path)
+    name = unique_name("online_events")
+    publish_snapshot(latest_per_key(events(spark, sf), "user_id", "ts", "event_id"),
+                     scratch_path(spark, "online-events"), "user_id", table=name)
+    return spark.read.table(name)
 
 
 @query("online_score", f"""{BPZ},
@@ -42,9 +43,10 @@ SELECT request_key, TRY_CAST(request_key AS BIGINT) AS customer_id, senior, tenu
 FROM r LEFT JOIN z ON z.customer_id = TRY_CAST(request_key AS BIGINT)""", "JN-3 FLT-3 G11")
 def q_online_score(spark, sf):
     """Key-only requests (text keys, some not numbers) against the online feature snapshot."""
-    path = scratch_path(spark, "online-features")
-    publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), path, KEY)
-    snapshot = spark.read.parquet(path)
+    name = unique_name("online_features")
+    publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), scratch_path(spark, "online-features"),
+                     KEY, table=name)
+    snapshot = spark.read.table(name)
     good = (common.b(spark, sf).where(hash_bucket(KEY) >= 80)
             .select(F.col(KEY).cast("string").alias("request_key")))
     # requests that carry a name instead of a numeric key (G11): they match nothing

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlane.functions.columns import range_bucket
+from churnlane.session import pin
 
 
 def _buckets(df: DataFrame) -> int:
@@ -33,7 +34,14 @@ def _buckets(df: DataFrame) -> int:
 
 def row_position(df: DataFrame, key: str, out: str = "position",
                  tie_break: Sequence[str] = (), buckets: int | None = None,
-                 start: int = 0) -> DataFrame:
+                 start: int = 0, pin_input: bool = True) -> DataFrame:
+    """0-based (or ``start``-based) position of each row in ``key`` order.
+
+    Three jobs read the input (cut points, bucket counts, numbering); with
+    ``pin_input`` it is checkpointed once so its upstream runs only once.
+    """
+    if pin_input:
+        df = pin(df)
     n = buckets or _buckets(df)
     probs = [i / n for i in range(1, n)]
     cuts = df.approxQuantile(key, probs, 1.0 / (4 * n)) if probs else []
@@ -68,6 +76,4 @@ def surrogate_key(df: DataFrame, out: str = "unique_id", order_by: str | None =
     """
     if order_by is not None:
         return row_position(df, order_by, out)
-    from churnlane.session import shared_dir
-    shared_dir(df.sparkSession)
-    return df.withColumn(out, F.monotonically_increasing_id()).checkpoint(eager=True)
+    return pin(df.withColumn(out, F.monotonically_increasing_id()))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnlane.operators.tree import TreeSpec, leaf_index_column
 from churnlane.functions.columns import range_bucket
-from churnlane.session import shared_dir
+from churnlane.session import pin
 
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
 
@@ -38,9 +38,17 @@ def tree_pipeline(features: Sequence[str], label: str, max_depth: int | None = 3
 
 
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int | None = 3,
-             seed: int = 42):
-    """Fit and return ``(PipelineModel, classes)``."""
-    model = tree_pipeline(features, label, max_depth, seed).fit(df.select(*features, label))
+             seed: int = 42, pin_input: bool = True):
+    """Fit and return ``(PipelineModel, classes)``.
+
+    The fit reads its input several times (label indexing, split candidates,
+    binning); with ``pin_input`` the selected columns are checkpointed once so
+    the upstream plan is not recomputed for each pass.
+    """
+    data = df.select(*features, label)
+    if pin_input:
+        data = pin(data)
+    model = tree_pipeline(features, label, max_depth, seed).fit(data)
     classes = tuple(model.stages[0].labels)
     return model, classes
 
@@ -84,8 +92,7 @@ def best_split(df: DataFrame, features: Sequence[str], label: str, positive: str
     # g feeds two jobs (cut points, then the scan); a reliable checkpoint in the
     # shared checkpoint dir keeps the upstream (a large aggregation) from
     # running twice and cuts the lineage.
-    shared_dir(df.sparkSession)
-    g = g.checkpoint(eager=True)
+    g = pin(g)
     # value-range bucket per feature: cut points from ONE aggregation over the
     # per-value frame (features x (buckets-1) doubles reach the driver)
     probs = [i / n_b for i in range(1, n_b)]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnlane.operators.prepare import cast_features, prepare
 from churnlane.operators.split import hash_split
-from churnlane.session import ensure_conf
+from churnlane.session import ensure_conf, pin
 from churnlane.sources.tables import base
 
 
@@ -25,5 +25,8 @@ def z(spark: SparkSession, sf: str) -> DataFrame:
     return prepare(b(spark, sf))
 
 
-def train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return hash_split(z(spark, sf))
+def train_test(spark: SparkSession, sf: str, pinned: bool = False) -> tuple[DataFrame, DataFrame]:
+    """80/20 key-hash split of ``z``; ``pinned`` materialises ``z`` once when
+    both sides feed separate jobs (fit on one, score the other)."""
+    zz = pin(z(spark, sf)) if pinned else z(spark, sf)
+    return hash_split(zz)

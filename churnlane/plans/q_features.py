@@ -14,14 +14,15 @@ from churnlane.operators.tree import fixed_tree, predict_column
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, Z, bucket, tree_case, with_ctes
 from churnlane.plans.registry import query
-from churnlane.session import scratch_path, unique_name
+from churnlane.operators.split import hash_split
+from churnlane.session import pin, scratch_path, unique_name
 from churnlane.sources.tables import FEATURES, KEY, LABEL, table
 
 
-def churn_feature_table(spark, sf):
+def churn_feature_table(spark, sf, z=None):
     """Feature table of all prepared rows: key + 4 double features (checked unique key)."""
     name = unique_name("churn_features")
-    z = common.z(spark, sf)
+    z = common.z(spark, sf) if z is None else z
     return name, create_feature_table(spark, name, z.select(KEY, *FEATURES), [KEY],
                                       "churn features per customer")
 
@@ -50,8 +51,9 @@ SELECT t.churn, z.senior, z.tenure, z.monthly, z.total
 FROM (SELECT customer_id, churn FROM train) t LEFT JOIN z USING (customer_id)""", "JN-1")
 def q_training_set(spark, sf):
     """Labels of the 80% side + every non-key feature of the lookup table, key excluded."""
-    name, _ = churn_feature_table(spark, sf)
-    train, _ = common.train_test(spark, sf)
+    zz = pin(common.z(spark, sf))                 # feeds the feature table and the labels
+    name, _ = churn_feature_table(spark, sf, zz)
+    train, _ = hash_split(zz)
     spec = create_training_set(train.select(KEY, LABEL), LABEL, [FeatureLookup.of(name, KEY)],
                                exclude_columns=[KEY])
     return spec.load_df(spark)

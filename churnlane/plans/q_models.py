@@ -12,15 +12,16 @@ from churnlane.operators.tree import fixed_tree, from_saved_model, predict_colum
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, tree_case, with_ctes
 from churnlane.plans.registry import query
-from churnlane.session import scratch_path
+from churnlane.operators.split import hash_split
+from churnlane.session import pin, scratch_path
 from churnlane.sources.tables import FEATURES, KEY, LABEL
 
 
 @query("fit_tree", None, "FIT-1 FIT-3")
 def q_fit_tree(spark, sf):
     """Distributed fit (depth 3, seed 42) on the train side, ``transform`` on the test side."""
-    train, test = common.train_test(spark, sf)
-    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=3, seed=42)
+    train, test = common.train_test(spark, sf, pinned=True)
+    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=3, seed=42, pin_input=False)
     out = model.transform(test.select(KEY, *FEATURES, LABEL))
     label_of = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
     return out.select(KEY, LABEL, label_of.alias("prediction"))
@@ -39,8 +40,9 @@ def q_model_round_trip(spark, sf):
     from churnlane.plans.q_features import churn_feature_table
     from churnlane.operators.features import FeatureLookup, create_training_set
     from churnlane.operators.score import score_batch
-    name, _ = churn_feature_table(spark, sf)
-    train, test = common.train_test(spark, sf)
+    zz = pin(common.z(spark, sf))                 # one computation feeds every step below
+    name, _ = churn_feature_table(spark, sf, zz)
+    train, test = hash_split(zz)
     lookups = [FeatureLookup.of(name, KEY)]
     spec = create_training_set(train.select(KEY, LABEL), LABEL, lookups, exclude_columns=[KEY])
     training_df = spec.load_df(spark)
@@ -65,8 +67,8 @@ def q_model_round_trip(spark, sf):
 @query("fit_metrics", None, "AGG-2 FIT-1")
 def q_fit_metrics(spark, sf):
     """Post-training metrics of the fitted tree on its own training rows."""
-    train, _ = common.train_test(spark, sf)
-    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=3, seed=42)
+    train, _ = common.train_test(spark, sf, pinned=True)
+    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=3, seed=42, pin_input=False)
     out = model.transform(train.select(*FEATURES, LABEL))
     lab = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
     return classification_metrics(out.select(LABEL, lab.alias("prediction")), LABEL)

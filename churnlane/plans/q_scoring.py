@@ -53,7 +53,7 @@ SELECT customer_id, senior, tenure, monthly, total,
 FROM t LEFT JOIN lc USING (leaf)""", "SCO-3 FN-5")
 def q_score_multi(spark, sf):
     """Probabilities per class + label; leaf class shares estimated on the train side."""
-    train, test = common.train_test(spark, sf)
+    train, test = common.train_test(spark, sf, pinned=True)
     tree = leaf_class_counts(fixed_tree(), train, LABEL)
     return score_multi(test.select(KEY, *FEATURES), tree)
 

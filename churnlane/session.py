@@ -100,3 +100,16 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
     }
+
+
+def pin(df):
+    """Materialise ``df`` once with a reliable ``checkpoint()`` in the shared
+    checkpoint dir and cut its lineage.
+
+    For plans consumed by several jobs (multi-pass operators, train + test
+    sides of one prepared frame): the upstream — typically a large
+    aggregation — runs once, and a lost executor re-reads checkpoint files
+    instead of recomputing the whole lineage.  Never ``localCheckpoint``.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

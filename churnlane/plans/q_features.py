@@ -12,7 +12,7 @@ from churnlane.operators.features import (FeatureLookup, coerce_key, create_feat
 from churnlane.operators.score import score_batch
 from churnlane.operators.tree import fixed_tree, predict_column
 from churnlane.plans import common
-from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, Z, bucket, tree_case, with_ctes
+from churnlane.plans.oracle_sql import BPZ, BPZS, bucket, tree_case
 from churnlane.plans.registry import query
 from churnlane.operators.split import hash_split
 from churnlane.session import pin, scratch_path, unique_name

@@ -8,7 +8,7 @@ from churnlane.operators.contract import Contract, ModelStore, capture_schema
 from churnlane.operators.metrics import class_counts, classification_metrics, confusion
 from churnlane.operators.score import score_columns
 from churnlane.operators.train import best_split, fit_tree
-from churnlane.operators.tree import fixed_tree, from_saved_model, predict_column
+from churnlane.operators.tree import fixed_tree, from_saved_model
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, tree_case, with_ctes
 from churnlane.plans.registry import query

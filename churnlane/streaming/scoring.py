@@ -25,8 +25,14 @@ from churnlane.sources.sinks import capture_frame
 def score_stream(spark: SparkSession, requests_path: str, request_schema: StructType | str,
                  snapshot: DataFrame, contract: Contract, key: str, out_path: str, log_path: str,
                  checkpoint: str, served_model: str, max_files_per_trigger: int = 1,
-                 keep: Sequence[str] = ()):
-    """Run the stream until the available input is consumed (``availableNow``)."""
+                 keep: Sequence[str] = (), trigger: dict | None = None, wait: bool = True):
+    """Start the scoring stream.
+
+    Default ``trigger={"availableNow": True}`` drains what is there and stops
+    (batch-like runs, tests); a deployment passes e.g.
+    ``{"processingTime": "10 seconds"}`` and ``wait=False`` to keep it running.
+    Returns the ``StreamingQuery``.
+    """
     key_type = snapshot.schema[key].dataType.simpleString()
     feats = contract.features
     req = (spark.readStream.schema(request_schema)
@@ -43,6 +49,7 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
         log.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
 
     q = (scored.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+         .trigger(**(trigger or {"availableNow": True})).start())
+    if wait:
+        q.awaitTermination()
     return q

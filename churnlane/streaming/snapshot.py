@@ -38,7 +38,9 @@ def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
 
 def maintain_latest(spark: SparkSession, events_path: str, schema: StructType | str, root: str,
                     checkpoint: str, key: str, ts: str, tie: Sequence[str] | str = (),
-                    max_files_per_trigger: int = 1, buckets: int | None = None):
+                    max_files_per_trigger: int = 1, buckets: int | None = None,
+                    trigger: dict | None = None, wait: bool = True):
+    """Start the snapshot-maintenance stream (see module doc); returns the query."""
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(events_path))
@@ -56,6 +58,7 @@ def maintain_latest(spark: SparkSession, events_path: str, schema: StructType |
               .write.mode("overwrite").text(f"{root}/_current"))
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+         .trigger(**(trigger or {"availableNow": True})).start())
+    if wait:
+        q.awaitTermination()
     return q

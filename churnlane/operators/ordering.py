@@ -1,32 +1,38 @@
 """Global row positions without a one-partition window (WIN-2, PRJ-7).
 
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY moves every row into a
-single task.  Instead:
-
-1. ``approxQuantile`` gives ``n-1`` cut points of the key (one streaming pass,
-   ``n-1`` doubles to the driver);
-2. ``range_bucket`` (a binary search compiled to nested CASE, JVM side)
-   assigns each row its key-range bucket — monotone in the key, so bucket
-   order is key order;
-3. per-bucket counts (``n`` rows, bounded by the parameter) become running
-   offsets, inlined as a literal array — no global window, no join;
-4. ``row_number`` *within* each bucket (a shuffle by bucket, ~N/n rows per
-   task) plus the bucket's offset is the global position.
-
-Only ``n`` numbers ever reach the driver, whatever the data size.  Keys should be unique (or made unique by
-``tie_break`` columns) for positions to be deterministic.
+single task.  Instead (the DataFrame form of ``zipWithIndex`` over a sort):
+
+1. the input is pinned (reliable checkpoint) and given a stable row id — its
+   position in the pinned files — as the last tie-break, so the full sort key
+   ``(key, *tie_break, row id)`` is unique;
+2. ``repartitionByRange(n, sort key)`` + ``sortWithinPartitions``: Spark's
+   range partitioner samples the *whole* sort key, so a key value holding a
+   third of all rows — or a third of the rows being exact copies — is split
+   over many adjacent ranges by the tie-breaks instead of landing in one task;
+3. that layout is pinned, so the partition ids seen by the next two jobs are
+   the same ranges (a re-sampled range partitioner could draw other bounds);
+4. per-partition row counts (one row per partition, ``n`` at most, to the
+   driver) become running offsets, inlined as a literal array;
+5. position = offset of the partition + record number inside it, both read
+   from ``monotonically_increasing_id()`` (partition id in the upper bits,
+   record number in the lower 33) on the pinned, already-sorted partitions —
+   a projection, no further shuffle or sort.
+
+Every task sorts about ``N/n`` rows, whatever the key distribution.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.functions.columns import range_bucket
 from churnlane.session import pin
 
+_LOW_BITS = (1 << 33) - 1   # record number inside a partition in monotonically_increasing_id
+
 
 def _buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
@@ -37,30 +43,33 @@ def row_position(df: DataFrame, key: str, out: str = "position",
                  start: int = 0, pin_input: bool = True) -> DataFrame:
     """0-based (or ``start``-based) position of each row in ``key`` order.
 
-    Three jobs read the input (cut points, bucket counts, numbering); with
-    ``pin_input`` it is checkpointed once so its upstream runs only once.
+    ``key`` sorts ascending with NULLs last, then ``tie_break`` columns; rows
+    equal in all of them are numbered in an arbitrary but fixed order.
+    ``pin_input=False`` only for an input read straight from files (its row
+    ids are then already stable across jobs and task retries).
     """
-    if pin_input:
-        df = pin(df)
     n = buckets or _buckets(df)
-    probs = [i / n for i in range(1, n)]
-    cuts = df.approxQuantile(key, probs, 1.0 / (4 * n)) if probs else []
-    cuts = sorted(set(float(c) for c in cuts if c is not None))
-    # range bucket of the key (binary search of the cut points, JVM side);
-    # NULL keys get the last bucket, matching NULLS LAST ordering
-    bucketed = df.withColumn("_b", range_bucket(F.col(key).cast("double"), cuts))
-    # per-bucket counts: exactly one row per bucket (<= n + 1), so the driver may hold them
-    counts = dict(bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).collect())
+    src = pin(df) if pin_input else df
+    src = src.withColumn("_rid", F.monotonically_increasing_id())
+    order = ([F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
+             + [F.col("_rid").asc()])
+    ranged = pin(src.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_rid"))
+    # one row per non-empty partition: bounded by ``n``, not by the data
+    counts = dict(ranged.groupBy(F.spark_partition_id().alias("_p"))
+                        .agg(F.count(F.lit(1)).alias("_n")).collect())
     offsets, run = [], 0
-    for b in range(len(cuts) + 2):
+    for p in range(max(counts, default=-1) + 1):
         offsets.append(run)
-        run += counts.get(b, 0)
-    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_b") + 1)
-    order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
-    w_in = Window.partitionBy("_b").orderBy(*order)
-    return (bucketed.withColumn("_rn", F.row_number().over(w_in))
-                    .withColumn(out, (off + F.col("_rn") - 1 + start).cast("bigint"))
-                    .drop("_b", "_rn"))
+        run += counts.get(p, 0)
+    if not offsets:                       # empty input: no row will look an offset up
+        offsets = [0]
+    # the id is evaluated once per row (its own projection); partition and
+    # record number are both read from that one value
+    mid = F.col("_mid")
+    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), (F.shiftright(mid, 33) + 1).cast("int"))
+    pos = off + mid.bitwiseAND(F.lit(_LOW_BITS)) + F.lit(start)
+    return (ranged.withColumn("_mid", F.monotonically_increasing_id())
+                  .withColumn(out, pos.cast("bigint")).drop("_mid"))
 
 
 def surrogate_key(df: DataFrame, out: str = "unique_id", order_by: str | None = None) -> DataFrame:

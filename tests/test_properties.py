@@ -79,3 +79,18 @@ def test_metrics_match_brute_force(spark, pairs):
     assert (r["n"], r["ok"], r["tp"], r["pred_pos"], r["act_pos"]) == (n, ok, tp, pp, ap)
     assert (r["accuracy"], r["precision"], r["recall"], r["f1"]) == (f(ok, n), f(tp, pp), f(tp, ap),
                                                                      f(2 * tp, pp + ap))
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.sampled_from([5, 5, 5, 5, 1, 2, 9])),
+                               st.integers(0, 2)), max_size=80),
+       buckets=st.sampled_from([1, 3, 8]))
+def test_row_position_matches_sorted_enumeration(spark, rows, buckets):
+    """Hot key 5, many exact copies, NULL keys (last): positions are 0..n-1 in (key, t) order."""
+    from churnlane.operators.ordering import row_position
+    df = spark.createDataFrame(rows, "k bigint, t int").repartition(4)
+    got = sorted(((r["pos"], r["k"], r["t"]) for r in
+                  row_position(df, "k", "pos", tie_break=["t"], buckets=buckets).collect()))
+    want = sorted(rows, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    assert [g[0] for g in got] == list(range(len(rows)))
+    assert [(g[1], g[2]) for g in got] == want

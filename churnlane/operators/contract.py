@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from churnlane.operators.features import FeatureLookup
+from churnlane.sources import control
 from churnlane.operators.tree import TreeSpec
 
 
@@ -89,10 +90,10 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> Data
 class ModelStore:
     """Versions under ``root/<name>/<version>/``; registry in ``root/<name>/registry``.
 
-    All reads and writes go through Spark (text files), so ``root`` may be any
-    cluster file system (the shared ``spark.checkpoint.dir``), never a
-    machine-local folder.  Each registry update writes a new generation
-    directory and never rewrites one in place.
+    Control files go through the session's Hadoop file system
+    (``sources.control``), so ``root`` may be any cluster file system (the
+    shared ``spark.checkpoint.dir``), never a machine-local folder.  Each
+    registry update writes a new generation file and never rewrites one.
     """
 
     def __init__(self, spark, root: str):
@@ -100,21 +101,21 @@ class ModelStore:
         self.root = root.rstrip("/")
 
     def _write_text(self, path: str, text: str) -> None:
-        (self.spark.createDataFrame([(text,)], "value string").coalesce(1)
-             .write.mode("overwrite").text(path))
+        control.write_text(self.spark, path, text)
 
     def _read_text(self, path: str) -> str | None:
-        try:
-            rows = self.spark.read.text(path).collect()  # one small control file
-        except Exception:
-            return None
-        return "\n".join(r["value"] for r in rows) if rows else None
+        return control.read_text(self.spark, path)
 
     def _registry(self, name: str) -> dict:
-        head = self._read_text(f"{self.root}/{name}/registry-head")
-        if head is None:
-            return {"versions": [], "aliases": {}, "generation": 0}
-        return json.loads(self._read_text(f"{self.root}/{name}/registry-{head.strip()}"))
+        # generations are immutable files; the newest one found by listing is
+        # current (the head pointer serves sessions that cannot list)
+        gen = control.newest_numbered(self.spark, f"{self.root}/{name}", r"registry-(\d+)")
+        if gen is None:
+            head = self._read_text(f"{self.root}/{name}/registry-head")
+            if head is None:
+                return {"versions": [], "aliases": {}, "generation": 0}
+            gen = int(head.strip())
+        return json.loads(self._read_text(f"{self.root}/{name}/registry-{gen}"))
 
     def _save_registry(self, name: str, reg: dict) -> None:
         reg = dict(reg, generation=int(reg.get("generation", 0)) + 1)

@@ -238,13 +238,12 @@ def proba_numpy(tree: TreeSpec, x: np.ndarray) -> np.ndarray:
 def _tree_stage_dir(spark: SparkSession, model_dir: str) -> str:
     """Directory of the tree inside a saved PipelineModel (or the tree itself).
 
-    Stage metadata is read through Spark, so the model may live on any
-    cluster file system.
+    Stage metadata is read through the session's Hadoop file system, so the
+    model may live on any cluster file system.
     """
-    try:
-        meta = json.loads(spark.read.text(f"{model_dir}/metadata").first()["value"])
-    except Exception:
-        meta = {}
+    from churnlane.sources import control
+    text = control.read_text(spark, f"{model_dir}/metadata")
+    meta = json.loads(text.splitlines()[0]) if text else {}
     if meta.get("class", "").endswith("PipelineModel"):
         uids = meta["paramMap"]["stageUids"]
         for i, uid in enumerate(uids):

@@ -2,8 +2,9 @@
 
 Each micro-batch is merged with the previous snapshot version by the same
 newest-wins aggregation as the batch operator (``latest_per_key``) and
-written as a NEW version directory ``v=<batch_id>``; the pointer to the
-current version is a small text file written after the data.  The path being
+written as a NEW version directory ``v=<batch_id>``; the current version is
+the newest one whose write committed (``_SUCCESS``), found by listing — a
+small ``_current`` text file mirrors it for sessions that cannot list.  The path being
 read is never overwritten.  Replay safety: a re-run of batch ``k`` reads
 version ``min(pointer, k-1)``, which never includes batch ``k`` itself — and
 even if it did, newest-wins merging is idempotent, and late rows lose by
@@ -21,14 +22,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from churnlane.operators.latest import latest_per_key
+from churnlane.sources import control
 
 
 def _read_pointer(spark: SparkSession, root: str) -> int | None:
-    try:
-        row = spark.read.text(f"{root}/_current").first()
-    except Exception:
-        return None
-    return int(row["value"]) if row else None
+    """Newest complete version: the largest ``v=<n>`` holding ``_SUCCESS``
+    (written by the job commit); the ``_current`` file serves sessions that
+    cannot list."""
+    v = control.newest_numbered(spark, root, r"v=(\d+)", "_SUCCESS")
+    if v is not None or control.can_list(spark):
+        return v
+    text = control.read_text(spark, f"{root}/_current")
+    return int(text.strip()) if text else None
 
 
 def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
@@ -54,8 +59,7 @@ def maintain_latest(spark: SparkSession, events_path: str, schema: StructType |
         merged = latest_per_key(rows, key, ts, tie)
         (merged.repartition(n, key).sortWithinPartitions(key)
                .write.mode("overwrite").parquet(f"{root}/v={batch_id}"))
-        (spark.createDataFrame([(str(batch_id),)], "value string").coalesce(1)
-              .write.mode("overwrite").text(f"{root}/_current"))
+        control.write_text(spark, f"{root}/_current", str(batch_id))
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())

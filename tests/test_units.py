@@ -392,3 +392,21 @@ def test_score_batch_with_skew_split_equals_plain(spark):
     a = sorted(map(tuple, score_batch(spark, c, keys).collect()), key=repr)
     b = sorted(map(tuple, score_batch(spark, c, keys, skew_fraction=0.05).collect()), key=repr)
     assert a == b and len(a) == 260
+
+
+def test_control_files_round_trip_and_newest(spark):
+    from churnlane.sources import control
+    root = scratch_path(spark, "ctl")
+    assert control.read_text(spark, f"{root}/nothing") is None
+    assert control.newest_numbered(spark, root, r"v=(\d+)") is None
+    control.write_text(spark, f"{root}/a.json", '{"x": "é"}')
+    control.write_text(spark, f"{root}/a.json", '{"x": 2}')           # replaced, not appended
+    assert control.read_text(spark, f"{root}/a.json") == '{"x": 2}'
+    for v in (1, 10, 9):
+        spark.range(2).write.parquet(f"{root}/v={v}")
+    spark.range(1).write.parquet(f"{root}/v=11")
+    control.write_text(spark, f"{root}/v=12", "not a finished write")  # no _SUCCESS inside
+    assert control.newest_numbered(spark, root, r"v=(\d+)", "_SUCCESS") == 11
+    # a text "file" written by a Spark job (a directory of parts) reads back too
+    spark.createDataFrame([("line",)], "value string").coalesce(1).write.text(f"{root}/t")
+    assert control.read_text(spark, f"{root}/t") == "line"

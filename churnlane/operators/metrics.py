@@ -48,32 +48,65 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _value_slot(t: T.DataType) -> str:
+    """Where a column's values travel in ``column_stats``: integral -> ``i``
+    (bigint), float/double -> ``d``, everything else (text, decimal, dates)
+    -> ``s`` as exact text."""
+    if isinstance(t, T.IntegralType):
+        return "i"
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return "d"
+    return "s"
+
+
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Exact per-column statistics, one row per column (AGG-3, exact variant).
 
-    ONE aggregation computes every column's min/max/non-null/distinct count
-    (the distinct counts share one Expand + shuffle); ``stack`` turns the
-    single wide row into one row per column.  Numeric min/max land in
-    ``min_num``/``max_num`` (double), text ones in ``min_text``/``max_text``.
+    One scan, hash aggregation only:
+
+    1. every row becomes one ``(column, value)`` record per column (an
+       ``explode`` pipelined into the next step — nothing is materialised);
+    2. ``groupBy(column, value)`` with a row count: map-side partial
+       aggregation de-duplicates inside every task, so a value held by a third
+       of all rows is one record per task before the shuffle; only counters
+       are buffered, so Spark keeps it in a hash map;
+    3. ONE global aggregate over the distinct records folds in min, max,
+       non-null count, row count and distinct count of every column with
+       conditional aggregates — no grouping key, so even text min/max need no
+       sort: each task folds its records into one buffer row.
+
+    ``stack`` turns the single wide row into one row per column.  Numeric
+    min/max land in ``min_num``/``max_num`` (double), text ones in
+    ``min_text``/``max_text``.
     """
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
+    slots = [_value_slot(types[c]) for c in cols]
+    typed = {"i": "bigint", "d": "double", "s": "string"}
+    recs = [F.struct(F.lit(k).alias("k"),
+                     *[(F.col(c).cast(typed[x]) if x == sl else F.lit(None).cast(typed[x])).alias(x)
+                       for x in ("i", "d", "s")])
+            for k, (c, sl) in enumerate(zip(cols, slots))]
+    vals = (df.select(F.explode(F.array(*recs)).alias("_r")).select("_r.*")
+              .groupBy("k", "i", "d", "s").agg(F.count(F.lit(1)).alias("n")))
     aggs = []
-    for i, c in enumerate(cols):
+    for k, (c, sl) in enumerate(zip(cols, slots)):
+        hit = F.col("k") == k
+        v = F.col(sl) if sl != "s" or not isinstance(types[c], T.DecimalType) else F.col("s").cast(types[c])
         numeric = isinstance(types[c], T.NumericType)
-        num = (lambda e: e.cast("double")) if numeric else (lambda e: F.lit(None).cast("double"))
-        txt = (lambda e: F.lit(None).cast("string")) if numeric else (lambda e: e.cast("string"))
-        aggs += [num(F.min(c)).alias(f"mnn{i}"), num(F.max(c)).alias(f"mxn{i}"),
-                 txt(F.min(c)).alias(f"mnt{i}"), txt(F.max(c)).alias(f"mxt{i}"),
-                 F.count(c).alias(f"nn{i}"), F.countDistinct(c).alias(f"nd{i}")]
-    aggs.append(F.count(F.lit(1)).alias("_rows"))
-    wide = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', mnn{i}, mxn{i}, mnt{i}, mxt{i}, nn{i}, nd{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(
+        none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+        aggs += [F.min(F.when(hit, v)).cast("double").alias(f"mnn{k}") if numeric else none_d.alias(f"mnn{k}"),
+                 F.max(F.when(hit, v)).cast("double").alias(f"mxn{k}") if numeric else none_d.alias(f"mxn{k}"),
+                 none_s.alias(f"mnt{k}") if numeric else F.min(F.when(hit, v)).alias(f"mnt{k}"),
+                 none_s.alias(f"mxt{k}") if numeric else F.max(F.when(hit, v)).alias(f"mxt{k}"),
+                 F.coalesce(F.sum(F.when(hit & v.isNotNull(), F.col("n"))), F.lit(0)).alias(f"nn{k}"),
+                 F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias(f"rows{k}"),
+                 F.count(F.when(hit, v)).alias(f"nd{k}")]
+    parts = ", ".join(f"'{c}', mnn{k}, mxn{k}, mnt{k}, mxt{k}, nn{k}, rows{k} - nn{k}, nd{k}"
+                      for k, c in enumerate(cols))
+    return vals.agg(*aggs).selectExpr(
         f"stack({len(cols)}, {parts}) AS (col_name, min_num, max_num, min_text, max_text, "
-        "non_null, distinct_count)", "_rows AS row_count").select(
-        "col_name", "min_num", "max_num", "min_text", "max_text", "non_null",
-        (F.col("row_count") - F.col("non_null")).alias("num_nulls"), "distinct_count")
+        "non_null, num_nulls, distinct_count)")
 
 
 def frame_info(df: DataFrame) -> DataFrame:

@@ -410,3 +410,25 @@ def test_control_files_round_trip_and_newest(spark):
     # a text "file" written by a Spark job (a directory of parts) reads back too
     spark.createDataFrame([("line",)], "value string").coalesce(1).write.text(f"{root}/t")
     assert control.read_text(spark, f"{root}/t") == "line"
+
+
+def test_column_stats_exact_on_edge_types(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from churnlane.operators.metrics import column_stats
+    big = 2 ** 53
+    rows = [(big, 1.5, Decimal("10.10"), "b", dt.date(2020, 1, 2)),
+            (big + 1, float("nan"), Decimal("2.25"), "a", None),      # big+1 == big as a double
+            (big + 1, None, None, None, dt.date(2019, 5, 6)),
+            (None, -0.0, Decimal("10.10"), "b", dt.date(2020, 1, 2)),
+            (7, 0.0, Decimal("-3.00"), "b", None)]
+    df = spark.createDataFrame(rows, "a bigint, x double, m decimal(10,2), s string, d date")
+    got = {r["col_name"]: r for r in column_stats(df).collect()}
+    assert (got["a"]["non_null"], got["a"]["num_nulls"], got["a"]["distinct_count"]) == (4, 1, 3)
+    assert (got["a"]["min_num"], got["a"]["max_num"]) == (7.0, float(big + 1))
+    assert (got["x"]["non_null"], got["x"]["distinct_count"]) == (4, 3)   # nan, 1.5, 0.0 (= -0.0)
+    assert (got["m"]["min_num"], got["m"]["max_num"], got["m"]["distinct_count"]) == (-3.0, 10.1, 3)
+    assert (got["s"]["min_text"], got["s"]["max_text"], got["s"]["distinct_count"]) == ("a", "b", 2)
+    assert (got["d"]["min_text"], got["d"]["max_text"], got["d"]["num_nulls"]) == ("2019-05-06", "2020-01-02", 2)
+    empty = {r["col_name"]: r for r in column_stats(df.limit(0)).collect()}
+    assert all((r["non_null"], r["num_nulls"], r["distinct_count"]) == (0, 0, 0) for r in empty.values())

@@ -16,7 +16,7 @@ from churnlane.plans.oracle_sql import BPZ, bucket, tree_case
 from churnlane.plans.q_features import churn_contract
 from churnlane.plans.q_online import LATEST_SQL
 from churnlane.plans.registry import query
-from churnlane.session import scratch_path
+from churnlane.session import scratch_path, unique_name
 from churnlane.sources.sinks import parse_capture
 from churnlane.sources.tables import FEATURES, KEY, events
 from churnlane.streaming.scoring import score_stream
@@ -37,11 +37,13 @@ def _run_score_stream(spark, sf):
     req_path = scratch_path(spark, "requests")
     keys = common.b(spark, sf).where(hash_bucket(KEY) >= 80).select(F.col(KEY).cast("string").alias(KEY))
     per_trigger = _write_parts(keys, req_path)
-    snap_path = scratch_path(spark, "online-features")
-    publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), snap_path, KEY)
+    # key-bucketed snapshot table: each micro-batch's join shuffles only its requests
+    snap = unique_name("stream_features")
+    publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), scratch_path(spark, "online-features"),
+                     KEY, table=snap)
     out, log = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-log")
     score_stream(spark, req_path, T.StructType([T.StructField(KEY, T.StringType())]),
-                 spark.read.parquet(snap_path), churn_contract(spark, sf, "unused"), KEY, out, log,
+                 spark.read.table(snap), churn_contract(spark, sf, "unused"), KEY, out, log,
                  scratch_path(spark, "stream-ckpt"), "churn_model-1", per_trigger)
     return out, log
 

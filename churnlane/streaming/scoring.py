@@ -7,6 +7,10 @@ overwrites its own ``batch=<id>`` directory, so a batch replayed after a
 failure (same id, same input files — the checkpoint pins both) rewrites the
 same files instead of appending duplicates: the (batch id, request id) pair
 is unique by construction.  Stateless: no watermark is needed.
+
+Pass the snapshot as a key-bucketed table (``publish_snapshot(..., table=)``):
+each micro-batch's join then shuffles only that batch's requests, while the
+snapshot side is read bucket by bucket without an exchange.
 """
 
 from __future__ import annotations

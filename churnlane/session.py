@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # pinned (checkpointed) inputs are deleted once no plan references them,
+    # so multi-pass operators do not leave copies of their input behind
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -98,6 +101,7 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
     }
 
@@ -110,6 +114,9 @@ def pin(df):
     sides of one prepared frame): the upstream — typically a large
     aggregation — runs once, and a lost executor re-reads checkpoint files
     instead of recomputing the whole lineage.  Never ``localCheckpoint``.
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` (set by
+    ``get_session`` / ``cluster_conf``) the files are removed once the pinned
+    frame is no longer referenced.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

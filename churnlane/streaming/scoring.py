@@ -47,8 +47,12 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
     scored = joined.withColumn("prediction", predict_column(contract.tree))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("request_key", key, *feats, "prediction", *keep)
-        rows.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        rows_path = f"{out_path}/batch={batch_id}"
+        batch.select("request_key", key, *feats, "prediction", *keep) \
+             .write.mode("overwrite").parquet(rows_path)
+        # the log is built from the rows just written: the batch's scan, join
+        # and scoring run once, and nothing is cached in executor memory
+        rows = spark.read.parquet(rows_path)
         log = capture_frame(rows, rows, key, feats, ["prediction"], served_model, batch_id)
         log.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
 

@@ -76,6 +76,8 @@ def q_stream_latest(spark, sf):
     src = scratch_path(spark, "events-stream")
     per_trigger = _write_parts(ev, src)
     root = scratch_path(spark, "latest-snapshot")
+    # four micro-batches with a fold after the third: the result merges a full
+    # copy with the change set that came after it
     maintain_latest(spark, src, ev.schema, root, scratch_path(spark, "latest-ckpt"),
-                    "user_id", "ts", "event_id", per_trigger)
+                    "user_id", "ts", "event_id", per_trigger, compact_every=3)
     return current_snapshot(spark, root)

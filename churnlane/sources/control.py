@@ -79,29 +79,37 @@ def _read_file(jvm, fs, p) -> str:
         s.close()
 
 
-def newest_numbered(spark: SparkSession, directory: str, pattern: str,
-                    require: str | None = None) -> int | None:
-    """Largest integer ``n`` among entries of ``directory`` whose name matches
+def list_numbered(spark: SparkSession, directory: str, pattern: str,
+                  require: str | None = None) -> list[int] | None:
+    """Sorted integers ``n`` of the entries of ``directory`` whose name matches
     ``pattern`` (one ``(\\d+)`` group); with ``require``, only entries holding
-    that child (e.g. ``_SUCCESS`` of a finished Spark write).  None when there
-    is none, or when listing is not possible (no JVM gateway)."""
+    that child (e.g. ``_SUCCESS`` of a finished Spark write).  An empty list
+    when the directory does not exist; None when listing is not possible (no
+    JVM gateway)."""
     h = _fs(spark, directory)
     if h is None:
         return None
     jvm, fs, p = h
     if not fs.exists(p):
-        return None
+        return []
     rx = re.compile(pattern)
-    best = None
+    out = []
     for st in fs.listStatus(p):
         m = rx.fullmatch(st.getPath().getName())
         if not m:
             continue
         if require and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), require)):
             continue
-        n = int(m.group(1))
-        best = n if best is None or n > best else best
-    return best
+        out.append(int(m.group(1)))
+    return sorted(out)
+
+
+def newest_numbered(spark: SparkSession, directory: str, pattern: str,
+                    require: str | None = None) -> int | None:
+    """Largest number ``list_numbered`` finds; None when there is none or
+    listing is not possible."""
+    found = list_numbered(spark, directory, pattern, require)
+    return found[-1] if found else None
 
 
 def can_list(spark: SparkSession) -> bool:

@@ -1,21 +1,35 @@
 """Keep a newest-row-per-key snapshot current from a stream (STR-2, SNK-6).
 
-Each micro-batch is merged with the previous snapshot version by the same
-newest-wins aggregation as the batch operator (``latest_per_key``) and
-written as a NEW version directory ``v=<batch_id>``; the current version is
-the newest one whose write committed (``_SUCCESS``), found by listing — a
-small ``_current`` text file mirrors it for sessions that cannot list.  The path being
-read is never overwritten.  Replay safety: a re-run of batch ``k`` reads
-version ``min(pointer, k-1)``, which never includes batch ``k`` itself — and
-even if it did, newest-wins merging is idempotent, and late rows lose by
-timestamp.  Versions derive from the batch id, not from a driver counter.
-
-Scale note: each batch rewrites the whole snapshot (the reference's
-"full copy" sync mode); cost is O(keys) per batch, not O(events).
+Layout under ``root``:
+
+* ``changes/batch=<id>/`` — what micro-batch ``id`` brought: its own newest
+  row per key (``latest_per_key`` of the batch alone).  Cost O(batch), not
+  O(keys): a micro-batch never rewrites the snapshot.
+* ``v=<id>/`` — a full copy (the reference's "full copy" sync mode), folded
+  every ``compact_every`` batches from the previous full copy and the change
+  sets after it, hash-partitioned by the key and sorted within files.
+
+The current snapshot is the newest full copy whose write committed
+(``_SUCCESS``) merged with the committed change sets after it, by the same
+newest-wins aggregation (``max_by`` — partial, map-side).  A reader that
+filters on the key gets the filter pushed below that aggregation into both
+scans.  At most ``compact_every - 1`` change sets are ever merged on read.
+
+Replay safety: a re-run of batch ``k`` (same id, same input files — the
+stream checkpoint pins both) overwrites ``changes/batch=k`` with the same
+rows, and a fold at ``k`` reads only full copies older than ``k`` and change
+sets up to ``k``, so it rewrites ``v=k`` identically.  Newest-wins merging
+is idempotent and late rows lose by timestamp, so overlapping inputs never
+change the result.  Nothing that a reader may be reading is overwritten
+except by identical data.
+
+Where the file system cannot be listed (no JVM gateway), a small
+``_current`` file records the newest full copy and batch instead.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,42 +38,95 @@ from pyspark.sql.types import StructType
 from churnlane.operators.latest import latest_per_key
 from churnlane.sources import control
 
+_V = r"v=(\d+)"
+_CH = r"batch=(\d+)"
+
 
-def _read_pointer(spark: SparkSession, root: str) -> int | None:
-    """Newest complete version: the largest ``v=<n>`` holding ``_SUCCESS``
-    (written by the job commit); the ``_current`` file serves sessions that
-    cannot list."""
-    v = control.newest_numbered(spark, root, r"v=(\d+)", "_SUCCESS")
-    if v is not None or control.can_list(spark):
-        return v
+def _state(spark: SparkSession, root: str) -> tuple[int | None, list[int]]:
+    """(newest committed full copy, committed change sets after it)."""
+    versions = control.list_numbered(spark, root, _V, "_SUCCESS")
+    if versions is not None:
+        base = versions[-1] if versions else None
+        changes = control.list_numbered(spark, f"{root}/changes", _CH, "_SUCCESS") or []
+        return base, [c for c in changes if base is None or c > base]
     text = control.read_text(spark, f"{root}/_current")
-    return int(text.strip()) if text else None
+    if not text:
+        return None, []
+    st = json.loads(text)
+    base, last = st.get("base"), st["last"]
+    return base, list(range(0 if base is None else base + 1, last + 1))
+
+
+def _merged(spark: SparkSession, root: str, base: int | None, changes: Sequence[int],
+            key: str, ts: str, tie: Sequence[str] | str) -> DataFrame | None:
+    paths = [f"{root}/changes/batch={c}" for c in changes]
+    if base is not None:
+        if not paths:
+            return spark.read.parquet(f"{root}/v={base}")   # a full copy is key-unique already
+        paths.insert(0, f"{root}/v={base}")
+    if not paths:
+        return None
+    return latest_per_key(spark.read.parquet(*paths), key, ts, tie)
 
 
 def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    v = _read_pointer(spark, root)
-    return None if v is None else spark.read.parquet(f"{root}/v={v}")
+    """The snapshot as of the newest committed batch (None before the first).
+
+    The merge spec (key, timeseries key, tie-breaks) is the one the stream
+    recorded in ``root/_spec``."""
+    spec = control.read_text(spark, f"{root}/_spec")
+    if spec is None:
+        return None
+    sp = json.loads(spec)
+    base, changes = _state(spark, root)
+    return _merged(spark, root, base, changes, sp["key"], sp["ts"], sp["tie"])
+
+
+def fold(spark: SparkSession, root: str, upto: int, key: str, ts: str,
+         tie: Sequence[str] | str = (), buckets: int | None = None) -> None:
+    """Write the full copy ``v=<upto>``: the newest full copy older than
+    ``upto`` merged with the change sets after it up to ``upto``."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    versions = control.list_numbered(spark, root, _V, "_SUCCESS")
+    if versions is None:                               # no listing: follow the pointer
+        base, _ = _state(spark, root)
+        base = base if base is not None and base < upto else None
+    else:
+        older = [v for v in versions if v < upto]
+        base = older[-1] if older else None
+    changes = list(range(0 if base is None else base + 1, upto + 1))
+    merged = _merged(spark, root, base, changes, key, ts, tie)
+    if merged is None:
+        return
+    # hash-partitioned by the key (files hold disjoint key sets), sorted for
+    # tight row-group statistics on key lookups
+    (merged.repartition(n, key).sortWithinPartitions(key)
+           .write.mode("overwrite").parquet(f"{root}/v={upto}"))
 
 
 def maintain_latest(spark: SparkSession, events_path: str, schema: StructType | str, root: str,
                     checkpoint: str, key: str, ts: str, tie: Sequence[str] | str = (),
                     max_files_per_trigger: int = 1, buckets: int | None = None,
-                    trigger: dict | None = None, wait: bool = True):
+                    trigger: dict | None = None, wait: bool = True, compact_every: int = 8):
     """Start the snapshot-maintenance stream (see module doc); returns the query."""
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    if compact_every < 1:
+        raise ValueError("compact_every must be at least 1")
+    ties = [tie] if isinstance(tie, str) else list(tie)
+    control.write_text(spark, f"{root}/_spec", json.dumps({"key": key, "ts": ts, "tie": ties}))
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(events_path))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        pointer = _read_pointer(spark, root)
-        prev_v = None if pointer is None else min(pointer, batch_id - 1)
-        rows = batch
-        if prev_v is not None and prev_v >= 0:
-            rows = spark.read.parquet(f"{root}/v={prev_v}").unionByName(batch)
-        merged = latest_per_key(rows, key, ts, tie)
-        (merged.repartition(n, key).sortWithinPartitions(key)
-               .write.mode("overwrite").parquet(f"{root}/v={batch_id}"))
-        control.write_text(spark, f"{root}/_current", str(batch_id))
+        latest_per_key(batch, key, ts, ties).write.mode("overwrite") \
+            .parquet(f"{root}/changes/batch={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            fold(spark, root, batch_id, key, ts, ties, buckets)
+            base = batch_id
+        else:
+            prev = control.read_text(spark, f"{root}/_current")
+            base = json.loads(prev).get("base") if prev else None
+        # mirror for sessions that cannot list; listing readers ignore it
+        control.write_text(spark, f"{root}/_current", json.dumps({"base": base, "last": batch_id}))
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())

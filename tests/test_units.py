@@ -289,7 +289,8 @@ def test_append_evolve_adds_and_fills(spark):
     assert got == [(1, None, "Yes", None), (2, None, "No", 2)]
 
 
-def test_stream_latest_survives_restart(spark):
+@pytest.mark.parametrize("compact_every", [1, 2, 8])
+def test_stream_latest_survives_restart(spark, compact_every):
     from churnlane.sources.tables import events
     from churnlane.streaming.snapshot import current_snapshot, maintain_latest
     ev = events(spark, SF_SMALL)
@@ -297,13 +298,20 @@ def test_stream_latest_survives_restart(spark):
     first = ev.where(hash_bucket("event_id", "half:", 2) == 0)
     second = ev.where(hash_bucket("event_id", "half:", 2) == 1)
     first.repartition(3).write.parquet(f"{src}/a")
-    maintain_latest(spark, f"{src}/*", ev.schema, root, ckpt, "user_id", "ts", "event_id")
+    maintain_latest(spark, f"{src}/*", ev.schema, root, ckpt, "user_id", "ts", "event_id",
+                    compact_every=compact_every)
+    half = latest_per_key(first, "user_id", "ts", "event_id").select("user_id", "event_id")
+    assert sorted(map(tuple, current_snapshot(spark, root).select("user_id", "event_id").collect())) \
+        == sorted(map(tuple, half.collect()))
     second.repartition(3).write.parquet(f"{src}/b")       # more data arrives, job restarts
-    maintain_latest(spark, f"{src}/*", ev.schema, root, ckpt, "user_id", "ts", "event_id")
-    got = sorted(tuple(r) for r in current_snapshot(spark, root).select("user_id", "event_id").collect())
+    maintain_latest(spark, f"{src}/*", ev.schema, root, ckpt, "user_id", "ts", "event_id",
+                    compact_every=compact_every)
+    snap = current_snapshot(spark, root)
+    got = sorted(tuple(r) for r in snap.select("user_id", "event_id").collect())
     want = sorted(tuple(r) for r in latest_per_key(ev, "user_id", "ts", "event_id")
                   .select("user_id", "event_id").collect())
     assert got == want
+    assert snap.count() == snap.select("user_id").distinct().count()
 
 
 def test_model_round_trip_native_equals_transform(spark):

@@ -187,6 +187,20 @@ def coerce_key(df: DataFrame, key: str, to_type: str) -> DataFrame:
     return df.withColumn(key, F.col(key).try_cast(to_type))
 
 
+def point_lookup(features: DataFrame, requests: DataFrame, key: str) -> DataFrame:
+    """Feature rows of the requested keys (FLT-3), keys sent as text (G11).
+
+    Request keys are coerced to the table's key type (``"x"`` matches
+    nothing) and de-duplicated *before* the join — a partial aggregation, so
+    a key requested a billion times is one row per map task — then a
+    ``left_semi`` join returns each matching feature row once.  Neither side
+    of the join can carry a hot key.
+    """
+    key_type = features.schema[key].dataType.simpleString()
+    keys = coerce_key(requests.select(key), key, key_type).where(F.col(key).isNotNull()).distinct()
+    return features.join(keys, key, "left_semi")
+
+
 def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
     """Keys holding more than ``fraction`` of ``df``'s rows.
 

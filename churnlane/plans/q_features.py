@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from churnlane.functions.columns import hash_bucket
 from churnlane.operators.contract import Contract, ModelStore, capture_schema
-from churnlane.operators.features import (FeatureLookup, coerce_key, create_feature_table,
+from churnlane.operators.features import (FeatureLookup, create_feature_table,
                                           create_training_set, key_violations, lookup_skew_safe,
-                                          missing_features)
+                                          missing_features, point_lookup)
 from churnlane.operators.score import score_batch
 from churnlane.operators.tree import fixed_tree, predict_column
 from churnlane.plans import common
@@ -104,8 +104,7 @@ def q_key_lookup(spark, sf):
            .where((F.col("o_orderpriority") == "1-URGENT")
                   & (F.col("o_orderdate") >= F.lit("2000-07-01").cast("timestamp_ntz")))
            .select(F.col("o_custkey").cast("string").alias(KEY)))
-    req = coerce_key(req, KEY, "bigint")
-    return ft.join(req, KEY, "left_semi")
+    return point_lookup(ft, req, KEY)
 
 
 @query("score_orders", f"""{BPZ}

@@ -94,3 +94,15 @@ def test_row_position_matches_sorted_enumeration(spark, rows, buckets):
     want = sorted(rows, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     assert [g[0] for g in got] == list(range(len(rows)))
     assert [(g[1], g[2]) for g in got] == want
+
+
+@SETTINGS
+@given(req=st.lists(st.sampled_from(["7", "7", "7", "7", "1", "3", "x", "99", None]), max_size=60))
+def test_point_lookup_matches_brute_force(spark, req):
+    """Text request keys with a hot key, junk and NULLs: each matching feature row once."""
+    from churnlane.operators.features import point_lookup
+    feats = spark.createDataFrame([(k, float(k)) for k in range(10)], "k bigint, x double")
+    df = spark.createDataFrame([(r,) for r in req], "k string")
+    got = sorted(tuple(r) for r in point_lookup(feats, df, "k").collect())
+    wanted = {int(r) for r in req if r is not None and r.isdigit() and int(r) < 10}
+    assert got == sorted((k, float(k)) for k in wanted)

@@ -42,14 +42,21 @@ def clustered(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
               .drop("_rh"))
 
 
-def partitioned_write(df: DataFrame, path: str, col: str, files_per_value: int = 8,
+def partitioned_write(df: DataFrame, path: str, col: str, files: int | None = None,
                       mode: str = "overwrite") -> None:
-    """``partitionBy(col)`` with each partition value written by up to
-    ``files_per_value`` tasks: ``repartition(col)`` alone would send every row
-    of a low-cardinality column (2 values here) to 2 tasks."""
-    salt = F.pmod(row_hash(df), F.lit(files_per_value))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    (df.repartition(max(n, files_per_value), F.col(col), salt)
+    """``partitionBy(col)`` with the write spread by row count, not by value.
+
+    ``repartition(col)`` alone sends every row of a value to one task (a
+    2-valued column is written by 2 tasks); a fixed salt only multiplies that
+    by a constant.  Range-partitioning on ``(col, row hash)`` into ``files``
+    ranges (default: the shuffle partition count, which ``cluster_conf``
+    sizes from the input) lets Spark's sampled range bounds split a value
+    holding most rows over many tasks while rare values share one; each task
+    writes one file per value in its range.
+    """
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    (df.withColumn("_rh", row_hash(df))
+       .repartitionByRange(n, F.col(col), F.col("_rh")).drop("_rh")
        .write.mode(mode).partitionBy(col).parquet(path))
 
 

@@ -37,10 +37,10 @@ def test_clustered_spreads_a_hot_tuple_and_keeps_ranges(spark):
     assert all(tuple(x[1]) <= tuple(y[0]) for x, y in zip(spans, spans[1:]))
 
 
-def test_partitioned_write_salts_low_cardinality_values(spark):
+def test_partitioned_write_spreads_low_cardinality_values(spark):
     df = _hot_frame(spark).withColumn("flag", (F.col("a") == 0).cast("int"))
     path = scratch_path(spark, "by-flag")
-    partitioned_write(df, path, "flag", files_per_value=4)
+    partitioned_write(df, path, "flag", files=8)
     back = spark.read.parquet(path)
     assert _rows(back.select("a", "b", "v", "flag")) == _rows(df.select("a", "b", "v", "flag"))
     for v in (0, 1):

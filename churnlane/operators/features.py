@@ -216,25 +216,30 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
     return [r[0] for r in rows if r[0] is not None]
 
 
-def lookup_skew_safe(spark: SparkSession, df: DataFrame, fl: FeatureLookup,
-                     fraction: float = 0.01, how: str = "left") -> DataFrame:
-    """Lookup join that splits hot request keys off explicitly.
+def join_hot_split(df: DataFrame, feats: DataFrame, key: str, fraction: float = 0.01,
+                   how: str = "left") -> DataFrame:
+    """Equi-join of a request frame onto a key-unique feature frame, with the
+    hot request keys split off explicitly.
 
     Hot keys (each > ``fraction`` of the requests; at most ``1/fraction`` of
     them) are joined against their feature rows broadcast — a side bounded by
-    ``1/fraction`` rows because the feature table is key-unique.  All other
-    rows take the ordinary shuffle join, where no key can dominate a task.
-    Works with AQE off as well; with AQE on it makes skew handling independent
-    of partition-size heuristics.
+    ``1/fraction`` rows because ``feats`` is key-unique.  All other rows take
+    the ordinary shuffle join, where no key can dominate a task.  Works with
+    AQE off as well; with AQE on it makes skew handling independent of
+    partition-size heuristics.
     """
-    if len(fl.lookup_key) != 1:
-        return lookup(spark, df, [fl], how)
-    key = fl.lookup_key[0]
     hot = hot_keys(df, key, fraction)
-    feats = fl.frame(spark)
     if not hot:
         return df.join(feats, key, how)
     is_hot = F.col(key).isin(hot)
     cold = df.where(~is_hot | F.col(key).isNull()).join(feats, key, how)
     hot_rows = df.where(is_hot).join(F.broadcast(feats.where(is_hot)), key, how)
     return cold.unionByName(hot_rows)
+
+
+def lookup_skew_safe(spark: SparkSession, df: DataFrame, fl: FeatureLookup,
+                     fraction: float = 0.01, how: str = "left") -> DataFrame:
+    """Feature-table lookup with hot request keys split off (``join_hot_split``)."""
+    if len(fl.lookup_key) != 1:
+        return lookup(spark, df, [fl], how)
+    return join_hot_split(df, fl.frame(spark), fl.lookup_key[0], fraction, how)

@@ -1,8 +1,8 @@
 """Streaming request scoring with a request log (STR-1, STR-3).
 
-``readStream`` of request files -> key coercion -> stream-static LEFT join
-with the feature snapshot -> native tree expression -> ``foreachBatch``
-writing two sinks: the scored rows and the capture log.  Each micro-batch
+``readStream`` of request files -> key coercion -> ``foreachBatch``: LEFT
+join of the micro-batch with the feature snapshot -> native tree expression
+-> two sinks: the scored rows and the capture log.  Each micro-batch
 overwrites its own ``batch=<id>`` directory, so a batch replayed after a
 failure (same id, same input files — the checkpoint pins both) rewrites the
 same files instead of appending duplicates: the (batch id, request id) pair
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from churnlane.operators.contract import Contract
+from churnlane.operators.features import join_hot_split
 from churnlane.operators.tree import predict_column
 from churnlane.sources.sinks import capture_frame
 
@@ -29,9 +30,17 @@ from churnlane.sources.sinks import capture_frame
 def score_stream(spark: SparkSession, requests_path: str, request_schema: StructType | str,
                  snapshot: DataFrame, contract: Contract, key: str, out_path: str, log_path: str,
                  checkpoint: str, served_model: str, max_files_per_trigger: int = 1,
-                 keep: Sequence[str] = (), trigger: dict | None = None, wait: bool = True):
+                 keep: Sequence[str] = (), trigger: dict | None = None, wait: bool = True,
+                 skew_fraction: float | None = None):
     """Start the scoring stream.
 
+    The streaming plan only reads and coerces requests; the lookup join runs
+    inside ``foreachBatch`` on the micro-batch, where it is an ordinary batch
+    plan: AQE re-plans it from measured sizes (broadcast, or sort-merge with
+    skewed request partitions split).  ``skew_fraction`` additionally splits
+    request keys holding more than that share of a micro-batch off to a
+    bounded broadcast (``join_hot_split``).
+
     Default ``trigger={"availableNow": True}`` drains what is there and stops
     (batch-like runs, tests); a deployment passes e.g.
     ``{"processingTime": "10 seconds"}`` and ``wait=False`` to keep it running.
@@ -43,20 +52,24 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(requests_path))
     req = req.withColumn("request_key", F.col(key).cast("string")) \
              .withColumn(key, F.col(key).try_cast(key_type))
-    joined = req.join(snapshot.select(key, *feats), key, "left")
-    scored = joined.withColumn("prediction", predict_column(contract.tree))
+    snap = snapshot.select(key, *feats)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if skew_fraction:
+            joined = join_hot_split(batch, snap, key, skew_fraction, "left")
+        else:
+            joined = batch.join(snap, key, "left")
         rows_path = f"{out_path}/batch={batch_id}"
-        batch.select("request_key", key, *feats, "prediction", *keep) \
-             .write.mode("overwrite").parquet(rows_path)
+        joined.withColumn("prediction", predict_column(contract.tree)) \
+              .select("request_key", key, *feats, "prediction", *keep) \
+              .write.mode("overwrite").parquet(rows_path)
         # the log is built from the rows just written: the batch's scan, join
         # and scoring run once, and nothing is cached in executor memory
         rows = spark.read.parquet(rows_path)
         log = capture_frame(rows, rows, key, feats, ["prediction"], served_model, batch_id)
         log.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
 
-    q = (scored.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    q = (req.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
     if wait:
         q.awaitTermination()

@@ -440,3 +440,25 @@ def test_column_stats_exact_on_edge_types(spark):
     assert (got["d"]["min_text"], got["d"]["max_text"], got["d"]["num_nulls"]) == ("2019-05-06", "2020-01-02", 2)
     empty = {r["col_name"]: r for r in column_stats(df.limit(0)).collect()}
     assert all((r["non_null"], r["num_nulls"], r["distinct_count"]) == (0, 0, 0) for r in empty.values())
+
+
+def test_score_stream_hot_request_key_split(spark):
+    """A third of the requests ask for one key: the split stream equals the plain batch join."""
+    from churnlane.streaming.scoring import score_stream
+    from churnlane.plans.q_features import churn_contract
+    snap = common.z(spark, SF_SMALL).select("customer_id", *FEATS)
+    hot = snap.select("customer_id").first()[0]
+    keys = [str(hot)] * 200 + [str(r[0]) for r in snap.select("customer_id").collect()] * 2 + ["x"] * 5
+    src, out, log, ckpt = (scratch_path(spark, x) for x in ("hq", "hq-out", "hq-log", "hq-ckpt"))
+    req = spark.createDataFrame([(k,) for k in keys], "customer_id string")
+    req.repartition(4).write.parquet(src)
+    schema = T.StructType([T.StructField("customer_id", T.StringType())])
+    contract = churn_contract(spark, SF_SMALL, "unused")
+    score_stream(spark, src, schema, snap, contract, "customer_id", out, log, ckpt, "m-1",
+                 max_files_per_trigger=2, skew_fraction=0.2)
+    got = sorted(map(tuple, spark.read.parquet(out).select("request_key", "prediction").collect()), key=repr)
+    want = (req.withColumn("request_key", F.col("customer_id"))
+               .withColumn("customer_id", F.col("customer_id").try_cast("bigint"))
+               .join(snap, "customer_id", "left").withColumn("prediction", predict_column(fixed_tree())))
+    assert got == sorted(map(tuple, want.select("request_key", "prediction").collect()), key=repr)
+    assert spark.read.parquet(log).count() == len(keys)

@@ -8,7 +8,9 @@ on the driver is safe.
 
 ``predict_column`` turns the tree into one nested ``CASE WHEN`` expression:
 no Python worker, whole-stage codegen, and Catalyst prunes every column the
-tree does not test.  Spark trees go left on ``x <= threshold``; a NULL feature
+tree does not test.  Trees beyond ``MAX_INLINE_NODES`` nodes become a
+fixed-size walk over literal node arrays instead (``aggregate`` over
+``depth`` steps), so planning cost does not grow with the tree.  Spark trees go left on ``x <= threshold``; a NULL feature
 takes neither branch, so any NULL input yields a NULL prediction.
 
 ``predict_numpy`` evaluates the same spec on numpy arrays for the Arrow
@@ -115,6 +117,14 @@ class TreeSpec:
 
 # -- compile to Catalyst expressions ---------------------------------------
 
+# Trees up to this many nodes become one nested CASE (inside whole-stage
+# codegen); bigger ones a constant-size walk over literal node arrays.  A
+# nested CASE grows with the node count: at ~7,000 nodes (an unlimited-depth
+# fit on 12k rows) planning and code generation alone took 19 s, while the
+# walk's expression size depends on nothing but the depth.
+MAX_INLINE_NODES = 255
+
+
 def _null_guard(tree: TreeSpec) -> Column:
     """NULL in any declared input feature -> NULL output (not only the tested ones)."""
     cond = None
@@ -124,40 +134,95 @@ def _null_guard(tree: TreeSpec) -> Column:
     return cond if cond is not None else F.lit(False)
 
 
-def _compile(n: Node, leaf_value, counter: list[int]) -> Column:
+def _node_count(n: Node) -> int:
+    return 1 if isinstance(n, Leaf) else 1 + _node_count(n.left) + _node_count(n.right)
+
+
+def _compile(n: Node, leaf_value, counter: list[int], cast: str) -> Column:
     if isinstance(n, Leaf):
         i = counter[0]
         counter[0] += 1
-        return leaf_value(i, n)
-    left = _compile(n.left, leaf_value, counter)
-    right = _compile(n.right, leaf_value, counter)
+        return F.lit(leaf_value(i, n)).cast(cast)
+    left = _compile(n.left, leaf_value, counter, cast)
+    right = _compile(n.right, leaf_value, counter, cast)
     return F.when(F.col(n.feature).cast("double") <= F.lit(float(n.threshold)), left).otherwise(right)
 
 
-def _guarded(tree: TreeSpec, leaf_value, cast: str | None = None) -> Column:
-    body = _compile(tree.root, leaf_value, [0])
-    null = F.lit(None) if cast is None else F.lit(None).cast(cast)
-    return F.when(_null_guard(tree), null).otherwise(body)
+def _array_literal(values: list, element_type: str) -> Column:
+    """A constant array as one JSON text parsed by ``from_json``: a single
+    string crosses to the JVM and the optimizer folds the parse into one
+    literal.  (``lit(list)`` converts element by element: ~6 s for 7,000;
+    an array of ``lit`` expressions is analysed node by node.)"""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{element_type}>")
+
+
+def _walk(tree: TreeSpec, leaf_value, cast: str) -> Column:
+    """The tree as node arrays (pre-order; a leaf points to itself) and
+    ``aggregate(sequence(1, depth), 0, step)``: ``depth`` steps from the root,
+    each a few array lookups.  Same left-on-``<=`` rule as the CASE form."""
+    feat, thr, left, right, vals = [], [], [], [], []
+    counter = [0]
+
+    def add(n: Node) -> int:
+        idx = len(feat)
+        feat.append(-1)
+        thr.append(0.0)
+        left.append(idx)
+        right.append(idx)
+        vals.append(None)
+        if isinstance(n, Leaf):
+            vals[idx] = leaf_value(counter[0], n)
+            counter[0] += 1
+        else:
+            feat[idx] = tree.features.index(n.feature)
+            thr[idx] = float(n.threshold)
+            left[idx] = add(n.left)
+            right[idx] = add(n.right)
+        return idx
+    add(tree.root)
+    depth = tree.depth()
+    if depth == 0:
+        return F.lit(vals[0]).cast(cast)
+    f_a, t_a, l_a, r_a = (_array_literal(feat, "int"), _array_literal(thr, "double"),
+                          _array_literal(left, "int"), _array_literal(right, "int"))
+    x = F.array(*[F.col(c).cast("double") for c in tree.features])
+
+    def step(node: Column, _: Column) -> Column:
+        k = node + 1
+        f = F.element_at(f_a, k)
+        return (F.when(f < 0, node)
+                 .when(F.element_at(x, f + 1) <= F.element_at(t_a, k), F.element_at(l_a, k))
+                 .otherwise(F.element_at(r_a, k)))
+    leaf = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+    return F.element_at(_array_literal(vals, cast), leaf + 1)
+
+
+def _guarded(tree: TreeSpec, leaf_value, cast: str) -> Column:
+    if _node_count(tree.root) <= MAX_INLINE_NODES:
+        body = _compile(tree.root, leaf_value, [0], cast)
+    else:
+        body = _walk(tree, leaf_value, cast)
+    return F.when(_null_guard(tree), F.lit(None).cast(cast)).otherwise(body)
 
 
 def predict_column(tree: TreeSpec) -> Column:
     """Predicted class label (string) as a native expression (SCO-1)."""
-    return _guarded(tree, lambda i, leaf: F.lit(leaf.label), "string")
+    return _guarded(tree, lambda i, leaf: leaf.label, "string")
 
 
 def leaf_index_column(tree: TreeSpec) -> Column:
     """Leaf number 0..L-1 (left-to-right) the row falls into."""
-    return _guarded(tree, lambda i, leaf: F.lit(i), "int")
+    return _guarded(tree, lambda i, leaf: i, "int")
 
 
 def probability_columns(tree: TreeSpec, prefix: str = "prob_") -> dict[str, Column]:
     """Per-class probability from the leaf's class counts (SCO-3)."""
     out: dict[str, Column] = {}
     for ci, cls in enumerate(tree.classes):
-        def value(i: int, leaf: Leaf, ci=ci) -> Column:
+        def value(i: int, leaf: Leaf, ci=ci) -> float | None:
             if not leaf.counts or sum(leaf.counts) == 0:
-                return F.lit(None).cast("double")
-            return F.lit(float(leaf.counts[ci]) / float(sum(leaf.counts)))
+                return None
+            return float(leaf.counts[ci]) / float(sum(leaf.counts))
         out[f"{prefix}{cls}"] = _guarded(tree, value, "double")
     return out
 

@@ -64,6 +64,23 @@ def q_model_round_trip(spark, sf):
     return native.join(ml, KEY)
 
 
+@query("fit_tree_unlimited", None, "FIT-1 SCO-1 SNK-9")
+def q_fit_tree_unlimited(spark, sf):
+    """The real-time lesson's tree: no depth limit (Spark's cap of 30), fitted on
+    the train side, saved, compiled from its saved node table to one native
+    expression, and scored on the test side next to pyspark.ml's ``transform``
+    (tests assert the two columns agree)."""
+    train, test = common.train_test(spark, sf, pinned=True)
+    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=None, seed=42, pin_input=False)
+    path = scratch_path(spark, "deep-tree")
+    model.write().overwrite().save(path)
+    tree = from_saved_model(spark, path, FEATURES, classes)
+    x = test.select(KEY, *FEATURES, LABEL)
+    label_of = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
+    ml = model.transform(x).select(KEY, label_of.alias("ml_prediction"))
+    return score_columns(x, tree).select(KEY, LABEL, "prediction").join(ml, KEY)
+
+
 @query("fit_metrics", None, "AGG-2 FIT-1")
 def q_fit_metrics(spark, sf):
     """Post-training metrics of the fitted tree on its own training rows."""

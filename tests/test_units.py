@@ -223,7 +223,10 @@ def _random_tree(rng, features, depth):
                  _random_tree(rng, features, depth - 1), _random_tree(rng, features, depth - 1))
 
 
-def test_native_expression_equals_numpy_walker(spark):
+@pytest.mark.parametrize("inline_limit", [255, 0])        # nested CASE, and the array walk
+def test_native_expression_equals_numpy_walker(spark, monkeypatch, inline_limit):
+    import churnlane.operators.tree as tree_mod
+    monkeypatch.setattr(tree_mod, "MAX_INLINE_NODES", inline_limit)
     rng = np.random.default_rng(11)
     feats = ["a", "b", "c"]
     data = [tuple(float(v) if rng.random() > 0.1 else None for v in rng.integers(-6, 6, 3))
@@ -236,6 +239,24 @@ def test_native_expression_equals_numpy_walker(spark):
         assert list(predict_numpy(tree, x)) == native
 
 
+def test_array_walk_equals_case_for_all_outputs(spark, monkeypatch):
+    """Leaf index, label and class shares agree between the two compiled forms."""
+    import churnlane.operators.tree as tree_mod
+    train, test = hash_split(common.z(spark, SF_SMALL))
+    tree = leaf_class_counts(fixed_tree(), train, "churn")
+    x = test.select("customer_id", *FEATS)
+
+    def outputs():
+        cols = {"leaf": tree_mod.leaf_index_column(tree), "label": predict_column(tree),
+                **tree_mod.probability_columns(tree)}
+        return sorted(map(tuple, x.withColumns(cols).collect()), key=repr)
+    inline = outputs()
+    monkeypatch.setattr(tree_mod, "MAX_INLINE_NODES", 0)
+    assert outputs() == inline
+    single = TreeSpec(tuple(FEATS), ("No", "Yes"), Leaf("Yes", (1.0, 3.0)))   # depth 0
+    assert {r[0] for r in x.select(predict_column(single)).collect()} == {"Yes"}
+
+
 @pytest.mark.parametrize("depth", [3, 10, None])
 def test_fitted_tree_compiles_to_same_predictions(spark, depth):
     train, test = hash_split(common.z(spark, SF_MID))
@@ -314,6 +335,13 @@ def test_stream_latest_survives_restart(spark, compact_every):
     assert snap.count() == snap.select("user_id").distinct().count()
 
 
+def test_fit_tree_unlimited_native_equals_transform(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["fit_tree_unlimited"](spark, SF_MID).collect()
+    assert len(rows) == 298
+    assert all(r["prediction"] == r["ml_prediction"] for r in rows)
+
+
 def test_model_round_trip_native_equals_transform(spark):
     import __spark_entry__ as E
     rows = E.queries()["model_round_trip"](spark, SF_MID).collect()

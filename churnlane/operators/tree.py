@@ -27,6 +27,8 @@ import numpy as np
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from churnlane.functions.columns import array_literal
+
 
 @dataclass(frozen=True)
 class Leaf:
@@ -148,14 +150,6 @@ def _compile(n: Node, leaf_value, counter: list[int], cast: str) -> Column:
     return F.when(F.col(n.feature).cast("double") <= F.lit(float(n.threshold)), left).otherwise(right)
 
 
-def _array_literal(values: list, element_type: str) -> Column:
-    """A constant array as one JSON text parsed by ``from_json``: a single
-    string crosses to the JVM and the optimizer folds the parse into one
-    literal.  (``lit(list)`` converts element by element: ~6 s for 7,000;
-    an array of ``lit`` expressions is analysed node by node.)"""
-    return F.from_json(F.lit(json.dumps(values)), f"array<{element_type}>")
-
-
 def _walk(tree: TreeSpec, leaf_value, cast: str) -> Column:
     """The tree as node arrays (pre-order; a leaf points to itself) and
     ``aggregate(sequence(1, depth), 0, step)``: ``depth`` steps from the root,
@@ -183,8 +177,8 @@ def _walk(tree: TreeSpec, leaf_value, cast: str) -> Column:
     depth = tree.depth()
     if depth == 0:
         return F.lit(vals[0]).cast(cast)
-    f_a, t_a, l_a, r_a = (_array_literal(feat, "int"), _array_literal(thr, "double"),
-                          _array_literal(left, "int"), _array_literal(right, "int"))
+    f_a, t_a, l_a, r_a = (array_literal(feat, "int"), array_literal(thr, "double"),
+                          array_literal(left, "int"), array_literal(right, "int"))
     x = F.array(*[F.col(c).cast("double") for c in tree.features])
 
     def step(node: Column, _: Column) -> Column:
@@ -194,7 +188,7 @@ def _walk(tree: TreeSpec, leaf_value, cast: str) -> Column:
                  .when(F.element_at(x, f + 1) <= F.element_at(t_a, k), F.element_at(l_a, k))
                  .otherwise(F.element_at(r_a, k)))
     leaf = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
-    return F.element_at(_array_literal(vals, cast), leaf + 1)
+    return F.element_at(array_literal(vals, cast), leaf + 1)
 
 
 def _guarded(tree: TreeSpec, leaf_value, cast: str) -> Column:

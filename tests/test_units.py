@@ -383,15 +383,20 @@ def test_score_stream_restart_each_request_once(spark):
     assert spark.read.parquet(log).count() == keys.count()
 
 
-def test_range_bucket_is_binary_search(spark):
+@pytest.mark.parametrize("inline_cuts", [255, 0])        # nested CASE, and the array search
+def test_range_bucket_is_binary_search(spark, monkeypatch, inline_cuts):
+    import churnlane.functions.columns as cols_mod
     from churnlane.functions.columns import range_bucket
+    monkeypatch.setattr(cols_mod, "MAX_INLINE_CUTS", inline_cuts)
     rng = np.random.default_rng(5)
-    vals = [float(v) for v in rng.integers(-50, 50, 500)] + [None]
-    for k in (0, 1, 2, 7, 33):
-        cuts = sorted(set(float(c) for c in rng.integers(-40, 40, k)))
+    vals = [float(v) for v in rng.integers(-50, 50, 500)] + [None, float("nan")]
+    for k in (0, 1, 2, 7, 33, 1000):
+        raw = rng.integers(-40, 40, k) if k < 100 else rng.uniform(-60, 60, k)   # 1000 distinct
+        cuts = sorted(set(float(c) for c in raw))
         df = spark.createDataFrame([(v,) for v in vals], "x double")
         got = [r[0] for r in df.select(range_bucket("x", cuts)).collect()]
-        want = [len(cuts) + 1 if v is None else int(np.searchsorted(cuts, v, side="left")) for v in vals]
+        want = [len(cuts) + 1 if v is None else len(cuts) if np.isnan(v)
+                else int(np.searchsorted(cuts, v, side="left")) for v in vals]
         assert got == want
 
 

@@ -13,7 +13,7 @@ single task.  Instead (the DataFrame form of ``zipWithIndex`` over a sort):
 3. that layout is pinned, so the partition ids seen by the next two jobs are
    the same ranges (a re-sampled range partitioner could draw other bounds);
 4. per-partition row counts (one row per partition, ``n`` at most, to the
-   driver) become running offsets, inlined as a literal array;
+   driver) become running offsets, inlined as one literal array;
 5. position = offset of the partition + record number inside it, both read
    from ``monotonically_increasing_id()`` (partition id in the upper bits,
    record number in the lower 33) on the pinned, already-sorted partitions —
@@ -29,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlane.functions.columns import array_literal
 from churnlane.session import pin
 
 _LOW_BITS = (1 << 33) - 1   # record number inside a partition in monotonically_increasing_id
@@ -66,7 +67,7 @@ def row_position(df: DataFrame, key: str, out: str = "position",
     # the id is evaluated once per row (its own projection); partition and
     # record number are both read from that one value
     mid = F.col("_mid")
-    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), (F.shiftright(mid, 33) + 1).cast("int"))
+    off = F.element_at(array_literal(offsets, "bigint"), (F.shiftright(mid, 33) + 1).cast("int"))
     pos = off + mid.bitwiseAND(F.lit(_LOW_BITS)) + F.lit(start)
     return (ranged.withColumn("_mid", F.monotonically_increasing_id())
                   .withColumn(out, pos.cast("bigint")).drop("_mid"))

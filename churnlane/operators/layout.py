@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlane.session import scratch_path
 
@@ -29,17 +30,36 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
+def _with_tie_breaks(df: DataFrame) -> DataFrame:
+    """Add ``_rh`` (row hash) and ``_cp`` (copy number) so that the range key
+    ``(..., _rh, _cp)`` is unique per row, even for exact copies.
+
+    ``_cp`` is the row's position after sorting its input partition by
+    content (hash, then every orderable column) — the same safeguard Spark
+    applies before a round-robin repartition.  Rows are then numbered in a
+    content order; identical rows are interchangeable, so a retried map task
+    routes the same multiset of rows to the same ranges and no row is lost or
+    doubled, whatever order its input arrived in.
+    """
+    atomic = [f.name for f in df.schema.fields
+              if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+    return (df.withColumn("_rh", row_hash(df))
+              .sortWithinPartitions("_rh", *atomic)
+              .withColumn("_cp", F.monotonically_increasing_id()))
+
+
 def clustered(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     """Range-partition on ``cols`` into ``files`` partitions, sorted within each.
 
-    The range key ends with a row hash: if one ``cols`` tuple holds a third of
-    all rows, its rows still spread over several range partitions (adjacent
-    files) instead of one task writing one giant file.  Sorting is by ``cols``
-    first, so clustering is unchanged.
+    The range key ends with tie-breaks that make it unique per row (row
+    hash, copy number): if one ``cols`` tuple holds a third of all rows — even
+    a third made of exact copies — its rows spread over several range
+    partitions (adjacent files) instead of one task writing one giant file.
+    Sorting is by ``cols`` first, so clustering is unchanged.
     """
-    return (df.withColumn("_rh", row_hash(df))
-              .repartitionByRange(files, *cols, "_rh").sortWithinPartitions(*cols, "_rh")
-              .drop("_rh"))
+    return (_with_tie_breaks(df)
+            .repartitionByRange(files, *cols, "_rh", "_cp").sortWithinPartitions(*cols, "_rh", "_cp")
+            .drop("_rh", "_cp"))
 
 
 def partitioned_write(df: DataFrame, path: str, col: str, files: int | None = None,
@@ -48,15 +68,15 @@ def partitioned_write(df: DataFrame, path: str, col: str, files: int | None = No
 
     ``repartition(col)`` alone sends every row of a value to one task (a
     2-valued column is written by 2 tasks); a fixed salt only multiplies that
-    by a constant.  Range-partitioning on ``(col, row hash)`` into ``files``
+    by a constant.  Range-partitioning on ``(col, row hash, copy number)`` into ``files``
     ranges (default: the shuffle partition count, which ``cluster_conf``
     sizes from the input) lets Spark's sampled range bounds split a value
     holding most rows over many tasks while rare values share one; each task
     writes one file per value in its range.
     """
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    (df.withColumn("_rh", row_hash(df))
-       .repartitionByRange(n, F.col(col), F.col("_rh")).drop("_rh")
+    (_with_tie_breaks(df)
+       .repartitionByRange(n, F.col(col), F.col("_rh"), F.col("_cp")).drop("_rh", "_cp")
        .write.mode(mode).partitionBy(col).parquet(path))
 
 
@@ -139,6 +159,6 @@ def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 8) -> Dat
         out = qd.fit(out).transform(out)
         ranks.append(F.col(f"_zr_{c}"))
     z = interleave_bits(ranks, bits)
-    return (out.withColumn("_z", z).withColumn("_rh", row_hash(df))
-               .repartitionByRange(files, "_z", "_rh").sortWithinPartitions("_z", "_rh")
-               .drop("_z", "_rh", *[f"_zr_{c}" for c in cols]))
+    keyed = _with_tie_breaks(out.withColumn("_z", z).drop(*[f"_zr_{c}" for c in cols]))
+    return (keyed.repartitionByRange(files, "_z", "_rh", "_cp").sortWithinPartitions("_z", "_rh", "_cp")
+                 .drop("_z", "_rh", "_cp"))

@@ -74,3 +74,14 @@ def test_zorder_keeps_rows(spark):
     out = zorder(df, ["a", "b"], 4)
     assert _rows(out) == _rows(df)
     assert out.columns == df.columns
+
+
+def test_clustered_spreads_exact_copies(spark):
+    """Half the rows are ONE row repeated: the copies still span several files."""
+    copies = [(0, 0, 0)] * 3000 + [(1 + i % 50, i % 7, i) for i in range(3000)]
+    df = spark.createDataFrame(copies, "a int, b int, v int").repartition(5)
+    for out in (clustered(df, ["a", "b"], 6), zorder(df, ["a", "b"], 6)):
+        assert _rows(out) == _rows(df)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert max(sizes) < 0.4 * df.count()

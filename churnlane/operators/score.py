@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlane.operators.contract import Contract, conform
-from churnlane.operators.features import coerce_key, lookup
+from churnlane.operators.features import coerce_key, join_hot_split, lookup
 from churnlane.operators.tree import (TreeSpec, predict_column, predict_numpy,
                                       probability_columns, proba_numpy)
 
@@ -118,16 +118,23 @@ def score_batch(spark: SparkSession, contract: Contract, keys: DataFrame,
 
 
 def score_requests(spark: SparkSession, contract: Contract, requests: DataFrame,
-                   snapshot: DataFrame, key: str, out: str = "prediction") -> DataFrame:
+                   snapshot: DataFrame, key: str, out: str = "prediction",
+                   skew_fraction: float | None = None) -> DataFrame:
     """Online lookup of request keys against a newest-per-key snapshot (JN-3).
 
     Request keys are text; they are coerced to the snapshot key type with
     ``try_cast`` (``"x"`` becomes NULL and matches nothing).  Left join from
-    the request side, so every request gets an answer row.
+    the request side, so every request gets an answer row.  ``skew_fraction``
+    splits keys requested more often than that share off to a bounded
+    broadcast (``join_hot_split``).
     """
     key_type = snapshot.schema[key].dataType.simpleString()
     req = coerce_key(requests, key, key_type)
-    feats = req.join(snapshot.select(key, *contract.features), key, "left")
+    snap = snapshot.select(key, *contract.features)
+    if skew_fraction:
+        feats = join_hot_split(req, snap, key, skew_fraction, "left")
+    else:
+        feats = req.join(snap, key, "left")
     return feats.withColumn(out, predict_column(contract.tree))
 
 

@@ -495,3 +495,16 @@ def test_score_stream_hot_request_key_split(spark):
                .join(snap, "customer_id", "left").withColumn("prediction", predict_column(fixed_tree())))
     assert got == sorted(map(tuple, want.select("request_key", "prediction").collect()), key=repr)
     assert spark.read.parquet(log).count() == len(keys)
+
+
+def test_score_requests_hot_key_split_equals_plain(spark):
+    from churnlane.plans.q_features import churn_contract
+    snap = common.z(spark, SF_SMALL).select("customer_id", *FEATS)
+    hot = str(snap.select("customer_id").first()[0])
+    req = spark.createDataFrame([(hot,)] * 300 + [(str(r[0]),) for r in snap.select("customer_id").collect()]
+                                + [("x",), (None,)], "customer_id string")
+    c = churn_contract(spark, SF_SMALL, "unused")
+    a = sorted(map(tuple, score_requests(spark, c, req, snap, "customer_id").collect()), key=repr)
+    b = sorted(map(tuple, score_requests(spark, c, req, snap, "customer_id", skew_fraction=0.1).collect()),
+               key=repr)
+    assert a == b and len(a) == req.count()

@@ -106,3 +106,48 @@ def test_point_lookup_matches_brute_force(spark, req):
     got = sorted(tuple(r) for r in point_lookup(feats, df, "k").collect())
     wanted = {int(r) for r in req if r is not None and r.isdigit() and int(r) < 10}
     assert got == sorted((k, float(k)) for k in wanted)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.sampled_from([3, 3, 3, 1, -2, 2 ** 40])),
+                               st.one_of(st.none(), st.sampled_from([0.5, 0.5, -1.0, float("nan")])),
+                               st.one_of(st.none(), st.sampled_from(["b", "b", "a", "", "zz"]))),
+                     max_size=50))
+def test_column_stats_matches_brute_force(spark, rows):
+    from churnlane.operators.metrics import column_stats
+    df = spark.createDataFrame(rows, "i bigint, d double, s string")
+    got = {r["col_name"]: r for r in column_stats(df).collect()}
+    for j, c in enumerate(["i", "d", "s"]):
+        vals = [r[j] for r in rows if r[j] is not None]
+        keyed = {("nan" if isinstance(v, float) and math.isnan(v) else v) for v in vals}
+        g = got[c]
+        assert (g["non_null"], g["num_nulls"], g["distinct_count"]) == (len(vals), len(rows) - len(vals), len(keyed))
+        if c == "s":
+            assert (g["min_text"], g["max_text"]) == ((min(vals), max(vals)) if vals else (None, None))
+        elif vals:
+            # Spark orders NaN above every number
+            order = sorted(vals, key=lambda v: (isinstance(v, float) and math.isnan(v), v))
+            lo, hi = float(order[0]), float(order[-1])
+            assert (g["min_num"] == lo or (math.isnan(lo) and math.isnan(g["min_num"])))
+            assert (g["max_num"] == hi or (math.isnan(hi) and math.isnan(g["max_num"])))
+
+
+@settings(max_examples=3, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(rows=st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2]), st.integers(0, 4)), min_size=1, max_size=40),
+       files=st.integers(1, 5), every=st.sampled_from([1, 2, 3]))
+def test_stream_snapshot_matches_batch_latest(spark, rows, files, every):
+    """Random events in 1..5 files, one file per micro-batch, folds every 1..3 batches."""
+    from churnlane.session import scratch_path
+    from churnlane.streaming.snapshot import current_snapshot, maintain_latest
+    data = [(i, k, ts) for i, (k, ts) in enumerate(rows)]
+    df = spark.createDataFrame(data, "event_id bigint, user_id bigint, ts bigint")
+    src, root, ckpt = (scratch_path(spark, x) for x in ("p-src", "p-root", "p-ckpt"))
+    df.repartition(files).write.parquet(src)
+    maintain_latest(spark, src, df.schema, root, ckpt, "user_id", "ts", "event_id", compact_every=every)
+    got = sorted(tuple(r) for r in current_snapshot(spark, root).select("user_id", "event_id").collect())
+    want = {}
+    for i, k, ts in data:
+        if k not in want or (ts, i) > want[k][0]:
+            want[k] = ((ts, i), i)
+    assert got == sorted((k, v[1]) for k, v in want.items())

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.session import scratch_path
+from churnlane.session import scratch_path, unique_name
 
 
 class KeyViolation(ValueError):
@@ -64,29 +64,33 @@ def create_feature_table(spark: SparkSession, name: str, df: DataFrame,
                          buckets: int | None = None) -> DataFrame:
     """Write ``df`` as a keyed feature table and return it read back by name (SNK-4).
 
-    The key check runs on the *written* files (a scan of the key columns
-    only), so the upstream plan — often a large aggregation — runs once; a
-    table that violates its key is dropped again before the error is raised.
+    The rows go to a staging table in a new directory; the key check runs on
+    those *written* files (a scan of the key columns only), so the upstream
+    plan — often a large aggregation — runs once.  Only a table that passed
+    the check replaces ``name`` (drop + rename, no data moves): a key
+    violation or a failed job leaves any previous table untouched.
     ``buckets``: optionally bucket the table by its key so later lookups on
     the key can skip the shuffle of the feature side.
     """
-    drop_table(spark, name)
+    from churnlane.sources.sinks import swap_in
+    staging = unique_name(f"{name}_staging")
     path = path or scratch_path(spark, f"ft-{name}")
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if buckets:
         w = w.bucketBy(buckets, *primary_keys).sortBy(*primary_keys)
-    w.saveAsTable(name)
+    w.saveAsTable(staging)
     if check_keys:
         try:
-            assert_unique_key(spark.read.table(name), primary_keys)
+            assert_unique_key(spark.read.table(staging), primary_keys)
         except KeyViolation:
-            drop_table(spark, name)
+            drop_table(spark, staging)
             raise
     props = {"primary_keys": ",".join(primary_keys), "kind": "feature_table"}
     if description:
         props["comment"] = description
     prop_sql = ", ".join(f"'{k}' = '{_quote(v)}'" for k, v in props.items())
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({prop_sql})")
+    spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({prop_sql})")
+    swap_in(spark, staging, name)
     return spark.read.table(name)
 
 

@@ -65,17 +65,33 @@ def append_evolve(spark: SparkSession, df: DataFrame, name: str) -> None:
     conformed.write.insertInto(name)
 
 
+def swap_in(spark: SparkSession, staging: str, name: str) -> None:
+    """Make the fully written table ``staging`` the table ``name``.
+
+    The data job has finished before the old table is touched, so a failed
+    or lost job leaves the previous table as it was; the swap itself is two
+    catalog operations (drop, rename), no data moves.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+
+
 def materialize(spark: SparkSession, name: str, df: DataFrame, comment: str = "",
                 properties: Mapping[str, str] | None = None,
                 cluster_by: Sequence[str] | None = None) -> DataFrame:
-    """A named dataset with comment and table properties, rewritten each run (SNK-5)."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    write_table(spark, df, name, cluster_by=cluster_by, name=name)
+    """A named dataset with comment and table properties, rewritten each run (SNK-5).
+
+    Written as a staging table in a new directory first, then swapped in
+    (``swap_in``): readers see the old or the new dataset, never none
+    while the write runs."""
+    staging = unique_name(f"{name}_staging")
+    write_table(spark, df, staging, cluster_by=cluster_by, name=staging)
     if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{_q(comment)}'")
+        spark.sql(f"COMMENT ON TABLE {staging} IS '{_q(comment)}'")
     if properties:
         props = ", ".join(f"'{_q(k)}' = '{_q(v)}'" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
+        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({props})")
+    swap_in(spark, staging, name)
     return spark.read.table(name)
 
 

@@ -55,6 +55,13 @@ def test_key_violations_duplicates_and_nulls(spark):
     assert got == {(1, 2), (None, 1)}
     with pytest.raises(KeyViolation):
         create_feature_table(spark, unique_name("bad_ft"), df, ["k"])
+    # a violating rewrite leaves the previous table in place
+    name = unique_name("kept_ft")
+    create_feature_table(spark, name, df.dropDuplicates(["k"]).where("k IS NOT NULL"), ["k"])
+    before = sorted(map(tuple, spark.read.table(name).collect()))
+    with pytest.raises(KeyViolation):
+        create_feature_table(spark, name, df, ["k"])
+    assert sorted(map(tuple, spark.read.table(name).collect())) == before
 
 
 def _snapshot(spark):

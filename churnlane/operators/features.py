@@ -69,12 +69,16 @@ def create_feature_table(spark: SparkSession, name: str, df: DataFrame,
     plan — often a large aggregation — runs once.  Only a table that passed
     the check replaces ``name`` (drop + rename, no data moves): a key
     violation or a failed job leaves any previous table untouched.
-    ``buckets``: optionally bucket the table by its key so later lookups on
-    the key can skip the shuffle of the feature side.
+    ``buckets``: bucket (and sort) the table by its key, one file per
+    bucket, so every later lookup on the key reads the feature side without
+    an exchange — only the request side is shuffled.
     """
     from churnlane.sources.sinks import swap_in
     staging = unique_name(f"{name}_staging")
     path = path or scratch_path(spark, f"ft-{name}")
+    if buckets:
+        # same hash as the buckets: each task writes exactly one bucket file
+        df = df.repartition(buckets, *primary_keys)
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if buckets:
         w = w.bucketBy(buckets, *primary_keys).sortBy(*primary_keys)

@@ -23,8 +23,10 @@ def churn_feature_table(spark, sf, z=None):
     """Feature table of all prepared rows: key + 4 double features (checked unique key)."""
     name = unique_name("churn_features")
     z = common.z(spark, sf) if z is None else z
+    # bucketed by the key: lookups shuffle only their request side
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     return name, create_feature_table(spark, name, z.select(KEY, *FEATURES), [KEY],
-                                      "churn features per customer")
+                                      "churn features per customer", buckets=buckets)
 
 
 def churn_contract(spark, sf, table_name: str, tenure_cut: float = 1800.0) -> Contract:

@@ -91,3 +91,18 @@ def test_online_lookup_reads_the_snapshot_bucketed(spark):
         assert p.count("Exchange hashpartitioning") == 1    # only the request side moves
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_feature_lookup_reads_the_feature_table_bucketed(spark):
+    import __spark_entry__ as E
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")                                        # the large-table plan
+    try:
+        p = plan(E.queries()["score_batch"](spark, SF_SMALL))
+        assert "SortMergeJoin" in p and "Bucketed: true" in p
+        assert p.count("Exchange hashpartitioning") == 1               # only the request keys move
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -95,8 +95,8 @@ def test_online_lookup_reads_the_snapshot_bucketed(spark):
 
 def test_feature_lookup_reads_the_feature_table_bucketed(spark):
     import __spark_entry__ as E
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     for k in old:
         spark.conf.set(k, "-1")                                        # the large-table plan
     try:
@@ -105,4 +105,4 @@ def test_feature_lookup_reads_the_feature_table_bucketed(spark):
         assert p.count("Exchange hashpartitioning") == 1               # only the request keys move
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -357,7 +357,10 @@ def test_model_round_trip_native_equals_transform(spark):
 
 
 @pytest.mark.parametrize("name", ["latest_by_key", "row_position", "best_split", "score_multi",
-                                  "metrics", "pk_violations", "ab_compare", "column_stats"])
+                                  "metrics", "pk_violations", "ab_compare", "column_stats",
+                                  "surrogate_id", "stream_latest", "key_lookup", "score_orders",
+                                  "clustered_write", "layout_partitioned", "zorder_layout",
+                                  "training_set", "score_batch"])
 def test_queries_partition_invariant(spark, name):
     import __spark_entry__ as E
     q = E.queries()[name]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlane.functions.columns import hash_bucket
+from churnlane.session import pin
 from churnlane.sources.tables import KEY
 
 
@@ -26,9 +27,17 @@ def hash_split(df: DataFrame, key: str = KEY, train_pct: int = 80,
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2),
-                 seed: int = 42) -> list[DataFrame]:
-    """The reference's ``randomSplit([.8, .2], seed=42)``, kept as an option."""
-    return df.randomSplit(list(weights), seed=seed)
+                 seed: int = 42, pin_input: bool = True) -> list[DataFrame]:
+    """The reference's ``randomSplit([.8, .2], seed=42)``, kept as an option.
+
+    Each split re-evaluates the input and samples it per partition; the parts
+    are disjoint and complete only if every evaluation yields the same rows
+    in the same partitions.  The input is therefore pinned (reliable
+    checkpoint) first: computed once, and identical for every split even
+    after an executor loss.
+    """
+    src = pin(df) if pin_input else df
+    return src.randomSplit(list(weights), seed=seed)
 
 
 def split_xy(df: DataFrame, key: str, features: Sequence[str], label: str,

@@ -518,3 +518,12 @@ def test_score_requests_hot_key_split_equals_plain(spark):
     b = sorted(map(tuple, score_requests(spark, c, req, snap, "customer_id", skew_fraction=0.1).collect()),
                key=repr)
     assert a == b and len(a) == req.count()
+
+
+def test_random_split_parts_disjoint_and_complete(spark):
+    from churnlane.operators.split import random_split
+    z = common.z(spark, SF_MID)
+    train, test = random_split(z, (0.8, 0.2), 42)
+    a = {r[0] for r in train.select("customer_id").collect()}
+    b = {r[0] for r in test.select("customer_id").collect()}
+    assert not (a & b) and len(a | b) == z.count() == train.count() + test.count()

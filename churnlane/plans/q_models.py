@@ -8,7 +8,7 @@ from churnlane.operators.contract import Contract, ModelStore, capture_schema
 from churnlane.operators.metrics import class_counts, classification_metrics, confusion
 from churnlane.operators.score import score_columns
 from churnlane.operators.train import best_split, fit_tree
-from churnlane.operators.tree import fixed_tree, from_saved_model
+from churnlane.operators.tree import fixed_tree, from_saved_model, predict_column
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, tree_case, with_ctes
 from churnlane.plans.registry import query
@@ -56,12 +56,13 @@ def q_model_round_trip(spark, sf):
     store.log_model("churn_model", contract, model, aliases=["Champion"])
     served = store.load_contract("churn_model@champion")
     keys = test.select(KEY)
-    native = score_batch(spark, served, keys, "string")
+    native = score_batch(spark, served, keys, "string").withColumnRenamed("prediction", "_native")
     loaded = store.load_pipeline("churn_model@champion")
-    ml = loaded.transform(test.select(KEY, *FEATURES)).select(
-        KEY, F.element_at(F.array(*[F.lit(c) for c in classes]),
-                          F.col("prediction").cast("int") + 1).alias("ml_prediction"))
-    return native.join(ml, KEY)
+    # the stored pipeline scores the rows score_batch assembled: one pass, no join back
+    ml = loaded.transform(native)
+    return ml.select(KEY, *FEATURES, F.col("_native").alias("prediction"),
+                     F.element_at(F.array(*[F.lit(c) for c in classes]),
+                                  F.col("prediction").cast("int") + 1).alias("ml_prediction"))
 
 
 @query("fit_tree_unlimited", None, "FIT-1 SCO-1 SNK-9")
@@ -77,8 +78,10 @@ def q_fit_tree_unlimited(spark, sf):
     tree = from_saved_model(spark, path, FEATURES, classes)
     x = test.select(KEY, *FEATURES, LABEL)
     label_of = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
-    ml = model.transform(x).select(KEY, label_of.alias("ml_prediction"))
-    return score_columns(x, tree).select(KEY, LABEL, "prediction").join(ml, KEY)
+    # one pass: transform keeps the input columns, so the native expression
+    # runs beside pyspark.ml's prediction on the same rows (no join back)
+    return model.transform(x).select(KEY, LABEL, predict_column(tree).alias("prediction"),
+                                     label_of.alias("ml_prediction"))
 
 
 @query("fit_metrics", None, "AGG-2 FIT-1")

@@ -81,26 +81,43 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
+MB = 1024 * 1024
+
+
 def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
-                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                 target_partition_bytes: int = 256 * MB, shuffle_fraction: float = 0.25,
+                 max_map_tasks: int = 200_000, max_shuffle_partitions: int = 100_000
+                 ) -> dict[str, str]:
     """Settings for a large cluster, derived from the input size.
 
-    Shuffle partitions start at roughly ``input / 256 MB`` (never below the
-    number of task slots) and AQE coalesces small ones at run time, so a
-    partition fits comfortably in an executor's memory and spills rarely.
-    Skew handling stays on; broadcasts stay behind Spark's measured-size
-    thresholds.
+    * Input splits (``maxPartitionBytes``) are 128 MB until that would mean
+      more than ``max_map_tasks`` scan tasks, then grow (up to 1 GB): at
+      100 TB, ~200k tasks of 512 MB instead of ~800k of 128 MB.
+    * Shuffle partitions are sized from the bytes expected to be *shuffled*
+      (``shuffle_fraction`` of the input — our plans aggregate map-side and
+      prune columns before every exchange), ``target_partition_bytes`` each,
+      never fewer than the task slots and at most ``max_shuffle_partitions``;
+      AQE then coalesces small ones at run time.  Sizing reducers from the
+      raw input would give ~400k partitions at 100 TB, i.e. 10^11 shuffle
+      blocks with 800k map tasks.
+    * Skew handling stays on; broadcasts stay behind Spark's measured-size
+      thresholds; pinned checkpoints are cleaned once unreferenced.
     """
     slots = executors * cores_per_executor
-    parts = max(slots, -(-input_bytes // target_partition_bytes))
+    split = 128 * MB
+    if -(-input_bytes // split) > max_map_tasks:
+        split = min(1024 * MB, -(-input_bytes // max_map_tasks))
+        split = -(-split // MB) * MB                   # whole megabytes
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    parts = max(slots, min(max_shuffle_partitions, -(-shuffle_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
     }

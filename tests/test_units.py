@@ -527,3 +527,15 @@ def test_random_split_parts_disjoint_and_complete(spark):
     a = {r[0] for r in train.select("customer_id").collect()}
     b = {r[0] for r in test.select("customer_id").collect()}
     assert not (a & b) and len(a | b) == z.count() == train.count() + test.count()
+
+
+def test_cluster_conf_bounds_tasks_and_partitions():
+    from churnlane.session import cluster_conf
+    tb = 1024 ** 4
+    c = cluster_conf(100 * tb)
+    split, parts = int(c["spark.sql.files.maxPartitionBytes"]), int(c["spark.sql.shuffle.partitions"])
+    assert 100 * tb / split <= 200_000 and split <= 1024 ** 3          # <= 200k scan tasks
+    assert 4000 <= parts <= 100_000                                    # 25 TB shuffled / 256 MB
+    small = cluster_conf(10 * 1024 ** 3)
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * 1024 ** 2
+    assert int(small["spark.sql.shuffle.partitions"]) == 4000          # never below the slots

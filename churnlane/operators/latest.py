@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlane.session import default_buckets
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts: str,
                    tie: Sequence[str] | str = ()) -> DataFrame:
@@ -40,7 +42,7 @@ def publish_snapshot(df: DataFrame, path: str, key: str, buckets: int | None = N
     (small) request side moves.  ``repartition(n, key)`` first uses the same
     hash as the buckets, so each task writes exactly one bucket file.
     """
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    n = buckets or default_buckets(df.sparkSession)
     out = df.repartition(n, key)
     if table:
         (out.write.mode("overwrite").format("parquet").option("path", path)

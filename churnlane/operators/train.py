@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnlane.operators.tree import TreeSpec, leaf_index_column
 from churnlane.functions.columns import range_bucket
-from churnlane.session import pin
+from churnlane.session import default_buckets, pin
 
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
 
@@ -83,7 +83,7 @@ def best_split(df: DataFrame, features: Sequence[str], label: str, positive: str
     ``features x buckets`` rows, and the window runs within (feature, bucket),
     so no task holds a whole feature's distinct values.
     """
-    n_b = buckets or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    n_b = buckets or default_buckets(df.sparkSession)
     long = df.select(F.col(label).alias("_y"), *[F.col(f).cast("double").alias(f) for f in features]) \
              .unpivot("_y", list(features), "f", "x")
     g = (long.groupBy("f", "x")

@@ -123,6 +123,21 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
     }
 
 
+MAX_DEFAULT_BUCKETS = 4096
+
+
+def default_buckets(spark: SparkSession, cap: int = MAX_DEFAULT_BUCKETS) -> int:
+    """Bucket / range count for key-level tables (feature tables, snapshots)
+    and per-feature value ranges: the shuffle partition count, capped.
+
+    A bucket count is a table property chosen once; key-level tables are far
+    smaller than the inputs ``spark.sql.shuffle.partitions`` is sized for
+    (up to 100k on a large cluster), so 4,096 buckets keep files around
+    256 MB up to ~1 TB tables.  Pass an explicit count for other sizes.
+    """
+    return max(1, min(cap, int(spark.conf.get("spark.sql.shuffle.partitions", "8"))))
+
+
 def pin(df):
     """Materialise ``df`` once with a reliable ``checkpoint()`` in the shared
     checkpoint dir and cut its lineage.

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from churnlane.operators.latest import latest_per_key
+from churnlane.session import default_buckets
 from churnlane.sources import control
 
 _V = r"v=(\d+)"
@@ -86,7 +87,7 @@ def fold(spark: SparkSession, root: str, upto: int, key: str, ts: str,
          tie: Sequence[str] | str = (), buckets: int | None = None) -> None:
     """Write the full copy ``v=<upto>``: the newest full copy older than
     ``upto`` merged with the change sets after it up to ``upto``."""
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    n = buckets or default_buckets(spark)
     versions = control.list_numbered(spark, root, _V, "_SUCCESS")
     if versions is None:                               # no listing: follow the pointer
         base, _ = _state(spark, root)

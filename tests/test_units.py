@@ -539,3 +539,15 @@ def test_cluster_conf_bounds_tasks_and_partitions():
     small = cluster_conf(10 * 1024 ** 3)
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * 1024 ** 2
     assert int(small["spark.sql.shuffle.partitions"]) == 4000          # never below the slots
+
+
+def test_default_buckets_capped(spark):
+    from churnlane.session import default_buckets
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "100000")
+        assert default_buckets(spark) == 4096
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert default_buckets(spark) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

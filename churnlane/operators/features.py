@@ -212,16 +212,25 @@ def point_lookup(features: DataFrame, requests: DataFrame, key: str) -> DataFram
 def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
     """Keys holding more than ``fraction`` of ``df``'s rows.
 
-    At most ``1/fraction`` keys can qualify, so the list returned to the driver
-    is bounded by the parameter, not by the data.  One count plus one
-    aggregation with map-side partial counts.
+    Two passes, neither shuffles key-level data: Spark's frequent-items
+    sketch (``stat.freqItems``, one pass with map-side partial counters)
+    names at most ~``2/fraction`` candidates — every key above the fraction
+    among them — then ONE global aggregate counts the rows and each
+    candidate exactly.  At most ``1/fraction`` keys can qualify, so the list
+    returned to the driver is bounded by the parameter, not by the data.
     """
-    total = df.select(key).count()
-    threshold = max(1, int(total * fraction))
-    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > threshold).select(key)
-              .limit(int(1 / fraction) + 1).collect())
-    return [r[0] for r in rows if r[0] is not None]
+    # half the fraction: a margin on the sketch's guarantee (its counters find
+    # every key above ~support x rows); candidates stay bounded by 2/fraction
+    support = max(fraction / 2, 1e-4)
+    row = df.select(key).stat.freqItems([key], support=support).first()
+    cands = [k for k in (row[0] if row else None) or [] if k is not None]
+    if not cands:
+        return []
+    counts = df.agg(F.count(F.lit(1)).alias("_total"),
+                    *[F.count(F.when(F.col(key) == F.lit(c), 1)).alias(f"_c{i}")
+                      for i, c in enumerate(cands)]).first()
+    threshold = max(1, int(counts["_total"] * fraction))
+    return [c for i, c in enumerate(cands) if counts[f"_c{i}"] > threshold]
 
 
 def join_hot_split(df: DataFrame, feats: DataFrame, key: str, fraction: float = 0.01,

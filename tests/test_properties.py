@@ -151,3 +151,14 @@ def test_stream_snapshot_matches_batch_latest(spark, rows, files, every):
         if k not in want or (ts, i) > want[k][0]:
             want[k] = ((ts, i), i)
     assert got == sorted((k, v[1]) for k, v in want.items())
+
+
+@SETTINGS
+@given(keys=st.lists(st.one_of(st.none(), st.sampled_from([7, 7, 7, 1, 2, 3, 4, 5, 6, 8, 9])), max_size=120),
+       fraction=st.sampled_from([0.05, 0.1, 0.3]))
+def test_hot_keys_match_exact_counts(spark, keys, fraction):
+    from churnlane.operators.features import hot_keys
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    threshold = max(1, int(len(keys) * fraction))
+    want = sorted({k for k in keys if k is not None and keys.count(k) > threshold})
+    assert sorted(hot_keys(df, "k", fraction)) == want

@@ -106,3 +106,11 @@ def test_feature_lookup_reads_the_feature_table_bucketed(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_key_check_on_a_bucketed_feature_table_needs_no_shuffle(spark):
+    from churnlane.operators.features import key_violations
+    from churnlane.plans.q_features import churn_feature_table
+    name, _ = churn_feature_table(spark, SF_SMALL)
+    p = plan(key_violations(spark.read.table(name), ["customer_id"]))
+    assert "Bucketed: true" in p and "Exchange" not in p

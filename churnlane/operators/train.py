@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnlane.operators.tree import TreeSpec, leaf_index_column
 from churnlane.functions.columns import range_bucket
-from churnlane.session import default_buckets, pin
+from churnlane.session import default_buckets, pin, shared_dir
 
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
 
@@ -32,8 +32,13 @@ def tree_pipeline(features: Sequence[str], label: str, max_depth: int | None = 3
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc",
                       handleInvalid="error"),
         VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep"),
+        # node ids cached per row (checkpointed every 10 iterations into the
+        # shared checkpoint dir) and a larger per-pass node budget: deep trees
+        # take fewer passes over the data and no growing lineage; the learned
+        # tree is the same
         DecisionTreeClassifier(featuresCol="_features", labelCol="_label", maxDepth=depth,
-                               seed=seed, maxBins=max_bins),
+                               seed=seed, maxBins=max_bins, cacheNodeIds=True,
+                               checkpointInterval=10, maxMemoryInMB=512),
     ])
 
 
@@ -45,6 +50,7 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int
     binning); with ``pin_input`` the selected columns are checkpointed once so
     the upstream plan is not recomputed for each pass.
     """
+    shared_dir(df.sparkSession)          # checkpoint dir for the node-id cache
     data = df.select(*features, label)
     if pin_input:
         data = pin(data)

@@ -29,7 +29,7 @@ from churnlane.sources.sinks import capture_frame
 
 def score_stream(spark: SparkSession, requests_path: str, request_schema: StructType | str,
                  snapshot: DataFrame, contract: Contract, key: str, out_path: str, log_path: str,
-                 checkpoint: str, served_model: str, max_files_per_trigger: int = 1,
+                 checkpoint: str, served_model: str, max_files_per_trigger: int | None = None,
                  keep: Sequence[str] = (), trigger: dict | None = None, wait: bool = True,
                  skew_fraction: float | None = None):
     """Start the scoring stream.
@@ -48,8 +48,10 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
     """
     key_type = snapshot.schema[key].dataType.simpleString()
     feats = contract.features
-    req = (spark.readStream.schema(request_schema)
-           .option("maxFilesPerTrigger", max_files_per_trigger).parquet(requests_path))
+    reader = spark.readStream.schema(request_schema)
+    if max_files_per_trigger:                  # bounded micro-batches; default: all new files
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    req = reader.parquet(requests_path)
     req = req.withColumn("request_key", F.col(key).cast("string")) \
              .withColumn(key, F.col(key).try_cast(key_type))
     snap = snapshot.select(key, *feats)

@@ -107,15 +107,17 @@ def fold(spark: SparkSession, root: str, upto: int, key: str, ts: str,
 
 def maintain_latest(spark: SparkSession, events_path: str, schema: StructType | str, root: str,
                     checkpoint: str, key: str, ts: str, tie: Sequence[str] | str = (),
-                    max_files_per_trigger: int = 1, buckets: int | None = None,
+                    max_files_per_trigger: int | None = None, buckets: int | None = None,
                     trigger: dict | None = None, wait: bool = True, compact_every: int = 8):
     """Start the snapshot-maintenance stream (see module doc); returns the query."""
     if compact_every < 1:
         raise ValueError("compact_every must be at least 1")
     ties = [tie] if isinstance(tie, str) else list(tie)
     control.write_text(spark, f"{root}/_spec", json.dumps({"key": key, "ts": ts, "tie": ties}))
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(events_path))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:                  # bounded micro-batches; default: all new files
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(events_path)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         latest_per_key(batch, key, ts, ties).write.mode("overwrite") \

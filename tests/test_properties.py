@@ -144,7 +144,8 @@ def test_stream_snapshot_matches_batch_latest(spark, rows, files, every):
     df = spark.createDataFrame(data, "event_id bigint, user_id bigint, ts bigint")
     src, root, ckpt = (scratch_path(spark, x) for x in ("p-src", "p-root", "p-ckpt"))
     df.repartition(files).write.parquet(src)
-    maintain_latest(spark, src, df.schema, root, ckpt, "user_id", "ts", "event_id", compact_every=every)
+    maintain_latest(spark, src, df.schema, root, ckpt, "user_id", "ts", "event_id",
+                    max_files_per_trigger=1, compact_every=every)
     got = sorted(tuple(r) for r in current_snapshot(spark, root).select("user_id", "event_id").collect())
     want = {}
     for i, k, ts in data:

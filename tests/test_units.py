@@ -327,13 +327,13 @@ def test_stream_latest_survives_restart(spark, compact_every):
     second = ev.where(hash_bucket("event_id", "half:", 2) == 1)
     first.repartition(3).write.parquet(f"{src}/a")
     maintain_latest(spark, f"{src}/*", ev.schema, root, ckpt, "user_id", "ts", "event_id",
-                    compact_every=compact_every)
+                    max_files_per_trigger=1, compact_every=compact_every)
     half = latest_per_key(first, "user_id", "ts", "event_id").select("user_id", "event_id")
     assert sorted(map(tuple, current_snapshot(spark, root).select("user_id", "event_id").collect())) \
         == sorted(map(tuple, half.collect()))
     second.repartition(3).write.parquet(f"{src}/b")       # more data arrives, job restarts
     maintain_latest(spark, f"{src}/*", ev.schema, root, ckpt, "user_id", "ts", "event_id",
-                    compact_every=compact_every)
+                    max_files_per_trigger=1, compact_every=compact_every)
     snap = current_snapshot(spark, root)
     got = sorted(tuple(r) for r in snap.select("user_id", "event_id").collect())
     want = sorted(tuple(r) for r in latest_per_key(ev, "user_id", "ts", "event_id")
@@ -385,9 +385,11 @@ def test_score_stream_restart_each_request_once(spark):
     schema = T.StructType([T.StructField("customer_id", T.StringType())])
     contract = churn_contract(spark, SF_SMALL, "unused")
     keys.where(hash_bucket("customer_id", "h:", 2) == 0).repartition(3).write.parquet(f"{src}/a")
-    score_stream(spark, f"{src}/*", schema, snap, contract, "customer_id", out, log, ckpt, "m-1")
+    score_stream(spark, f"{src}/*", schema, snap, contract, "customer_id", out, log, ckpt, "m-1",
+                 max_files_per_trigger=1)
     keys.where(hash_bucket("customer_id", "h:", 2) == 1).repartition(3).write.parquet(f"{src}/b")
-    score_stream(spark, f"{src}/*", schema, snap, contract, "customer_id", out, log, ckpt, "m-1")
+    score_stream(spark, f"{src}/*", schema, snap, contract, "customer_id", out, log, ckpt, "m-1",
+                 max_files_per_trigger=1)
     got = spark.read.parquet(out)
     assert got.count() == keys.count() == got.select("request_key").distinct().count()
     assert spark.read.parquet(log).count() == keys.count()

@@ -14,7 +14,7 @@ from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, P, bucket, tree_case, with_ctes
 from churnlane.plans.q_features import churn_contract, churn_feature_table
 from churnlane.plans.registry import query
-from churnlane.session import scratch_path, unique_name
+from churnlane.session import default_buckets, scratch_path, unique_name
 from churnlane.sources.sinks import (append_evolve, capture_frame, create_typed_table, parse_capture,
                                      write_table)
 from churnlane.sources.tables import FEATURES, KEY
@@ -31,7 +31,10 @@ def _inference_rows(spark, sf):
 
 
 def _files(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    """Output file count for the key-level inference table: capped like a bucket
+    count (``default_buckets``), so a large cluster's shuffle partition count does
+    not turn into 100k small files; ``compact`` resizes from the real bytes."""
+    return default_buckets(spark)
 
 
 @query("clustered_write", _INFERENCE_SQL, "SNK-1 LAY-1")

@@ -1,16 +1,20 @@
-"""Keyed feature tables and lookups (SNK-3, SNK-4, KEY-1, JN-1..JN-4).
+"""Keyed feature tables and lookups (SNK-3, SNK-4, KEY-1, FLT-3, JN-1..JN-4).
 
 A feature table is a Parquet table plus its declared primary key kept in
-TBLPROPERTIES.  Parquet cannot enforce a key, so ``create_feature_table`` runs
-the key check first and refuses to write a table with NULL or repeated keys.
+TBLPROPERTIES.  Parquet cannot enforce a key, so ``create_feature_table``
+writes a staging table, runs the key check on it and swaps it in only if no
+key is NULL or repeated.  Tables can be bucketed and sorted by the key.
 
 Lookup joins: the feature side is key-unique, the request side (labels,
 keys to score) may repeat a key many times.  We declare a plain equi-join and
 let Spark choose: AQE turns it into a broadcast join when the *measured*
 feature side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and
-otherwise runs a sort-merge join whose skewed request partitions AQE splits
+otherwise runs a sort-merge join — over a bucketed feature table only the
+request side is shuffled — whose skewed request partitions AQE splits
 (``spark.sql.adaptive.skewJoin.enabled``); a key holding a third of all
-requests therefore does not end up in one task.
+requests therefore does not end up in one task.  ``join_hot_split`` makes
+that explicit where wanted: hot request keys (found by a frequent-items
+sketch, at most ``1/fraction`` of them) join a bounded broadcast.
 """
 
 from __future__ import annotations

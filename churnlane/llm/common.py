@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,28 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
+_recorded: list[str] | None = None
+
+
+@contextmanager
+def recorded():
+    """The folders that ``stage`` writes meanwhile, for a later ``discard``."""
+    global _recorded
+    before, _recorded = _recorded, []
+    try:
+        yield _recorded
+    finally:
+        _recorded = before
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove staged folders that nothing reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder below the cluster's shared scratch root and read it back.
 
@@ -22,6 +45,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ``df`` are fixed from here on, whatever order a re-read would have.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
+    if _recorded is not None:
+        _recorded.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -34,7 +59,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def small(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
+#: Rows of numbers (at most some 64 MB) that one broadcast may have; beyond it, joins shuffle.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if its counted ``rows`` are within the bound, else ``df`` for a shuffle join."""
     return F.broadcast(df) if rows <= max_rows else df
 

@@ -118,7 +118,7 @@ def allocate(tokens: DataFrame, mix: Mix) -> DataFrame:
                                         F.col("tokens") * mix.max_epochs).otherwise(F.lit(0))))
     total = tokens.agg(F.expr(f"coalesce(sum(tokens), 0) * {mix.budget[0]} div {mix.budget[1]}").alias("budget"))
     domains = (leaves.groupBy("domain").agg(F.first("w_domain").alias("weight"), F.sum("cap").alias("cap"))
-               .crossJoin(total).withColumn("root", F.lit(0)))     # one row each: the total
+               .withColumn("root", F.lit(0)).join(F.broadcast(total.withColumn("root", F.lit(0))), "root"))     # one row
     domains = share(domains, ["root"], "domain").select("domain", F.col("given").alias("budget"))
     langs = leaves.groupBy("domain", "lang").agg(F.first("w_lang").alias("weight"), F.sum("cap").alias("cap"))
     langs = share(langs.join(domains, "domain"), ["domain"], "lang").select("domain", "lang", F.col("given").alias("budget"))

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.llm import decontaminate, exact_dedup, language, mixing, simhash
+from churnlane.llm import decontaminate, exact_dedup, language, licenses, mixing, pseudonyms, reputation, secrets, simhash, wrappers
 from churnlane.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Key of the registered pseudonym query; a deployment passes its own.
+KEY = "demonstration key"
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -79,3 +83,36 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["pipeline"] = pipeline
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(read(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select(F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"),
+                        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+                        secrets.listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
+@query("op4_pseudonyms")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(read(spark, sf_dir, "documents"), KEY).select(
+        F.col("id").alias("doc_id"), "text", F.size(F.coalesce("findings", F.array())).cast("long").alias("n_found"),
+        F.array_join(F.array_sort(F.array_distinct("findings.kind")), ",").alias("kinds"))
+
+
+@query("op5_url_reputation", reputation.oracle())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = reputation.judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("findings")
+
+
+@query("op3_wrapper_extract")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))

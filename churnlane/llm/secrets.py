@@ -80,7 +80,7 @@ def randomness(tokens: DataFrame) -> DataFrame:
     t = tokens.withColumn("encoding", encoding_of(F.col("token"))).withColumn("plain", plain)
     t = t.withColumn("alphabet", pick({e[0]: e[2] for e in ENCODINGS})).withColumn("delta", pick({e[0]: e[3] for e in ENCODINGS}))
     t = t.withColumn("changes0", pick(TEXT_CHANGES)).withColumn("n", F.length("plain")).withColumn("k", F.length("alphabet"))
-    squares = F.aggregate(F.array_distinct(F.split("plain", "(?!^)")), F.lit(0.0), lambda a, c: a + F.pow(
+    squares = F.aggregate(F.array_distinct(F.split("plain", "(?<=.)(?=.)")), F.lit(0.0), lambda a, c: a + F.pow(
         (F.col("n") - F.length(F.replace(F.col("plain"), c, F.lit("")))).cast("double"), F.lit(2.0)))
     chi = F.col("k") * squares / F.col("n") - F.col("n")
     mean = (F.col("k") - 1) + (F.col("n") - 1) * F.col("delta")
@@ -89,7 +89,7 @@ def randomness(tokens: DataFrame) -> DataFrame:
     changes = F.regexp_count(classes, F.lit("U(?=[lds])|l(?=[Uds])|d(?=[Uls])|s(?=[Uld])"))
     moves = F.col("n") - 1
     z_runs = (F.col("changes") - moves * F.col("changes0")) / F.sqrt(moves * F.col("changes0") * (1 - F.col("changes0")))
-    places = F.transform(F.split("plain", "(?!^)"), lambda c: F.instr(F.col("alphabet"), c).cast("double"))
+    places = F.transform(F.split("plain", "(?<=.)(?=.)"), lambda c: F.instr(F.col("alphabet"), c).cast("double"))
     mu = F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / F.col("n")
     pairs = F.zip_with(F.slice("x", 1, F.col("n") - 1), F.slice("x", F.lit(2), F.col("n") - 1),
                        lambda a, b: (a - F.col("mu")) * (b - F.col("mu")))

@@ -360,7 +360,7 @@ def test_pseudonyms(spark):
     for v in valid:
         new, found = P.rewrite(f"x {v}, y")
         inner = new[2:-3]
-        assert len(found) == 1 and inner != v and re.sub(r"[0-9]", "0", inner).lower()[-4:] == re.sub(r"[0-9]", "0", v).lower()[-4:]
+        assert len(found) == 1 and inner != v and re.sub(r"[0-9A-Za-z]+", "0", inner) == re.sub(r"[0-9A-Za-z]+", "0", v)
         again, found2 = P.rewrite(new)
         assert len(found2) == 1 and P.rewrite(new, back=True)[0] == f"x {v}, y"
     card = re.sub(r"\D", "", P.rewrite(valid[0])[0])

@@ -68,12 +68,14 @@ def capture_schema(df: DataFrame, features: Sequence[str]) -> StructType:
     return df.select(*features).schema
 
 
-def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
+def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
+            strict: bool = True) -> DataFrame:
     """Make scoring input match the contract, by name (CTR-2).
 
     Missing required feature -> error; numbers are cast to the declared
-    type (ints sent for double features); extra columns are dropped except
-    ``keep`` (e.g. the key).
+    type (ints sent for double features), and a value that has no such form
+    (text in a number column) is an error too, or NULL unless ``strict``; extra columns are dropped
+    except ``keep`` (e.g. the key).
     """
     have = {c.lower(): c for c in df.columns}
     missing = [f.name for f in contract.input_schema.fields if f.name.lower() not in have]
@@ -81,7 +83,12 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> Data
         raise ContractError(f"input lacks required columns {missing}")
     cols = [F.col(k) for k in keep if k.lower() in have]
     for f in contract.input_schema.fields:
-        cols.append(F.col(have[f.name.lower()]).try_cast(f.dataType).alias(f.name))
+        given = F.col(have[f.name.lower()])
+        value = given.try_cast(f.dataType)
+        if strict and df.schema[have[f.name.lower()]].dataType.simpleString() in ("string", "binary"):
+            no = F.raise_error(F.concat(F.lit(f"{f.name} is not {f.dataType.simpleString()}: "), given.cast("string")))
+            value = F.when(given.isNotNull() & value.isNull(), no.cast(f.dataType)).otherwise(value)
+        cols.append(value.alias(f.name))
     return df.select(*cols)
 
 

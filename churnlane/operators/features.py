@@ -225,7 +225,9 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
     """
     # half the fraction: a margin on the sketch's guarantee (its counters find
     # every key above ~support x rows); candidates stay bounded by 2/fraction
-    support = max(fraction / 2, 1e-4)
+    support = fraction / 2
+    if support < 1e-4:
+        raise ValueError("hot keys below a share of 2e-4 are beyond the sketch; such keys need no split")
     row = df.select(key).stat.freqItems([key], support=support).first()
     cands = [k for k in (row[0] if row else None) or [] if k is not None]
     if not cands:
@@ -261,6 +263,9 @@ def join_hot_split(df: DataFrame, feats: DataFrame, key: str, fraction: float =
 def lookup_skew_safe(spark: SparkSession, df: DataFrame, fl: FeatureLookup,
                      fraction: float = 0.01, how: str = "left") -> DataFrame:
     """Feature-table lookup with hot request keys split off (``join_hot_split``)."""
-    if len(fl.lookup_key) != 1:
-        return lookup(spark, df, [fl], how)
-    return join_hot_split(df, fl.frame(spark), fl.lookup_key[0], fraction, how)
+    keys = list(fl.lookup_key)
+    if len(keys) == 1:
+        return join_hot_split(df, fl.frame(spark), keys[0], fraction, how)
+    packed = F.when(F.greatest(*[F.col(k).isNull() for k in keys]), None).otherwise(F.to_json(F.struct(*keys)))
+    feats = fl.frame(spark).withColumn("_key", packed).drop(*keys)
+    return join_hot_split(df.withColumn("_key", packed), feats, "_key", fraction, how).drop("_key")

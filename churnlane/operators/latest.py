@@ -27,8 +27,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts: str,
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(*[F.col(c) for c in [ts, *tie]])
     row = F.struct(*[F.col(c) for c in rest])
-    # rows with a NULL timeseries key never win (max_by ignores NULL orderings)
-    agg = df.where(F.col(ts).isNotNull()).groupBy(*keys).agg(F.max_by(row, order).alias("_r"))
+    # NULL timestamps sort below all others: such a row wins only where a key has no other
+    agg = df.groupBy(*keys).agg(F.max_by(row, order).alias("_r"))
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
@@ -36,15 +36,19 @@ def publish_snapshot(df: DataFrame, path: str, key: str, buckets: int | None = N
                      table: str | None = None) -> None:
     """Write a key-unique snapshot as a full copy into a NEW path (SNK-6).
 
-    With ``table``: a Parquet table bucketed and sorted by the key.  An
-    equality lookup then reads one bucket (bucket pruning), and joins on the
-    key reuse the bucketing instead of shuffling the snapshot side — only the
-    (small) request side moves.  ``repartition(n, key)`` first uses the same
-    hash as the buckets, so each task writes exactly one bucket file.
+    With ``table``: a Parquet table sorted by the key.  With ``buckets`` it is
+    bucketed too: joins on the key then move only the request side, but AQE
+    splits a hot key only where *both* sides are shuffled, so with buckets
+    pass ``skew_fraction`` to the lookups (or know that requests are even).
+    ``repartition(n, key)`` first uses the same hash as the buckets, so each
+    task writes exactly one bucket file.
     """
     n = buckets or default_buckets(df.sparkSession)
     out = df.repartition(n, key)
-    if table:
+    if table and not buckets:
+        (out.sortWithinPartitions(key).write.mode("overwrite").format("parquet").option("path", path)
+            .saveAsTable(table))
+    elif table:
         (out.write.mode("overwrite").format("parquet").option("path", path)
             .bucketBy(n, key).sortBy(key).saveAsTable(table))
     else:

@@ -20,14 +20,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlane.session import scratch_path
+from churnlane.session import scratch_path, unique_name
+from churnlane.sources.sinks import swap_in
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 def row_hash(df: DataFrame) -> Column:
     """Deterministic per-row hash of all columns (a tie-breaker, stable on task retry)."""
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+    def hashable(f: T.StructField) -> Column:
+        return F.to_json(F.struct(F.col(f.name))) if "map<" in f.dataType.simpleString() else F.col(f.name)
+    return F.xxhash64(*[hashable(f) for f in df.schema.fields])
 
 
 def _with_tie_breaks(df: DataFrame) -> DataFrame:
@@ -109,6 +112,26 @@ def clustering_of(spark: SparkSession, name: str) -> list[str]:
     return out
 
 
+def table_layout(spark: SparkSession, name: str) -> tuple[int, list[str], list[str], list[str]]:
+    """Bucket count, bucket columns, sort columns and partition columns of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    said = {r["col_name"]: r["data_type"] for r in rows}
+    names = lambda k: [c.strip(" `") for c in said.get(k, "").strip("[]").split(",") if c.strip(" `")]
+    parts, on = [], False
+    for r in rows:
+        if r["col_name"].startswith("# Partition Information"):
+            on = True
+        elif on and (not r["col_name"] or r["col_name"].startswith("# Detailed")):
+            break
+        elif on and not r["col_name"].startswith("#"):
+            parts.append(r["col_name"])
+    return int(said.get("Num Buckets", 0) or 0), names("Bucket Columns"), names("Sort Columns"), parts
+
+
+def _quoted(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def write_clustered(spark: SparkSession, df: DataFrame, name: str, cols: Sequence[str],
                     files: int, mode: str = "append") -> None:
     """Append/overwrite with clustering metadata repeated (G14) and clustered files (LAY-1)."""
@@ -117,8 +140,32 @@ def write_clustered(spark: SparkSession, df: DataFrame, name: str, cols: Sequenc
 
 def compact(spark: SparkSession, name: str, cols: Sequence[str] | None = None,
             target_bytes: int = TARGET_FILE_BYTES) -> str:
-    """Rewrite a table into ``bytes / target`` clustered files; swap the location (LAY-3)."""
+    """Rewrite a table into ``bytes / target`` clustered files (LAY-3).
+
+    A plain table's location is swapped.  A bucketed or partitioned table is
+    written anew with the same buckets or partitions and swapped in whole,
+    since its catalog entry describes its files.
+    """
     cols = list(cols or clustering_of(spark, name))
+    buckets, by, sort, parts = table_layout(spark, name)
+    if buckets or parts:
+        n = files_for(table_bytes(spark, name), target_bytes)
+        new_path, staging = scratch_path(spark, f"compact-{name}"), unique_name("compact_staging")
+        src = spark.read.table(name)
+        if buckets:
+            w = src.repartition(buckets, *by).write.format("parquet").option("path", new_path).bucketBy(buckets, *by)
+            w = w.sortBy(*sort) if sort else w
+        else:
+            spread = _with_tie_breaks(src).repartitionByRange(n, *parts, "_rh", "_cp").drop("_rh", "_cp")
+            w = spread.write.format("parquet").option("path", new_path)
+        w = w.partitionBy(*parts) if parts else w
+        w.saveAsTable(staging)
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        kept = ", ".join(f"'{k}' = '{_quoted(v)}'" for k, v in props.items() if k in ("primary_keys", "kind", "comment"))
+        if kept:
+            spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({kept})")
+        swap_in(spark, staging, name)
+        return new_path
     n = files_for(table_bytes(spark, name), target_bytes)
     src = spark.read.table(name)
     new_path = scratch_path(spark, f"compact-{name}")

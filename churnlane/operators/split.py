@@ -23,7 +23,7 @@ from churnlane.sources.tables import KEY
 def hash_split(df: DataFrame, key: str = KEY, train_pct: int = 80,
                salt: str = "") -> tuple[DataFrame, DataFrame]:
     b = hash_bucket(key, salt)
-    return df.where(b < train_pct), df.where(b >= train_pct)
+    return df.where(b < train_pct), df.where((b >= train_pct) | b.isNull())   # NULL keys: test, as in split_xy
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2),

@@ -19,6 +19,7 @@ from churnlane.operators.tree import TreeSpec, leaf_index_column
 from churnlane.functions.columns import range_bucket
 from churnlane.session import default_buckets, pin, shared_dir
 
+SPLIT_RANGES = 4096   # value ranges a feature is cut into unless ``buckets`` says otherwise (cut points are literals)
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
 
 
@@ -27,7 +28,9 @@ def tree_pipeline(features: Sequence[str], label: str, max_depth: int | None = 3
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import StringIndexer, VectorAssembler
-    depth = SPARK_MAX_DEPTH if max_depth is None else min(max_depth, SPARK_MAX_DEPTH)
+    if max_depth is not None and max_depth > SPARK_MAX_DEPTH:
+        raise ValueError(f"max_depth above {SPARK_MAX_DEPTH}, the engine's limit; None asks for that limit")
+    depth = SPARK_MAX_DEPTH if max_depth is None else max_depth
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc",
                       handleInvalid="error"),
@@ -43,7 +46,7 @@ def tree_pipeline(features: Sequence[str], label: str, max_depth: int | None = 3
 
 
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int | None = 3,
-             seed: int = 42, pin_input: bool = True):
+             seed: int = 42, pin_input: bool = True, max_bins: int = 32):
     """Fit and return ``(PipelineModel, classes)``.
 
     The fit reads its input several times (label indexing, split candidates,
@@ -54,7 +57,7 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int
     data = df.select(*features, label)
     if pin_input:
         data = pin(data)
-    model = tree_pipeline(features, label, max_depth, seed).fit(data)
+    model = tree_pipeline(features, label, max_depth, seed, max_bins).fit(data)
     classes = tuple(model.stages[0].labels)
     return model, classes
 
@@ -65,7 +68,7 @@ def leaf_class_counts(tree: TreeSpec, df: DataFrame, label: str) -> TreeSpec:
     One aggregation; only ``leaves x classes`` rows reach the driver.
     """
     rows = (df.select(leaf_index_column(tree).alias("_leaf"), F.col(label).alias("_y"))
-              .where(F.col("_leaf").isNotNull())
+              .where(F.col("_leaf").isNotNull() & F.col(label).isin(*tree.classes))
               .groupBy("_leaf", "_y").agg(F.count(F.lit(1)).alias("_n")).collect())
     counts: dict[int, list[float]] = {}
     for r in rows:
@@ -89,7 +92,7 @@ def best_split(df: DataFrame, features: Sequence[str], label: str, positive: str
     ``features x buckets`` rows, and the window runs within (feature, bucket),
     so no task holds a whole feature's distinct values.
     """
-    n_b = buckets or default_buckets(df.sparkSession)
+    n_b = buckets or min(SPLIT_RANGES, default_buckets(df.sparkSession))
     long = df.select(F.col(label).alias("_y"), *[F.col(f).cast("double").alias(f) for f in features]) \
              .unpivot("_y", list(features), "f", "x")
     g = (long.groupBy("f", "x")
@@ -126,5 +129,5 @@ def best_split(df: DataFrame, features: Sequence[str], label: str, positive: str
     ly, ln, ty, tn = (F.col(x) for x in ("ly", "ln", "ty", "tn"))
     d = lambda e: e.cast("double")
     gini = F.lit(2.0) * (d(ly * (ln - ly)) / d(ln) + d((ty - ly) * ((tn - ln) - (ty - ly))) / d(tn - ln)) / d(tn)
-    s = c.where(ln < tn).select("f", "x", (F.floor(gini * 1000000) / 1000000).alias("gini"))
-    return s.orderBy("gini", "f", "x").limit(1)
+    s = c.where(ln < tn).select("f", "x", gini.alias("exact"))      # rounded in the output only
+    return s.orderBy("exact", "f", "x").limit(1).select("f", "x", (F.floor(F.col("exact") * 1000000) / 1000000).alias("gini"))

@@ -15,7 +15,7 @@ from churnlane.plans import common
 from churnlane.plans.oracle_sql import BPZ, BPZS, bucket, tree_case
 from churnlane.plans.registry import query
 from churnlane.operators.split import hash_split
-from churnlane.session import default_buckets, pin, scratch_path, unique_name
+from churnlane.session import pin, scratch_path, unique_name
 from churnlane.sources.tables import FEATURES, KEY, LABEL, table
 
 
@@ -23,10 +23,9 @@ def churn_feature_table(spark, sf, z=None):
     """Feature table of all prepared rows: key + 4 double features (checked unique key)."""
     name = unique_name("churn_features")
     z = common.z(spark, sf) if z is None else z
-    # bucketed by the key: lookups shuffle only their request side
-    buckets = default_buckets(spark)
+    # not bucketed: AQE can split a hot request key only if both sides are shuffled
     return name, create_feature_table(spark, name, z.select(KEY, *FEATURES), [KEY],
-                                      "churn features per customer", buckets=buckets)
+                                      "churn features per customer")
 
 
 def churn_contract(spark, sf, table_name: str, tenure_cut: float = 1800.0) -> Contract:

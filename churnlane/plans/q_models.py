@@ -102,9 +102,9 @@ c AS (SELECT f, x, sum(y) OVER w ly, sum(n) OVER w ln, sum(y) OVER (PARTITION BY
              sum(n) OVER (PARTITION BY f) tn
       FROM g WINDOW w AS (PARTITION BY f ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 s AS (SELECT f, x, 2.0e0 * (CAST(ly * (ln - ly) AS double) / CAST(ln AS double)
-        + CAST((ty - ly) * ((tn - ln) - (ty - ly)) AS double) / CAST(tn - ln AS double)) / CAST(tn AS double) gini
+        + CAST((ty - ly) * ((tn - ln) - (ty - ly)) AS double) / CAST(tn - ln AS double)) / CAST(tn AS double) exact
       FROM c WHERE ln < tn)
-SELECT f, x, floor(gini * 1000000) / 1000000 AS gini FROM s ORDER BY gini, f, x LIMIT 1""", "FIT-2")
+SELECT f, x, floor(exact * 1000000) / 1000000 AS gini FROM s ORDER BY exact, f, x LIMIT 1""", "FIT-2")
 def q_best_split(spark, sf):
     return best_split(common.z(spark, sf), FEATURES, LABEL, "Yes")
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlane.functions.columns import hash_bucket
 from churnlane.operators.latest import latest_per_key, publish_snapshot
 from churnlane.operators.score import score_requests
 from churnlane.plans import common
-from churnlane.plans.oracle_sql import BPZ, bucket, tree_case
+from churnlane.plans.oracle_sql import BPZ, tree_case
 from churnlane.plans.q_features import churn_contract
 from churnlane.plans.registry import query
 from churnlane.session import scratch_path, unique_name
@@ -16,8 +15,8 @@ from churnlane.sources.tables import FEATURES, KEY, events, table
 
 LATEST_SQL = """
 SELECT user_id, ts, event_id, event_type, value, props FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events WHERE ts IS NOT NULL) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1"""
 
 
 @query("latest_by_key", LATEST_SQL, "AGG-1 WIN-1")
@@ -35,9 +34,9 @@ def q_online_latest(spark, sf):
 
 
 @query("online_score", f"""{BPZ},
-r AS (SELECT CAST(customer_id AS varchar) AS request_key FROM base WHERE {bucket('customer_id')} >= 80
+r AS (SELECT CAST(customer_id AS varchar) AS request_key FROM base
       UNION ALL
-      SELECT c_name FROM customer WHERE c_mktsegment = 'AUTOMOBILE')
+      SELECT c_name FROM customer)
 SELECT request_key, TRY_CAST(request_key AS BIGINT) AS customer_id, senior, tenure, monthly, total,
        {tree_case()} AS prediction
 FROM r LEFT JOIN z ON z.customer_id = TRY_CAST(request_key AS BIGINT)""", "JN-3 FLT-3 G11")
@@ -47,10 +46,10 @@ def q_online_score(spark, sf):
     publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), scratch_path(spark, "online-features"),
                      KEY, table=name)
     snapshot = spark.read.table(name)
-    good = (common.b(spark, sf).where(hash_bucket(KEY) >= 80)
+    good = (common.b(spark, sf)
             .select(F.col(KEY).cast("string").alias("request_key")))
     # requests that carry a name instead of a numeric key (G11): they match nothing
-    junk = (table(spark, sf, "customer").where(F.col("c_mktsegment") == "AUTOMOBILE")
+    junk = (table(spark, sf, "customer")
             .select(F.col("c_name").alias("request_key")))
     req = good.unionByName(junk).withColumn(KEY, F.col("request_key"))
     contract = churn_contract(spark, sf, "unused")

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlane.functions.columns import hash_bucket
 from churnlane.operators.latest import publish_snapshot
 from churnlane.plans import common
-from churnlane.plans.oracle_sql import BPZ, bucket, tree_case
+from churnlane.plans.oracle_sql import BPZ, tree_case
 from churnlane.plans.q_features import churn_contract
 from churnlane.plans.q_online import LATEST_SQL
 from churnlane.plans.registry import query
@@ -35,7 +34,7 @@ def _write_parts(df, path: str) -> int:
 
 def _run_score_stream(spark, sf):
     req_path = scratch_path(spark, "requests")
-    keys = common.b(spark, sf).where(hash_bucket(KEY) >= 80).select(F.col(KEY).cast("string").alias(KEY))
+    keys = common.b(spark, sf).select(F.col(KEY).cast("string").alias(KEY))
     per_trigger = _write_parts(keys, req_path)
     # key-bucketed snapshot table: each micro-batch's join shuffles only its requests
     snap = unique_name("stream_features")
@@ -50,7 +49,7 @@ def _run_score_stream(spark, sf):
 
 @query("stream_score", f"""{BPZ}
 SELECT k.customer_id, senior, tenure, monthly, total, {tree_case()} AS prediction
-FROM (SELECT customer_id FROM base WHERE {bucket('customer_id')} >= 80) k LEFT JOIN z USING (customer_id)""",
+FROM (SELECT customer_id FROM base) k LEFT JOIN z USING (customer_id)""",
        "STR-1 JN-3")
 def q_stream_score(spark, sf):
     out, _ = _run_score_stream(spark, sf)
@@ -60,7 +59,7 @@ def q_stream_score(spark, sf):
 @query("stream_capture", f"""{BPZ}
 SELECT CAST(k.customer_id AS varchar) AS request_id, 'churn_model-1' AS served_model,
        senior, tenure, monthly, total, {tree_case()} AS prediction
-FROM (SELECT customer_id FROM base WHERE {bucket('customer_id')} >= 80) k LEFT JOIN z USING (customer_id)""",
+FROM (SELECT customer_id FROM base) k LEFT JOIN z USING (customer_id)""",
        "STR-3 SNK-7")
 def q_stream_capture(spark, sf):
     _, log = _run_score_stream(spark, sf)

@@ -9,6 +9,7 @@ local temp dir) when the session has none, which is the case in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("CHURNLANE_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("CHURNLANE_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -64,6 +65,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="churnlane-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(d)
@@ -123,19 +126,13 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
     }
 
 
-MAX_DEFAULT_BUCKETS = 4096
-
-
-def default_buckets(spark: SparkSession, cap: int = MAX_DEFAULT_BUCKETS) -> int:
+def default_buckets(spark: SparkSession) -> int:
     """Bucket / range count for key-level tables (feature tables, snapshots)
-    and per-feature value ranges: the shuffle partition count, capped.
-
-    A bucket count is a table property chosen once; key-level tables are far
-    smaller than the inputs ``spark.sql.shuffle.partitions`` is sized for
-    (up to 100k on a large cluster), so 4,096 buckets keep files around
-    256 MB up to ~1 TB tables.  Pass an explicit count for other sizes.
+    and per-feature value ranges: the shuffle partition count, which is sized
+    from the input (``cluster_conf``).  Pass an explicit count where a table
+    is far smaller than that.
     """
-    return max(1, min(cap, int(spark.conf.get("spark.sql.shuffle.partitions", "8"))))
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
 def pin(df):

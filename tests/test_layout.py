@@ -85,3 +85,23 @@ def test_clustered_spreads_exact_copies(spark):
         sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
                  .agg(F.count(F.lit(1)).alias("n")).collect()]
         assert max(sizes) < 0.4 * df.count()
+
+
+def test_compact_keeps_buckets_and_partitions(spark):
+    from churnlane.operators.features import FeatureLookup, create_feature_table, lookup
+    from churnlane.operators.layout import compact, table_layout
+    from churnlane.session import scratch_path, unique_name
+    df = spark.range(0, 1000, 1, 8).selectExpr("id AS k", "id * 2 AS v", "id % 3 AS p", "map('a', id) AS m")
+    b, p = unique_name("compact_bucketed"), unique_name("compact_partitioned")
+    create_feature_table(spark, b, df.drop("m"), ["k"], buckets=4)
+    df.write.partitionBy("p").option("path", scratch_path(spark, "parts")).saveAsTable(p)
+    before = {t: spark.read.table(t).count() for t in (b, p)}
+    files = len(spark.read.table(p).inputFiles())
+    for t in (b, p):
+        compact(spark, t)
+        assert spark.read.table(t).count() == before[t] and spark.read.table(t).agg({"v": "sum"}).first()[0] == 999000
+    assert table_layout(spark, b)[:3] == (4, ["k"], ["k"]) and table_layout(spark, p)[3] == ["p"]
+    assert len(spark.read.table(b).inputFiles()) == 4 and len(spark.read.table(p).inputFiles()) < files
+    joined = lookup(spark, spark.range(1000).withColumnRenamed("id", "k"),
+                    [FeatureLookup.of(b, "k")])
+    assert joined.where("v is null").count() == 0

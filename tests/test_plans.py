@@ -82,7 +82,7 @@ def test_online_lookup_reads_the_snapshot_bucketed(spark):
     try:
         name = unique_name("plan_snap")
         publish_snapshot(common.z(spark, SF_SMALL).select("customer_id", *FEATS),
-                         scratch_path(spark, "plan-snap"), "customer_id", table=name)
+                         scratch_path(spark, "plan-snap"), "customer_id", table=name, buckets=8)
         req = common.b(spark, SF_SMALL).select(F.col("customer_id").cast("string").alias("customer_id"))
         out = score_requests(spark, churn_contract(spark, SF_SMALL, "unused"), req,
                              spark.read.table(name), "customer_id")
@@ -93,14 +93,16 @@ def test_online_lookup_reads_the_snapshot_bucketed(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_feature_lookup_reads_the_feature_table_bucketed(spark):
-    import __spark_entry__ as E
+def test_feature_lookup_reads_a_bucketed_feature_table_in_place(spark):
+    from churnlane.operators.features import FeatureLookup, create_feature_table, lookup
     old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     for k in old:
         spark.conf.set(k, "-1")                                        # the large-table plan
     try:
-        p = plan(E.queries()["score_batch"](spark, SF_SMALL))
+        name = unique_name("plan_ft")
+        create_feature_table(spark, name, common.z(spark, SF_SMALL).select("customer_id", *FEATS), ["customer_id"], buckets=8)
+        p = plan(lookup(spark, common.b(spark, SF_SMALL).select("customer_id"), [FeatureLookup.of(name, "customer_id")]))
         assert "SortMergeJoin" in p and "Bucketed: true" in p
         assert p.count("Exchange hashpartitioning") == 1               # only the request keys move
     finally:
@@ -110,7 +112,47 @@ def test_feature_lookup_reads_the_feature_table_bucketed(spark):
 
 def test_key_check_on_a_bucketed_feature_table_needs_no_shuffle(spark):
     from churnlane.operators.features import key_violations
-    from churnlane.plans.q_features import churn_feature_table
-    name, _ = churn_feature_table(spark, SF_SMALL)
+    from churnlane.operators.features import create_feature_table
+    name = unique_name("plan_ft")
+    create_feature_table(spark, name, common.z(spark, SF_SMALL).select("customer_id", *FEATS), ["customer_id"], buckets=8)
     p = plan(key_violations(spark.read.table(name), ["customer_id"]))
     assert "Bucketed: true" in p and "Exchange" not in p
+
+
+def _largest_task(df):
+    n = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    return n[-1], sum(n)
+
+
+def test_a_hot_request_key_is_split(spark):
+    """Half of the requests ask for one key: no task gets more than a quarter of the rows, bucketed or not."""
+    from churnlane.operators.features import FeatureLookup, create_feature_table, lookup
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    feats = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("g"), F.rand(1).alias("x"))
+    req = spark.range(0, 200_000, 1, 16).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 2000).alias("k"), F.rand(2).alias("v")) \
+        .withColumn("g", F.col("k") % 7)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plain, bucketed = unique_name("hot_plain"), unique_name("hot_bucketed")
+        create_feature_table(spark, plain, feats.drop("g"), ["k"])
+        create_feature_table(spark, bucketed, feats.drop("g"), ["k"], buckets=8)
+        both = unique_name("hot_both")
+        create_feature_table(spark, both, feats, ["k", "g"], buckets=8)
+        for name, keys, fraction in ((plain, ["k"], None), (bucketed, ["k"], 0.01), (both, ["k", "g"], 0.01)):
+            out = lookup(spark, req, [FeatureLookup.of(name, keys)], skew_fraction=fraction)
+            most, rows = _largest_task(out)
+            assert rows == 200_000 and most <= rows / 4, (name, most)
+            assert out.where("x is null").count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_null_key_is_in_exactly_one_part(spark):
+    from churnlane.operators.split import hash_split
+    a, b = hash_split(spark.createDataFrame([(1,), (2,), (None,)], "customer_id bigint"))
+    assert a.count() + b.count() == 3 and b.where("customer_id is null").count() == 1

@@ -30,10 +30,9 @@ def test_latest_per_key_matches_brute_force(spark, rows):
            for r in latest_per_key(df, "user_id", "ts", "event_id").collect()}
     want = {}
     for i, k, ts, v in data:
-        if ts is None:
-            continue
-        if k not in want or (ts, i) > want[k][0]:
-            want[k] = ((ts, i), (i, v))
+        order = (ts is not None, ts or 0, i)
+        if k not in want or order > want[k][0]:
+            want[k] = (order, (i, v))
     assert got == {k: x[1] for k, x in want.items()}
 
 

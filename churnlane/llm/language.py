@@ -186,10 +186,12 @@ def fit(spark: SparkSession, labelled: DataFrame, text: Column, lang: Column, ke
         vocabulary: str = VOCABULARY, per_lang: int = SAMPLE_PER_LANG, rounds: int = ROUNDS) -> LanguageModel:
     """Fit on ``labelled``'s rows with a language, ``per_lang`` of each language at most (smallest hash of ``key``)."""
     ship()
-    rows = labelled.select(lang.alias("lang"), F.xxhash64(key, text).alias("h"), text.alias("text")).filter(
-        "lang is not null and text is not null")
-    first = Window.partitionBy("lang").orderBy("h")
-    sample = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang).select("lang", "text")
+    place = (F.xxhash64(key).bitwiseAND((1 << 62) - 1) / float(1 << 62)).alias("place")      # uniform in [0, 1)
+    rows = labelled.select(lang.alias("lang"), place, text.alias("text")).filter("lang is not null and text is not null")
+    totals = stage(rows.groupBy("lang").agg((F.lit(1.5 * per_lang) / F.count("*")).alias("share")), "lid-langs")
+    first = Window.partitionBy("lang").orderBy("place")          # over some 1.5 samples a language
+    sample = (rows.join(F.broadcast(totals), "lang").filter("place < share")
+              .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang).select("lang", "text"))
 
     def count(batches):
         for pdf in batches:

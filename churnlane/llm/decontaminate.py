@@ -20,17 +20,20 @@ an empty benchmark hits nothing; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import small, stage, word_text
+from churnlane.llm.common import MAX_BROADCAST_ROWS, free_name, small, stage, word_text
 
 WINDOW = 13
-MAX_BROADCAST_ROWS = 500_000
 #: A document is contaminated if it has a hit and at least one word in SHARE is hit.
 SHARE = 20
 
 
+def _sha(text_col: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+
+
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """(item, text, len): the distinct windows of every item."""
     words = F.split(word_text(F.col(text_col)), " ")
@@ -43,17 +46,13 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  carry: bool = False) -> DataFrame:
-    """One row per row of ``docs``: rid, id, n_words, n_hit, items (sorted strings), contaminated.
-
-    ``carry`` adds the whole input row as the struct ``row``.
-    """
+                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """One row per row of ``docs``: rid, id, sha (of the text), n_words, n_hit, items (sorted strings), contaminated."""
     norm = word_text(F.col(text_col))
     n_words = F.when(F.col("norm") == "", F.lit(0)).otherwise(
         F.length("norm") - F.length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1)
-    rows = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), norm.alias("norm"),
-                             *([F.struct("*").alias("row")] if carry else []))
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), _sha(text_col).alias("sha"),
+                             norm.alias("norm"))
                  .withColumn("n_words", n_words.cast("long")), "decon-rows")
     owned = stage(item_windows(benchmark, item_col, item_text_col, window)
                   .withColumn("class", F.md5("text")), "decon-items")
@@ -81,7 +80,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     asked = stage(candidates.groupBy("rid").agg(F.collect_list("c").alias("asked")), "decon-candidates")
 
     # Verification: a window's words against the document's words from the start it would have.
-    checked = rows.select("rid", F.split("norm", " ").alias("w")).join(asked, "rid").select(
+    texts = rows.select("rid", "norm").join(small(asked.select("rid"), asked.count()), "rid", "left_semi")
+    checked = texts.select("rid", F.split("norm", " ").alias("w")).join(asked, "rid").select(
         "rid", F.filter("asked", lambda c: F.array_join(
             F.slice(F.col("w"), c["start"] + 1, c["len"]), " ") == c["text"]).alias("found")).filter("size(found) > 0")
     spans = F.array_sort(F.transform("found", lambda c: F.struct(c["start"].alias("a"), (c["start"] + c["len"]).alias("b"))))
@@ -96,12 +96,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     none = F.array().cast("array<string>")
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return rows.drop("norm").join(result, "rid", "left").select(
-        "rid", "id", "n_words", hit.alias("n_hit"), F.coalesce("items", none).alias("items"),
-        ((hit > 0) & (SHARE * hit >= F.col("n_words"))).alias("contaminated"), *(["row"] if carry else []))
+        "rid", "id", "sha", "n_words", hit.alias("n_hit"), F.coalesce("items", none).alias("items"),
+        ((hit > 0) & (SHARE * hit >= F.col("n_words"))).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` without its contaminated rows, all columns as they were."""
-    return (contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window, carry=True)
-            .filter("not contaminated").select("row.*"))
+    """``docs`` without its contaminated rows, all columns as they were.
+
+    Contamination depends on the text alone, so the contaminated texts' hashes decide.
+    """
+    judged = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window)
+    bad = stage(judged.filter("contaminated").select("sha").distinct(), "decon-drop")
+    sha = free_name(docs, "sha")
+    return docs.withColumn(sha, _sha(text_col)).join(
+        small(bad.withColumnRenamed("sha", sha), bad.count()), sha, "left_anti").select(*docs.columns)

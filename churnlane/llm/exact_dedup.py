@@ -24,10 +24,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import ship, stage
+from churnlane.llm.common import ship, small, stage
 
 BLOCK_BITS = 20            # at most 1,048,576 rows in a block
 OWNER_ROWS = 8_000_000     # fingerprints an owner holds, about (64 MB of numbers)
@@ -121,22 +121,13 @@ def fingerprint_suspects(rows: DataFrame, owners: int) -> DataFrame:
     return thin.groupBy("block").cogroup(bitmaps.groupBy("block")).applyInPandas(_mark(owners), "rid long")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 owner_rows: int = OWNER_ROWS, carry: bool = False) -> DataFrame:
-    """One row per row of ``docs``: rid, id, keep_id, group_size, kept, text_sha256.
-
-    ``carry`` adds the whole input row as the struct ``row``.
-    """
-    spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = stage(docs.select(
-        F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.xxhash64(text).alias("fp"),
-        F.sha2(text, 256).alias("sha"), F.struct("*").alias("row") if carry else text.alias("body")), "exact-rows")
-    body = F.coalesce(F.col("row")[text_col], F.lit("")) if carry else F.col("body")
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def _groups(rows: DataFrame, body: Column, owner_rows: int) -> DataFrame:
+    """Staged (rid, id, fp, sha) and its text -> rid, id, sha, group (size and keeper; null for a lone text)."""
+    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     n = rows.count()
     owners = max(1, -(-n // owner_rows), min(slots, n // 4096))
     suspects = stage(fingerprint_suspects(rows.select("rid", "fp"), owners), "exact-suspects")
+    suspects = small(suspects, suspects.count())
 
     # Only suspects' texts move; grouping by the text itself compares the bytes.
     verified = (rows.select("rid", "fp", body.alias("body")).join(suspects, "rid", "left_semi")
@@ -145,13 +136,31 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keepers = (rows.select("rid", "id", "sha").join(suspects, "rid", "left_semi")
                .groupBy("sha").agg(F.max(F.struct("id", "rid")).alias("keep")))
     groups = stage(verified.join(keepers, "sha"), "exact-groups")
-    kept = F.coalesce(F.col("keep.rid") == F.col("rid"), F.lit(True))
-    return (rows.select("rid", "id", "sha", *(["row"] if carry else [])).join(groups, "sha", "left")
-            .select("rid", "id", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep.id")).alias("keep_id"),
-                    F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), kept.alias("kept"),
-                    F.col("sha").alias("text_sha256"), *(["row"] if carry else [])))
+    return rows.select("rid", "id", "sha").join(groups, "sha", "left")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 owner_rows: int = OWNER_ROWS) -> DataFrame:
+    """One row per row of ``docs``: rid, id, keep_id, group_size, kept, text_sha256."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = stage(_prints(docs, text, F.col(id_col), text.alias("body")), "exact-rows")
+    lone = F.col("group_size").isNull()
+    return _groups(rows, F.col("body"), owner_rows).select(
+        "rid", "id", F.when(lone, F.col("id")).otherwise(F.col("keep.id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (lone | (F.col("keep.rid") == F.col("rid"))).alias("kept"), F.col("sha").alias("text_sha256"))
+
 
+def _prints(docs: DataFrame, text: Column, id_: Column, *more: Column) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("rid"), id_.alias("id"), F.xxhash64(text).alias("fp"),
+                       F.sha2(text, 256).alias("sha"), *more)
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      owner_rows: int = OWNER_ROWS) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    return exact_groups(docs, id_col, text_col, carry=True).filter("kept").select("row.*")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = stage(_prints(docs, text, F.col(id_col), F.struct("*").alias("row")), "exact-rows")
+    groups = _groups(rows, F.coalesce(F.col("row")[text_col], F.lit("")), owner_rows)
+    dropped = stage(groups.filter("keep.rid <> rid").select("rid"), "exact-dropped")
+    return rows.select("rid", "row").join(small(dropped, dropped.count()), "rid", "left_anti").select("row.*")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import ship, stage
+from churnlane.llm.common import ship, small, stage
 from churnlane.llm.components import connected_components
 
 BITS, BLOCKS, SHINGLE, MAX_BITS, SEED = 64, 6, 3, 2, 42
@@ -152,6 +152,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     prints = stage(fingerprints(rows.select("rid", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text")),
                                 words), "simhash")
     grouped = _grouped(prints, max_bits)
-    keep = (grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("first"))
-            .select(F.col("first.rid").alias("rid")))
-    return rows.join(keep, "rid", "left_semi").select("row.*")
+    keep = stage(grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("first"))
+                 .select("root", F.col("first.rid").alias("keep")), "near-keep")
+    dropped = stage(grouped.select("rid", "root").join(keep, "root").filter("rid <> keep").select("rid"), "near-dropped")
+    return rows.join(small(dropped, dropped.count()), "rid", "left_anti").select("row.*")

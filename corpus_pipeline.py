@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlane.llm.common import read, stage
+from churnlane.llm.common import discard, read, recorded, stage
 from churnlane.llm.decontaminate import drop_contaminated
 from churnlane.llm.exact_dedup import drop_exact_copies
 from churnlane.llm.language import drop_unidentified
@@ -18,29 +18,41 @@ from churnlane.llm.mixing import mixed_rows
 from churnlane.llm.simhash import drop_near_copies
 
 
+_staged: dict[int, list[str]] = {}      # scratch folders of the last call of each stage
+
+
+def _call(k: int, spark: SparkSession, operator, *args) -> DataFrame:
+    """Runs stage ``k``; what it reads was written out, so its predecessor's scratch can go."""
+    discard(spark, _staged.pop(k - 1, []))
+    with recorded() as paths:
+        out = operator(*args)
+    _staged[k] = paths
+    return out
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told."""
-    return drop_unidentified(docs)
+    return _call(0, spark, drop_unidentified, docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the largest doc_id of each group of equal texts."""
-    return drop_exact_copies(docs)
+    return _call(1, spark, drop_exact_copies, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest doc_id of each SimHash component."""
-    return drop_near_copies(docs)
+    return _call(2, spark, drop_near_copies, docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the benchmark contaminates."""
-    return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+    return _call(3, spark, drop_contaminated, docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes documents to the target weights of the production mix."""
-    return mixed_rows(docs)
+    return _call(4, spark, mixed_rows, docs)
 
 
 STAGES = [

@@ -29,7 +29,7 @@ def test_matches_oracle(spark, con, name):
 @pytest.mark.parametrize("name,table", [("op2_secret_scan", "documents"), ("op3_wrapper_extract", "pages"), ("op4_pseudonyms", "documents"),
                                         ("op9_simhash", "documents"), ("op10_license_scan", "documents"), ("op7_language_id", "documents")])
 def test_one_row_each(spark, con, name, table):
-    assert queries.QUERIES[name](spark, SF_SMALL).count() == con.sql(f"SELECT count(*) FROM {table}").fetchone()[0]
+    assert queries.QUERIES[name](spark, SF_SMALL).count() == con.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
 
 
 def test_ten_operators_and_a_pipeline():

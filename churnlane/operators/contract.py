@@ -4,7 +4,9 @@ A stored model version is a directory holding
   ``contract.json`` – input schema (ordered features and types), label,
                       classes, result type, the feature lookups the model was
                       trained with, and the tree spec (for native scoring);
-  ``model/``        – the saved ``pyspark.ml`` PipelineModel, when there is one.
+  ``model/``        – the saved ``pyspark.ml`` PipelineModel, when there is one;
+  ``user_model``    – a pickled object with ``predict(pdf)``, when there is one
+                      (loading it runs its code: load only from a trusted store).
 
 The registry itself (names, integer versions, lower-cased aliases) is a
 small JSON map next to the versions: control-plane data, never row data.
@@ -12,15 +14,18 @@ small JSON map next to the versions: control-plane data, never row data.
 
 from __future__ import annotations
 
+import base64
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from churnlane.operators.features import FeatureLookup
+from churnlane.session import ship
 from churnlane.sources import control
 from churnlane.operators.tree import TreeSpec
 
@@ -38,6 +43,7 @@ class Contract:
     lookups: tuple[FeatureLookup, ...] = ()
     key: str | None = None
     tree: TreeSpec | None = None
+    outputs: StructType | None = None         # output signature; of a user model the columns it returns
     extra: dict = field(default_factory=dict, compare=False)
 
     @property
@@ -51,6 +57,7 @@ class Contract:
             "result_type": self.result_type,
             "lookups": [fl.to_dict() for fl in self.lookups], "key": self.key,
             "tree": json.loads(self.tree.to_json()) if self.tree else None,
+            "outputs": json.loads(self.outputs.json()) if self.outputs else None,
             "extra": self.extra})
 
     @staticmethod
@@ -60,7 +67,8 @@ class Contract:
             StructType.fromJson(d["input_schema"]), d.get("label"), tuple(d.get("classes") or ()),
             d.get("result_type", "string"),
             tuple(FeatureLookup.from_dict(x) for x in d.get("lookups") or ()), d.get("key"),
-            TreeSpec.from_json(json.dumps(d["tree"])) if d.get("tree") else None, d.get("extra") or {})
+            TreeSpec.from_json(json.dumps(d["tree"])) if d.get("tree") else None,
+            StructType.fromJson(d["outputs"]) if d.get("outputs") else None, d.get("extra") or {})
 
 
 def capture_schema(df: DataFrame, features: Sequence[str]) -> StructType:
@@ -130,13 +138,21 @@ class ModelStore:
         self._write_text(f"{self.root}/{name}/registry-head", str(reg["generation"]))
 
     def log_model(self, name: str, contract: Contract, pipeline_model=None,
-                  aliases: Sequence[str] = ()) -> int:
-        """Store a new version (integer, one above the highest) and point ``aliases`` at it."""
+                  aliases: Sequence[str] = (), user_model=None) -> int:
+        """Store a new version (integer, one above the highest) and point ``aliases`` at it.
+
+        A ``user_model`` needs ``contract.outputs``, the columns it returns.
+        """
+        if user_model is not None and contract.outputs is None:
+            raise ContractError("a user model needs its output signature")
         reg = self._registry(name)
         version = max([int(v) for v in reg["versions"]] or [0]) + 1
         d = f"{self.root}/{name}/{version}"
         if pipeline_model is not None:
             pipeline_model.write().overwrite().save(f"{d}/model")
+        if user_model is not None:
+            ship()
+            self._write_text(f"{d}/user_model", base64.b64encode(cloudpickle.dumps(user_model)).decode())
         self._write_text(f"{d}/contract", contract.to_json())
         reg["versions"].append(str(version))
         for a in aliases:
@@ -169,3 +185,6 @@ class ModelStore:
     def load_pipeline(self, uri: str):
         from pyspark.ml import PipelineModel
         return PipelineModel.load(f"{self.resolve(uri)}/model")
+
+    def load_user_model(self, uri: str):
+        return cloudpickle.loads(base64.b64decode(self._read_text(f"{self.resolve(uri)}/user_model")))

@@ -76,7 +76,8 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
        sort: each task folds its records into one buffer row.
 
     ``stack`` turns the single wide row into one row per column.  Numeric
-    min/max land in ``min_num``/``max_num`` (double), text ones in
+    min/max land in ``min_num``/``max_num`` (double), those of integral and
+    decimal columns also, exactly, in ``min_exact``/``max_exact``; text ones in
     ``min_text``/``max_text``.
     """
     cols = list(columns or df.columns)
@@ -94,18 +95,21 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         hit = F.col("k") == k
         v = F.col(sl) if sl != "s" or not isinstance(types[c], T.DecimalType) else F.col("s").cast(types[c])
         numeric = isinstance(types[c], T.NumericType)
+        exact = numeric and sl != "d"
         none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
         aggs += [F.min(F.when(hit, v)).cast("double").alias(f"mnn{k}") if numeric else none_d.alias(f"mnn{k}"),
                  F.max(F.when(hit, v)).cast("double").alias(f"mxn{k}") if numeric else none_d.alias(f"mxn{k}"),
+                 F.min(F.when(hit, v)).cast("string").alias(f"mne{k}") if exact else none_s.alias(f"mne{k}"),
+                 F.max(F.when(hit, v)).cast("string").alias(f"mxe{k}") if exact else none_s.alias(f"mxe{k}"),
                  none_s.alias(f"mnt{k}") if numeric else F.min(F.when(hit, v)).alias(f"mnt{k}"),
                  none_s.alias(f"mxt{k}") if numeric else F.max(F.when(hit, v)).alias(f"mxt{k}"),
                  F.coalesce(F.sum(F.when(hit & v.isNotNull(), F.col("n"))), F.lit(0)).alias(f"nn{k}"),
                  F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias(f"rows{k}"),
                  F.count(F.when(hit, v)).alias(f"nd{k}")]
-    parts = ", ".join(f"'{c}', mnn{k}, mxn{k}, mnt{k}, mxt{k}, nn{k}, rows{k} - nn{k}, nd{k}"
+    parts = ", ".join(f"'{c}', mnn{k}, mxn{k}, mne{k}, mxe{k}, mnt{k}, mxt{k}, nn{k}, rows{k} - nn{k}, nd{k}"
                       for k, c in enumerate(cols))
     return vals.agg(*aggs).selectExpr(
-        f"stack({len(cols)}, {parts}) AS (col_name, min_num, max_num, min_text, max_text, "
+        f"stack({len(cols)}, {parts}) AS (col_name, min_num, max_num, min_exact, max_exact, min_text, max_text, "
         "non_null, num_nulls, distinct_count)")
 
 

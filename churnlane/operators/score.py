@@ -5,7 +5,8 @@ so scoring is a projection inside whole-stage codegen with no Python worker.
 For opaque models the same contract runs through Arrow batches: a
 ``pandas_udf`` over a struct (SCO-2), a struct-returning ``pandas_udf`` for
 several outputs (SCO-3), or ``mapInPandas`` for a user class that sees whole
-batches (SCO-4).  All four agree on the same tree; tests check it.
+batches (SCO-4).  All four agree on the same tree, NULL and NaN features
+included (both are missing); a query and tests check it.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlane.operators.contract import Contract, conform
+from churnlane.operators.contract import Contract, ModelStore, conform
 from churnlane.operators.features import coerce_key, join_hot_split, lookup
 from churnlane.operators.tree import (TreeSpec, predict_column, predict_numpy,
                                       probability_columns, proba_numpy)
+from churnlane.session import ship
 
 
 def _positional(tree: TreeSpec, cols: Sequence[str]) -> TreeSpec:
@@ -47,6 +49,7 @@ def score_columns(df: DataFrame, tree: TreeSpec, cols: Sequence[str] | None = No
 
 def struct_udf(tree: TreeSpec) -> Callable[[Column], Column]:
     """Arrow UDF ``f(struct(features)) -> string`` for an opaque model (SCO-2)."""
+    ship()
     feats = list(tree.features)
 
     @F.pandas_udf(T.StringType())
@@ -70,6 +73,7 @@ def score_multi(df: DataFrame, tree: TreeSpec, prefix: str = "prob_") -> DataFra
 
 def multi_udf(tree: TreeSpec, prefix: str = "prob_") -> Callable[[Column], Column]:
     """The same three outputs from an Arrow UDF returning a struct (opaque models)."""
+    ship()
     feats = list(tree.features)
     fields = [T.StructField(f"{prefix}{c}", T.DoubleType()) for c in tree.classes]
     fields.append(T.StructField("prediction", T.StringType()))
@@ -84,35 +88,80 @@ def multi_udf(tree: TreeSpec, prefix: str = "prob_") -> Callable[[Column], Colum
     return predict
 
 
-def score_map(df: DataFrame, tree: TreeSpec, out: str = "prediction") -> DataFrame:
+def _schema_of(outputs: T.StructType | str, out: str) -> T.StructType:
+    """Output columns of a model: a struct as it is, or one column ``out`` of a type."""
+    return outputs if isinstance(outputs, T.StructType) else T.StructType.fromDDL(f"`{out}` {outputs}")
+
+
+def score_map(df: DataFrame, model, features: Sequence[str] | None = None,
+              outputs: T.StructType | str = "string", out: str = "prediction") -> DataFrame:
     """A user model that sees whole Arrow batches (SCO-4) via ``mapInPandas``.
 
-    The model object is built once per task and applied batch by batch; the
-    output schema is the input schema plus the prediction.
+    ``model`` is a ``TreeSpec`` or any object with ``predict(pdf)`` that takes
+    a frame of ``features`` and returns one value a row (a Series, array or
+    list) or a frame with the columns of ``outputs``; post-processing is the
+    object's own affair.  An optional ``load()`` runs once per task.  The
+    result is the input with the outputs; columns of their names are replaced.
     """
-    feats = list(tree.features)
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
+    ship()
+    feats = list(features or model.features)
+    added = _schema_of(outputs, out)
+    names = {f.name.lower() for f in added.fields}
+    kept = [f for f in df.schema.fields if f.name.lower() not in names]
+    schema = T.StructType(kept + added.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = tree  # "load once per task"
+        if hasattr(model, "load"):
+            model.load()
         for b in batches:
-            x = b[feats].to_numpy(dtype=float, na_value=np.nan)
-            b[out] = pd.Series(predict_numpy(model, x), index=b.index, dtype=object)
-            yield b
+            if isinstance(model, TreeSpec):
+                got = predict_numpy(model, b[feats].to_numpy(dtype=float, na_value=np.nan))
+            else:
+                got = model.predict(b[feats])
+            res = b[[f.name for f in kept]].copy()
+            for f in added.fields:
+                values = got[f.name] if isinstance(got, pd.DataFrame) else got
+                res[f.name] = pd.Series(np.asarray(values), index=b.index,
+                                        dtype=object if isinstance(f.dataType, T.StringType) else None)
+            yield res
     return df.mapInPandas(run, schema)
 
 
+def score_stored(spark: SparkSession, store: ModelStore, uri: str, df: DataFrame,
+                 result_type: str | None = None, out: str = "prediction") -> DataFrame:
+    """Score ``df`` with the stored model ``uri`` (``name@alias`` or ``name/version``), appending its outputs.
+
+    The path follows from what was stored, not from its size: a tree compiles
+    natively, a user object runs over Arrow batches, a fitted pipeline
+    transforms.  ``result_type`` casts a single output.
+    """
+    contract = store.load_contract(uri)
+    if contract.tree is not None:
+        return df.withColumn(out, predict_column(contract.tree).cast(result_type or contract.result_type))
+    if contract.outputs is not None:
+        scored = score_map(df, store.load_user_model(uri), contract.features, contract.outputs)
+        names = contract.outputs.fieldNames()
+        return scored.withColumn(names[0], F.col(names[0]).cast(result_type)) if result_type and len(names) == 1 else scored
+    from churnlane.operators.train import transform_labels
+    rows = transform_labels(store.load_pipeline(uri), df, contract.features, contract.classes, out)
+    return rows.withColumn(out, F.col(out).cast(result_type or contract.result_type))
+
+
 def score_batch(spark: SparkSession, contract: Contract, keys: DataFrame,
                 result_type: str | None = None, out: str = "prediction",
-                skew_fraction: float | None = None) -> DataFrame:
+                skew_fraction: float | None = None, store: ModelStore | None = None,
+                uri: str | None = None) -> DataFrame:
     """Keys -> features from the model's own lookups -> prediction (JN-2, CTR-3).
 
     Left join: a key with no features keeps a NULL prediction.  Pass
-    ``skew_fraction`` when the key side may repeat one key very often.
+    ``skew_fraction`` when the key side may repeat one key very often, and
+    ``store`` with ``uri`` for a model that is no tree (``score_stored``).
     """
-    if contract.tree is None:
-        raise ValueError("score_batch needs a tree contract")
     feats = lookup(spark, keys, contract.lookups, "left", skew_fraction)
+    if contract.tree is None:
+        if store is None or uri is None:
+            raise ValueError("a contract without a tree needs the store and the model's URI")
+        return score_stored(spark, store, uri, feats, result_type, out)
     pred = predict_column(contract.tree).cast(result_type or contract.result_type)
     return feats.withColumn(out, pred)
 

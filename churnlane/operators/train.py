@@ -14,10 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from churnlane.operators.tree import TreeSpec, leaf_index_column
+from churnlane.operators.contract import Contract, capture_schema
+from churnlane.operators.tree import TreeSpec, from_saved_model, leaf_index_column, missing
 from churnlane.functions.columns import range_bucket
-from churnlane.session import default_buckets, pin, shared_dir
+from churnlane.session import default_buckets, pin, scratch_path, shared_dir
 
 SPLIT_RANGES = 4096   # value ranges a feature is cut into unless ``buckets`` says otherwise (cut points are literals)
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
@@ -62,6 +64,36 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int
     return model, classes
 
 
+def fit_and_log(store, name: str, training: DataFrame, features: Sequence[str], label: str,
+                max_depth: int | None = 3, seed: int = 42, lookups: Sequence = (), key: str | None = None,
+                aliases: Sequence[str] = ()):
+    """Fit, store and name a model in one step, with or without feature lookups (FIT-3).
+
+    The stored contract has the input and output signatures, the lookups and
+    the compiled tree.  Returns ``(model, contract, version)``.
+    """
+    model, classes = fit_tree(training, features, label, max_depth, seed)
+    spark = training.sparkSession
+    path = scratch_path(spark, "fitted")
+    model.write().overwrite().save(path)
+    contract = Contract(capture_schema(training, features), label, classes, "string", tuple(lookups), key,
+                        from_saved_model(spark, path, features, classes), T.StructType().add("prediction", "string"))
+    return model, contract, store.log_model(name, contract, model, aliases)
+
+
+def transform_labels(model, df: DataFrame, features: Sequence[str], classes: Sequence[str],
+                     out: str = "prediction") -> DataFrame:
+    """``df`` with the fitted pipeline's label in ``out``; rows with a missing feature get NULL.
+
+    The assembler keeps such rows (its NaN would take a branch), so the label
+    is masked by the rule that native scoring has.
+    """
+    label_of = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
+    label = F.when(~missing(features), label_of)
+    rows = df.drop("prediction", "probability", "rawPrediction")
+    return model.transform(rows).select(*rows.columns, label.alias(out))
+
+
 def leaf_class_counts(tree: TreeSpec, df: DataFrame, label: str) -> TreeSpec:
     """Re-estimate leaf class counts of a fixed-structure tree from ``df``.
 

@@ -11,7 +11,8 @@ no Python worker, whole-stage codegen, and Catalyst prunes every column the
 tree does not test.  Trees beyond ``MAX_INLINE_NODES`` nodes become a
 fixed-size walk over literal node arrays instead (``aggregate`` over
 ``depth`` steps), so planning cost does not grow with the tree.  Spark trees go left on ``x <= threshold``; a NULL feature
-takes neither branch, so any NULL input yields a NULL prediction.
+takes neither branch, so any NULL input yields a NULL prediction; NaN counts as
+missing too, on this path as on every other.
 
 ``predict_numpy`` evaluates the same spec on numpy arrays for the Arrow
 (pandas UDF / mapInPandas) paths used with opaque models.
@@ -127,13 +128,12 @@ class TreeSpec:
 MAX_INLINE_NODES = 255
 
 
-def _null_guard(tree: TreeSpec) -> Column:
-    """NULL in any declared input feature -> NULL output (not only the tested ones)."""
-    cond = None
-    for f in tree.features:
-        c = F.col(f).isNull()
-        cond = c if cond is None else (cond | c)
-    return cond if cond is not None else F.lit(False)
+def missing(features: Sequence[str]) -> Column:
+    """NULL or NaN in any of ``features``: such a row has no prediction, whatever scores it."""
+    cond = F.lit(False)
+    for f in features:
+        cond = cond | F.col(f).isNull() | F.isnan(F.col(f).cast("double"))
+    return cond
 
 
 def _node_count(n: Node) -> int:
@@ -196,7 +196,7 @@ def _guarded(tree: TreeSpec, leaf_value, cast: str) -> Column:
         body = _compile(tree.root, leaf_value, [0], cast)
     else:
         body = _walk(tree, leaf_value, cast)
-    return F.when(_null_guard(tree), F.lit(None).cast(cast)).otherwise(body)
+    return F.when(missing(tree.features), F.lit(None).cast(cast)).otherwise(body)
 
 
 def predict_column(tree: TreeSpec) -> Column:

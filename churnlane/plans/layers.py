@@ -13,11 +13,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from churnlane.operators.contract import ModelStore
 from churnlane.operators.prepare import prepare
-from churnlane.operators.score import struct_udf
-from churnlane.operators.tree import TreeSpec
+from churnlane.operators.score import score_stored
 from churnlane.sources.files import scan_csv
 from churnlane.sources.sinks import materialize
 from churnlane.sources.tables import FEATURES, KEY
@@ -35,25 +34,26 @@ class Layer:
     quality: str
 
 
-def churn_layers(tree: TreeSpec) -> list[Layer]:
-    udf = struct_udf(tree)
+def churn_layers(store: ModelStore, names: tuple[str, str, str] = ("bronze", "silver", "gold"),
+                 comments: tuple[str, str, str] = ("", "", "")) -> list[Layer]:
+    """The flow's layers; gold scores with the model that ``CONF_MODEL`` names in ``store``."""
+    raw_name, feature_name, scored_name = names
 
     def bronze(spark, up):
         return scan_csv(spark, spark.conf.get(CONF_PATH))
 
     def silver(spark, up):
-        raw = spark.read.table(up["raw_inputs"])
+        raw = spark.read.table(up[raw_name])
         sel = [KEY, *FEATURES]
         # completeness only over the selected columns (G3)
         return prepare(raw.select(*sel), ["senior", "tenure", "total"], subset=sel)
 
     def gold(spark, up):
-        feats = spark.read.table(up["features_input"])
-        return feats.withColumn("prediction", udf(F.struct(*[F.col(f) for f in FEATURES])))
+        return score_stored(spark, store, spark.conf.get(CONF_MODEL), spark.read.table(up[feature_name]))
 
-    return [Layer("raw_inputs", bronze, (), "Raw inputs table", "bronze"),
-            Layer("features_input", silver, ("raw_inputs",), "Features table", "silver"),
-            Layer("model_predictions", gold, ("features_input",), "Inference table", "gold")]
+    return [Layer(raw_name, bronze, (), comments[0], "bronze"),
+            Layer(feature_name, silver, (raw_name,), comments[1], "silver"),
+            Layer(scored_name, gold, (feature_name,), comments[2], "gold")]
 
 
 def run_layers(spark: SparkSession, layers: list[Layer], prefix: str,

@@ -1,7 +1,10 @@
-"""Queries: the bronze/silver/gold flow (PIPE-1, SNK-5, SRC-2, FLT-2, SCO-2)."""
+"""Queries: the bronze/silver/gold flow (PIPE-1, SNK-5, SRC-2, FLT-2, SCO-1)."""
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
+from churnlane.operators.contract import Contract, ModelStore
 from churnlane.operators.tree import fixed_tree
 from churnlane.plans import common
 from churnlane.plans.layers import CONF_MODEL, CONF_PATH, churn_layers, run_layers
@@ -9,6 +12,7 @@ from churnlane.plans.oracle_sql import BASE, P, tree_case, with_ctes
 from churnlane.plans.registry import query
 from churnlane.session import scratch_path, unique_name
 from churnlane.sources.files import write_csv
+from churnlane.sources.tables import FEATURES
 
 _SILVER = f"""{with_ctes(BASE, P)},
 s AS (SELECT CAST(customer_id AS INTEGER) AS customer_id, senior, tenure, monthly, total FROM p
@@ -20,8 +24,11 @@ def _run(spark, sf, until):
     path = scratch_path(spark, "bronze-csv")
     write_csv(common.b(spark, sf), path)          # the raw file the flow starts from
     spark.conf.set(CONF_PATH, path)
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in FEATURES])
+    store.log_model("churn_model", Contract(schema, tree=fixed_tree()), aliases=["layered"])
     spark.conf.set(CONF_MODEL, "churn_model@layered")
-    names = run_layers(spark, churn_layers(fixed_tree()), unique_name("flow"), until)
+    names = run_layers(spark, churn_layers(store), unique_name("flow"), until)
     return spark.read.table(names[until])
 
 
@@ -29,14 +36,14 @@ def _run(spark, sf, until):
 SELECT CAST(customer_id AS INTEGER) AS customer_id, senior, tenure, monthly, total, churn FROM base""",
        "PIPE-1 SNK-5 SRC-1 SRC-2")
 def q_layered_bronze(spark, sf):
-    return _run(spark, sf, "raw_inputs")
+    return _run(spark, sf, "bronze")
 
 
 @query("layered_silver", f"{_SILVER} SELECT * FROM s", "PIPE-1 FLT-2 PRJ-2")
 def q_layered_silver(spark, sf):
-    return _run(spark, sf, "features_input")
+    return _run(spark, sf, "silver")
 
 
-@query("layered_gold", f"{_SILVER} SELECT *, {tree_case()} AS prediction FROM s", "PIPE-1 SCO-2 SNK-5")
+@query("layered_gold", f"{_SILVER} SELECT *, {tree_case()} AS prediction FROM s", "PIPE-1 SCO-1 SNK-5")
 def q_layered_gold(spark, sf):
-    return _run(spark, sf, "model_predictions")
+    return _run(spark, sf, "gold")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from churnlane.operators.contract import Contract, ModelStore, capture_schema
+from churnlane.operators.contract import ModelStore
 from churnlane.operators.metrics import class_counts, classification_metrics, confusion
 from churnlane.operators.score import score_columns
-from churnlane.operators.train import best_split, fit_tree
-from churnlane.operators.tree import fixed_tree, from_saved_model, predict_column
+from churnlane.operators.train import best_split, fit_and_log, fit_tree, transform_labels
+from churnlane.operators.tree import fixed_tree, from_saved_model, leaf_index_column, predict_column
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, tree_case, with_ctes
 from churnlane.plans.registry import query
@@ -17,25 +18,60 @@ from churnlane.session import pin, scratch_path
 from churnlane.sources.tables import FEATURES, KEY, LABEL
 
 
-@query("fit_tree", None, "FIT-1 FIT-3")
+def _agrees(a: str, b) -> Column:
+    return F.col(a).eqNullSafe(b).alias("agrees")
+
+
+@query("fit_tree", f"""{BPZS}
+SELECT customer_id, churn, true AS agrees FROM test""", "FIT-1 FIT-3")
 def q_fit_tree(spark, sf):
-    """Distributed fit (depth 3, seed 42) on the train side, ``transform`` on the test side."""
+    """Distributed fit (depth 3, seed 42) on the train side; on the test side ``transform`` and the compiled
+    tree give the same label."""
     train, test = common.train_test(spark, sf, pinned=True)
-    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=3, seed=42, pin_input=False)
-    out = model.transform(test.select(KEY, *FEATURES, LABEL))
-    label_of = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
-    return out.select(KEY, LABEL, label_of.alias("prediction"))
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    model, contract, _ = fit_and_log(store, "churn_model", train, FEATURES, LABEL)
+    out = transform_labels(model, test.select(KEY, *FEATURES, LABEL), FEATURES, contract.classes)
+    return out.select(KEY, LABEL, _agrees("prediction", predict_column(contract.tree)))
 
 
-@query("model_round_trip", None, "SNK-9 CTR-1 CTR-3 FIT-3 JN-1 JN-2")
+_BANDS = {"senior": "senior", "tenure_band": "floor(tenure / 100)", "monthly_band": "floor(monthly / 20000)"}
+
+
+@query("fit_stump", f"""{BPZS},
+l AS ({" UNION ALL ".join(f"SELECT '{f}' AS f, {i} AS i, CAST({e} AS double) AS x, churn FROM train"
+                           for i, (f, e) in enumerate(_BANDS.items()))}),
+g AS (SELECT f, i, x, sum(CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END) y, count(*) n FROM l GROUP BY f, i, x),
+c AS (SELECT f, i, x, sum(y) OVER w ly, sum(n) OVER w ln, sum(y) OVER (PARTITION BY f) ty,
+             sum(n) OVER (PARTITION BY f) tn
+      FROM g WINDOW w AS (PARTITION BY f ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+s AS (SELECT *, CAST(ly * (ln - ly) AS double) / ln + CAST((ty - ly) * ((tn - ln) - (ty - ly)) AS double) / (tn - ln) AS impure
+      FROM c WHERE ln < tn)
+SELECT f AS feature, CAST(ln AS BIGINT) AS n_left, CAST(ly AS BIGINT) AS yes_left, CAST(tn - ln AS BIGINT) AS n_right,
+       CAST(ty - ly AS BIGINT) AS yes_right FROM s ORDER BY impure, i, x LIMIT 1""", "FIT-1 FIT-2")
+def q_fit_stump(spark, sf):
+    """A depth-1 fit on banded features, few enough values that the engine tries every cut: the best split's
+    feature and the classes on both sides."""
+    train, _ = common.train_test(spark, sf)
+    rows = pin(train.select(*[F.expr(e).cast("double").alias(f) for f, e in _BANDS.items()], LABEL))
+    model, classes = fit_tree(rows, list(_BANDS), LABEL, max_depth=1, pin_input=False, max_bins=64)
+    path = scratch_path(spark, "stump")
+    model.write().overwrite().save(path)
+    tree = from_saved_model(spark, path, list(_BANDS), classes)
+    yes, left = F.col(LABEL) == "Yes", leaf_index_column(tree) == 0
+    return rows.agg(F.count_if(left).alias("n_left"), F.count_if(left & yes).alias("yes_left"),
+                    F.count_if(~left).alias("n_right"), F.count_if(~left & yes).alias("yes_right")) \
+               .withColumn("feature", F.lit(next(iter(tree.used_features()), None)).cast("string"))
+
+
+@query("model_round_trip", f"""{BPZS}
+SELECT customer_id, senior, tenure, monthly, total, true AS agrees FROM test""", "SNK-9 CTR-1 CTR-3 FIT-3 JN-1 JN-2")
 def q_model_round_trip(spark, sf):
     """The feature-table flow end to end with a *fitted* model.
 
-    feature table -> training set (labels + lookup, key excluded) -> distributed
-    fit -> stored version with contract (input schema, lookups, compiled tree)
-    under alias ``champion`` -> ``score_batch`` by URI on held-out keys.  Also
-    returns pyspark.ml's own ``transform`` label per row; the two must agree
-    (tests assert it).
+    feature table -> training set (labels + lookup, key excluded) -> fit and
+    log under alias ``champion`` (input and output signature, lookups, compiled
+    tree, saved pipeline) -> ``score_batch`` by URI on held-out keys; the loaded
+    pipeline's own label per row is the same.
     """
     from churnlane.plans.q_features import churn_feature_table
     from churnlane.operators.features import FeatureLookup, create_training_set
@@ -45,53 +81,44 @@ def q_model_round_trip(spark, sf):
     train, test = hash_split(zz)
     lookups = [FeatureLookup.of(name, KEY)]
     spec = create_training_set(train.select(KEY, LABEL), LABEL, lookups, exclude_columns=[KEY])
-    training_df = spec.load_df(spark)
-    model, classes = fit_tree(training_df, FEATURES, LABEL, max_depth=3, seed=42)
     store = ModelStore(spark, scratch_path(spark, "models"))
-    v = store.log_model("churn_model", Contract(capture_schema(training_df, FEATURES), LABEL, classes),
-                        model)
-    tree = from_saved_model(spark, store.resolve(f"churn_model/{v}") + "/model", FEATURES, classes)
-    contract = Contract(capture_schema(training_df, FEATURES), LABEL, classes, "string",
-                        tuple(lookups), KEY, tree)
-    store.log_model("churn_model", contract, model, aliases=["Champion"])
+    fit_and_log(store, "churn_model", spec.load_df(spark), FEATURES, LABEL, lookups=lookups, key=KEY, aliases=["Champion"])
     served = store.load_contract("churn_model@champion")
-    keys = test.select(KEY)
-    native = score_batch(spark, served, keys, "string").withColumnRenamed("prediction", "_native")
-    loaded = store.load_pipeline("churn_model@champion")
+    native = score_batch(spark, served, test.select(KEY), "string").withColumnRenamed("prediction", "_native")
     # the stored pipeline scores the rows score_batch assembled: one pass, no join back
-    ml = loaded.transform(native)
-    return ml.select(KEY, *FEATURES, F.col("_native").alias("prediction"),
-                     F.element_at(F.array(*[F.lit(c) for c in classes]),
-                                  F.col("prediction").cast("int") + 1).alias("ml_prediction"))
+    ml = transform_labels(store.load_pipeline("churn_model@champion"), native, FEATURES, served.classes)
+    return ml.select(KEY, *FEATURES, _agrees("_native", F.col("prediction")))
 
 
-@query("fit_tree_unlimited", None, "FIT-1 SCO-1 SNK-9")
+@query("fit_tree_unlimited", f"""{BPZS}
+SELECT customer_id, churn, true AS agrees FROM test""", "FIT-1 SCO-1 SNK-9")
 def q_fit_tree_unlimited(spark, sf):
     """The real-time lesson's tree: no depth limit (Spark's cap of 30), fitted on
     the train side, saved, compiled from its saved node table to one native
-    expression, and scored on the test side next to pyspark.ml's ``transform``
-    (tests assert the two columns agree)."""
+    expression; on the test side it gives pyspark.ml's label on every row."""
     train, test = common.train_test(spark, sf, pinned=True)
-    model, classes = fit_tree(train, FEATURES, LABEL, max_depth=None, seed=42, pin_input=False)
-    path = scratch_path(spark, "deep-tree")
-    model.write().overwrite().save(path)
-    tree = from_saved_model(spark, path, FEATURES, classes)
-    x = test.select(KEY, *FEATURES, LABEL)
-    label_of = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
-    # one pass: transform keeps the input columns, so the native expression
-    # runs beside pyspark.ml's prediction on the same rows (no join back)
-    return model.transform(x).select(KEY, LABEL, predict_column(tree).alias("prediction"),
-                                     label_of.alias("ml_prediction"))
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    model, contract, _ = fit_and_log(store, "deep_model", train, FEATURES, LABEL, max_depth=None)
+    out = transform_labels(model, test.select(KEY, *FEATURES, LABEL), FEATURES, contract.classes)
+    return out.select(KEY, LABEL, _agrees("prediction", predict_column(contract.tree)))
 
 
-@query("fit_metrics", None, "AGG-2 FIT-1")
+@query("fit_metrics", f"""{BPZS}
+SELECT count(*) AS n, CAST(sum(CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END) AS BIGINT) AS act_pos,
+       true AS beats_majority, true AS rates_fit FROM train""", "AGG-2 FIT-1")
 def q_fit_metrics(spark, sf):
-    """Post-training metrics of the fitted tree on its own training rows."""
+    """Post-training metrics of the fitted tree on its own training rows.
+
+    What the fit finds SQL cannot say; that leaves labelled by their majority
+    are right at least as often as one majority label, and that the rates
+    follow from the counts, it can."""
     train, _ = common.train_test(spark, sf, pinned=True)
     model, classes = fit_tree(train, FEATURES, LABEL, max_depth=3, seed=42, pin_input=False)
-    out = model.transform(train.select(*FEATURES, LABEL))
-    lab = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
-    return classification_metrics(out.select(LABEL, lab.alias("prediction")), LABEL)
+    m = classification_metrics(transform_labels(model, train.select(*FEATURES, LABEL), FEATURES, classes), LABEL)
+    near = lambda rate, num, den: F.coalesce(F.abs(F.col(rate) * den - num) <= den / 1e6, den == 0)
+    return m.select("n", "act_pos", (F.col("ok") >= F.greatest("act_pos", F.col("n") - F.col("act_pos"))).alias("beats_majority"),
+                    (near("accuracy", F.col("ok"), F.col("n")) & near("recall", F.col("tp"), F.col("act_pos"))
+                     & near("precision", F.col("tp"), F.col("pred_pos"))).alias("rates_fit"))
 
 
 @query("best_split", f"""{BPZ},

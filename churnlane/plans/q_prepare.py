@@ -79,10 +79,12 @@ def q_hash_split(spark, sf):
         "part", F.when(hash_bucket(KEY) < 80, "train").otherwise("test"))
 
 
-@query("random_split", None, "SPL-1")
+@query("random_split", f"{BPZ} SELECT *, CAST(1 AS BIGINT) AS parts FROM z", "SPL-1")
 def q_random_split(spark, sf):
+    """Which part a row falls into is random; that each falls into exactly one is not."""
     train, test = random_split(common.z(spark, sf), (0.8, 0.2), 42)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    both = train.unionByName(test)
+    return both.groupBy(*both.columns).agg(F.count("*").alias("parts"))
 
 
 @query("split_xy", f"""{BPZ}

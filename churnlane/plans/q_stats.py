@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from churnlane.operators.metrics import column_stats, frame_info
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, P, with_ctes
@@ -9,14 +11,17 @@ from churnlane.plans.registry import query
 from churnlane.sources.sinks import analyze_table, write_table
 
 
-def _stats_sql(cols_numeric, cols_text, src):
+def _stats_sql(cols_numeric, cols_text, src, integral=("customer_id",)):
     parts = []
     for c in cols_numeric:
+        exact = [f"CAST({f}({c}) AS varchar)" if c in integral else "CAST(NULL AS varchar)" for f in ("min", "max")]
         parts.append(f"""SELECT '{c}' AS col_name, CAST(min({c}) AS double) AS min_num, CAST(max({c}) AS double) AS max_num,
+  {exact[0]} AS min_exact, {exact[1]} AS max_exact,
   CAST(NULL AS varchar) AS min_text, CAST(NULL AS varchar) AS max_text, count({c}) AS non_null,
   count(*) - count({c}) AS num_nulls, count(DISTINCT {c}) AS distinct_count FROM {src}""")
     for c in cols_text:
         parts.append(f"""SELECT '{c}' AS col_name, CAST(NULL AS double) AS min_num, CAST(NULL AS double) AS max_num,
+  CAST(NULL AS varchar) AS min_exact, CAST(NULL AS varchar) AS max_exact,
   min({c}) AS min_text, max({c}) AS max_text, count({c}) AS non_null,
   count(*) - count({c}) AS num_nulls, count(DISTINCT {c}) AS distinct_count FROM {src}""")
     return "\nUNION ALL\n".join(parts)
@@ -29,15 +34,28 @@ def q_column_stats(spark, sf):
     return column_stats(common.p(spark, sf))
 
 
-@query("analyze_stats", None, "AGG-3")
+def _catalog_sql(types):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS col_name, '{t}' AS data_type, "
+        + ("CAST(NULL AS double) AS min_num, CAST(NULL AS double) AS max_num" if t == "string"
+           else f"CAST(min({c}) AS double) AS min_num, CAST(max({c}) AS double) AS max_num")
+        + f", count(*) - count({c}) AS num_nulls FROM z" for c, t in types.items())
+
+
+@query("analyze_stats", f"""{BPZ}
+{_catalog_sql({'customer_id': 'bigint', 'senior': 'double', 'tenure': 'double', 'monthly': 'double',
+               'total': 'double', 'churn': 'string'})}""", "AGG-3")
 def q_analyze_stats(spark, sf):
-    """``ANALYZE TABLE ... COMPUTE STATISTICS FOR ALL COLUMNS`` + ``DESCRIBE EXTENDED``.
+    """``ANALYZE TABLE ... COMPUTE STATISTICS FOR ALL COLUMNS`` + ``DESCRIBE EXTENDED``: the exact fields.
 
-    The catalog's distinct counts are approximate (HyperLogLog), so this one
-    is checked rows-only; ``column_stats`` is the exact, value-checked twin.
+    The catalog's distinct counts are approximate (HyperLogLog) and left out
+    here; ``column_stats`` has exact ones.
     """
     name = write_table(spark, common.z(spark, sf), "inference_stats")
-    return analyze_table(spark, name)
+    of = lambda name: F.max(F.when(F.col("info_name") == name, F.col("info_value")))
+    return analyze_table(spark, name).groupBy(F.col("column").alias("col_name")).agg(
+        of("data_type").alias("data_type"), of("min").try_cast("double").alias("min_num"),
+        of("max").try_cast("double").alias("max_num"), of("num_nulls").cast("bigint").alias("num_nulls"))
 
 
 @query("frame_info", f"""{BPZ}

@@ -11,14 +11,13 @@ from pyspark.sql import types as T
 
 from churnlane.operators.latest import publish_snapshot
 from churnlane.plans import common
-from churnlane.plans.oracle_sql import BPZ, tree_case
+from churnlane.plans.oracle_sql import BASE, BPZ, tree_case, with_ctes
 from churnlane.plans.q_features import churn_contract
 from churnlane.plans.q_online import LATEST_SQL
 from churnlane.plans.registry import query
 from churnlane.session import scratch_path, unique_name
-from churnlane.sources.sinks import parse_capture
-from churnlane.sources.tables import FEATURES, KEY, events
-from churnlane.streaming.scoring import score_stream
+from churnlane.sources.tables import FEATURES, KEY, events, table
+from churnlane.streaming.scoring import request_log, score_stream
 from churnlane.streaming.snapshot import current_snapshot, maintain_latest
 
 PARTS = 4
@@ -32,19 +31,18 @@ def _write_parts(df, path: str) -> int:
     return max(1, files // PARTS)
 
 
-def _run_score_stream(spark, sf):
+def _run_score_stream(spark, sf, keys):
     req_path = scratch_path(spark, "requests")
-    keys = common.b(spark, sf).select(F.col(KEY).cast("string").alias(KEY))
     per_trigger = _write_parts(keys, req_path)
-    # key-bucketed snapshot table: each micro-batch's join shuffles only its requests
     snap = unique_name("stream_features")
     publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), scratch_path(spark, "online-features"),
                      KEY, table=snap)
-    out, log = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-log")
+    out = scratch_path(spark, "stream-out")
+    # the snapshot is read by name for every micro-batch, so a refresh is seen
     score_stream(spark, req_path, T.StructType([T.StructField(KEY, T.StringType())]),
-                 spark.read.table(snap), churn_contract(spark, sf, "unused"), KEY, out, log,
+                 lambda: spark.read.table(snap), churn_contract(spark, sf, "unused"), KEY, out,
                  scratch_path(spark, "stream-ckpt"), "churn_model-1", per_trigger)
-    return out, log
+    return spark.read.parquet(out)
 
 
 @query("stream_score", f"""{BPZ}
@@ -52,20 +50,43 @@ SELECT k.customer_id, senior, tenure, monthly, total, {tree_case()} AS predictio
 FROM (SELECT customer_id FROM base) k LEFT JOIN z USING (customer_id)""",
        "STR-1 JN-3")
 def q_stream_score(spark, sf):
-    out, _ = _run_score_stream(spark, sf)
-    return spark.read.parquet(out).select(KEY, *FEATURES, "prediction")
+    keys = common.b(spark, sf).select(F.col(KEY).cast("string").alias(KEY))
+    return _run_score_stream(spark, sf, keys).select(KEY, *FEATURES, "prediction")
 
 
-@query("stream_capture", f"""{BPZ}
-SELECT CAST(k.customer_id AS varchar) AS request_id, 'churn_model-1' AS served_model,
-       senior, tenure, monthly, total, {tree_case()} AS prediction
-FROM (SELECT customer_id FROM base) k LEFT JOIN z USING (customer_id)""",
+@query("stream_capture", f"""{BPZ},
+r AS (SELECT CAST(o_custkey AS varchar) AS request_key FROM orders
+      UNION ALL SELECT c_name FROM customer)
+SELECT request_key, 'churn_model-1' AS served_model, request_key AS sent_key, CAST(1 AS BIGINT) AS rows_of_id,
+       {tree_case()} AS prediction
+FROM r LEFT JOIN z ON z.customer_id = TRY_CAST(request_key AS BIGINT)""",
        "STR-3 SNK-7")
 def q_stream_capture(spark, sf):
-    _, log = _run_score_stream(spark, sf)
-    qs = T.StructType([T.StructField(f, T.DoubleType()) for f in FEATURES])
-    rs = T.StructType([T.StructField("prediction", T.StringType())])
-    return parse_capture(spark.read.parquet(log), qs, rs).drop("batch_id")
+    """The log of one request an order (keys repeat) and one a customer's name (no key at all): every
+    request is logged as it came, under an id of its own."""
+    keys = (table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias(KEY))
+            .unionByName(table(spark, sf, "customer").select(F.col("c_name").alias(KEY))))
+    log = request_log(_run_score_stream(spark, sf, keys))
+    parsed = log.select("request_id", "request_key", "served_model",
+                        F.get_json_object("request", f"$.{KEY}").alias("sent_key"),
+                        F.get_json_object("response", "$.prediction").alias("prediction"))
+    return parsed.groupBy("request_id").agg(
+        *[F.first(c).alias(c) for c in ("request_key", "served_model", "sent_key", "prediction")],
+        F.count("*").alias("rows_of_id")).drop("request_id")
+
+
+@query("stream_full_requests", f"""{with_ctes(BASE)},
+r AS (SELECT customer_id, CAST(senior AS double) AS senior, CAST(tenure AS double) AS tenure, monthly,
+             TRY_CAST(total AS double) AS total FROM base)
+SELECT *, {tree_case()} AS prediction FROM r""", "STR-1 CTR-2")
+def q_stream_full_requests(spark, sf):
+    """Requests that carry every feature as text, blanks included: conformed, no lookup."""
+    req = common.b(spark, sf).select(KEY, *[F.col(f).cast("string").alias(f) for f in FEATURES])
+    path, out = scratch_path(spark, "requests"), scratch_path(spark, "stream-out")
+    per_trigger = _write_parts(req, path)
+    score_stream(spark, path, req.schema, None, churn_contract(spark, sf, "unused"), KEY, out,
+                 scratch_path(spark, "stream-ckpt"), "churn_model-1", per_trigger)
+    return spark.read.parquet(out).select(KEY, *FEATURES, "prediction")
 
 
 @query("stream_latest", LATEST_SQL, "STR-2 SNK-6 WIN-1")

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -149,3 +151,8 @@ def pin(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship() -> None:
+    """Pickle this package's functions and classes by value, so Python workers need no copy of it."""
+    cloudpickle.register_pickle_by_value(sys.modules["churnlane"])

@@ -2,77 +2,85 @@
 
 ``readStream`` of request files -> key coercion -> ``foreachBatch``: LEFT
 join of the micro-batch with the feature snapshot -> native tree expression
--> two sinks: the scored rows and the capture log.  Each micro-batch
-overwrites its own ``batch=<id>`` directory, so a batch replayed after a
-failure (same id, same input files — the checkpoint pins both) rewrites the
-same files instead of appending duplicates: the (batch id, request id) pair
-is unique by construction.  Stateless: no watermark is needed.
+-> one write of the scored rows, which carry the raw request as JSON and an id
+of its own.  The request log is a projection of those rows (``request_log``),
+so a micro-batch is read, joined, scored and written once.  Each micro-batch
+overwrites its own ``batch=<id>`` directory: a batch replayed after a failure
+(same id, same input files — the checkpoint pins both) rewrites the same files
+instead of appending duplicates.  Stateless: no watermark is needed.
 
-Pass the snapshot as a key-bucketed table (``publish_snapshot(..., table=)``):
-each micro-batch's join then shuffles only that batch's requests, while the
-snapshot side is read bucket by bucket without an exchange.
+``snapshot`` may be a function: it is called for every micro-batch, so a
+long-running stream follows snapshot refreshes.  Requests that carry every
+feature themselves are conformed to the contract and need no snapshot.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from churnlane.operators.contract import Contract
+from churnlane.operators.contract import Contract, conform
 from churnlane.operators.features import join_hot_split
 from churnlane.operators.tree import predict_column
-from churnlane.sources.sinks import capture_frame
 
 
 def score_stream(spark: SparkSession, requests_path: str, request_schema: StructType | str,
-                 snapshot: DataFrame, contract: Contract, key: str, out_path: str, log_path: str,
-                 checkpoint: str, served_model: str, max_files_per_trigger: int | None = None,
+                 snapshot: DataFrame | Callable[[], DataFrame] | None, contract: Contract, key: str,
+                 out_path: str, checkpoint: str, served_model: str, max_files_per_trigger: int | None = None,
                  keep: Sequence[str] = (), trigger: dict | None = None, wait: bool = True,
                  skew_fraction: float | None = None):
     """Start the scoring stream.
 
-    The streaming plan only reads and coerces requests; the lookup join runs
-    inside ``foreachBatch`` on the micro-batch, where it is an ordinary batch
-    plan: AQE re-plans it from measured sizes (broadcast, or sort-merge with
+    The streaming plan only reads requests; the lookup join runs inside
+    ``foreachBatch`` on the micro-batch, where it is an ordinary batch plan:
+    AQE re-plans it from measured sizes (broadcast, or sort-merge with
     skewed request partitions split).  ``skew_fraction`` additionally splits
     request keys holding more than that share of a micro-batch off to a
     bounded broadcast (``join_hot_split``).
 
+    Output columns: request_id (unique: batch and row), request (JSON of the
+    request as it came), request_key (text), the key, the features, prediction,
+    served_model and ``keep``.  A key that is no key and a value that is no
+    number become NULL there and stay readable in ``request``.
+
     Default ``trigger={"availableNow": True}`` drains what is there and stops
     (batch-like runs, tests); a deployment passes e.g.
     ``{"processingTime": "10 seconds"}`` and ``wait=False`` to keep it running.
     Returns the ``StreamingQuery``.
     """
-    key_type = snapshot.schema[key].dataType.simpleString()
     feats = contract.features
     reader = spark.readStream.schema(request_schema)
     if max_files_per_trigger:                  # bounded micro-batches; default: all new files
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     req = reader.parquet(requests_path)
-    req = req.withColumn("request_key", F.col(key).cast("string")) \
-             .withColumn(key, F.col(key).try_cast(key_type))
-    snap = snapshot.select(key, *feats)
+    whole = snapshot is None
+    req = req.withColumn("request", F.to_json(F.struct(*req.columns), {"ignoreNullFields": "false"})) \
+             .withColumn("request_key", F.col(key).cast("string"))
+    marks = ["request", "request_key"]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if skew_fraction:
-            joined = join_hot_split(batch, snap, key, skew_fraction, "left")
+        if whole:
+            rows = conform(batch, contract, [*marks, key, *keep], strict=False)
         else:
-            joined = batch.join(snap, key, "left")
-        rows_path = f"{out_path}/batch={batch_id}"
-        joined.withColumn("prediction", predict_column(contract.tree)) \
-              .select("request_key", key, *feats, "prediction", *keep) \
-              .write.mode("overwrite").parquet(rows_path)
-        # the log is built from the rows just written: the batch's scan, join
-        # and scoring run once, and nothing is cached in executor memory
-        rows = spark.read.parquet(rows_path)
-        log = capture_frame(rows, rows, key, feats, ["prediction"], served_model, batch_id)
-        log.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+            snap = (snapshot() if callable(snapshot) else snapshot).select(key, *feats)
+            rows = batch.withColumn(key, F.col(key).try_cast(snap.schema[key].dataType)).select(*marks, key, *keep)
+            rows = join_hot_split(rows, snap, key, skew_fraction, "left") if skew_fraction else rows.join(snap, key, "left")
+        (rows.withColumn("prediction", predict_column(contract.tree))
+             .select(F.concat_ws("-", F.lit(str(batch_id)), F.monotonically_increasing_id().cast("string")).alias("request_id"),
+                     *marks, key, *feats, "prediction", F.lit(served_model).alias("served_model"), *keep)
+             .write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}"))
 
     q = (req.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
     if wait:
         q.awaitTermination()
     return q
+
+
+def request_log(rows: DataFrame, outputs: Sequence[str] = ("prediction",)) -> DataFrame:
+    """The request log of a stream's rows: id, key, model, raw request and response as JSON, batch."""
+    return rows.select("request_id", "request_key", "served_model", "request",
+                       F.to_json(F.struct(*outputs)).alias("response"), F.col("batch").cast("bigint").alias("batch_id"))

@@ -42,24 +42,11 @@ def test_matches_oracle(spark, con, name):
     assert _rows(rows, cols, order) == _rows(orows, ocols, order)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() > 0
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["customer_id", "senior", "tenure", "monthly", "total", "prediction"]
     assert df.count() > 0
 
 
-# Queries that no SQL can check by value (fitted models, catalog statistics with
-# approximate distinct counts, partition-dependent randomSplit and
-# monotonically_increasing_id); every other registered query must carry oracle SQL.
-ROWS_ONLY = {"fit_tree", "fit_tree_unlimited", "fit_metrics", "model_round_trip",
-             "analyze_stats", "random_split", "surrogate_id_fast"}
-
-
-def test_every_query_is_value_checked_unless_listed():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_is_value_checked():
+    assert set(QUERIES) == set(ORACLE)

@@ -92,48 +92,3 @@ def array_literal(values: Sequence, element_type: str) -> Column:
     literal.  (``lit(list)`` converts element by element — ~6 s for 7,000
     values — and an array of ``lit`` expressions is analysed node by node.)"""
     return F.from_json(F.lit(json.dumps(list(values))), f"array<{element_type}>")
-
-
-# Up to this many cut points ``range_bucket`` is a nested CASE (inside
-# codegen); beyond, a fixed-size binary search over one literal array, so
-# thousands of cuts (one per shuffle partition on a cluster) do not turn
-# into a plan of thousands of nodes.
-MAX_INLINE_CUTS = 255
-
-
-def range_bucket(c: Column | str, cuts: Sequence[float]) -> Column:
-    """Number of cut points strictly below ``c`` (0..len(cuts)) as a native expression.
-
-    Few cuts: a balanced tree of ``CASE WHEN c > cut`` tests, ~log2(len(cuts))
-    comparisons per row inside codegen.  Many cuts: the same binary search as
-    ``aggregate(sequence(1, steps), (lo, hi), step)`` over the cut array.
-    Bucket order equals value order.  NULL values land in bucket
-    ``len(cuts) + 1`` (after every real value).
-    """
-    col = c if isinstance(c, Column) else F.col(c)
-    cuts = sorted(set(float(x) for x in cuts))
-    n = len(cuts)
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(col > F.lit(cuts[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
-
-    if n <= MAX_INLINE_CUTS:
-        found = build(0, n)
-    else:
-        arr = array_literal(cuts, "double")
-        v = col.cast("double")
-
-        def step(state: Column, _: Column) -> Column:
-            lo, hi = state["lo"], state["hi"]
-            mid = F.floor((lo + hi) / 2).cast("int")
-            above = v > F.element_at(arr, mid + 1)
-            return F.when(lo >= hi, state).otherwise(F.struct(
-                F.when(above, mid + 1).otherwise(lo).alias("lo"),
-                F.when(above, hi).otherwise(mid).alias("hi")))
-        steps = max(1, n.bit_length())          # ceil(log2(n + 1)) halvings
-        init = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
-        found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-    return F.when(col.isNull(), F.lit(n + 1)).otherwise(found)

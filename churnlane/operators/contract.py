@@ -9,7 +9,7 @@ A stored model version is a directory holding
                       (loading it runs its code: load only from a trusted store).
 
 The registry itself (names, integer versions, lower-cased aliases) is a
-small JSON map next to the versions: control-plane data, never row data.
+list of small JSON events next to the versions: control-plane data, never row data.
 """
 
 from __future__ import annotations
@@ -103,12 +103,14 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
 # -- store -------------------------------------------------------------------
 
 class ModelStore:
-    """Versions under ``root/<name>/<version>/``; registry in ``root/<name>/registry``.
+    """Versions under ``root/<name>/<version>/``; registry events in ``root/<name>/event-<n>``.
 
     Control files go through the session's Hadoop file system
     (``sources.control``), so ``root`` may be any cluster file system (the
     shared ``spark.checkpoint.dir``), never a machine-local folder.  Each
-    registry update writes a new generation file and never rewrites one.
+    registry update is a new event file; its number and a version's number are
+    taken by creating a file that must not exist yet, so writers at the same
+    time neither share a version nor undo each other's aliases.
     """
 
     def __init__(self, spark, root: str):
@@ -122,20 +124,25 @@ class ModelStore:
         return control.read_text(self.spark, path)
 
     def _registry(self, name: str) -> dict:
-        # generations are immutable files; the newest one found by listing is
-        # current (the head pointer serves sessions that cannot list)
-        gen = control.newest_numbered(self.spark, f"{self.root}/{name}", r"registry-(\d+)")
-        if gen is None:
-            head = self._read_text(f"{self.root}/{name}/registry-head")
-            if head is None:
-                return {"versions": [], "aliases": {}, "generation": 0}
-            gen = int(head.strip())
-        return json.loads(self._read_text(f"{self.root}/{name}/registry-{gen}"))
-
-    def _save_registry(self, name: str, reg: dict) -> None:
-        reg = dict(reg, generation=int(reg.get("generation", 0)) + 1)
-        self._write_text(f"{self.root}/{name}/registry-{reg['generation']}", json.dumps(reg))
-        self._write_text(f"{self.root}/{name}/registry-head", str(reg["generation"]))
+        """Versions and aliases: the registry's events in order."""
+        reg: dict = {"versions": [], "aliases": {}}
+        for text in control.read_numbered(self.spark, f"{self.root}/{name}", "event"):
+            event = json.loads(text)
+            if "version" in event:
+                reg["versions"].append(event["version"])
+            reg["aliases"].update(event["aliases"])
+        return reg
+
+    def _take(self, name: str, series: str) -> int:
+        """The next number of a series; of several writers each gets its own."""
+        taken = control.list_numbered(self.spark, f"{self.root}/{name}", rf"{series}-(\d+)") or [0]
+        n = taken[-1] + 1
+        while not control.create_text(self.spark, f"{self.root}/{name}/{series}-{n}", "taken"):
+            n += 1
+        return n
+
+    def _record(self, name: str, event: dict) -> None:
+        self._write_text(f"{self.root}/{name}/event-{self._take(name, 'turn')}", json.dumps(event))
 
     def log_model(self, name: str, contract: Contract, pipeline_model=None,
                   aliases: Sequence[str] = (), user_model=None) -> int:
@@ -145,8 +152,7 @@ class ModelStore:
         """
         if user_model is not None and contract.outputs is None:
             raise ContractError("a user model needs its output signature")
-        reg = self._registry(name)
-        version = max([int(v) for v in reg["versions"]] or [0]) + 1
+        version = self._take(name, "claim")
         d = f"{self.root}/{name}/{version}"
         if pipeline_model is not None:
             pipeline_model.write().overwrite().save(f"{d}/model")
@@ -154,10 +160,7 @@ class ModelStore:
             ship()
             self._write_text(f"{d}/user_model", base64.b64encode(cloudpickle.dumps(user_model)).decode())
         self._write_text(f"{d}/contract", contract.to_json())
-        reg["versions"].append(str(version))
-        for a in aliases:
-            reg["aliases"][a.lower()] = str(version)
-        self._save_registry(name, reg)
+        self._record(name, {"version": str(version), "aliases": {a.lower(): str(version) for a in aliases}})
         return version
 
     def latest_version(self, name: str) -> int:
@@ -166,9 +169,7 @@ class ModelStore:
         return max(vs) if vs else 0
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
-        reg = self._registry(name)
-        reg["aliases"][alias.lower()] = str(version)  # aliases are case-insensitive (G5)
-        self._save_registry(name, reg)
+        self._record(name, {"aliases": {alias.lower(): str(version)}})  # aliases are case-insensitive (G5)
 
     def resolve(self, uri: str) -> str:
         """``name@alias`` or ``name/version`` -> version directory."""

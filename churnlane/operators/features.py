@@ -190,16 +190,20 @@ def missing_features(spark: SparkSession, keys: DataFrame, lookups: Sequence[Fea
     return out.where(cond).drop(*marks)
 
 
-def coerce_key(df: DataFrame, key: str, to_type: str) -> DataFrame:
-    """Request keys arrive as text (``"123"``); ``try_cast`` to the table key type.
+def key_list(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def coerce_key(df: DataFrame, key: str | Sequence[str], like: DataFrame) -> DataFrame:
+    """Request keys arrive as text (``"123"``); ``try_cast`` to the key types of ``like``.
 
     Under ANSI a plain comparison of ``'x'`` with a bigint raises; ``try_cast``
     makes it NULL, so it simply matches nothing.
     """
-    return df.withColumn(key, F.col(key).try_cast(to_type))
+    return df.withColumns({k: F.col(k).try_cast(like.schema[k].dataType) for k in key_list(key)})
 
 
-def point_lookup(features: DataFrame, requests: DataFrame, key: str) -> DataFrame:
+def point_lookup(features: DataFrame, requests: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Feature rows of the requested keys (FLT-3), keys sent as text (G11).
 
     Request keys are coerced to the table's key type (``"x"`` matches
@@ -208,9 +212,9 @@ def point_lookup(features: DataFrame, requests: DataFrame, key: str) -> DataFram
     ``left_semi`` join returns each matching feature row once.  Neither side
     of the join can carry a hot key.
     """
-    key_type = features.schema[key].dataType.simpleString()
-    keys = coerce_key(requests.select(key), key, key_type).where(F.col(key).isNotNull()).distinct()
-    return features.join(keys, key, "left_semi")
+    keys = key_list(key)
+    wanted = coerce_key(requests.select(*keys), keys, features).na.drop().distinct()
+    return features.join(wanted, keys, "left_semi")
 
 
 def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
@@ -239,7 +243,7 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
     return [c for i, c in enumerate(cands) if counts[f"_c{i}"] > threshold]
 
 
-def join_hot_split(df: DataFrame, feats: DataFrame, key: str, fraction: float = 0.01,
+def join_hot_split(df: DataFrame, feats: DataFrame, key: str | Sequence[str], fraction: float = 0.01,
                    how: str = "left") -> DataFrame:
     """Equi-join of a request frame onto a key-unique feature frame, with the
     hot request keys split off explicitly.
@@ -249,8 +253,17 @@ def join_hot_split(df: DataFrame, feats: DataFrame, key: str, fraction: float =
     ``1/fraction`` rows because ``feats`` is key-unique.  All other rows take
     the ordinary shuffle join, where no key can dominate a task.  Works with
     AQE off as well; with AQE on it makes skew handling independent of
-    partition-size heuristics.
+    partition-size heuristics.  A key of several columns is compared as one text.
     """
+    keys = key_list(key)
+    if len(keys) > 1:
+        name = "_key"
+        while name in {c.lower() for c in [*df.columns, *feats.columns]}:
+            name = f"_{name}"
+        packed = F.when(F.greatest(*[F.col(k).isNull() for k in keys]), None).otherwise(F.to_json(F.struct(*keys)))
+        out = join_hot_split(df.withColumn(name, packed), feats.withColumn(name, packed).drop(*keys), name, fraction, how)
+        return out.drop(name)
+    key = keys[0]
     hot = hot_keys(df, key, fraction)
     if not hot:
         return df.join(feats, key, how)
@@ -263,9 +276,4 @@ def join_hot_split(df: DataFrame, feats: DataFrame, key: str, fraction: float =
 def lookup_skew_safe(spark: SparkSession, df: DataFrame, fl: FeatureLookup,
                      fraction: float = 0.01, how: str = "left") -> DataFrame:
     """Feature-table lookup with hot request keys split off (``join_hot_split``)."""
-    keys = list(fl.lookup_key)
-    if len(keys) == 1:
-        return join_hot_split(df, fl.frame(spark), keys[0], fraction, how)
-    packed = F.when(F.greatest(*[F.col(k).isNull() for k in keys]), None).otherwise(F.to_json(F.struct(*keys)))
-    feats = fl.frame(spark).withColumn("_key", packed).drop(*keys)
-    return join_hot_split(df.withColumn("_key", packed), feats, "_key", fraction, how).drop("_key")
+    return join_hot_split(df, fl.frame(spark), fl.lookup_key, fraction, how)

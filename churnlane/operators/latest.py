@@ -8,6 +8,11 @@ key's rows in one task.  Ties on ``ts`` are broken by ``tie`` (descending, the
 same order as the window form), so the result is deterministic and
 idempotent: merging a snapshot with any subset of rows it already contains
 returns the same snapshot.
+
+The price: rows are no fixed-width buffers, so Spark aggregates by sorting,
+first each task's own rows, then what is left of them after the shuffle (a row
+a key and task).  Finding the winning (ts, tie) by hash and fetching the rows
+by a join instead would shuffle and sort the whole table for that join.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts: str,
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def publish_snapshot(df: DataFrame, path: str, key: str, buckets: int | None = None,
+def publish_snapshot(df: DataFrame, path: str, key: Sequence[str] | str, buckets: int | None = None,
                      table: str | None = None) -> None:
     """Write a key-unique snapshot as a full copy into a NEW path (SNK-6).
 
@@ -43,13 +48,14 @@ def publish_snapshot(df: DataFrame, path: str, key: str, buckets: int | None = N
     ``repartition(n, key)`` first uses the same hash as the buckets, so each
     task writes exactly one bucket file.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     n = buckets or default_buckets(df.sparkSession)
-    out = df.repartition(n, key)
+    out = df.repartition(n, *keys)
     if table and not buckets:
-        (out.sortWithinPartitions(key).write.mode("overwrite").format("parquet").option("path", path)
+        (out.sortWithinPartitions(*keys).write.mode("overwrite").format("parquet").option("path", path)
             .saveAsTable(table))
     elif table:
         (out.write.mode("overwrite").format("parquet").option("path", path)
-            .bucketBy(n, key).sortBy(key).saveAsTable(table))
+            .bucketBy(n, *keys).sortBy(*keys).saveAsTable(table))
     else:
-        out.sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+        out.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)

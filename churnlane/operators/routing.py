@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlane.functions.columns import hash_bucket, route_name
-from churnlane.operators.tree import TreeSpec, predict_column
+from churnlane.operators.tree import TreeSpec, predict, unused_name
 
 ROUTE_SALT = "route:"
 
@@ -48,15 +48,23 @@ def assign(df: DataFrame, key: str, routes: Sequence[Route], out: str = "variant
     return df.withColumn(out, variant_column(key, routes))
 
 
+def _labels(df: DataFrame, models: Mapping[str, TreeSpec]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with every model's label, and the columns these are in."""
+    labels = {}
+    for i, (name, tree) in enumerate(models.items()):
+        labels[name] = unused_name(df, f"_label{i}")
+        df = predict(df, tree, labels[name])
+    return df, labels
+
+
 def score_routed(df: DataFrame, key: str, routes: Sequence[Route], models: Mapping[str, TreeSpec],
                  out: str = "prediction") -> DataFrame:
     """Each row scored by the version its key is routed to, in one projection (SCO-5)."""
     v = variant_column(key, routes)
-    expr = None
-    for name, tree in models.items():
-        p = predict_column(tree)
-        expr = F.when(v == name, p) if expr is None else expr.when(v == name, p)
-    return df.withColumns({"variant": v, out: expr})
+    columns = [c for c in df.columns if c.lower() not in ("variant", out.lower())]
+    scored, labels = _labels(df, models)
+    chosen = F.coalesce(*[F.when(v == name, F.col(c)) for name, c in labels.items()])
+    return scored.select(*columns, v.alias("variant"), chosen.alias(out))
 
 
 def score_both(df: DataFrame, key: str, models: Mapping[str, TreeSpec]) -> DataFrame:
@@ -66,16 +74,15 @@ def score_both(df: DataFrame, key: str, models: Mapping[str, TreeSpec]) -> DataF
     ``explode`` emits one row per version — the result of a ``unionByName``
     of per-version scored frames without scanning the input twice.
     """
-    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), predict_column(tree).alias("prediction"))
-                      for name, tree in models.items()])
-    return df.withColumn("_v", F.explode(pairs)).select(*df.columns, "_v.variant", "_v.prediction")
+    scored, labels = _labels(df, models)
+    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), F.col(c).alias("prediction")) for name, c in labels.items()])
+    return scored.withColumn("_v", F.explode(pairs)).select(*df.columns, "_v.variant", "_v.prediction")
 
 
 def agreement(df: DataFrame, models: Mapping[str, TreeSpec]) -> DataFrame:
     """One pass, both versions as columns: rows, scorable rows, agreements (SCO-6)."""
     (a, ta), (b, tb) = list(models.items())[:2]
-    pa, pb = predict_column(ta), predict_column(tb)
-    s = df.select(pa.alias("_a"), pb.alias("_b"))
+    s = predict(predict(df.select(*dict.fromkeys([*ta.features, *tb.features])), ta, "_a"), tb, "_b")
     c = s.agg(F.count(F.lit(1)).alias("n"),
               F.sum(F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), 1).otherwise(0))
                .cast("bigint").alias("scored"),

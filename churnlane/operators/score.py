@@ -1,7 +1,7 @@
 """Scoring paths (SCO-1..4, JN-2, JN-3).
 
-Native first: a tree model becomes one Catalyst expression (``predict_column``)
-so scoring is a projection inside whole-stage codegen with no Python worker.
+Native first: a tree model becomes a few projections (``predict``) inside
+whole-stage codegen with no Python worker.
 For opaque models the same contract runs through Arrow batches: a
 ``pandas_udf`` over a struct (SCO-2), a struct-returning ``pandas_udf`` for
 several outputs (SCO-3), or ``mapInPandas`` for a user class that sees whole
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlane.operators.contract import Contract, ModelStore, conform
-from churnlane.operators.features import coerce_key, join_hot_split, lookup
-from churnlane.operators.tree import (TreeSpec, predict_column, predict_numpy,
-                                      probability_columns, proba_numpy)
+from churnlane.operators.features import coerce_key, join_hot_split, key_list, lookup
+from churnlane.operators.tree import (TreeSpec, at_leaf, label_at, predict, predict_numpy, probabilities_at,
+                                      proba_numpy, unused_name)
 from churnlane.session import ship
 
 
@@ -44,7 +44,7 @@ def score_columns(df: DataFrame, tree: TreeSpec, cols: Sequence[str] | None = No
                   out: str = "prediction") -> DataFrame:
     """Append a prediction computed from positional columns, natively (SCO-1)."""
     t = _positional(tree, cols) if cols else tree
-    return df.withColumn(out, predict_column(t))
+    return predict(df, t, out)
 
 
 def struct_udf(tree: TreeSpec) -> Callable[[Column], Column]:
@@ -66,9 +66,10 @@ def score_struct(df: DataFrame, tree: TreeSpec, out: str = "prediction") -> Data
 
 def score_multi(df: DataFrame, tree: TreeSpec, prefix: str = "prob_") -> DataFrame:
     """Several outputs: one probability per class plus the label (SCO-3), native."""
-    cols = probability_columns(tree, prefix)
-    cols["prediction"] = predict_column(tree)
-    return df.withColumns(cols)
+    node = unused_name(df, "_node")
+    at = F.col(node)
+    outputs = probabilities_at(tree, at, prefix) | {"prediction": label_at(tree, at)}
+    return at_leaf(df, tree, node).withColumns(outputs).drop(node)
 
 
 def multi_udf(tree: TreeSpec, prefix: str = "prob_") -> Callable[[Column], Column]:
@@ -137,7 +138,7 @@ def score_stored(spark: SparkSession, store: ModelStore, uri: str, df: DataFrame
     """
     contract = store.load_contract(uri)
     if contract.tree is not None:
-        return df.withColumn(out, predict_column(contract.tree).cast(result_type or contract.result_type))
+        return predict(df, contract.tree, out, result_type or contract.result_type)
     if contract.outputs is not None:
         scored = score_map(df, store.load_user_model(uri), contract.features, contract.outputs)
         names = contract.outputs.fieldNames()
@@ -162,12 +163,11 @@ def score_batch(spark: SparkSession, contract: Contract, keys: DataFrame,
         if store is None or uri is None:
             raise ValueError("a contract without a tree needs the store and the model's URI")
         return score_stored(spark, store, uri, feats, result_type, out)
-    pred = predict_column(contract.tree).cast(result_type or contract.result_type)
-    return feats.withColumn(out, pred)
+    return predict(feats, contract.tree, out, result_type or contract.result_type)
 
 
 def score_requests(spark: SparkSession, contract: Contract, requests: DataFrame,
-                   snapshot: DataFrame, key: str, out: str = "prediction",
+                   snapshot: DataFrame, key: str | Sequence[str], out: str = "prediction",
                    skew_fraction: float | None = None) -> DataFrame:
     """Online lookup of request keys against a newest-per-key snapshot (JN-3).
 
@@ -177,17 +177,17 @@ def score_requests(spark: SparkSession, contract: Contract, requests: DataFrame,
     splits keys requested more often than that share off to a bounded
     broadcast (``join_hot_split``).
     """
-    key_type = snapshot.schema[key].dataType.simpleString()
-    req = coerce_key(requests, key, key_type)
-    snap = snapshot.select(key, *contract.features)
+    keys = key_list(key)
+    req = coerce_key(requests, keys, snapshot)
+    snap = snapshot.select(*keys, *contract.features)
     if skew_fraction:
-        feats = join_hot_split(req, snap, key, skew_fraction, "left")
+        feats = join_hot_split(req, snap, keys, skew_fraction, "left")
     else:
-        feats = req.join(snap, key, "left")
-    return feats.withColumn(out, predict_column(contract.tree))
+        feats = req.join(snap, keys, "left")
+    return predict(feats, contract.tree, out)
 
 
 def score_features(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
                    out: str = "prediction") -> DataFrame:
     """Requests that carry full features: conform, then score."""
-    return conform(df, contract, keep).withColumn(out, predict_column(contract.tree))
+    return predict(conform(df, contract, keep), contract.tree, out)

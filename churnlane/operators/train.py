@@ -17,11 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlane.operators.contract import Contract, capture_schema
-from churnlane.operators.tree import TreeSpec, from_saved_model, leaf_index_column, missing
-from churnlane.functions.columns import range_bucket
+from churnlane.operators.tree import TreeSpec, from_saved_model, missing, with_leaf_index
 from churnlane.session import default_buckets, pin, scratch_path, shared_dir
 
-SPLIT_RANGES = 4096   # value ranges a feature is cut into unless ``buckets`` says otherwise (cut points are literals)
 SPARK_MAX_DEPTH = 30  # "unlimited" depth maps to Spark's cap
 
 
@@ -99,7 +97,7 @@ def leaf_class_counts(tree: TreeSpec, df: DataFrame, label: str) -> TreeSpec:
 
     One aggregation; only ``leaves x classes`` rows reach the driver.
     """
-    rows = (df.select(leaf_index_column(tree).alias("_leaf"), F.col(label).alias("_y"))
+    rows = (with_leaf_index(df.withColumn("_y", F.col(label)), tree, "_leaf")
               .where(F.col("_leaf").isNotNull() & F.col(label).isin(*tree.classes))
               .groupBy("_leaf", "_y").agg(F.count(F.lit(1)).alias("_n")).collect())
     counts: dict[int, list[float]] = {}
@@ -119,33 +117,19 @@ def best_split(df: DataFrame, features: Sequence[str], label: str, positive: str
       unpivot -> per (feature, value) class counts (partial aggregation) ->
       running counts along each feature's value order -> Gini -> global top-1.
 
-    The running sum is computed with key-range buckets per feature (see
-    ``ordering``): per-bucket totals become offsets in a frame of
-    ``features x buckets`` rows, and the window runs within (feature, bucket),
-    so no task holds a whole feature's distinct values.
+    The per-value rows are range-partitioned on (feature, value) and pinned, so
+    a feature spreads over adjacent ranges: running counts are taken within
+    (range, feature), and the totals of the ranges before (at most ranges +
+    features rows) are added.  No task holds a whole feature's distinct values.
     """
-    n_b = buckets or min(SPLIT_RANGES, default_buckets(df.sparkSession))
+    ranges = buckets or default_buckets(df.sparkSession)
     long = df.select(F.col(label).alias("_y"), *[F.col(f).cast("double").alias(f) for f in features]) \
              .unpivot("_y", list(features), "f", "x")
     g = (long.groupBy("f", "x")
              .agg(F.sum(F.when(F.col("_y") == positive, 1).otherwise(0)).cast("bigint").alias("y"),
                   F.count(F.lit(1)).alias("n")))
-    # g feeds two jobs (cut points, then the scan); a reliable checkpoint in the
-    # shared checkpoint dir keeps the upstream (a large aggregation) from
-    # running twice and cuts the lineage.
-    g = pin(g)
-    # value-range bucket per feature: cut points from ONE aggregation over the
-    # per-value frame (features x (buckets-1) doubles reach the driver)
-    probs = [i / n_b for i in range(1, n_b)]
-    cuts_by_f: dict[str, list[float]] = {}
-    if probs:
-        acc = max(10000, 4 * n_b)
-        for r in g.groupBy("f").agg(F.percentile_approx("x", probs, acc).alias("q")).collect():
-            cuts_by_f[r["f"]] = sorted(set(c for c in (r["q"] or []) if c is not None))
-    bexpr = F.lit(0)
-    for f in features:
-        bexpr = F.when(F.col("f") == f, range_bucket("x", cuts_by_f.get(f, []))).otherwise(bexpr)
-    gb = g.withColumn("b", bexpr)
+    # sampled cut points differ between runs, so the ranges are fixed by the checkpoint; both uses read that
+    gb = pin(g.repartitionByRange(ranges, "f", "x").withColumn("b", F.spark_partition_id()))
     tot_b = gb.groupBy("f", "b").agg(F.sum("y").alias("by"), F.sum("n").alias("bn"))
     w_prev = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     w_f = Window.partitionBy("f")

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from churnlane.operators.contract import ModelStore
 from churnlane.operators.prepare import prepare
@@ -34,13 +35,13 @@ class Layer:
     quality: str
 
 
-def churn_layers(store: ModelStore, names: tuple[str, str, str] = ("bronze", "silver", "gold"),
+def churn_layers(store: ModelStore, schema: StructType | str, names: tuple[str, str, str] = ("bronze", "silver", "gold"),
                  comments: tuple[str, str, str] = ("", "", "")) -> list[Layer]:
-    """The flow's layers; gold scores with the model that ``CONF_MODEL`` names in ``store``."""
+    """The flow's layers: bronze reads files of the declared ``schema``, so types do not follow the data; gold scores with the model that ``CONF_MODEL`` names in ``store``."""
     raw_name, feature_name, scored_name = names
 
     def bronze(spark, up):
-        return scan_csv(spark, spark.conf.get(CONF_PATH))
+        return scan_csv(spark, spark.conf.get(CONF_PATH), schema)
 
     def silver(spark, up):
         raw = spark.read.table(up[raw_name])

@@ -10,7 +10,7 @@ from churnlane.operators.features import (FeatureLookup, create_feature_table,
                                           create_training_set, key_violations, lookup_skew_safe,
                                           missing_features, point_lookup)
 from churnlane.operators.score import score_batch
-from churnlane.operators.tree import fixed_tree, predict_column
+from churnlane.operators.tree import fixed_tree, predict
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BPZ, BPZS, bucket, tree_case
 from churnlane.plans.registry import query
@@ -120,4 +120,4 @@ def q_score_orders(spark, sf):
     name, _ = churn_feature_table(spark, sf)
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias(KEY))
     joined = lookup_skew_safe(spark, orders, FeatureLookup.of(name, KEY), fraction=0.01)
-    return joined.withColumn("prediction", predict_column(fixed_tree()))
+    return predict(joined, fixed_tree())

@@ -15,25 +15,26 @@ from churnlane.sources.files import write_csv
 from churnlane.sources.tables import FEATURES
 
 _SILVER = f"""{with_ctes(BASE, P)},
-s AS (SELECT CAST(customer_id AS INTEGER) AS customer_id, senior, tenure, monthly, total FROM p
+s AS (SELECT customer_id, senior, tenure, monthly, total FROM p
       WHERE customer_id IS NOT NULL AND senior IS NOT NULL AND tenure IS NOT NULL
         AND monthly IS NOT NULL AND total IS NOT NULL)"""
 
 
 def _run(spark, sf, until):
     path = scratch_path(spark, "bronze-csv")
-    write_csv(common.b(spark, sf), path)          # the raw file the flow starts from
+    raw = common.b(spark, sf)
+    write_csv(raw, path)          # the raw file the flow starts from
     spark.conf.set(CONF_PATH, path)
     store = ModelStore(spark, scratch_path(spark, "models"))
     schema = T.StructType([T.StructField(f, T.DoubleType()) for f in FEATURES])
     store.log_model("churn_model", Contract(schema, tree=fixed_tree()), aliases=["layered"])
     spark.conf.set(CONF_MODEL, "churn_model@layered")
-    names = run_layers(spark, churn_layers(store), unique_name("flow"), until)
+    names = run_layers(spark, churn_layers(store, raw.schema), unique_name("flow"), until)
     return spark.read.table(names[until])
 
 
 @query("layered_bronze", f"""{with_ctes(BASE)}
-SELECT CAST(customer_id AS INTEGER) AS customer_id, senior, tenure, monthly, total, churn FROM base""",
+SELECT customer_id, senior, tenure, monthly, total, churn FROM base""",
        "PIPE-1 SNK-5 SRC-1 SRC-2")
 def q_layered_bronze(spark, sf):
     return _run(spark, sf, "bronze")

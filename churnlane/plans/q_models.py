@@ -9,7 +9,7 @@ from churnlane.operators.contract import ModelStore
 from churnlane.operators.metrics import class_counts, classification_metrics, confusion
 from churnlane.operators.score import score_columns
 from churnlane.operators.train import best_split, fit_and_log, fit_tree, transform_labels
-from churnlane.operators.tree import fixed_tree, from_saved_model, leaf_index_column, predict_column
+from churnlane.operators.tree import fixed_tree, from_saved_model, predict, with_leaf_index
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, tree_case, with_ctes
 from churnlane.plans.registry import query
@@ -31,7 +31,7 @@ def q_fit_tree(spark, sf):
     store = ModelStore(spark, scratch_path(spark, "models"))
     model, contract, _ = fit_and_log(store, "churn_model", train, FEATURES, LABEL)
     out = transform_labels(model, test.select(KEY, *FEATURES, LABEL), FEATURES, contract.classes)
-    return out.select(KEY, LABEL, _agrees("prediction", predict_column(contract.tree)))
+    return predict(out, contract.tree, "_native").select(KEY, LABEL, _agrees("prediction", F.col("_native")))
 
 
 _BANDS = {"senior": "senior", "tenure_band": "floor(tenure / 100)", "monthly_band": "floor(monthly / 20000)"}
@@ -57,7 +57,8 @@ def q_fit_stump(spark, sf):
     path = scratch_path(spark, "stump")
     model.write().overwrite().save(path)
     tree = from_saved_model(spark, path, list(_BANDS), classes)
-    yes, left = F.col(LABEL) == "Yes", leaf_index_column(tree) == 0
+    rows = with_leaf_index(rows, tree, "_leaf")
+    yes, left = F.col(LABEL) == "Yes", F.col("_leaf") == 0
     return rows.agg(F.count_if(left).alias("n_left"), F.count_if(left & yes).alias("yes_left"),
                     F.count_if(~left).alias("n_right"), F.count_if(~left & yes).alias("yes_right")) \
                .withColumn("feature", F.lit(next(iter(tree.used_features()), None)).cast("string"))
@@ -100,7 +101,7 @@ def q_fit_tree_unlimited(spark, sf):
     store = ModelStore(spark, scratch_path(spark, "models"))
     model, contract, _ = fit_and_log(store, "deep_model", train, FEATURES, LABEL, max_depth=None)
     out = transform_labels(model, test.select(KEY, *FEATURES, LABEL), FEATURES, contract.classes)
-    return out.select(KEY, LABEL, _agrees("prediction", predict_column(contract.tree)))
+    return predict(out, contract.tree, "_native").select(KEY, LABEL, _agrees("prediction", F.col("_native")))
 
 
 @query("fit_metrics", f"""{BPZS}

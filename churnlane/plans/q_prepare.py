@@ -10,7 +10,7 @@ from churnlane.functions.columns import (cast_by_type, drop_columns, hash_bucket
 from churnlane.operators.contract import Contract, conform
 from churnlane.operators.prepare import prepare as prepare_op
 from churnlane.operators.split import input_example, random_split, split_xy
-from churnlane.operators.tree import fixed_tree, predict_column
+from churnlane.operators.tree import fixed_tree, predict
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, bucket, tree_case, with_ctes
 from churnlane.plans.registry import query
@@ -135,7 +135,7 @@ def q_json_requests(spark, sf):
     req = _request_source(spark, sf)
     bodies = req.select(KEY, F.to_json(F.struct(*FEATURES)).alias("body"))
     parsed = bodies.select(KEY, F.from_json("body", FEATURE_SCHEMA).alias("r")).select(KEY, "r.*")
-    return parsed.withColumn("prediction", predict_column(fixed_tree()))
+    return predict(parsed, fixed_tree())
 
 
 @query("inline_requests", _REQ_SQL, "SRC-3 FN-6")
@@ -152,7 +152,7 @@ def q_inline_requests(spark, sf):
     rows = records_to_rows(bodies, "body", T.StructType(
         [T.StructField(KEY, T.StringType())] + list(FEATURE_SCHEMA.fields)))
     rows = rows.withColumn(KEY, F.col(KEY).try_cast("bigint"))
-    return rows.select(KEY, *FEATURES).withColumn("prediction", predict_column(fixed_tree()))
+    return predict(rows.select(KEY, *FEATURES), fixed_tree())
 
 
 @query("conform", f"{with_ctes(BASE, P)} SELECT customer_id, senior, tenure, monthly, total FROM p", "CTR-2")

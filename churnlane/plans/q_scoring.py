@@ -11,7 +11,7 @@ from churnlane.operators.contract import Contract, ModelStore, capture_schema
 from churnlane.operators.ordering import row_position
 from churnlane.operators.score import multi_udf, score_columns, score_map, score_multi, score_stored, score_struct
 from churnlane.operators.train import fit_tree, leaf_class_counts, transform_labels
-from churnlane.operators.tree import fixed_tree, from_saved_model, missing, predict_column, predict_numpy
+from churnlane.operators.tree import fixed_tree, from_saved_model, missing, predict, predict_numpy
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, BPZS, P, leaf_case, tree_case, with_ctes
 from churnlane.plans.registry import query
@@ -139,8 +139,8 @@ def q_missing_rule(spark, sf):
     path = scratch_path(spark, "fitted")
     model.write().overwrite().save(path)
     fitted = from_saved_model(spark, path, FEATURES, classes)
-    rows = transform_labels(model, h, FEATURES, classes, "ml").withColumn(
-        "fitted_agrees", F.col("ml").eqNullSafe(predict_column(fitted)) & (F.col("ml").isNull() == missing(FEATURES)))
+    rows = predict(transform_labels(model, h, FEATURES, classes, "ml"), fitted, "fitted").withColumn(
+        "fitted_agrees", F.col("ml").eqNullSafe(F.col("fitted")) & (F.col("ml").isNull() == missing(FEATURES)))
     tree = fixed_tree()
     rows = score_struct(score_columns(rows, tree, out="native"), tree, "by_struct")
     rows = rows.withColumn("by_multi", multi_udf(tree)(F.struct(*FEATURES))["prediction"])

@@ -17,6 +17,8 @@ from __future__ import annotations
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -52,6 +54,36 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not move control file into place: {path}")
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create the file ``path``; False where it exists already, so of several writers one succeeds."""
+    h = _fs(spark, path)
+    if h is None:
+        try:
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("error").text(path)
+        except AnalysisException:
+            return False
+        return True
+    _, fs, p = h
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder that nothing reads any more (left where it is without a JVM gateway)."""
+    h = _fs(spark, path)
+    if h is not None:
+        h[1].delete(h[2], True)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Contents of ``path``, or None when it does not exist."""
     h = _fs(spark, path)
@@ -112,5 +144,11 @@ def newest_numbered(spark: SparkSession, directory: str, pattern: str,
     return found[-1] if found else None
 
 
-def can_list(spark: SparkSession) -> bool:
-    return _fs(spark, "/") is not None
+def read_numbered(spark: SparkSession, directory: str, name: str) -> list[str]:
+    """Contents of the files ``<name>-<n>`` of ``directory`` in the order of n."""
+    found = list_numbered(spark, directory, rf"{name}-(\d+)")
+    if found is not None:
+        return [read_text(spark, f"{directory}/{name}-{n}") for n in found]
+    rows = spark.read.text(f"{directory}/{name}-*").select("value", "_metadata.file_path").collect()   # small control files
+    number = re.compile(rf"{name}-(\d+)/")
+    return [r["value"] for r in sorted(rows, key=lambda r: int(number.search(r["file_path"])[1]))]

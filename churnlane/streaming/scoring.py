@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from churnlane.operators.contract import Contract, conform
 from churnlane.operators.features import join_hot_split
-from churnlane.operators.tree import predict_column
+from churnlane.operators.tree import predict
 
 
 def score_stream(spark: SparkSession, requests_path: str, request_schema: StructType | str,
@@ -68,7 +68,7 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
             snap = (snapshot() if callable(snapshot) else snapshot).select(key, *feats)
             rows = batch.withColumn(key, F.col(key).try_cast(snap.schema[key].dataType)).select(*marks, key, *keep)
             rows = join_hot_split(rows, snap, key, skew_fraction, "left") if skew_fraction else rows.join(snap, key, "left")
-        (rows.withColumn("prediction", predict_column(contract.tree))
+        (predict(rows, contract.tree)
              .select(F.concat_ws("-", F.lit(str(batch_id)), F.monotonically_increasing_id().cast("string")).alias("request_id"),
                      *marks, key, *feats, "prediction", F.lit(served_model).alias("served_model"), *keep)
              .write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}"))

@@ -23,6 +23,10 @@ is idempotent and late rows lose by timestamp, so overlapping inputs never
 change the result.  Nothing that a reader may be reading is overwritten
 except by identical data.
 
+``retain`` full copies are kept after a fold, and the change sets after the
+oldest of them; what is older is removed, so a reader has ``retain - 1`` folds
+of time for a scan it has begun.
+
 Where the file system cannot be listed (no JVM gateway), a small
 ``_current`` file records the newest full copy and batch instead.
 """
@@ -59,7 +63,7 @@ def _state(spark: SparkSession, root: str) -> tuple[int | None, list[int]]:
 
 
 def _merged(spark: SparkSession, root: str, base: int | None, changes: Sequence[int],
-            key: str, ts: str, tie: Sequence[str] | str) -> DataFrame | None:
+            key: Sequence[str] | str, ts: str, tie: Sequence[str] | str) -> DataFrame | None:
     paths = [f"{root}/changes/batch={c}" for c in changes]
     if base is not None:
         if not paths:
@@ -83,7 +87,7 @@ def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     return _merged(spark, root, base, changes, sp["key"], sp["ts"], sp["tie"])
 
 
-def fold(spark: SparkSession, root: str, upto: int, key: str, ts: str,
+def fold(spark: SparkSession, root: str, upto: int, key: Sequence[str] | str, ts: str,
          tie: Sequence[str] | str = (), buckets: int | None = None) -> None:
     """Write the full copy ``v=<upto>``: the newest full copy older than
     ``upto`` merged with the change sets after it up to ``upto``."""
@@ -101,17 +105,33 @@ def fold(spark: SparkSession, root: str, upto: int, key: str, ts: str,
         return
     # hash-partitioned by the key (files hold disjoint key sets), sorted for
     # tight row-group statistics on key lookups
-    (merged.repartition(n, key).sortWithinPartitions(key)
+    keys = [key] if isinstance(key, str) else list(key)
+    (merged.repartition(n, *keys).sortWithinPartitions(*keys)
            .write.mode("overwrite").parquet(f"{root}/v={upto}"))
 
 
+def expire(spark: SparkSession, root: str, retain: int) -> None:
+    """Remove full copies before the newest ``retain``, and the change sets that these contain."""
+    kept = (control.list_numbered(spark, root, _V, "_SUCCESS") or [])[-retain:]
+    if len(kept) < retain:
+        return
+    for v in control.list_numbered(spark, root, _V) or []:
+        if v < kept[0]:
+            control.delete(spark, f"{root}/v={v}")
+    for c in control.list_numbered(spark, f"{root}/changes", _CH) or []:
+        if c <= kept[0]:
+            control.delete(spark, f"{root}/changes/batch={c}")
+
+
 def maintain_latest(spark: SparkSession, events_path: str, schema: StructType | str, root: str,
-                    checkpoint: str, key: str, ts: str, tie: Sequence[str] | str = (),
+                    checkpoint: str, key: Sequence[str] | str, ts: str, tie: Sequence[str] | str = (),
                     max_files_per_trigger: int | None = None, buckets: int | None = None,
-                    trigger: dict | None = None, wait: bool = True, compact_every: int = 8):
+                    trigger: dict | None = None, wait: bool = True, compact_every: int = 8,
+                    retain: int = 2):
     """Start the snapshot-maintenance stream (see module doc); returns the query."""
-    if compact_every < 1:
-        raise ValueError("compact_every must be at least 1")
+    if compact_every < 1 or retain < 2:
+        raise ValueError("compact_every must be at least 1 and retain at least 2")
+    key = [key] if isinstance(key, str) else list(key)
     ties = [tie] if isinstance(tie, str) else list(tie)
     control.write_text(spark, f"{root}/_spec", json.dumps({"key": key, "ts": ts, "tie": ties}))
     reader = spark.readStream.schema(schema)
@@ -124,6 +144,7 @@ def maintain_latest(spark: SparkSession, events_path: str, schema: StructType |
             .parquet(f"{root}/changes/batch={batch_id}")
         if (batch_id + 1) % compact_every == 0:
             fold(spark, root, batch_id, key, ts, ties, buckets)
+            expire(spark, root, retain)
             base = batch_id
         else:
             prev = control.read_text(spark, f"{root}/_current")

@@ -22,7 +22,7 @@ from churnlane.operators.score import (multi_udf, score_columns, score_map, scor
 from churnlane.operators.split import hash_split
 from churnlane.operators.train import best_split, fit_tree, leaf_class_counts
 from churnlane.operators.tree import (Leaf, Split, TreeSpec, fixed_tree, from_saved_model,
-                                      predict_column, predict_numpy)
+                                      predict, predict_numpy)
 from churnlane.plans import common
 from churnlane.session import scratch_path, unique_name
 from churnlane.sources.files import records_to_rows, scan_csv
@@ -230,38 +230,38 @@ def _random_tree(rng, features, depth):
                  _random_tree(rng, features, depth - 1), _random_tree(rng, features, depth - 1))
 
 
-@pytest.mark.parametrize("inline_limit", [255, 0])        # nested CASE, and the array walk
-def test_native_expression_equals_numpy_walker(spark, monkeypatch, inline_limit):
-    import churnlane.operators.tree as tree_mod
-    monkeypatch.setattr(tree_mod, "MAX_INLINE_NODES", inline_limit)
+def test_native_expression_equals_numpy_walker(spark):
     rng = np.random.default_rng(11)
     feats = ["a", "b", "c"]
     data = [tuple(float(v) if rng.random() > 0.1 else None for v in rng.integers(-6, 6, 3))
             for _ in range(400)]
     df = spark.createDataFrame(data, "a double, b double, c double")
-    for _ in range(5):
-        tree = TreeSpec(tuple(feats), ("No", "Yes"), _random_tree(rng, feats, 5))
-        native = [r[0] for r in df.select(predict_column(tree)).collect()]
+    for depth in (0, 1, 5, 5, 12):
+        tree = TreeSpec(tuple(feats), ("No", "Yes"), _random_tree(rng, feats, depth))
+        native = [r["prediction"] for r in predict(df, tree).collect()]
         x = np.array([[np.nan if v is None else v for v in row] for row in data])
         assert list(predict_numpy(tree, x)) == native
 
 
-def test_array_walk_equals_case_for_all_outputs(spark, monkeypatch):
-    """Leaf index, label and class shares agree between the two compiled forms."""
-    import churnlane.operators.tree as tree_mod
+def test_native_outputs_of_a_leaf(spark):
+    """Leaf number, label and class shares belong together, whatever columns the input has."""
+    from churnlane.operators.score import score_multi
+    from churnlane.operators.tree import with_leaf_index
     train, test = hash_split(common.z(spark, SF_SMALL))
     tree = leaf_class_counts(fixed_tree(), train, "churn")
-    x = test.select("customer_id", *FEATS)
-
-    def outputs():
-        cols = {"leaf": tree_mod.leaf_index_column(tree), "label": predict_column(tree),
-                **tree_mod.probability_columns(tree)}
-        return sorted(map(tuple, x.withColumns(cols).collect()), key=repr)
-    inline = outputs()
-    monkeypatch.setattr(tree_mod, "MAX_INLINE_NODES", 0)
-    assert outputs() == inline
+    x = test.select("customer_id", *FEATS).withColumns({"_node": F.lit(1), "_x": F.lit(2), "_at": F.lit(3)})
+    rows = score_multi(with_leaf_index(x, tree, "leaf"), tree).collect()
+    leaves = tree.leaves()
+    assert {r["leaf"] for r in rows} - {None}
+    for r in rows:
+        assert (r["_node"], r["_x"], r["_at"]) == (1, 2, 3)
+        if any(r[f] is None for f in FEATS):
+            assert (r["leaf"], r["prediction"], r["prob_No"]) == (None, None, None)
+        else:
+            leaf = leaves[r["leaf"]]
+            assert r["prediction"] == leaf.label and [r["prob_No"], r["prob_Yes"]] == [c / sum(leaf.counts) for c in leaf.counts]
     single = TreeSpec(tuple(FEATS), ("No", "Yes"), Leaf("Yes", (1.0, 3.0)))   # depth 0
-    assert {r[0] for r in x.select(predict_column(single)).collect()} == {"Yes"}
+    assert {r["prediction"] for r in predict(x.na.drop(), single).collect()} == {"Yes"}
 
 
 @pytest.mark.parametrize("depth", [3, 10, None])
@@ -273,7 +273,7 @@ def test_fitted_tree_compiles_to_same_predictions(spark, depth):
     tree = from_saved_model(spark, path, FEATS, classes)
     ml = model.transform(test).select("customer_id", F.element_at(
         F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1).alias("ml"))
-    nat = test.select("customer_id", predict_column(tree).alias("nat"))
+    nat = predict(test, tree, "nat").select("customer_id", "nat")
     rows = ml.join(nat, "customer_id").collect()
     assert rows and all(r["ml"] == r["nat"] for r in rows)
 
@@ -395,23 +395,6 @@ def test_score_stream_restart_each_request_once(spark):
     assert request_log(got).select("batch_id", "request_id").distinct().count() == keys.count()
 
 
-@pytest.mark.parametrize("inline_cuts", [255, 0])        # nested CASE, and the array search
-def test_range_bucket_is_binary_search(spark, monkeypatch, inline_cuts):
-    import churnlane.functions.columns as cols_mod
-    from churnlane.functions.columns import range_bucket
-    monkeypatch.setattr(cols_mod, "MAX_INLINE_CUTS", inline_cuts)
-    rng = np.random.default_rng(5)
-    vals = [float(v) for v in rng.integers(-50, 50, 500)] + [None, float("nan")]
-    for k in (0, 1, 2, 7, 33, 1000):
-        raw = rng.integers(-40, 40, k) if k < 100 else rng.uniform(-60, 60, k)   # 1000 distinct
-        cuts = sorted(set(float(c) for c in raw))
-        df = spark.createDataFrame([(v,) for v in vals], "x double")
-        got = [r[0] for r in df.select(range_bucket("x", cuts)).collect()]
-        want = [len(cuts) + 1 if v is None else len(cuts) if np.isnan(v)
-                else int(np.searchsorted(cuts, v, side="left")) for v in vals]
-        assert got == want
-
-
 def test_surrogate_key_fast_is_unique_and_pinned(spark):
     from churnlane.operators.ordering import surrogate_key
     z = common.z(spark, SF_MID).drop("customer_id")
@@ -502,9 +485,9 @@ def test_score_stream_hot_request_key_split(spark):
     score_stream(spark, src, schema, snap, contract, "customer_id", out, ckpt, "m-1",
                  max_files_per_trigger=2, skew_fraction=0.2)
     got = sorted(map(tuple, spark.read.parquet(out).select("request_key", "prediction").collect()), key=repr)
-    want = (req.withColumn("request_key", F.col("customer_id"))
-               .withColumn("customer_id", F.col("customer_id").try_cast("bigint"))
-               .join(snap, "customer_id", "left").withColumn("prediction", predict_column(fixed_tree())))
+    want = predict(req.withColumn("request_key", F.col("customer_id"))
+                   .withColumn("customer_id", F.col("customer_id").try_cast("bigint"))
+                   .join(snap, "customer_id", "left"), fixed_tree())
     assert got == sorted(map(tuple, want.select("request_key", "prediction").collect()), key=repr)
     assert request_log(spark.read.parquet(out)).select("batch_id", "request_id").distinct().count() == len(keys)
 
@@ -591,3 +574,45 @@ def test_stored_pipeline_without_tree_scores_by_uri(spark):
     assert all(r["prediction"] == (None if r["y"] == "-" else r["y"]) for r in got)
     with pytest.raises(ContractError):
         store.log_model("user", Contract(rows.schema), user_model=object())
+
+
+def test_snapshot_and_lookups_take_composite_keys(spark):
+    from churnlane.operators.features import point_lookup
+    from churnlane.operators.latest import latest_per_key, publish_snapshot
+    rows = [(k, g, t, float(10 * k + t)) for k in range(4) for g in ("a", "b") for t in range(3)]
+    path = scratch_path(spark, "two-keys")
+    publish_snapshot(latest_per_key(spark.createDataFrame(rows, "k long, g string, ts int, senior double"), ["k", "g"], "ts"),
+                     path, ["k", "g"])
+    snap = spark.read.parquet(path).withColumns({f: F.col("senior") for f in FEATS})
+    assert snap.count() == 8 and {r["ts"] for r in snap.collect()} == {2}
+    asked = spark.createDataFrame([("1", "a")] * 30 + [("2", "b"), ("x", "b"), (None, "a"), ("3", None)], "k string, g string")
+    assert {(r["k"], r["g"]) for r in point_lookup(snap, asked, ["k", "g"]).collect()} == {(1, "a"), (2, "b")}
+    contract = Contract(T.StructType([T.StructField(f, T.DoubleType()) for f in FEATS]), tree=fixed_tree())
+    plain = score_requests(spark, contract, asked, snap, ["k", "g"])
+    split = score_requests(spark, contract, asked, snap, ["k", "g"], skew_fraction=0.2)
+    as_rows = lambda d: sorted(map(str, d.select("k", "g", *FEATS, "prediction").collect()))
+    assert as_rows(plain) == as_rows(split) and plain.count() == 34
+    assert plain.where("prediction is not null").count() == 31
+
+
+def test_model_store_writers_at_the_same_time(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    contract = Contract(T.StructType([T.StructField("a", T.DoubleType())]))
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda i: store.log_model("m", contract, aliases=[f"Alias{i}"]), range(8)))
+    assert sorted(versions) == list(range(1, 9)) and store.latest_version("m") == 8
+    assert [store.resolve(f"m@alias{i}") for i in range(8)] == [f"{store.root}/m/{v}" for v in versions]
+
+
+def test_snapshot_stream_removes_what_folds_replaced(spark):
+    from churnlane.sources import control
+    from churnlane.streaming.snapshot import current_snapshot, maintain_latest
+    src, root, ckpt = (scratch_path(spark, x) for x in ("ret-src", "ret", "ret-ckpt"))
+    rows = spark.createDataFrame([(k, g, k * 10 + g) for k in range(3) for g in range(12)], "k long, ts long, v long")
+    for g in range(6):
+        rows.where(F.col("ts") % 6 == g).coalesce(1).write.parquet(f"{src}/part{g}")
+    maintain_latest(spark, f"{src}/*", rows.schema, root, ckpt, "k", "ts", max_files_per_trigger=1, compact_every=1)
+    assert len(control.list_numbered(spark, root, r"v=(\d+)")) == 2
+    assert len(control.list_numbered(spark, f"{root}/changes", r"batch=(\d+)")) == 1
+    assert sorted(map(tuple, current_snapshot(spark, root).collect())) == [(k, 11, k * 10 + 11) for k in range(3)]

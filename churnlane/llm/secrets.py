@@ -47,15 +47,34 @@ TEXT_CHANGES = {"hex": 0.35, "base32": 0.3, "base62": 0.4, "base64": 0.4}      #
 TEXT_SERIAL = 0.35                                                            # their serial correlation
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once a row, also where lambdas in ``use`` read it often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _positions(found: Column, text: Column, pattern: str) -> Column:
-    """Array of (start, end) of ``found``, the matches of ``pattern``: running sums over gaps and matches."""
+    """Array of (start, end) of ``found``, the matches of ``pattern``: running sums over gaps and matches.
+
+    A fold copies the list that it has for each new entry, so n matches are
+    taken in blocks of the square root of n, each from where its block starts.
+    """
     gaps = F.split(text, pattern, -1)
     sizes = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m")))
-    ends = F.aggregate(sizes, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")),
-                       lambda s, x: F.struct((s["at"] + x["g"] + x["m"]).alias("at"), F.concat(s["out"], F.array(F.struct(
-                           (s["at"] + x["g"]).alias("start"), (s["at"] + x["g"] + x["m"]).alias("end")))).alias("out")))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return F.when(F.size(found) > 0, ends["out"]).otherwise(none)
+
+    def fold(part: Column, at: Column) -> Column:
+        return F.aggregate(part, F.struct(at.alias("at"), none.alias("out")), lambda s, x: F.struct(
+            (s["at"] + x["g"] + x["m"]).alias("at"), F.concat(s["out"], F.array(F.struct(
+                (s["at"] + x["g"]).alias("start"), (s["at"] + x["g"] + x["m"]).alias("end")))).alias("out")))["out"]
+
+    def in_blocks(z: Column) -> Column:
+        step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(z).cast("double"))).cast("int"))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(z) - 1) / step).cast("int"))
+        block = lambda b: F.slice(z, b * step + 1, step)
+        lengths = F.transform(blocks, lambda b: F.aggregate(block(b), F.lit(0), lambda t, x: t + x["g"] + x["m"]))
+        return _bind(lengths, lambda le: F.flatten(F.transform(
+            blocks, lambda b: fold(block(b), F.aggregate(F.slice(le, F.lit(1), b), F.lit(0), lambda t, x: t + x)))))
+    return F.when(F.size(found) > 0, _bind(sizes, in_blocks)).otherwise(none)
 
 
 def _normal_tail(z: Column) -> Column:
@@ -138,8 +157,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = stage(d.select("rid", "id", F.array_sort(F.concat(strip(spans("assign", ASSIGN, 0, long_value)),
                                                              strip(spans("access", ACCESS, 1)), strip(spans("hex", HEX, 2)))).alias("base"),
                           spans("run", CANDIDATE, 3).alias("runs")), "secret-rows")
-    inside = lambda s: F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
-    runs = (rows.filter("size(runs) > 0").select("rid", F.explode(F.filter("runs", lambda s: ~inside(s))).alias("s"))
+    # a run within a base span adds nothing: the furthest end of the base spans that start no later tells
+    span = "array<struct<start:int,rank:int,end:int,kind:string,match:string>>"
+    bases = F.transform("base", lambda b: F.struct(b["start"], b["rank"], b["end"], b["kind"], F.lit(None).cast("string").alias("match")))
+    reach = F.max(F.when(F.col("s.match").isNull(), F.col("s.end"))).over(
+        Window.partitionBy("rid").orderBy("s.start", F.col("s.match").isNotNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = (rows.filter("size(runs) > 0").select("rid", F.explode(F.concat(bases.cast(span), F.col("runs").cast(span))).alias("s"))
+            .withColumn("reach", reach).filter("s.match IS NOT NULL AND (reach IS NULL OR reach < s.end)")
             .select("rid", "s", F.col("s.match").alias("token")))
     scored = stage(randomness(runs).select(
         "rid", "s", "encoding", length_class(F.col("n")).alias("size"), "p",

@@ -10,10 +10,10 @@ Votes are counted by Spark with partial aggregation, so a host with a third of
 all pages is no special case; alignments are remembered by tree pair.
 
 A page's content is what its slots hold.  The region is the page's article or
-main element where it has one, else the smallest element that holds most of
-the text in slots.  Outside the region nothing is content.  Inside, boxes that
-announce themselves as boilerplate (by element, role or class) and constant
-boxes beside slots are left out; headings and paragraphs stay even if other
+main element where it has one, else the whole page, of which every slot is
+content.  Outside the region nothing is content.  Inside, boxes that announce
+themselves as boilerplate (by element, role or class) and constant boxes beside
+slots are left out; headings and paragraphs of an article stay even if other
 pages repeat them, since copies of an article are still articles.
 
 Defined results: null and empty pages give an empty text; a page alone on its
@@ -314,26 +314,14 @@ def content(shape: str, owner: list[int], blocks: list[str], constant: set[int])
         for k, (label, _, up) in enumerate(nodes):
             header[k] = label.split(".")[0] == "header" or (up >= 0 and header[up])
             bad[k] = bad[k] or header[k]
-        weight = [0] * len(nodes)
-        for n, text in zip(owner, blocks):
-            if not bad[n] and n not in constant:
-                weight[n] += len(text)
-        own = list(weight)
-        for k in range(len(nodes) - 1, 0, -1):
-            weight[nodes[k][2]] += weight[k]
-        top = 0
-        while inner := [c for c in nodes[top][1] if own[top] == 0 and weight[c] > 0.5 * weight[top]]:
-            if nodes[inner[0]][0].split(".")[0] in TEXTUAL - {"body", "td", "article", "main"}:
-                break
-            top = inner[0]
-        for k, (_, _, up) in enumerate(nodes):
-            region[k] = k == top or (up >= 0 and region[up])
+        region = [True] * len(nodes)
     slots = any(region[n] and not bad[n] and n not in constant for n in owner)
     boxes = [False] * len(nodes)                                # constant boxes beside slots
     for k, (label, below, up) in enumerate(nodes):
-        alone = k in constant and not below and label.split(".")[0] not in TEXTUAL
+        alone = k in constant and not below and (not marked or label.split(".")[0] not in TEXTUAL)
         boxes[k] = slots and (alone or (up >= 0 and boxes[up]))
-    return " ".join(t for n, t in zip(owner, blocks) if region[n] and not bad[n] and not boxes[n])
+    template = constant if slots and not marked else ()
+    return " ".join(t for n, t in zip(owner, blocks) if region[n] and not bad[n] and not boxes[n] and n not in template)
 
 
 def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:

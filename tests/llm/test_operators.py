@@ -401,6 +401,16 @@ def test_wrapper_extraction(spark):
     assert [got[29 + i] for i in range(6)] == ["", "", "just text <b>", "a b c", "deep", " ".join(["w"] * 5000)]
 
 
+def test_wrapper_keeps_every_slot(spark):
+    body = [[" ".join(R.choice(VOCAB) for _ in range(30)) for _ in range(3)] for _ in range(6)]
+    title = [("http://a.org/%d" % i, page(f"<div><h1>T{i}</h1></div><div><p>{a}</p><p>{b}</p></div>")) for i, (a, b, _) in enumerate(body)]
+    split = [("http://b.org/%d" % i, page(f"<div><div><p>{a}</p><p>{b}</p></div><div><p>{c}</p></div></div><div>All about us</div>"))
+             for i, (a, b, c) in enumerate(body)]
+    got = text_of(title + split, spark)
+    for i, (a, b, c) in enumerate(body):
+        assert got[i] == f"T{i} {a} {b}" and got[6 + i] == f"{a} {b} {c}"
+
+
 def test_tree_matching_is_best():
     def size(a, b):
         x, y = wrappers.read_tree(a), wrappers.read_tree(b)

@@ -58,6 +58,11 @@ WORDS = frozenset("""ad ads advert adverts advertisement advertising banner spon
     breadcrumb breadcrumbs sidebar footer cookie cookies consent notice gdpr popup modal newsletter subscribe subscription
     share sharing social related recommended recommendations comment comments disqus replies widget toolbar pagination pager
     login signup""".split())
+COMMENTS = frozenset("comment comments disqus replies".split())
+#: A class or id of several words names its box by the last; these may follow a word of WORDS, and those make it a state of the box.
+HOLDERS = frozenset("""area bar block box button buttons container content form inner item items link links list message panel section
+    slot unit icon icons group row column col title x widget wrap wrapper zone posts articles stories top bottom left right main site page header body primary secondary""".split())
+STATES = frozenset("has have no not with without hide show".split())
 REGION = ("article", "main")
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figcaption caption article main body html".split())
 CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -70,21 +75,40 @@ class Node:
         self.label, self.children, self.ids = label, [], []
 
 
+def _names(value: str, of: frozenset) -> bool:
+    """Whether a class or id of ``value`` as a whole names one of ``of``: 'sidebar', 'main-sidebar', 'ad-box', not 'has-sidebar'."""
+    for name in value.split():
+        parts = [w.lower() for w in CAMEL.findall(name) if not w.isdigit()]
+        if not parts or not STATES.isdisjoint(parts):
+            continue
+        if parts[-1] in of or (parts[-1] in HOLDERS and any(w in of for w in parts) and all(w in of or w in HOLDERS for w in parts)):
+            return True
+    return False
+
+
 def _label(tag: str, attrs: str) -> str:
-    """Tag, and ``!`` if the element announces itself as boilerplate, then its class and id words."""
-    words, role = set(), ""
+    """Tag, ``!`` if the element is boilerplate or ``~`` if a class or id says so, then its class and id words."""
+    words, role, named, comments = set(), "", False, False
     if attrs and "=" in attrs:
         for m in ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id"):
-                words |= {w.lower() for w in CAMEL.findall(value) if not w.isdigit()}
+                here = {w.lower() for w in CAMEL.findall(value) if not w.isdigit()}
+                words |= here
+                if not here.isdisjoint(WORDS):
+                    named = named or _names(value, WORDS)
+                    comments = comments or _names(value, COMMENTS)
             elif name == "role":
                 role = value.strip().lower()
-    whole = tag in ("article", "main", "body", "html")
     if role == "main":
-        tag, whole = "main", True
-    bad = tag in DROPPED or role in ROLES or (bool(words & WORDS) and not whole)
-    return tag + ("!" if bad else "") + "".join("." + w for w in sorted(words))
+        tag = "main"
+    bad = tag in DROPPED or role in ROLES or (comments and tag not in ("main", "body", "html"))
+    soft = named and tag not in ("article", "main", "body", "html")
+    return tag + ("!" if bad else "~" if soft else "") + "".join("." + w for w in sorted(words))
+
+
+def _tag(label: str) -> str:
+    return label.split(".")[0].rstrip("!~")
 
 
 def parse(page: str) -> tuple[Node, list[str]]:
@@ -164,7 +188,7 @@ def parse(page: str) -> tuple[Node, list[str]]:
             stack.append((tag, node))
         else:
             label = _label(tag, m["attrs"])
-            if "!" in label:                                     # an inline box that announces itself
+            if "!" in label or "~" in label:                     # an inline box that announces itself
                 flush()
                 node = Node(label)
                 next(n for _, n in reversed(stack) if n is not None).children.append(node)
@@ -300,21 +324,57 @@ def aligned(seen: dict, reference: str, shape: str) -> tuple[int, ...]:
 def content(shape: str, owner: list[int], blocks: list[str], constant: set[int]) -> str:
     """The content of a page: its tree, the node of each block, the blocks, the nodes that are template."""
     nodes = read_tree(shape)
-    bad, region = [False] * len(nodes), [False] * len(nodes)
+    bad = [False] * len(nodes)
     for k, (label, _, up) in enumerate(nodes):
         bad[k] = "!" in label or (up >= 0 and bad[up])
-    for tag in REGION:
+
+    def weights(inside: list[bool]) -> list[int]:
+        """Text in slots (in all, if there are none) at or below each node."""
+        of = [(n, len(t)) for n, t in zip(owner, blocks) if inside[n] and not bad[n]]
+        weight = [0] * len(nodes)
+        for n, size in [x for x in of if x[0] not in constant] or of:
+            weight[n] += size
+        for k in range(len(nodes) - 1, 0, -1):
+            weight[nodes[k][2]] += weight[k]
+        return weight
+
+    def named(inside: list[bool], holds: list[bool]) -> list[bool]:
+        """What class words make boilerplate: not what ``holds`` the article, or most of the text."""
+        weight, out = weights(inside), [False] * len(nodes)
+        for k, (label, _, up) in enumerate(nodes):
+            out[k] = up >= 0 and out[up] or "~" in label and not holds[k] and weight[k] <= 0.5 * weight[0]
+        return out
+
+    def within(tag: str, out: list[bool]) -> list[bool]:
+        region = [False] * len(nodes)
         for k, (label, _, up) in enumerate(nodes):
-            region[k] = not bad[k] and (label.split(".")[0] == tag or (up >= 0 and region[up]))
-        if any(region[n] for n in owner):
+            region[k] = not bad[k] and not out[k] and (label.split(".")[0] == tag or (up >= 0 and region[up]))
+        return region
+
+    everything, nothing = [True] * len(nodes), [False] * len(nodes)
+    soft = named(everything, nothing)
+    rest = sum(len(t) for n, t in zip(owner, blocks) if not bad[n] and not soft[n] and n not in constant)
+    for tag, out in [(tag, out) for out in (soft, nothing) for tag in REGION]:
+        region = within(tag, out)                               # articles in named boxes only hold the page if they have its text
+        size = sum(len(t) for n, t in zip(owner, blocks) if region[n])
+        if size and (out is soft or size > rest):
             break
+    else:
+        region = nothing
+    holds = [False] * len(nodes)
+    for k in range(len(nodes) - 1, -1, -1):
+        holds[k] = holds[k] or (region[k] and not (k and region[nodes[k][2]]))
+        if holds[k] and nodes[k][2] >= 0:
+            holds[nodes[k][2]] = True
     marked = any(region)
     if not marked:
         header = [False] * len(nodes)
         for k, (label, _, up) in enumerate(nodes):
-            header[k] = label.split(".")[0] == "header" or (up >= 0 and header[up])
+            header[k] = _tag(label) == "header" or (up >= 0 and header[up])
             bad[k] = bad[k] or header[k]
         region = [True] * len(nodes)
+    soft = named(region, holds)
+    bad = [b or s for b, s in zip(bad, soft)]
     slots = any(region[n] and not bad[n] and n not in constant for n in owner)
     boxes = [False] * len(nodes)                                # constant boxes beside slots
     for k, (label, below, up) in enumerate(nodes):

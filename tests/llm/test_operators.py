@@ -411,6 +411,29 @@ def test_wrapper_keeps_every_slot(spark):
         assert got[i] == f"T{i} {a} {b}" and got[6 + i] == f"{a} {b} {c}"
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "menu-open", "banner", "login", "related", "share"])
+def test_wrapper_class_words(spark, name):
+    body = [" ".join(R.choice(VOCAB) for _ in range(30)) for _ in range(4)]
+    small = "<div class='main-sidebar'>Side {0}</div><div id=cookie_banner><p>Cookies {0}</p></div>"
+    marked = [("http://a.org/%d" % i, page(f"<div class='{name}'><article><p>{b}</p><div class=share>S{i}</div><div class=related>"
+                                           f"<article>Teaser {i}</article></div></article></div>"
+                                           f"<article class=comment><p>Nice {b}</p></article><div class=comments><article>Yes {b}</article></div>",
+                                           small.format(i))) for i, b in enumerate(body)]
+    plain = [("http://b.org/%d" % i, page(f"<div class='{name}'><p>{b}</p><p>{b}</p></div>", small.format(i))) for i, b in enumerate(body)]
+    got = text_of(marked + plain, spark)
+    for i, b in enumerate(body):
+        assert got[i] == b and got[4 + i] == f"{b} {b}"
+
+
+def test_wrapper_teasers_do_not_hold_the_page(spark):
+    body = [" ".join(R.choice(VOCAB) for _ in range(30)) for _ in range(4)]
+    teaser = "<div class=related><article>Teaser</article></div>"
+    pages = [("http://a.org/%d" % i, page(f"<main><p>{b}</p></main>", teaser)) for i, b in enumerate(body)]
+    pages += [("http://b.org/%d" % i, page(f"<div><p>{b}</p></div>", teaser)) for i, b in enumerate(body)]
+    got = text_of(pages, spark)
+    assert [got[i] for i in range(8)] == body + body
+
+
 def test_tree_matching_is_best():
     def size(a, b):
         x, y = wrappers.read_tree(a), wrappers.read_tree(b)

@@ -2,19 +2,21 @@
 
 Every page is parsed once into a tree of structural elements; like siblings
 are folded into one repeated node, so trees stay small whatever the page's
-length.  Per host, the commonest tree is the reference.  Each page's
-tree is aligned with it by simple tree matching, and for each reference node
-the pages vote with a hash of the node's own text: a node whose commonest text
-appears on most of the pages that have it is *template*, any other a *slot*.
-Votes are counted by Spark with partial aggregation, so a host with a third of
-all pages is no special case; alignments are remembered by tree pair.
+length.  Per host, the commonest tree is the reference, to which all other
+layouts add what it lacks.  Each page's tree is aligned with it by simple tree
+matching, and for each reference node, and each path of tags, the pages vote
+with a hash of every text directly there (a run of paragraphs, headings or the
+like is one text): a text that most of the pages with text there have is
+*template*, any other fills a *slot*.  Equal pages of a host have one vote.  Votes are counted by Spark with partial aggregation, so a host
+with a third of all pages is no special case; alignments are remembered by tree
+pair.
 
 A page's content is what its slots hold.  The region is the page's article or
 main element where it has one, else the whole page, of which every slot is
 content.  Outside the region nothing is content.  Inside, boxes that announce
-themselves as boilerplate (by element, role or class) and constant boxes beside
-slots are left out; headings and paragraphs of an article stay even if other
-pages repeat them, since copies of an article are still articles.
+themselves as boilerplate (by element, role or class) are left out, and so is
+template of any element and at any depth where there are slots beside it; where
+there are none, all texts stay, since copies of an article are still articles.
 
 Defined results: null and empty pages give an empty text; a page alone on its
 host, or on a host where all pages are equal, is judged by its elements alone;
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pandas as pd
 import xxhash
@@ -36,7 +39,6 @@ from pyspark.sql import functions as F
 from churnlane.llm.common import lower_ascii, ship, stage
 
 CONSTANT = 0.5             # a node is template if one text has more than this share of its pages
-MAX_DEPTH = 100            # of boxes within boxes in a tree
 MIN_PAGES = 3              # and at least so many pages have that text
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
@@ -69,10 +71,10 @@ CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("label", "children", "ids")
+    __slots__ = ("label", "children", "ids", "shape")
 
     def __init__(self, label: str):
-        self.label, self.children, self.ids = label, [], []
+        self.label, self.children, self.ids, self.shape = label, [], [], 0
 
 
 def _names(value: str, of: frozenset) -> bool:
@@ -177,11 +179,7 @@ def parse(page: str) -> tuple[Node, list[str]]:
                     break
                 if stack[i][0] in SCOPE and stack[i][0] not in ends:
                     break
-        if sum(n is not None for _, n in stack) > MAX_DEPTH:    # deeper boxes belong to the one they are in
-            if tag in BLOCK:
-                flush()
-            stack.append((tag, None))
-        elif tag in BLOCK:
+        if tag in BLOCK:
             flush()
             node = Node(_label(tag, m["attrs"]))
             next(n for _, n in reversed(stack) if n is not None).children.append(node)
@@ -201,40 +199,43 @@ def parse(page: str) -> tuple[Node, list[str]]:
     return root, blocks
 
 
-def _shape(n: Node) -> str:
-    return n.label + (f"({' '.join(map(_shape, n.children))})" if n.children else "")
-
-
 def _merge(into: Node, n: Node) -> None:
     """Adds the texts of ``n``'s tree to a tree of the same shape."""
-    into.ids += n.ids
-    for a, b in zip(into.children, n.children):
-        _merge(a, b)
+    todo = [(into, n)]
+    while todo:
+        a, b = todo.pop()
+        a.ids += b.ids
+        todo += zip(a.children, b.children)
 
 
-def fold(nodes: list[Node]) -> list[Node]:
-    """Like siblings become one node: paragraphs, headings, cells and the like within a run of such,
-    other neighbours if their whole trees are alike and are more than single boxes."""
-    for n in nodes:
-        n.children = fold(n.children)
+def _fold_textual(nodes: list[Node]) -> list[Node]:
     out: list[Node] = []
     run: dict[str, Node] = {}                                    # of the textual elements just before
-    k = 0
-    while k < len(nodes):
-        n = nodes[k]
-        k += 1
+    for n in nodes:
         if n.label.split(".")[0] in TEXTUAL and n.label.split(".")[0] not in REGION:
             if n.label in run:
                 run[n.label].ids += n.ids
-                run[n.label].children = fold(run[n.label].children + n.children) if n.children else run[n.label].children
+                run[n.label].children += n.children
             else:
                 out.append(n)
                 run[n.label] = n
-            continue
-        run = {}
+        else:
+            run = {}
+            out.append(n)
+    return out
+
+
+def _fold_like(nodes: list[Node]) -> list[Node]:
+    out: list[Node] = []
+    k = 0
+    while k < len(nodes):
+        n = nodes[k]
         out.append(n)
-        shape, like = _shape(n), k
-        while like < len(nodes) and nodes[like].label == n.label and _shape(nodes[like]) == shape:
+        k += 1
+        if n.label.split(".")[0] in TEXTUAL and n.label.split(".")[0] not in REGION:
+            continue
+        like = k
+        while like < len(nodes) and nodes[like].shape == n.shape:
             like += 1
         if like - k and (n.children or like - k > 8):
             for m in nodes[k:like]:
@@ -243,14 +244,42 @@ def fold(nodes: list[Node]) -> list[Node]:
     return out
 
 
+def fold(nodes: list[Node], runs: dict[int, int]) -> list[Node]:
+    """Like siblings become one node: paragraphs, headings, cells and the like within a run of such,
+    other neighbours if their whole trees are alike and are more than single boxes.  ``runs`` gets the
+    run of each block, by its first: what the page has there as one text, before boxes are folded."""
+    top = Node("")
+    top.children = nodes
+    order = [top]
+    for n in order:                                              # from the top down, as it grows
+        n.children = _fold_textual(n.children)
+        order += n.children
+        runs.update((i, n.ids[0]) for i in n.ids)
+    for n in reversed(order):
+        n.children = _fold_like(n.children)
+        n.shape = hash((n.label, *[c.shape for c in n.children]))
+    return top.children
+
+
 def flatten(root: Node) -> tuple[str, list[Node]]:
     """The tree as text, ``label(child child)``, and its nodes in that order."""
     nodes: list[Node] = []
-
-    def walk(n: Node) -> str:
+    parts: list[str] = []
+    todo: list[Node | str] = [root]
+    while todo:
+        n = todo.pop()
+        if isinstance(n, str):
+            parts.append(n)
+            continue
         nodes.append(n)
-        return n.label + (f"({' '.join(map(walk, n.children))})" if n.children else "")
-    return walk(root), nodes
+        parts.append(n.label)
+        if n.children:
+            parts.append("(")
+            todo.append(")")
+            for c in reversed(n.children):
+                todo += (c, " ")
+            todo.pop()
+    return "".join(parts), nodes
 
 
 def read_tree(shape: str) -> list[tuple[str, list[int], int]]:
@@ -272,35 +301,30 @@ def read_tree(shape: str) -> list[tuple[str, list[int], int]]:
 def align(reference: str, shape: str) -> tuple[int, ...]:
     """Simple tree matching: for each node of ``shape`` the node of ``reference`` it is matched with, or -1."""
     a, b = read_tree(reference), read_tree(shape)
-    size: dict[tuple[int, int], int] = {}
+    pairs = {(0, 0)} if a[0][0] == b[0][0] else set()           # that a top-down matching can reach
+    todo = list(pairs)
+    while todo:
+        i, j = todo.pop()
+        new = {(x, y) for x in a[i][1] for y in b[j][1] if a[x][0] == b[y][0]}      # a node has one parent: each pair comes once
+        pairs |= new
+        todo += new
+    size: dict[tuple[int, int], int] = {}                       # most pairs of an order-keeping matching of the trees at i and j
     tables: dict[tuple[int, int], list[list[int]]] = {}
-
-    def match(i: int, j: int) -> int:
-        """Most pairs of a top-down, order-keeping matching of the trees at i and j."""
-        if a[i][0] != b[j][0]:
-            return 0
-        if (i, j) not in size:
-            size[i, j] = 1 + table(i, j)[-1][-1]
-        return size[i, j]
-
-    def table(i: int, j: int) -> list[list[int]]:
-        if (i, j) in tables:
-            return tables[i, j]
+    for i, j in sorted(pairs, reverse=True):                    # children have greater numbers
         m = [[0] * (len(b[j][1]) + 1)]
         for x in a[i][1]:
             row = [0]
             for k, y in enumerate(b[j][1]):
-                row.append(max(row[-1], m[-1][k + 1], m[-1][k] + match(x, y)))
+                row.append(max(row[-1], m[-1][k + 1], m[-1][k] + size.get((x, y), 0)))
             m.append(row)
-        tables[i, j] = m
-        return m
+        tables[i, j], size[i, j] = m, 1 + m[-1][-1]
 
     out = [-1] * len(b)
-    todo = [(0, 0)] if match(0, 0) else []
+    todo = [(0, 0)] if pairs else []
     while todo:
         i, j = todo.pop()
         out[j] = i
-        m, x, y = table(i, j), len(a[i][1]), len(b[j][1])
+        m, x, y = tables[i, j], len(a[i][1]), len(b[j][1])
         while x and y:
             if m[x][y] == m[x - 1][y]:
                 x -= 1
@@ -312,17 +336,34 @@ def align(reference: str, shape: str) -> tuple[int, ...]:
     return tuple(out)
 
 
-def aligned(seen: dict, reference: str, shape: str) -> tuple[int, ...]:
-    """``align`` through a bounded memo."""
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+
+
+def addresses(seen: dict, reference: str, shape: str) -> list[tuple[int, int]]:
+    """Two addresses of each node of ``shape``, through a bounded memo: its node in the host's merged reference, and its path of tags.
+
+    The merged reference holds the commonest tree and, below its nodes, whatever other layouts add: a node
+    not matched has the address of its parent and its label.  The path of tags is for boxes whose class names differ by page.
+    """
     if (reference, shape) not in seen:
         if len(seen) >= 4096:
             seen.clear()
-        seen[reference, shape] = align(reference, shape)
+        out: list[tuple[int, int]] = []
+        for i, (label, _, up) in zip(align(reference, shape), read_tree(shape)):
+            merged, path = out[up] if up >= 0 else (0, 0)
+            out.append((_hash(f"node {i}" if i >= 0 else f"{merged} {label}"), _hash(f"path {path} {_tag(label)}")))
+        seen[reference, shape] = out
     return seen[reference, shape]
 
 
-def content(shape: str, owner: list[int], blocks: list[str], constant: set[int]) -> str:
-    """The content of a page: its tree, the node of each block, the blocks, the nodes that are template."""
+def text_at(address: int, text: int) -> int:
+    """The number of a text (its hash) at an address."""
+    return (address * 0x9E3779B97F4A7C15 + text) & ((1 << 63) - 1)
+
+
+def content(shape: str, owner: list[int], blocks: list[str], constant: list[bool]) -> str:
+    """The content of a page: its tree, the node of each block, the blocks, whether each is template."""
     nodes = read_tree(shape)
     bad = [False] * len(nodes)
     for k, (label, _, up) in enumerate(nodes):
@@ -330,9 +371,9 @@ def content(shape: str, owner: list[int], blocks: list[str], constant: set[int])
 
     def weights(inside: list[bool]) -> list[int]:
         """Text in slots (in all, if there are none) at or below each node."""
-        of = [(n, len(t)) for n, t in zip(owner, blocks) if inside[n] and not bad[n]]
+        of = [(n, len(t), fixed) for n, t, fixed in zip(owner, blocks, constant) if inside[n] and not bad[n]]
         weight = [0] * len(nodes)
-        for n, size in [x for x in of if x[0] not in constant] or of:
+        for n, size, _ in [x for x in of if not x[2]] or of:
             weight[n] += size
         for k in range(len(nodes) - 1, 0, -1):
             weight[nodes[k][2]] += weight[k]
@@ -353,7 +394,7 @@ def content(shape: str, owner: list[int], blocks: list[str], constant: set[int])
 
     everything, nothing = [True] * len(nodes), [False] * len(nodes)
     soft = named(everything, nothing)
-    rest = sum(len(t) for n, t in zip(owner, blocks) if not bad[n] and not soft[n] and n not in constant)
+    rest = sum(len(t) for n, t, fixed in zip(owner, blocks, constant) if not bad[n] and not soft[n] and not fixed)
     for tag, out in [(tag, out) for out in (soft, nothing) for tag in REGION]:
         region = within(tag, out)                               # articles in named boxes only hold the page if they have its text
         size = sum(len(t) for n, t in zip(owner, blocks) if region[n])
@@ -375,46 +416,49 @@ def content(shape: str, owner: list[int], blocks: list[str], constant: set[int])
         region = [True] * len(nodes)
     soft = named(region, holds)
     bad = [b or s for b, s in zip(bad, soft)]
-    slots = any(region[n] and not bad[n] and n not in constant for n in owner)
-    boxes = [False] * len(nodes)                                # constant boxes beside slots
-    for k, (label, below, up) in enumerate(nodes):
-        alone = k in constant and not below and (not marked or label.split(".")[0] not in TEXTUAL)
-        boxes[k] = slots and (alone or (up >= 0 and boxes[up]))
-    template = constant if slots and not marked else ()
-    return " ".join(t for n, t in zip(owner, blocks) if region[n] and not bad[n] and not boxes[n] and n not in template)
+    kept = [(t, fixed) for n, t, fixed in zip(owner, blocks, constant) if region[n] and not bad[n]]
+    slots = any(not fixed for _, fixed in kept)
+    return " ".join(t for t, fixed in kept if not (slots and fixed))
 
 
 def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """id, url, host, shape (the folded tree), hashes (own text of each node), owner (node of each block), blocks."""
+    """id, url, host, shape (the folded tree), page (a hash of all), hashes (of each block's run), owner (node of each block), blocks."""
     ship()
 
     def each(batches):
         for pdf in batches:
-            shapes, hashes, owners, texts = [], [], [], []
+            shapes, wholes, hashes, owners, texts = [], [], [], [], []
             for page in pdf["html"]:
                 root, blocks = parse(page or "")
-                root.children = fold(root.children)
+                runs: dict[int, int] = {}
+                root.children = fold(root.children, runs)
                 shape, nodes = flatten(root)
                 owner = [0] * len(blocks)
                 for k, n in enumerate(nodes):
                     for i in n.ids:
                         owner[i] = k
                 shapes.append(shape)
-                hashes.append([xxhash.xxh64_intdigest("\n".join(blocks[i] for i in n.ids).encode("utf-8", "surrogatepass")) >> 1
-                               if n.ids else -1 for n in nodes])
+                run: dict[int, list[str]] = defaultdict(list)
+                for i, t in enumerate(blocks):
+                    run[runs.get(i, -1)].append(t)
+                whole = {k: _hash("\n".join(ts)) for k, ts in run.items()}
+                hashes.append([whole[runs.get(i, -1)] for i in range(len(blocks))])
+                wholes.append(_hash(f"{shape} {owner} {hashes[-1]}"))
                 owners.append(owner)
                 texts.append(blocks)
-            yield pd.DataFrame({"id": pdf["id"], "url": pdf["url"], "host": pdf["host"], "shape": shapes, "hashes": hashes,
+            yield pd.DataFrame({"id": pdf["id"], "url": pdf["url"], "host": pdf["host"], "shape": shapes, "page": wholes, "hashes": hashes,
                                 "owner": owners, "blocks": texts})
     host = lower_ascii(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), "://([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(each, f"id {kind}, url string, host string, shape string, hashes array<long>, owner array<int>, blocks array<string>")
+    return rows.mapInPandas(each, f"id {kind}, url string, host string, shape string, page long, hashes array<long>, "
+                           "owner array<int>, blocks array<string>")
 
 
 def induce(parsed: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """One wrapper per host: host, reference (its commonest tree), template (numbers of its constant nodes)."""
+    """One wrapper per host: host, reference (its commonest tree), template (numbers of its constant texts at their addresses)."""
     ship()
+    distinct = parsed.select("host", "page", "shape", "hashes", "owner").dropDuplicates(["host", "page"])    # copies have one vote
     shapes = parsed.groupBy("host", "shape").agg(F.count("*").alias("n"))
     references = stage(shapes.groupBy("host").agg(F.max(F.struct("n", "shape")).alias("m"))
                        .select("host", F.col("m.shape").alias("reference")), "wrapper-references")
@@ -422,20 +466,22 @@ def induce(parsed: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_P
     def vote(batches):
         seen: dict = {}
         for pdf in batches:
-            hosts, nodes, hashes = [], [], []
-            for host, reference, shape, own in zip(pdf["host"], pdf["reference"], pdf["shape"], pdf["hashes"]):
-                for i, h in zip(aligned(seen, reference, shape), own):
-                    if i >= 0 and h >= 0:
-                        hosts.append(host)
-                        nodes.append(i)
-                        hashes.append(h)
-            yield pd.DataFrame({"host": hosts, "node": nodes, "hash": hashes})
-
-    votes = (parsed.select("host", "shape", "hashes").join(references, "host")
-             .mapInPandas(vote, "host string, node int, hash long").groupBy("host", "node", "hash").agg(F.count("*").alias("n")))
-    nodes = votes.groupBy("host", "node").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-    template = (nodes.filter((F.col("most") > constant * F.col("all")) & (F.col("most") >= min_pages))
-                .groupBy("host").agg(F.collect_list("node").alias("template")))        # as many as a reference has nodes
+            hosts, at, texts = [], [], []
+            for host, reference, shape, hashes, owner in zip(pdf["host"], pdf["reference"], pdf["shape"], pdf["hashes"], pdf["owner"]):
+                nodes = addresses(seen, reference, shape)
+                votes = {(a, -1) for n in set(owner) for a in nodes[n]}              # the page has text there
+                votes |= {(a, text_at(a, h)) for n, h in zip(owner, hashes.tolist()) for a in nodes[n]}
+                hosts += [host] * len(votes)
+                at += [a for a, _ in votes]
+                texts += [t for _, t in votes]
+            yield pd.DataFrame({"host": hosts, "at": at, "text": texts})
+
+    votes = (distinct.join(references, "host").mapInPandas(vote, "host string, at long, text long")
+             .groupBy("host", "at", "text").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages))
+    votes = stage(votes, "wrapper-votes")
+    pages = votes.filter("text < 0").select("host", "at", F.col("n").alias("all"))
+    template = (votes.filter("text >= 0").join(pages, ["host", "at"]).filter(F.col("n") > constant * F.col("all"))
+                .groupBy("host").agg(F.collect_list("text").alias("template")))        # as many as its layouts have constant texts
     return references.join(template, "host", "left")
 
 
@@ -446,13 +492,21 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def each(batches):
         seen: dict = {}
+        fixed: dict = {}                                        # template by host
         for pdf in batches:
             texts = []
-            for shape, reference, template, owner, blocks in zip(pdf["shape"], pdf["reference"], pdf["template"], pdf["owner"], pdf["blocks"]):
-                fixed = set() if template is None else set(template)
-                constant = {k for k, i in enumerate(aligned(seen, reference, shape)) if i in fixed} if fixed else set()
-                texts.append(content(shape, list(owner), list(blocks), constant))
+            for host, shape, reference, template, hashes, owner, blocks in zip(
+                    pdf["host"], pdf["shape"], pdf["reference"], pdf["template"], pdf["hashes"], pdf["owner"], pdf["blocks"]):
+                if host not in fixed:
+                    if len(fixed) >= 256:
+                        fixed.clear()
+                    fixed[host] = frozenset() if template is None else frozenset(template.tolist())
+                constant = [False] * len(blocks)
+                if fixed[host]:
+                    nodes = addresses(seen, reference, shape)
+                    constant = [any(text_at(a, h) in fixed[host] for a in nodes[n]) for n, h in zip(owner, hashes.tolist())]
+                texts.append(content(shape, owner.tolist(), blocks.tolist(), constant))
             yield pd.DataFrame({"id": pdf["id"], "url": pdf["url"], "text": texts, "n_blocks": [len(b) for b in pdf["blocks"]]})
     kind = parsed.schema["id"].dataType.simpleString()
-    return (parsed.select("id", "url", "host", "shape", "owner", "blocks").join(wrappers, "host")
+    return (parsed.select("id", "url", "host", "shape", "hashes", "owner", "blocks").join(wrappers, "host")
             .mapInPandas(each, f"id {kind}, url string, text string, n_blocks long"))

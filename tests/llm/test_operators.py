@@ -434,6 +434,23 @@ def test_wrapper_teasers_do_not_hold_the_page(spark):
     assert [got[i] for i in range(8)] == body + body
 
 
+def test_wrapper_template_of_any_element_layout_and_depth(spark):
+    body = [" ".join(R.choice(VOCAB) for _ in range(30)) for _ in range(8)]
+    notice = "<div><p>Buy now</p><ul><li>Offer</ul></div>"
+    inside = [("http://a.org/%d" % i, page(f"<article><h3>Read this</h3><div><p>{b}</p></div><div><p>Write to us</p></div>{notice}<p>{b}</p></article>"))
+              for i, b in enumerate(body)]
+    layouts = [("http://b.org/%d" % i, page(f"<main>{notice}<p>{b}</p></main>" if i < 5 else
+                                            f"<article><section class=lead><p>{b}</p><div class=note><h4>Our notice</h4></div></section></article>"))
+               for i, b in enumerate(body)]
+    classes = [("http://c.org/%d" % i, page(f"<div class='post-{'abcdefgh'[i]}q'><p>{b}</p>{notice}</div>")) for i, b in enumerate(body)]
+    deep = [("http://d%d.org/" % i, "<div>" * n + f"<nav>Home</nav><article>{b}</article><form>Go</form>x" + "</div>" * n)
+            for i, (n, b) in enumerate(zip((99, 150, 2000, 20000), body))]
+    got = text_of(inside + layouts + classes + deep, spark)
+    for i, b in enumerate(body):
+        assert got[i] == f"{b} {b}" and got[8 + i] == b and got[16 + i] == b
+    assert [got[24 + i] for i in range(4)] == body[:4]
+
+
 def test_tree_matching_is_best():
     def size(a, b):
         x, y = wrappers.read_tree(a), wrappers.read_tree(b)

@@ -24,6 +24,7 @@ import datetime
 import hashlib
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from churnlane.llm.common import ship
 
 ROUNDS = 8
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73049        # to 2099-12-31
+LONG = 100                 # from so many letters and digits on, a name is permuted as a list, not as one number
 _CHARS = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 NUMBER = re.compile(r"""(?<![\w.+-])(?:
@@ -54,8 +56,11 @@ class Feistel:
         self.key, self.rounds = hashlib.blake2b(key, digest_size=32).digest(), rounds
 
     def _f(self, tweak: bytes, r: int, v: int, bits: int) -> int:
-        h = hashlib.blake2b(tweak + bytes((r,)) + v.to_bytes(32, "big"), key=self.key, digest_size=32)
-        return int.from_bytes(h.digest(), "big") & ((1 << bits) - 1)
+        if bits > 256:
+            h = hashlib.shake_256(self.key + tweak + bytes((r,)) + v.to_bytes(-(-bits // 8), "big")).digest(-(-bits // 8))
+        else:
+            h = hashlib.blake2b(tweak + bytes((r,)) + v.to_bytes(32, "big"), key=self.key, digest_size=32).digest()
+        return int.from_bytes(h, "big") & ((1 << bits) - 1)
 
     def permute(self, v: int, n: int, tweak: bytes, back: bool = False) -> int:
         half = max(1, -(-max(1, (n - 1).bit_length()) // 2))
@@ -68,6 +73,17 @@ class Feistel:
             if v < n:
                 return v
 
+    def permute_list(self, v: list[int], base: int, tweak: bytes, back: bool = False) -> list[int]:
+        """A permutation of lists of numbers below ``base``, in time linear in their length."""
+        v = np.array(v, np.int64)
+        halves = [v[:len(v) // 2], v[len(v) // 2:]]
+        for r in reversed(range(self.rounds)) if back else range(self.rounds):
+            of, to = halves[r % 2], halves[1 - r % 2]
+            h = hashlib.shake_256(self.key + tweak + bytes((r,)) + of.astype(">u2").tobytes()).digest(4 * len(to))
+            f = np.frombuffer(h, ">u4").astype(np.int64)
+            halves[1 - r % 2] = (to - f if back else to + f) % base
+        return np.concatenate(halves).tolist()
+
 
 def luhn_digit(payload: str) -> str:
     total = 0
@@ -162,6 +178,9 @@ class Pseudonyms:
         chars = "".join(c.lower() for c in s if c.isalnum())
         if not chars:
             return s
+        if len(chars) >= LONG:
+            places = self.fpe.permute_list([_CHARS.index(c) for c in chars], 36, f"mail{len(chars)}".encode(), back)
+            return _refill(s, "".join(_CHARS[i] for i in places))
         v = self.fpe.permute(int(chars, 36), 36 ** len(chars), f"mail{len(chars)}".encode(), back)
         out = ""
         for _ in chars:

@@ -375,6 +375,19 @@ def test_pseudonyms(spark):
     assert got[4].text == got[5].text != texts[4]
 
 
+@pytest.mark.parametrize("n", [98, 99, 100, 101, 5000, 200_000])
+def test_pseudonyms_of_long_names(n):
+    text = "".join(R.choice("aB3x.9z") for _ in range(n - 2))
+    text = f"x q{text}7@example.com y"
+    new, found = P.rewrite(text)
+    assert [f[2] for f in found] == ["email"] and new != text and len(new) == len(text) and new.endswith("@example.com y")
+    assert P.rewrite(new, back=True)[0].lower() == text.lower()
+    assert P.rewrite("Q" + text[3:])[0][1:] == new[3:]
+    f = pseudonyms.Feistel(b"k")
+    for big in (36 ** 100, 10 ** 900):
+        assert f.permute(f.permute(big // 3, big, b"t"), big, b"t", True) == big // 3 != f.permute(big // 3, big, b"t")
+
+
 def page(article, extra=""):
     return ("<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a='</p>';</script></head><body>"
             f"<div><ul><li><a href=/>Home</a><li>About</ul></div><div class=box>Site notice</div>{article}{extra}<footer>&copy; s</footer></body></html>")

@@ -11,7 +11,12 @@ holder of the key can turn them back.  Punctuation, spaces and the places of
 capitals stay (turned back, a name's capitals may be lost); equal digits
 written differently stay linked.
 
-Values that fail their check are ordinary numbers and stay as they are.
+Values that fail their check are ordinary numbers and stay as they are.  A card
+or IBAN may be followed or preceded by other numbers: every beginning of the run
+is tried, then the next number of it.  Where a part of such a run would pass for
+a value beside the pseudonym, the next pseudonym is taken, so that it can be
+turned back (there alone, equal values may differ).  Dates with slashes are day
+first, and month first where that is no date.
 
 Defined results: null texts stay null with no findings; repeated rows are
 treated alike; very long texts are scanned whole in one left-to-right pass;
@@ -36,15 +41,21 @@ FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73049        # to 2099-
 LONG = 100                 # from so many letters and digits on, a name is permuted as a list, not as one number
 _CHARS = "0123456789abcdefghijklmnopqrstuvwxyz"
 
-NUMBER = re.compile(r"""(?<![\w.+-])(?:
+NUMBER = re.compile(r"""(?<![\dA-Za-z])(?:
     (?P<iso>\d{4}-\d{2}-\d{2}(?![\d-]))
-  | (?P<date>\d{1,2}(?P<sep>[./])\d{1,2}(?P=sep)\d{4}(?!\d|[./]\d))
-  | (?P<ip>\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d))
+  | (?P<date>(?<!\d[./])\d{1,2}(?P<sep>[./])\d{1,2}(?P=sep)\d{4}(?!\d|[./]\d))
+  | (?P<ip>(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d))
   | (?P<ssn>\d{3}-\d{2}-\d{4}(?![\d-]))
   | (?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d) | \(\d{3}\)[ ]?\d{3}[.-]\d{4}(?!\d) | \d{3}[.-]\d{3}[.-]\d{4}(?!\d))
-  | (?P<card>\d(?:[ -]?\d){12,18}(?![ -]?\d))
+  | (?P<card>\d(?:[ -]?\d){12,18}(?!\d))
   | (?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9]))
 )""", re.X)
+TOKEN = re.compile(r"[\dA-Za-z]+|.", re.S)
+#: Length of a country's IBANs.
+IBAN_LENGTH = {c[:2]: int(c[2:]) for c in """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28
+    EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32
+    LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24
+    SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30""".split()}
 EMAIL = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
@@ -97,6 +108,32 @@ def iban_check(country: str, bban: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in bban + country) + '00') % 97:02d}"
 
 
+def card_fits(s: str) -> bool:
+    d = re.sub(r"\D", "", s)
+    return luhn_digit(d[:-1]) == d[-1] and bool(d.strip("0"))
+
+
+def iban_fits(s: str) -> bool:
+    t = s.replace(" ", "")
+    return 15 <= len(t) <= 34 and iban_check(t[:2], t[4:]) == t[2:4] and any(c.isdigit() for c in t[4:])
+
+
+FITS = {"card": card_fits, "iban": iban_fits}
+
+
+def prefixes(s: str, kind: str) -> list[int]:
+    """Lengths of the beginnings of ``s`` that end with a word and may be a value, in the order they are tried:
+    cards shortest first, since what follows them is more often another number; IBANs by their country's length, else longest first."""
+    least, ends, n = 13 if kind == "card" else 15, [], 0
+    for k, c in enumerate(s, 1):
+        n += c.isalnum()
+        if n >= least and c.isalnum() and (k == len(s) or not s[k].isalnum()):
+            ends.append((n, k))
+    if kind == "iban":
+        ends.sort(key=lambda e: (e[0] != IBAN_LENGTH.get(s[:2]), -e[0]))
+    return [k for _, k in ends]
+
+
 def _refill(shape: str, chars: str) -> str:
     """``chars`` in the places of the letters and digits of ``shape``, letter case kept."""
     it = iter(chars)
@@ -112,7 +149,7 @@ class Pseudonyms:
 
     def card(self, s: str, back: bool) -> str | None:
         d = re.sub(r"\D", "", s)
-        if luhn_digit(d[:-1]) != d[-1] or not d.strip("0"):
+        if not card_fits(s):
             return None
         p = self.digits(d[:-1], "card", back)
         while not p.strip("0"):
@@ -161,15 +198,17 @@ class Pseudonyms:
         sep = "." if "." in s else "/"
         d, m, y = map(int, s.split(sep))
         day = self.day(y, m, d, back)          # day first; written with two digits each where one was or not
+        if day is None and sep == "/" and (day := self.day(y, d, m, back)):
+            while day.day <= 12:               # month first: a day that cannot be read as a month
+                day = self.day(day.year, day.month, day.day, back)
+            return f"{day.month:02d}{sep}{day.day:02d}{sep}{day.year:04d}"
         return day and f"{day.day:02d}{sep}{day.month:02d}{sep}{day.year:04d}"
 
     def iban(self, s: str, back: bool) -> str | None:
         t = s.replace(" ", "")
-        if not 15 <= len(t) <= 34 or iban_check(t[:2], t[4:]) != t[2:4]:
+        if not iban_fits(s):
             return None
         digits = "".join(c for c in t[4:] if c.isdigit())
-        if not digits:
-            return None
         it = iter(self.digits(digits, "iban", back))
         bban = "".join(next(it) if c.isdigit() else c for c in t[4:])
         return _refill(s, t[:2] + iban_check(t[:2], bban) + bban)
@@ -188,6 +227,24 @@ class Pseudonyms:
             out = _CHARS[r] + out
         return _refill(s, out)
 
+    def apart(self, text: str, a: int, s: str, kind: str, back: bool, before: list, failed: list) -> str:
+        """The pseudonym of the card or IBAN ``s`` at ``a``; walked on while a span that was no value, and is read before it, would be one."""
+        new = first = getattr(self, kind)(s, back)
+        while True:
+            line = {x: (y, n) for x, y, k, n in [*before, (a, a + len(s), kind, new)] if k in FITS}
+            for x, y, k in failed:
+                piece = list(text[x:y])
+                for c, (d, n) in line.items():
+                    for i in range(max(c, x), min(d, y)):
+                        piece[i - x] = n[i - c]
+                if FITS[k]("".join(piece)):
+                    break
+            else:
+                return new
+            new = getattr(self, kind)(new, back)
+            if new == first:                                     # no pseudonym is better
+                return new
+
     def rewrite(self, text: str, back: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with pseudonyms, and what was found where (code points of the original)."""
         found: list[tuple[int, int, str, str]] = []
@@ -200,16 +257,30 @@ class Pseudonyms:
             if a < m.start():
                 found.append((a, m.start(), "email", self.local(text[a: m.start()], back)))
         mails = len(found)
-        at = 0
-        for m in NUMBER.finditer(text):
+        at = end = 0
+        failed: list[tuple[int, int, str]] = []                  # spans that are no value, but may become one beside a pseudonym
+        while m := NUMBER.search(text, end):
             kind = m.lastgroup if m.lastgroup != "sep" else "date"
-            while at < mails and found[at][1] <= m.start():
+            a, b = m.span()
+            end = TOKEN.match(text, a).end()                     # where to go on if this is no value
+            while at < mails and found[at][1] <= a:
                 at += 1
-            if at < mails and found[at][0] < m.end():
-                continue                                         # part of an address
-            new = getattr(self, kind)(m[0], back)
-            if new is not None:
-                found.append((*m.span(), kind, new))
+            limit = found[at][0] if at < mails else len(text)    # the next address
+            if limit <= a:
+                end = found[at][1]
+            elif kind in FITS:
+                failed = [f for f in failed if f[1] > a]
+                for k in prefixes(m[0], kind):
+                    if a + k > limit:
+                        continue
+                    if FITS[kind](m[0][:k]):
+                        found.append((a, a + k, kind, self.apart(text, a, m[0][:k], kind, back, found[max(mails, len(found) - 3):], failed)))
+                        end = a + k
+                        break
+                    failed.append((a, a + k, kind))
+            elif b <= limit and (new := getattr(self, kind)(m[0], back)) is not None:
+                found.append((a, b, kind, new))
+                end = b
         found.sort()
         out, end = [], 0
         for a, b, _, new in found:

@@ -388,6 +388,28 @@ def test_pseudonyms_of_long_names(n):
         assert f.permute(f.permute(big // 3, big, b"t"), big, b"t", True) == big // 3 != f.permute(big // 3, big, b"t")
 
 
+@pytest.mark.parametrize("before,value,after", [
+    ("x ", "4539 1488 0343 6467", " 12/27"), ("x ", "4539 1488 0343 6467", " 123"), ("x ", "4539148803436467", " 123456"), ("12 ", "4539 1488 0343 6467", " y"),
+    ("x ", "DE89370400440532013000", " USD 500"), ("x ", "DE89 3704 0044 0532 0130 00", " I"), ("Nr.", "123-45-6789", ""), ("\u756a\u53f7", "123-45-6789", "\u3002"),
+    ("x ", "12/31/1999", " y"), ("-", "2020-02-29", ""), ("1-", "504-555-2652", "")])
+def test_pseudonyms_beside_other_text(before, value, after):
+    for key in range(30):
+        p = pseudonyms.Pseudonyms(b"%d" % key)
+        text = before + value + after
+        new, found = p.rewrite(text)
+        assert len(found) == 1 and text[found[0][0]:found[0][1]] == value, found
+        assert new.startswith(before) and new.endswith(after) and new != text and p.rewrite(new, back=True)[0] == text
+
+
+def test_pseudonyms_of_neighbours():
+    for key in range(30):
+        p = pseudonyms.Pseudonyms(b"%d" % key)
+        text = "4539 1488 0343 6467 4539 1488 0343 6467, 4539148803436467 4539148803436467 12@a.org"
+        new, found = p.rewrite(text)
+        assert [f[2] for f in found] == ["card"] * 4 + ["email"] and p.rewrite(new, back=True)[0] == text
+        assert new[:19] == new[20:39] and new[41:57] == new[58:74] == new[:19].replace(" ", "")
+
+
 def page(article, extra=""):
     return ("<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a='</p>';</script></head><body>"
             f"<div><ul><li><a href=/>Home</a><li>About</ul></div><div class=box>Site notice</div>{article}{extra}<footer>&copy; s</footer></body></html>")

@@ -1,8 +1,9 @@
 """License scan by ordered signature rules.
 
-A text becomes its lower-case words.  Some hundreds of regular expressions,
-written from a table of licences and a table of phrasings, look for licence
-statements in the words.  A rule runs only on texts that hold its keyword.
+A text becomes its lower-case words.  Regular expressions, made of a table of
+licence names times a table of five phrasings, and some statements written out,
+look for licence statements in the words.  A rule runs only on texts that hold
+its keyword, which every match of it holds.
 Rules have priorities; a finding whose words lie inside those of a finding of
 higher priority (or of the same and longer) is dropped, so "gnu general public
 license version 3" is not also "gpl".  Three fixed base phrases are counted at
@@ -29,7 +30,7 @@ from churnlane.llm.common import ship
 #: Base phrases and labels (fixed values).
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-#: label, keyword, the licence's name as a pattern over words, its short identifier as words, priority.
+#: label, keyword, the licence's name as a pattern over words, its short identifier as words ('': none of its own), priority.
 LICENCES = (
     ("mit", "mit", "mit(?: expat)?", "mit", 50),
     ("mit-0", "mit", "mit (?:0|no attribution)", "mit 0", 60),
@@ -40,8 +41,17 @@ LICENCES = (
     ("gpl-2", "gnu", "gnu general public license(?: version| v)? ?2(?: 0)?", "gpl 2 0", 70),
     ("gpl-3", "gnu", "gnu general public license(?: version| v)? ?3(?: 0)?", "gpl 3 0", 70),
     ("gpl", "gnu", "gnu general public", "gpl", 40),
-    ("gpl-2", "gpl", "gpl(?: version| v)? ?2(?: 0)?", "gplv2", 65),
-    ("gpl-3", "gpl", "gpl(?: version| v)? ?3(?: 0)?", "gplv3", 65),
+    ("gpl-2", "gpl", "(?:gnu )?gpl ?(?:version|v)? ?2(?: 0)?", "gplv2", 65),
+    ("gpl-3", "gpl", "(?:gnu )?gpl ?(?:version|v)? ?3(?: 0)?", "gplv3", 65),
+    ("gpl", "gpl", "(?:gnu )?gpl", "", 40),
+    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl ?(?:version|v)? ?2 1", "lgplv2 1", 70),
+    ("lgpl-3", "lgpl", "(?:gnu )?lgpl ?(?:version|v)? ?3(?: 0)?", "lgplv3", 70),
+    ("lgpl", "lgpl", "(?:gnu )?lgpl", "", 45),
+    ("lgpl", "lesser gpl", "(?:gnu )?lesser gpl", "", 45),
+    ("agpl-3", "agpl", "(?:gnu )?agpl ?(?:version|v)? ?3(?: 0)?", "agplv3", 70),
+    ("agpl", "agpl", "(?:gnu )?agpl", "", 45),
+    ("agpl", "affero gpl", "(?:gnu )?affero gpl", "", 45),
+    ("gfdl", "fdl", "(?:gfdl|gnu fdl)", "", 55),
     ("lgpl-2.1", "gnu", "gnu lesser general public license(?: version| v)? ?2 1", "lgpl 2 1", 75),
     ("lgpl-3", "gnu", "gnu lesser general public license(?: version| v)? ?3(?: 0)?", "lgpl 3 0", 75),
     ("lgpl", "gnu", "gnu (?:lesser|library) general public", "lgpl", 45),
@@ -57,16 +67,28 @@ LICENCES = (
     ("mpl-1.1", "mozilla", "mozilla public license(?: version| v)? ?1 1", "mpl 1 1", 70),
     ("mpl-2", "mozilla", "mozilla public license(?: version| v)? ?2(?: 0)?", "mpl 2 0", 70),
     ("mpl", "mozilla", "mozilla public", "mpl", 40),
+    ("mpl-1.1", " mpl", "mpl ?(?:version|v)? ?1 1", "", 70),
+    ("mpl-2", " mpl", "mpl ?(?:version|v)? ?2(?: 0)?", "", 70),
+    ("mpl", " mpl", "mpl", "", 40),
     ("epl-1", "eclipse", "eclipse public license(?: version| v)? ?1(?: 0)?", "epl 1 0", 70),
     ("epl-2", "eclipse", "eclipse public license(?: version| v)? ?2(?: 0)?", "epl 2 0", 70),
-    ("cddl-1", "cddl", "(?:cddl(?: version| v)? ?1(?: 0)?|common development and distribution license)", "cddl 1 0", 60),
+    ("epl", "eclipse", "eclipse public", "", 40),
+    ("epl-1", " epl", "epl ?(?:version|v)? ?1(?: 0)?", "", 70),
+    ("epl-2", " epl", "epl ?(?:version|v)? ?2(?: 0)?", "", 70),
+    ("epl", " epl", "epl", "", 40),
+    ("cddl-1", "cddl", "cddl(?: ?(?:version|v)? ?1(?: 0)?)?", "cddl 1 0", 60),
+    ("cddl-1", "common development and distribution", "common development and distribution", "", 60),
     ("artistic-2", "artistic", "artistic license(?: version| v)? ?2(?: 0)?", "artistic 2 0", 60),
     ("boost", "boost", "boost software", "bsl 1 0", 60),
     ("unlicense", "unlicense", "unlicense", "unlicense", 60),
-    ("wtfpl", "wtfpl", "(?:wtfpl|do what the fuck you want to public)", "wtfpl", 60),
+    ("wtfpl", "wtfpl", "wtfpl", "wtfpl", 60),
+    ("wtfpl", "do what the fuck you want to", "do what the fuck you want to(?: public)?", "", 60),
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib", 55),
     ("odbl", "open database", "open database", "odbl 1 0", 60),
-    ("cc0", "cc0", "(?:creative commons )?(?:cc0(?: 1 0)?|cc zero)(?: universal)?", "cc0 1 0", 75),
+    ("odbl", "odbl", "odbl(?: ?(?:version|v)? ?1(?: 0)?)?", "", 60),
+    ("cc0", "cc0", "(?:creative commons )?cc0(?: 1 0)?(?: universal)?", "cc0 1 0", 75),
+    ("cc0", "cc zero", "(?:creative commons )?cc zero(?: 1 0)?(?: universal)?", "", 75),
+    ("cc0", "creative commons zero", "creative commons zero(?: v?1 0)?(?: universal)?", "", 75),
     ("cc-by", "cc by", "cc by(?: [1-4] [05])?", "cc by 4 0", 50),
     ("cc-by-sa", "cc by", "cc by sa(?: [1-4] [05])?", "cc by sa 4 0", 70),
     ("cc-by-nd", "cc by", "cc by nd(?: [1-4] [05])?", "cc by nd 4 0", 70),
@@ -96,6 +118,13 @@ STATEMENTS = (
     ("all-rights-reserved", "all rights reserved", "all rights reserved", 30, 0.6),
     ("proprietary", "proprietary", "(?:proprietary and confidential|proprietary licen[cs]e)", 40, 0.7),
     ("cc-by-nc", "cc by nc", "cc by nc", 69, 0.8),
+    ("gpl-2", "gpl", "(?:gnu )?gpl ?(?:version|v)? ?2(?: 0)?", 35, 0.6),
+    ("gpl-3", "gpl", "(?:gnu )?gpl ?(?:version|v)? ?3(?: 0)?", 35, 0.6),
+    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl ?(?:version|v)? ?2 1", 36, 0.6),
+    ("lgpl-3", "lgpl", "(?:gnu )?lgpl ?(?:version|v)? ?3(?: 0)?", 36, 0.6),
+    ("agpl-3", "agpl", "(?:gnu )?agpl ?(?:version|v)? ?3(?: 0)?", 36, 0.6),
+    ("mpl-1.1", " mpl", "mpl ?(?:version|v)? ?1 1", 35, 0.6),
+    ("mpl-2", " mpl", "mpl ?(?:version|v)? ?2 0", 35, 0.6),
 )
 
 
@@ -113,6 +142,8 @@ def rules() -> list[Rule]:
     made = {}
     for label, keyword, name, spdx, priority in LICENCES:
         for phrasing, more, confidence in PHRASINGS:
+            if "{spdx}" in phrasing and not spdx:
+                continue
             words = phrasing.format(name=name, spdx=spdx, tail="(?:only|or later)")
             made[words] = Rule(label, keyword.encode() if "{spdx}" not in phrasing else spdx.encode(),
                                re.compile(f" {words}(?= )".encode()), priority + more, confidence)

@@ -345,6 +345,46 @@ def test_licenses(spark):
     assert licenses.scan_licenses(d.limit(0)).count() == 0
 
 
+def spelled(parsed):
+    """All texts that a parsed pattern matches."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "IN":
+            more = [chr(c) if str(o) == "LITERAL" else chr(c[0]) for o, c in arg]
+        elif name == "SUBPATTERN":
+            more = spelled(arg[3])
+        elif name == "BRANCH":
+            more = [t for b in arg[1] for t in spelled(b)]
+        elif name == "MAX_REPEAT":
+            assert arg[:2] == (0, 1)
+            more = ["", *spelled(arg[2])]
+        else:
+            assert name == "ASSERT"
+            more = [""]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_every_license_match_holds_its_keyword():
+    signatures = licenses.rules()
+    for r in signatures:
+        texts = spelled(re._parser.parse(r.pattern.pattern))
+        assert all(r.keyword.decode() in t for t in texts), r
+        assert r.pattern.match(texts[-1].encode() + b" ") and licenses.scan(texts[-1], signatures)["labels"], r
+
+
+@pytest.mark.parametrize("text,label", [
+    ("Licensed under the Common Development and Distribution License", "cddl-1"), ("do what the fuck you want to public license", "wtfpl"),
+    ("released under CC Zero", "cc0"), ("Licensed under the GPL", "gpl"), ("LGPL v2.1", "lgpl-2.1"), ("licensed under the LGPL v2.1", "lgpl-2.1"),
+    ("licensed under GNU GPLv3", "gpl-3"), ("available under the AGPL", "agpl"), ("MPL 2.0 license", "mpl-2"), ("covered by the MPL", "mpl"),
+    ("licensed under the LGPL", "lgpl"), ("released under the EPL", "epl"), ("licensed under the CDDL", "cddl-1"), ("under the GFDL license", "gfdl")])
+def test_license_abbreviations(text, label):
+    assert licenses.scan(text, licenses.rules())["labels"] == label
+
+
 P = pseudonyms.Pseudonyms(b"k")
 
 

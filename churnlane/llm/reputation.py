@@ -61,7 +61,8 @@ def _level(children: DataFrame, parents: DataFrame, parent: str, child: str) ->
     c = children.join(parents.select(parent, F.col("mean").alias("prior")), parent)
     v = F.col("prior") * (1 - F.col("prior"))
     spread = c.filter("n > 0").agg(
-        ((F.sum(F.pow(F.col("bad") - F.col("n") * F.col("prior"), 2) / F.col("n")) - F.sum(v)) / F.sum((F.col("n") - 1) * v)).alias("r"))
+        ((F.sum(F.pow(F.col("bad") - F.col("n") * F.col("prior"), 2) / F.col("n")) - F.sum(v))
+         / F.nullif(F.sum((F.col("n") - 1) * v), F.lit(0.0))).alias("r"))
     spread = spread.select(F.lit(0).alias("all"), F.greatest(F.lit(MIN_SPREAD), F.least(
         F.lit(MAX_SPREAD), F.coalesce("r", F.lit(MAX_SPREAD)))).alias("r"))
     s = 1 / F.col("r") - 1
@@ -71,9 +72,9 @@ def _level(children: DataFrame, parents: DataFrame, parent: str, child: str) ->
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """(host, bad: 0, 1 or null) of pages -> one row per host: n, bad, mean, low (lower posterior bound)."""
+    """(host, n: labels or null, bad: their sum) of pages -> one row per host: n, bad, mean, low (lower posterior bound)."""
     hosts = stage(_families(outcomes.groupBy("host").agg(
-        F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))), "rep-hosts")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))), "rep-hosts")
     total = F.sum("n"), F.sum("bad")
     everything = hosts.agg(((F.coalesce(total[1], F.lit(0)) + 0.5) / (F.coalesce(total[0], F.lit(0)) + 1.0)).alias("mean"))
     everything = everything.select(F.lit(0).alias("root"), "mean")
@@ -91,9 +92,9 @@ def judge_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url
                label_id: str = "doc_id", bad_col: str = "toxic", rules=RULES, max_bad: float = MAX_BAD) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, low.  ``labels`` has outcomes (1: bad) by page id."""
     known = labels.select(F.col(label_id).alias("id"), F.col(bad_col).cast("long").alias("bad")).filter(
-        "id is not null and bad is not null").groupBy("id").agg(F.collect_list("bad").alias("bads"))
+        "id is not null and bad is not null").groupBy("id").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     urls = pages.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
-    outcomes = urls.select("id", "host").join(known, "id", "left").select("host", F.explode_outer("bads").alias("bad"))
+    outcomes = urls.select("id", "host").join(known, "id", "left").select("host", "n", "bad")
     hosts = stage(host_reputation(outcomes), "rep-judged")
     rule = rule_column(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("low") > max_bad, F.lit("block")).otherwise(F.lit("allow"))

@@ -7,6 +7,7 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -326,6 +327,21 @@ def test_url_reputation(spark):
     assert {g.verdict for g in reputation.judge_urls(p.filter("page_id >= 100"), lab.limit(0)).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("labels", [[(1, 1)], [(1, 0)], [(1, 1), (2, 0), (3, 1)], [(1, 1), (1, 1), (1, 0), (2, 1), (2, None)]])
+def test_url_reputation_of_few_labels(spark, labels):
+    pages = spark.createDataFrame([(1, "http://a.io/"), (2, "http://b.org/"), (3, "http://c.de/"), (4, "http://d.io/")], "page_id long, url string")
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {g.id: g for g in reputation.judge_urls(pages, lab).collect()}
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    con.execute("CREATE TABLE labels (doc_id BIGINT, toxic INT)")
+    con.executemany("INSERT INTO labels VALUES (?, ?)", labels)
+    want = con.sql(reputation.oracle().replace("AS verdict\nFROM judged", "AS verdict, low FROM judged")).fetchall()
+    assert len(want) == 4
+    for i, host, path, rule, verdict, low in want:
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict) and got[i].low == pytest.approx(low)
+
+
 def test_licenses(spark):
     texts = [None, "", "Under the MIT License. under the mit license under the", "Apache-License: Version 2.0", "CC-BY-NC 4.0, cc by nc",
              "Released under the GNU General Public License version 3 or later", "is in the public domain", "permit licensed work",

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.llm import decontaminate, exact_dedup, language, licenses, mixing, pseudonyms, reputation, secrets, simhash, wrappers
+from churnlane.llm import (decontaminate, divergence, exact_dedup, language, licenses, mixing, pseudonyms, quality, reputation,
+                           secrets, simhash, vector_codes, wrappers)
 from churnlane.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +117,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(read(spark, sf_dir, "pages")).select(
         F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op13_source_divergence", divergence.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, sf_dir, "documents"))
+
+
+@query("op12_vector_codes", vector_codes.oracle())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(coded).select(F.col("id").alias("vec_id"), "code", "error", "label_error",
+                                                        F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+@query("op11_quality_ratio")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")

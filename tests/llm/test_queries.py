@@ -12,7 +12,7 @@ from tests.llm.test_operators import slow_simhash
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return c
 
@@ -32,8 +32,8 @@ def test_one_row_each(spark, con, name, table):
     assert queries.QUERIES[name](spark, SF_SMALL).count() == con.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
 
 
-def test_ten_operators_and_a_pipeline():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+def test_all_operators_and_a_pipeline():
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 def test_pipeline(spark, con):

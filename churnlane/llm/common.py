@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from churnlane.session import scratch_path
 
@@ -16,18 +20,23 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
-_recorded: list[str] | None = None
+_recorded: ContextVar[tuple[list[str], ...]] = ContextVar("recorded", default=())
 
 
 @contextmanager
 def recorded():
-    """The folders that ``stage`` writes meanwhile, for a later ``discard``."""
-    global _recorded
-    before, _recorded = _recorded, []
+    """The folders that ``stage`` writes meanwhile in this thread, for a later ``discard``.
+
+    An operator discards its intermediate tables as soon as what it returns does
+    not read them; the caller that has written out an operator's result
+    discards the rest.
+    """
+    paths: list[str] = []
+    before = _recorded.set((*_recorded.get(), paths))
     try:
-        yield _recorded
+        yield paths
     finally:
-        _recorded = before
+        _recorded.reset(before)
 
 
 def discard(spark: SparkSession, paths: list[str]) -> None:
@@ -45,8 +54,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ``df`` are fixed from here on, whatever order a re-read would have.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    if _recorded is not None:
-        _recorded.append(path)
+    for paths in _recorded.get():
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -78,6 +87,16 @@ def word_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(lower_ascii(F.coalesce(c, F.lit(""))), NOT_WORD, " "))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once for each row, also where a lambda reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def steps(n: Column) -> Column:
+    """0 .. n-1; empty for n < 1."""
+    return F.when(n < 1, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -85,3 +104,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def ship() -> None:
     """Pickle this subpackage's functions by value, so Python workers need no copy of the package."""
     cloudpickle.register_pickle_by_value(sys.modules["churnlane.llm"])
+
+
+def per_batch(df: DataFrame, keep: list[str], fields: str, types: dict[str, pa.DataType], make: Callable) -> DataFrame:
+    """The columns ``keep`` of ``df`` and new ones that Python computes from Arrow batches.
+
+    ``make()`` runs once a task and returns a function from a batch to the new
+    columns by name; ``fields`` is their DDL, ``types`` their Arrow types.  Kept
+    columns stay Arrow columns, so ids of any type, nulls among them, come back
+    unchanged (as pandas columns, long ids beside a null would turn into doubles).
+    """
+    ship()
+
+    def run(batches):
+        judge = make()
+        for b in batches:
+            new = judge(b)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(new[n], t) for n, t in types.items())], names=[*keep, *types])
+    return df.mapInArrow(run, StructType([*(df.schema[c] for c in keep), *StructType.fromDDL(fields).fields]))

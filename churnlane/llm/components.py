@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import stage
+from churnlane.llm.common import discard, recorded, stage
 
 
 def _totals(edges: DataFrame) -> tuple:
@@ -21,18 +21,22 @@ def _totals(edges: DataFrame) -> tuple:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (long ``a``, ``b``); the root is its component's smallest node."""
-    e = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
+    with recorded() as older:
+        e = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
     before = None
     while (now := _totals(e)) != before:
         before = now
-        # large star: every larger neighbour of a node moves to the node's smallest neighbour (or itself)
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-min")
-        e = stage(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                  .filter("a <> b").distinct(), "cc")
-        # small star: every smaller neighbour of a node, and the node, move to the smallest of them
-        least = stage(e.groupBy("a").agg(F.min("b").alias("m")), "cc-min")
-        e = stage(e.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "cc")
+        with recorded() as written:
+            # large star: every larger neighbour of a node moves to the node's smallest neighbour (or itself)
+            both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = stage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-min")
+            e = stage(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                      .filter("a <> b").distinct(), "cc")
+            # small star: every smaller neighbour of a node, and the node, move to the smallest of them
+            least = stage(e.groupBy("a").agg(F.min("b").alias("m")), "cc-min")
+            e = stage(e.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                      .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "cc")
+        discard(edges.sparkSession, older)                       # of the round before; nothing reads it now
+        older = written
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

@@ -1,12 +1,12 @@
 """Quality rules: surface counts, and a hashed n-gram likelihood ratio of trusted against raw text.
 
 Surface rules count words, their characters, symbols, repeated lines and the
-words of repeated ``REPEAT``-word windows in every text, inside its row: windows
-are hashed first, and only a text with equal hashes sorts its windows' words
-(so equality is of the words, not of hashes).
+words of repeated ``REPEAT``-word windows in every text, inside its row: words and
+windows are hashed first, and only a text with equal hashes sorts its windows'
+words (so equality is of the words, not of hashes).
 
-The language model half: every text's one- and two-word n-grams (ASCII
-lower-cased) are hashed into ``BUCKETS`` buckets.  The raw multinomial counts
+The language model half: every text's one- and two-word n-grams are hashed into
+``BUCKETS`` buckets, from the same hashes of the words.  The raw multinomial counts
 all documents, the trusted one those that the labels call good (``FIT`` in 256
 of them by a hash of the id; the others stay unseen).  A bucket's weight is the
 logarithm of the trusted over the raw probability, the trusted one smoothed by
@@ -29,38 +29,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import lower_ascii, small, stage
+from churnlane.llm.common import discard, let, recorded, small, stage, steps
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 REPEAT, MIN_WORDS, MAX_REPEATED = 5, 10, 20       # words of a window, least words, percent of words in repeated windows
-BUCKETS, PRIOR, FIT = 1 << 16, 1 << 14, 205
+BUCKETS, PRIOR, FIT = 1 << 16, 1 << 14, 205       # a power of two
 ONE = 1 << 20
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once for each row, also where a lambda reads it."""
-    return F.transform(F.array(value), body)[0]
+def words(text: Column) -> Column:
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE, -1), "")
 
 
-def spaced(text: Column) -> Column:
-    """The words of ``text``, joined by one space."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
+def hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
 
 
-def words(line: Column) -> Column:
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, " "))
-
-
-def _steps(n: Column) -> Column:
-    """0 .. n-1; empty for n < 1."""
-    return F.when(n < 1, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
-
-
-def repeated_words(w: Column, size: int = REPEAT) -> Column:
-    """How many of the words ``w`` are in a window of ``size`` words that stands there twice or more."""
-    starts = _steps(F.size(w) - (size - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+def repeated_words(w: Column, h: Column, size: int = REPEAT) -> Column:
+    """How many of the words ``w`` (hashes ``h``) are in a window of ``size`` words that stands there twice or more."""
+    starts = steps(F.size(w) - (size - 1))
+    windows = F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
 
     def exactly(starts: Column) -> Column:
         by_words = F.sort_array(F.transform(starts, lambda i: F.struct(
@@ -71,7 +60,7 @@ def repeated_words(w: Column, size: int = REPEAT) -> Column:
             (s["n"] + F.least(F.lit(size), i + size - s["end"])).alias("n"), (i + size).alias("end")))["n"]
         return covered(F.sort_array(let(by_words, twins)))
 
-    return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(starts, exactly))).cast("long")
+    return let(windows, lambda x: F.when(F.size(F.array_distinct(x)) == F.size(x), F.lit(0)).otherwise(let(starts, exactly))).cast("long")
 
 
 def repeated_lines(text: Column) -> Column:
@@ -80,20 +69,30 @@ def repeated_lines(text: Column) -> Column:
     return let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
 
 
-def rules(text: Column, line: str, w: str) -> list[Column]:
-    """The surface counts; ``line`` and ``w`` name columns with ``spaced(text)`` and its words."""
-    n = F.size(w).cast("long")
+def rules(text: Column, w: Column, h: Column) -> list[Column]:
+    """The surface counts of a text, its words and their hashes."""
     full = F.coalesce(text, F.lit(""))
-    return [n.alias("n_words"), (F.length(line) - F.greatest(n - 1, F.lit(0))).cast("long").alias("word_chars"),
-            (F.length(full) - F.length(F.translate(full, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-            repeated_lines(text).alias("n_dup_lines"), repeated_words(F.col(w)).alias("n_repeat_words")]
+    return [F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            (F.length(full) - F.length(F.regexp_replace(full, f"[{SYMBOLS}]+", ""))).cast("long").alias("n_symbols"),
+            repeated_lines(text).alias("n_dup_lines"), repeated_words(w, h).alias("n_repeat_words")]
+
+
+def _pair(h: Column, i: Column, buckets: int) -> Column:
+    """Bucket of the two words from ``i``; ``buckets`` is a power of two."""
+    return F.xxhash64(F.get(h, i), F.get(h, i + 1)).bitwiseAND(buckets - 1).cast("int")
+
+
+def ngrams(h: Column, buckets: int = BUCKETS) -> Column:
+    """Buckets of the one- and two-word n-grams of a text, from its words' hashes."""
+    return F.concat(F.transform(h, lambda x: x.bitwiseAND(buckets - 1).cast("int")),
+                    F.transform(steps(F.size(h) - 1), lambda i: _pair(h, i, buckets)))
 
 
-def ngrams(line: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of the one- and two-word n-grams of a text's spaced words."""
-    bucket = lambda *c: F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
-    return let(words(lower_ascii(line)), lambda w: F.concat(
-        F.transform(w, lambda x: bucket(x)), F.transform(_steps(F.size(w) - 1), lambda i: bucket(F.get(w, i), F.get(w, i + 1)))))
+def score_sum(h: Column, weights: Column, buckets: int = BUCKETS) -> Column:
+    """Sum of the n-grams' weights."""
+    zero = F.lit(0).cast("long")
+    return (F.aggregate(h, zero, lambda s, x: s + F.get(weights, x.bitwiseAND(buckets - 1).cast("int")))
+            + F.aggregate(steps(F.size(h) - 1), zero, lambda s, i: s + F.get(weights, _pair(h, i, buckets))))
 
 
 def good_labels(labels: DataFrame, id_col: str, good_col: str) -> DataFrame:
@@ -105,8 +104,8 @@ def good_labels(labels: DataFrame, id_col: str, good_col: str) -> DataFrame:
 
 def bucket_weights(grams: DataFrame, buckets: int = BUCKETS, prior: int = PRIOR) -> DataFrame:
     """One row: ``weights``, the integer log-ratio of each bucket, from rows of (grams, fit).  Buckets without n-grams: 0."""
-    counts = (grams.select(F.explode("grams").alias("b"), F.col("fit").cast("long").alias("t"))
-              .groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("trusted")))
+    counts = stage(grams.select(F.explode("grams").alias("b"), F.col("fit").cast("long").alias("t"))
+                   .groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("trusted")), "quality-counts")
     totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("trusted").alias("all_trusted"))
     ratio = (F.col("trusted") * F.col("all_raw") / F.col("raw") + prior) / (F.col("all_trusted") + prior)
     weights = counts.join(F.broadcast(totals)).select("b", F.round(F.log(ratio) * ONE).cast("long").alias("weight"))
@@ -118,19 +117,22 @@ def bucket_weights(grams: DataFrame, buckets: int = BUCKETS, prior: int = PRIOR)
 def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
                   good_col: str = "quality", buckets: int = BUCKETS, prior: int = PRIOR) -> DataFrame:
     """One row per row of ``docs``: id, the counts of ``rules``, base_failed, score, cut, kept."""
-    known = stage(good_labels(labels, label_id_col, good_col), "quality-labels")
-    line = spaced(F.col(text_col))
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(small(known, known.count()), F.col("id") == F.col("key"), "left").drop("key"))
-    fit = F.coalesce("fit", F.lit(False)).alias("fit")
-    weights = stage(bucket_weights(rows.select(ngrams(spaced(F.col("text")), buckets).alias("grams"), fit), buckets, prior), "quality-weights")
-
-    # One row of ``buckets`` numbers beside every document: its n-grams are looked up and added in place.
-    seen = (rows.withColumn("line", spaced(F.col("text"))).withColumn("w", words(F.col("line"))).join(F.broadcast(weights)))
-    total = let(ngrams(F.col("line"), buckets), lambda g: F.struct(
-        F.size(g).alias("n"), F.aggregate(g, F.lit(0).cast("long"), lambda s, b: s + F.get(F.col("weights"), b)).alias("sum")))
-    judged = stage(seen.select("id", *rules(F.col("text"), "line", "w"), total.alias("total"), fit, "good"), "quality-rows")
-    judged = judged.withColumn("score", F.when(F.col("total.n") > 0, F.col("total.sum") / (F.col("total.n") * F.lit(float(ONE))))
+    with recorded() as used:
+        known = stage(good_labels(labels, label_id_col, good_col), "quality-labels")
+        rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+                .join(small(known, known.count()), F.col("id") == F.col("key"), "left").drop("key"))
+        fit = F.coalesce("fit", F.lit(False)).alias("fit")
+        grams = rows.select(let(hashes(words(F.col("text"))), lambda h: ngrams(h, buckets)).alias("grams"), fit)
+        weights = stage(bucket_weights(grams, buckets, prior), "quality-weights")
+
+        # One row of ``buckets`` numbers beside every document: its n-grams are looked up and added in place.
+        of_words = lambda w: let(hashes(w), lambda h: F.struct(
+            *rules(F.col("text"), w, h), score_sum(h, F.col("weights"), buckets).alias("sum")))
+        found = rows.join(F.broadcast(weights)).select("id", fit, "good", let(words(F.col("text")), of_words).alias("f"))
+    judged = stage(found.select("id", "fit", "good", "f.*"), "quality-rows")
+    discard(docs.sparkSession, used)
+    judged = judged.withColumn("n", F.greatest(2 * F.col("n_words") - 1, F.lit(0)))
+    judged = judged.withColumn("score", F.when(F.col("n") > 0, F.col("sum") / (F.col("n") * F.lit(float(ONE))))
                                .otherwise(F.lit(0.0)))
     mean = lambda of: F.try_divide(F.sum(F.when(of, F.round(F.col("score") * ONE).cast("long"))), F.sum(F.when(of, 1)))
     cut = judged.agg((mean(F.col("good") & ~F.col("fit")) + mean(~F.col("good"))).alias("twice")).select(

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -33,9 +34,10 @@ def slow_rules(text):
 
 
 def slow_grams(text, buckets):
-    w = [x.encode() for x in re.findall("[^\x20\t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
-    one = [xxhash.xxh64_intdigest(x, 42) for x in w]
-    return [h % buckets for h in one + [xxhash.xxh64_intdigest(b, a) for a, b in zip(one, w[1:])]]
+    one = [xxhash.xxh64_intdigest(x.encode(), 42) for x in re.findall("[^\x20\t-\r]+", text or "")]
+    def two(a, b):
+        return xxhash.xxh64_intdigest(struct.pack("<Q", b), xxhash.xxh64_intdigest(struct.pack("<Q", a), 42))
+    return [h % buckets for h in one + [two(a, b) for a, b in zip(one, one[1:])]]
 
 
 def slow_quality(docs, labels, buckets, prior):

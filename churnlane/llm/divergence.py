@@ -8,7 +8,8 @@ found by walking both trees at once, a level at a time; each distinct pair of
 nodes that the walk meets is expanded and priced once and its price is shared by
 all the places where the pair stands (for sparse counts nearly all of them).
 
-The trees are cut below their top levels: a task holds one block of ``LEAVES``
+Terms are counted once, in Python dictionaries that are handed on when they hold
+``HELD`` terms, with the number of documents that hold each.  The trees are cut below their top levels: a task holds one block of ``LEAVES``
 ids of two chunks of ``CHUNK`` sources, whatever the size of a language, a
 source or the vocabulary, and prices of blocks are added up afterwards.  Counts
 are aggregated before every shuffle.  Prices are integers:
@@ -22,24 +23,49 @@ order; an empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import lower_ascii, ship, stage
+from churnlane.llm.common import discard, recorded, ship, stage
 from churnlane.operators.ordering import row_position
 
-NOT_TERM = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 MIN_DOCS, TOP, SCALE, PRIOR = 30, 50, 10**9, 5
 LEAVES, CHUNK = 4096, 32       # ids and sources (of either side) that one task holds
 _PAIRS = 64                    # pairs of sources walked at once
+HELD = 500_000                 # terms that a task counts before it hands its counts on
+#: Byte by byte: A-Z lower-cased, a-z and all bytes of non-ASCII characters kept, the rest blank.
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 VOID = -1                      # leaf beyond the last id
 
 
-def terms(text: Column) -> Column:
-    """Runs of letters (ASCII lower-cased) and other non-ASCII characters; one empty string if there are none."""
-    return F.split(F.trim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), NOT_TERM, " ")), " ")
+def count_terms(batches):
+    """Arrow batches of (lang, source, text) to (lang, source, term, n, n_docs), aggregated within a task as far as ``HELD`` allows."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    size = 0
+
+    def counted():
+        rows = [(g, s, t, c, docs[t]) for (g, s), (n, docs) in held.items() for t, c in n.items()]
+        lang, source, term, n, n_docs = zip(*rows) if rows else ((),) * 5
+        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.binary()).cast(pa.string()),
+                                           pa.array(n, pa.int64()), pa.array(n_docs, pa.int64())], names=["lang", "source", "term", "n", "n_docs"])
+    for b in batches:
+        texts = b.column("text").cast(pa.binary()).to_pylist()
+        for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), texts):
+            words = text.translate(LETTERS).split()
+            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+            before = len(n)
+            n.update(words)
+            docs.update(set(words))
+            size += len(n) - before
+            if size >= HELD:
+                yield counted()
+                held, size = {}, 0
+    yield counted()
 
 
 def shrunk(count: str, total: str, kept: str) -> Column:
@@ -128,13 +154,16 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     """Rows of lang, source, part (``pair`` or ``term``), item, value, rank."""
     ship()
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    rows = docs.select(empty(lang_col).alias("lang"), empty(source_col).alias("source"), terms(F.col(text_col)).alias("terms"))
+    rows = docs.select(empty(lang_col).alias("lang"), empty(source_col).alias("source"), empty(text_col).alias("text"))
 
-    kept = (rows.select("lang", F.explode(F.array_distinct("terms")).alias("term")).filter("term <> ''")
-            .groupBy("lang", "term").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") >= min_docs).select("lang", "term"))
+    with recorded() as used:
+        every = stage(rows.mapInArrow(count_terms, "lang string, source string, term string, n long, n_docs long")
+                      .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")), "divergence-all")
+    kept = (every.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs"))
+            .filter(F.col("n_docs") >= min_docs).select("lang", "term"))
     kept = stage(_numbered(kept, "term").select("lang", "term", F.col("idx").alias("id")), "divergence-terms")
-    counts = stage(rows.select("lang", "source", F.explode("terms").alias("term")).groupBy("lang", "source", "term")
-                   .agg(F.count("*").alias("n")).join(kept, ["lang", "term"]), "divergence-counts")
+    counts = stage(every.drop("n_docs").join(kept, ["lang", "term"]), "divergence-counts")
+    discard(docs.sparkSession, used)
     langs = stage(counts.groupBy("lang").agg(F.sum("n").alias("lang_total"))
                   .join(kept.groupBy("lang").agg(F.count("*").alias("kept")), "lang"), "divergence-langs")
     groups = _numbered(rows.select("lang", "source").distinct(), "source").withColumnRenamed("n_lang", "sources")

@@ -1,13 +1,18 @@
 """Benchmark decontamination as a prefix-filtered containment join.
 
 Items are cut into windows of ``WINDOW`` words (a shorter item is one window).
-Containment of a window needs every one of its words, so the necessary prefix
-of its words, ordered by rarity over the whole corpus, is its rarest word
-alone: only that word is joined with the documents' word positions.  A match
-fixes where the window would start; starts before the document or ends beyond
-it fall away (positional and length bounds), and the rest are verified word by
-word over the item-sized window.  A document word inside any verified
-occurrence is hit.
+The tokens of a window are its shingles of ``SHINGLE`` words (of the whole
+window, if it is shorter), ordered by rarity over the whole corpus.
+Containment of a window needs every one of its shingles, so its necessary
+prefix is its rarest shingle alone.  One pass over the documents lists where
+they have a shingle of the benchmark; joined with the prefixes, each such place
+fixes where a window would start.  Starts before the document or ends beyond it
+fall away (positional and length bounds); the rest, each start and length once,
+are verified exactly: the words there are joined with the windows' words.
+A document word inside any verified occurrence is hit.
+
+A document has at most WINDOW candidates a word and window length, however few
+different words it has, and candidates carry no text before they are verified.
 
 The benchmark is the query set; its tables are broadcast only while their
 counted rows are within ``MAX_BROADCAST_ROWS`` and shuffle-joined beyond.
@@ -23,9 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import MAX_BROADCAST_ROWS, free_name, small, stage, word_text
+from churnlane.llm.common import discard, free_name, let, recorded, small, stage, steps, word_text
 
-WINDOW = 13
+WINDOW, SHINGLE = 13, 5
 #: A document is contaminated if it has a hit and at least one word in SHARE is hit.
 SHARE = 20
 
@@ -45,8 +50,13 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int)
     return starts.select("item", F.array_join(cut, " ").alias("text"), F.size(cut).alias("len")).distinct()
 
 
+def shingles(w: Column, n_words: Column, size: int) -> Column:
+    """The hash of each run of ``size`` words; equal hashes are candidates only."""
+    return F.transform(steps(n_words - (size - 1)), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: rid, id, sha (of the text), n_words, n_hit, items (sorted strings), contaminated."""
     norm = word_text(F.col(text_col))
     n_words = F.when(F.col("norm") == "", F.lit(0)).otherwise(
@@ -54,49 +64,58 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     rows = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), _sha(text_col).alias("sha"),
                              norm.alias("norm"))
                  .withColumn("n_words", n_words.cast("long")), "decon-rows")
-    owned = stage(item_windows(benchmark, item_col, item_text_col, window)
-                  .withColumn("class", F.md5("text")), "decon-items")
-    classes = stage(owned.select("class", "text", "len").distinct(), "decon-windows")
-
-    # Rarity of the benchmark's words, counted over every position of every document.
-    vocabulary = classes.select(F.explode(F.split("text", " ")).alias("word")).distinct()
-    vocabulary = stage(vocabulary, "decon-words")
-    position = rows.select("rid", "n_words", F.posexplode(F.split("norm", " ")).alias("pos", "word"))
-    counts = (position.select("word").join(small(vocabulary, vocabulary.count(), MAX_BROADCAST_ROWS), "word")
-              .groupBy("word").agg(F.count("*").alias("n")))
-    rarity = stage(vocabulary.join(counts, "word", "left"), "decon-rarity")
-
-    # Each window's rarest word and where it stands; windows with a word that no document has are out.
-    places = classes.select("class", "text", "len", F.posexplode(F.split("text", " ")).alias("offset", "word"))
-    rarest = (places.join(rarity, "word").groupBy("class")
-              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "offset")).alias("key"), F.first("text").alias("text"),
-                   F.first("len").alias("len")).filter("key.n > 0"))
-    prefix = stage(rarest.select(F.col("key.word").alias("word"), F.col("key.offset").alias("offset"), "class", "text", "len"),
-                   "decon-prefix")
-    start = F.col("pos") - F.col("offset")
-    candidates = (position.join(small(prefix, prefix.count(), MAX_BROADCAST_ROWS), "word")
-                  .filter((start >= 0) & (start + F.col("len") <= F.col("n_words")))
-                  .select("rid", F.struct(start.alias("start"), "len", "class", "text").alias("c")))
-    asked = stage(candidates.groupBy("rid").agg(F.collect_list("c").alias("asked")), "decon-candidates")
-
-    # Verification: a window's words against the document's words from the start it would have.
-    texts = rows.select("rid", "norm").join(small(asked.select("rid"), asked.count()), "rid", "left_semi")
-    checked = texts.select("rid", F.split("norm", " ").alias("w")).join(asked, "rid").select(
-        "rid", F.filter("asked", lambda c: F.array_join(
-            F.slice(F.col("w"), c["start"] + 1, c["len"]), " ") == c["text"]).alias("found")).filter("size(found) > 0")
-    spans = F.array_sort(F.transform("found", lambda c: F.struct(c["start"].alias("a"), (c["start"] + c["len"]).alias("b"))))
-    covered = F.aggregate(spans, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), lambda s, x: F.struct(
-        (s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["end"]))).alias("n"),
-        F.greatest(s["end"], x["b"]).alias("end")))
-    hits = stage(checked.select("rid", covered["n"].cast("long").alias("n_hit"), F.array_distinct(
-        F.transform("found", lambda c: c["class"])).alias("classes")), "decon-hits")
-    items = (hits.select("rid", F.explode("classes").alias("class")).join(owned.select("class", "item"), "class")
-             .groupBy("rid").agg(F.array_sort(F.collect_set("item")).alias("items")))
-    result = stage(hits.select("rid", "n_hit").join(items, "rid"), "decon-result")
-    none = F.array().cast("array<string>")
+    with recorded() as used:
+        owned = stage(item_windows(benchmark, item_col, item_text_col, window)
+                      .withColumn("class", F.md5("text")), "decon-items")
+        classes = stage(owned.select("class", "text", "len").distinct(), "decon-windows")
+        sizes = [r[0] for r in classes.select(F.least("len", F.lit(shingle)).alias("size")).distinct().collect()]    # at most ``shingle``
+
+        # Every window's shingles and where they stand, and every place of a document that has one of them.
+        def listed(line: Column, n: Column, size: int) -> Column:
+            return F.posexplode(let(F.split(line, " "), lambda w: shingles(w, n, size))).alias("pos", "h")
+        none = rows.select("rid", "n_words", F.lit(0).alias("size"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("h")).limit(0)
+        at_window, at_doc = None, none
+        for size in sizes:
+            mine = classes.filter(F.least("len", F.lit(shingle)) == size).select("class", "len", F.lit(size).alias("size"),
+                                                                                listed(F.col("text"), F.col("len"), size))
+            at_window = mine if at_window is None else at_window.unionByName(mine)
+        if at_window is None:
+            discard(docs.sparkSession, used)
+            return rows.select("rid", "id", "sha", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"),
+                               F.lit(False).alias("contaminated"))
+        at_window = stage(at_window, "decon-shingles")
+        vocabulary = at_window.select("size", "h").distinct()
+        known = vocabulary.count()
+        for size in sizes:
+            words_at = rows.select("rid", "n_words", F.lit(size).alias("size"), listed(F.col("norm"), F.col("n_words"), size))
+            at_doc = at_doc.unionByName(words_at.join(small(vocabulary.filter(F.col("size") == size).drop("size"), known), "h", "left_semi"))
+        places = stage(at_doc, "decon-places")
+        rarity = places.groupBy("size", "h").agg(F.count("*").alias("n"))
+        rarest = (at_window.join(rarity, ["size", "h"], "left").groupBy("class", "len", "size")
+                  .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "pos")).alias("key")).filter("key.n > 0"))
+        prefix = stage(rarest.select("size", F.col("key.h").alias("h"), F.col("key.pos").alias("offset"), "len").distinct(), "decon-prefix")
+        start = F.col("pos") - F.col("offset")
+        asked = stage(places.join(small(prefix, prefix.count()), ["size", "h"]).filter((start >= 0) & (start + F.col("len") <= F.col("n_words")))
+                      .groupBy("rid").agg(F.collect_set(F.struct(start.alias("start"), "len")).alias("asked")), "decon-candidates")
+
+        # Verification: the document's words from each start against the windows' words.
+        texts = rows.select("rid", "norm").join(small(asked.select("rid"), asked.count()), "rid", "left_semi").join(asked, "rid")
+        cut = texts.select("rid", F.explode(let(F.split("norm", " "), lambda w: F.transform("asked", lambda c: F.struct(
+            c["start"].alias("start"), c["len"].alias("len"), F.array_join(F.slice(w, c["start"] + 1, c["len"]), " ").alias("text"))))).alias("c"))
+        found = stage(cut.select("rid", "c.*").join(small(classes, classes.count()), ["text", "len"]).select("rid", "start", "len", "class"),
+                      "decon-found")
+        spans = F.array_sort(F.collect_set(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("len")).alias("b"))))
+        covered = F.aggregate("spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), lambda s, x: F.struct(
+            (s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["end"]))).alias("n"),
+            F.greatest(s["end"], x["b"]).alias("end")))
+        hits = found.groupBy("rid").agg(spans.alias("spans")).select("rid", covered["n"].cast("long").alias("n_hit"))
+        items = (found.select("rid", "class").distinct().join(owned.select("class", "item"), "class")
+                 .groupBy("rid").agg(F.array_sort(F.collect_set("item")).alias("items")))
+    result = stage(hits.join(items, "rid"), "decon-result")
+    discard(docs.sparkSession, used)
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return rows.drop("norm").join(result, "rid", "left").select(
-        "rid", "id", "sha", "n_words", hit.alias("n_hit"), F.coalesce("items", none).alias("items"),
+        "rid", "id", "sha", "n_words", hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         ((hit > 0) & (SHARE * hit >= F.col("n_words"))).alias("contaminated"))
 
 
@@ -106,8 +125,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
     Contamination depends on the text alone, so the contaminated texts' hashes decide.
     """
-    judged = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window)
-    bad = stage(judged.filter("contaminated").select("sha").distinct(), "decon-drop")
+    with recorded() as used:
+        judged = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window)
+        bad = judged.filter("contaminated").select("sha").distinct()
+    bad = stage(bad, "decon-drop")
+    discard(docs.sparkSession, used)
     sha = free_name(docs, "sha")
     return docs.withColumn(sha, _sha(text_col)).join(
         small(bad.withColumnRenamed("sha", sha), bad.count()), sha, "left_anti").select(*docs.columns)

@@ -6,15 +6,22 @@ pieces (the forward algorithm); a text's is the product over its words.  Words
 are runs of letters, lower-cased, with the vocabulary's word-start mark before
 them; letters without a piece use one shared unknown piece.
 
+The unknown piece is as likely in every language, and in a text any word may be
+noise (even letters, with probability ``NOISE``), so letters of other scripts and
+runs that no language explains tell nothing.  Sums run in logarithms, position by position: words of any length
+are scored whole, and no product gets too small for a double.
+
 Fitting is expectation maximisation on word counts from a bounded sample of
-labelled rows: at most ``SAMPLE_PER_LANG`` documents a language, chosen by a
-hash of their id and read whole.  The expectation step is a Spark job; the
-driver sees one number per language and piece.  Prediction reads every whole
+labelled rows: the ``MAX_LANGS`` languages with most labelled rows, and at most
+``SAMPLE_PER_LANG`` documents a language, chosen by a hash of their id and read
+whole.  The expectation step is a Spark job; the driver sees one number per
+language and piece.  The vocabulary's path is a parameter, or the session's
+``churnlane.vocabulary``.  Prediction reads every whole
 text; each Python worker keeps scores of words it has met (a bounded memo).
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0, and so is every text if no labelled row can be learned from; ties go to
-the alphabetically first language; rows with a null language or id are not
+the alphabetically first language (a tie of all n has score 1/n); rows with a null language or id are not
 learned from; repeated rows are judged one by one; extra columns stay as they
 are; empty tables give empty tables.
 """
@@ -31,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from churnlane.llm.common import ship, stage
+from churnlane.llm.common import discard, recorded, ship, stage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE_PER_LANG = 600
@@ -39,10 +46,10 @@ ROUNDS = 3
 SMOOTHING = 0.01
 MARK = "▁"
 WORD = re.compile(r"[^\W\d_]+")
-MAX_RUN = 256              # a longer run of letters is cut into words of this length
+MAX_LANGS = 256
+NOISE, ALPHABET = 0.01, 32 # share of words that are no words, and how many letters these draw from evenly
 MEMO_WORDS = 200_000       # words a worker remembers
 STEP_WORDS = 8_000         # words whose lattices are built at once
-_SCALE = np.e ** 2.5       # per letter; keeps long products within range
 
 
 def load_pieces(path: str = VOCABULARY) -> list[str]:
@@ -55,10 +62,7 @@ def load_pieces(path: str = VOCABULARY) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    words = WORD.findall(text.lower())
-    if words and max(map(len, words)) > MAX_RUN:
-        words = [w[i: i + MAX_RUN] for w in words for i in range(0, len(w), MAX_RUN)]
-    return words
+    return WORD.findall(text.lower())
 
 
 class Trie:
@@ -117,28 +121,31 @@ def lattice(words: list[str], trie: Trie, unknown: int) -> tuple[np.ndarray, ...
 
 def _blocks(by: np.ndarray, arcs: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Order of the arcs by ``by``, then length, and the borders of blocks in which no word occurs twice."""
-    order = np.argsort(by.astype(np.int16), kind="stable")
+    order = np.argsort(by.astype(np.int16) if np.abs(by).max() < 1 << 15 else by, kind="stable")    # short keys sort by radix
     length = (arcs[2] - arcs[1])[order]
     key = by[order].astype(np.int64) * 100_000 + length
     return order, np.flatnonzero(np.diff(key, prepend=key[0] - 1, append=key[-1] + 1))
 
 
-def forward(n_words: int, longest: int, arcs: tuple, prob: np.ndarray) -> np.ndarray:
-    """Scaled probability of every prefix of every word, summed over its segmentations: [word, end, language]."""
+def forward(n_words: int, longest: int, arcs: tuple, log_prob: np.ndarray) -> np.ndarray:
+    """Log probability of every prefix of every word, summed over its segmentations: [word, end, language]."""
     word, start, end, piece = arcs
     order, cuts = _blocks(end, arcs)
-    alpha = np.zeros((n_words, longest + 2, prob.shape[1]))
-    alpha[:, 0] = 1
+    alpha = np.full((n_words, longest + 2, log_prob.shape[1]), -np.inf)
+    alpha[:, 0] = 0
     word, start, end, piece = word[order], start[order], end[order], piece[order]
     for a, b in zip(cuts[:-1], cuts[1:]):
         i, j, w = start[a], end[a], word[a:b]
-        alpha[w, j] += alpha[w, i] * (prob[piece[a:b]] * _SCALE ** (j - i))
+        if j - i == 1:                     # every place has an arc of one letter, and it comes first
+            alpha[w, j] = alpha[w, i] + log_prob[piece[a:b]]
+        else:
+            alpha[w, j] = np.logaddexp(alpha[w, j], alpha[w, i] + log_prob[piece[a:b]])
     return alpha
 
 
 def word_scores(words: list[str], trie: Trie, prob: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language (``prob``: pieces and the unknown one, by language)."""
-    scores = np.empty((len(words), prob.shape[1]))
+    scores, log_prob = np.empty((len(words), prob.shape[1])), np.log(prob)
     order = sorted(range(len(words)), key=lambda k: len(words[k]))
     at = 0
     while at < len(order):
@@ -148,29 +155,36 @@ def word_scores(words: list[str], trie: Trie, prob: np.ndarray) -> np.ndarray:
         at += step
         chosen = [words[k] for k in some]
         lengths = np.array([len(w) for w in chosen])
-        alpha = forward(len(chosen), int(lengths.max()), lattice(chosen, trie, len(prob) - 1), prob)
-        scores[some] = np.log(alpha[np.arange(len(chosen)), lengths + 1]) - ((lengths + 1) * np.log(_SCALE))[:, None]
+        alpha = forward(len(chosen), int(lengths.max()), lattice(chosen, trie, len(prob) - 1), log_prob)
+        scores[some] = alpha[np.arange(len(chosen)), lengths + 1]
     return scores
 
 
+def with_noise(scores: np.ndarray, words: list[str]) -> np.ndarray:
+    """``scores`` where any word may be noise, the same in all languages: long runs that no language explains tell nothing."""
+    length = np.fromiter(map(len, words), np.int64, len(words))[:, None] + 1
+    return np.logaddexp(scores, np.log(NOISE) - length * np.log(ALPHABET))
+
+
 def expected_counts(words: list[str], counts: np.ndarray, trie: Trie, prob: np.ndarray) -> np.ndarray:
     """Expected uses of every piece (rows as in ``prob``) in ``counts`` copies of the words; one language."""
-    total = np.zeros(len(prob))
+    total, log_prob = np.zeros(len(prob)), np.log(prob)
     for at in range(0, len(words), STEP_WORDS):
         chosen = words[at: at + STEP_WORDS]
         lengths = np.array([len(w) for w in chosen])
         longest = int(lengths.max())
         arcs = lattice(chosen, trie, len(prob) - 1)
         word, start, end, piece = arcs
-        alpha = forward(len(chosen), longest, arcs, prob)[:, :, 0]
-        beta = np.zeros((len(chosen), longest + 2))
-        beta[np.arange(len(chosen)), lengths + 1] = 1
-        gain = prob[piece, 0] * _SCALE ** (end - start)
+        alpha = forward(len(chosen), longest, arcs, log_prob)[:, :, 0]
+        beta = np.full((len(chosen), longest + 2), -np.inf)
+        beta[np.arange(len(chosen)), lengths + 1] = 0
+        gain = log_prob[piece, 0]
         order, cuts = _blocks(-start, arcs)
         for a, b in zip(cuts[:-1], cuts[1:]):
             arc = order[a:b]
-            beta[word[arc], start[arc[0]]] += gain[arc] * beta[word[arc], end[arc]]
-        share = alpha[word, start] * gain * beta[word, end] / alpha[np.arange(len(chosen)), lengths + 1][word]
+            to = word[arc], start[arc[0]]
+            beta[to] = np.logaddexp(beta[to], gain[arc] + beta[word[arc], end[arc]])
+        share = np.exp(alpha[word, start] + gain + beta[word, end] - alpha[np.arange(len(chosen)), lengths + 1][word])
         total += np.bincount(piece, weights=share * counts[at: at + STEP_WORDS][word], minlength=len(prob))
     return total
 
@@ -182,47 +196,57 @@ class LanguageModel:
         self.langs, self.pieces, self.prob = langs, pieces, prob
 
 
+def piece_shares(counts: np.ndarray) -> np.ndarray:
+    """Smoothed shares of each language's pieces; the unknown piece (last row) has one share for all languages."""
+    smooth = counts + SMOOTHING
+    unknown = smooth[-1].sum() / smooth.sum()
+    return np.vstack([smooth[:-1] / smooth[:-1].sum(axis=0) * (1 - unknown), np.full(counts.shape[1], unknown)])
+
+
 def fit(spark: SparkSession, labelled: DataFrame, text: Column, lang: Column, key: Column,
-        vocabulary: str = VOCABULARY, per_lang: int = SAMPLE_PER_LANG, rounds: int = ROUNDS) -> LanguageModel:
-    """Fit on ``labelled``'s rows with a language, ``per_lang`` of each language at most (smallest hash of ``key``)."""
+        vocabulary: str | None = None, per_lang: int = SAMPLE_PER_LANG, rounds: int = ROUNDS, max_langs: int = MAX_LANGS) -> LanguageModel:
+    """Fit on ``labelled``'s rows with a language, ``per_lang`` of each of at most ``max_langs`` languages (smallest hash of ``key``)."""
     ship()
     place = (F.xxhash64(key).bitwiseAND((1 << 62) - 1) / float(1 << 62)).alias("place")      # uniform in [0, 1)
     rows = labelled.select(lang.alias("lang"), place, text.alias("text")).filter("lang is not null and text is not null")
-    totals = stage(rows.groupBy("lang").agg((F.lit(1.5 * per_lang) / F.count("*")).alias("share")), "lid-langs")
-    first = Window.partitionBy("lang").orderBy("place")          # over some 1.5 samples a language
-    sample = (rows.join(F.broadcast(totals), "lang").filter("place < share")
-              .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang).select("lang", "text"))
-
-    def count(batches):
-        for pdf in batches:
-            c: Counter = Counter()
-            for g, t in zip(pdf["lang"], pdf["text"]):
-                c.update((g, w) for w in words_of(t))
-            yield pd.DataFrame([(g, w, n) for (g, w), n in c.items()], columns=["lang", "word", "n"])
-
-    words = stage(sample.mapInPandas(count, "lang string, word string, n long")
-                  .groupBy("lang", "word").agg(F.sum("n").alias("n")), "lid-words")
-    langs = sorted(r[0] for r in words.select("lang").distinct().collect())
-    pieces = load_pieces(vocabulary)
-    prob = np.full((len(pieces) + 1, len(langs)), 1.0 / (len(pieces) + 1))
-    for _ in range(rounds if langs else 0):
-        now = spark.sparkContext.broadcast({"pieces": pieces, "prob": prob, "langs": langs})
-
-        def expect(batches, now=now):
-            m = now.value
-            trie = m["trie"] = m.get("trie") or Trie(m["pieces"])
+    with recorded() as used:
+        totals = stage(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
+                       .select("lang", (F.lit(1.5 * per_lang) / F.col("n")).alias("share")), "lid-langs")
+        first = Window.partitionBy("lang").orderBy("place")          # over some 1.5 samples a language
+        sample = (rows.join(F.broadcast(totals), "lang").filter("place < share")
+                  .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang).select("lang", "text"))
+
+        def count(batches):
             for pdf in batches:
-                for g, part in pdf.groupby("lang"):
-                    p = m["prob"][:, [m["langs"].index(g)]]
-                    e = expected_counts(part["word"].tolist(), part["n"].to_numpy(float), trie, p)
-                    used = np.flatnonzero(e)
-                    yield pd.DataFrame({"lang": g, "piece": used, "e": e[used]})
-
-        totals = words.mapInPandas(expect, "lang string, piece long, e double").groupBy("lang", "piece").agg(
-            F.sum("e").alias("e")).toPandas()          # languages x pieces rows at most
-        counts = np.zeros_like(prob)
-        counts[totals["piece"], [langs.index(g) for g in totals["lang"]]] = totals["e"]
-        prob = (counts + SMOOTHING) / (counts + SMOOTHING).sum(axis=0)
+                c: Counter = Counter()
+                for g, t in zip(pdf["lang"], pdf["text"]):
+                    c.update((g, w) for w in words_of(t))
+                yield pd.DataFrame([(g, w, n) for (g, w), n in c.items()], columns=["lang", "word", "n"])
+
+        words = stage(sample.mapInPandas(count, "lang string, word string, n long")
+                      .groupBy("lang", "word").agg(F.sum("n").alias("n")), "lid-words")
+        langs = sorted(r[0] for r in words.select("lang").distinct().collect())
+        pieces = load_pieces(vocabulary or spark.conf.get("churnlane.vocabulary", VOCABULARY))
+        prob = np.full((len(pieces) + 1, len(langs)), 1.0 / (len(pieces) + 1))
+        for _ in range(rounds if langs else 0):
+            now = spark.sparkContext.broadcast({"pieces": pieces, "prob": prob, "langs": langs})
+
+            def expect(batches, now=now):
+                m = now.value
+                trie = m["trie"] = m.get("trie") or Trie(m["pieces"])
+                for pdf in batches:
+                    for g, part in pdf.groupby("lang"):
+                        p = m["prob"][:, [m["langs"].index(g)]]
+                        e = expected_counts(part["word"].tolist(), part["n"].to_numpy(float), trie, p)
+                        used = np.flatnonzero(e)
+                        yield pd.DataFrame({"lang": g, "piece": used, "e": e[used]})
+
+            totals = words.mapInPandas(expect, "lang string, piece long, e double").groupBy("lang", "piece").agg(
+                F.sum("e").alias("e")).toPandas()          # languages x pieces rows at most
+            counts = np.zeros_like(prob)
+            counts[totals["piece"], [langs.index(g) for g in totals["lang"]]] = totals["e"]
+            prob = piece_shares(counts)
+    discard(spark, used)
     return LanguageModel(langs, pieces, prob)
 
 
@@ -249,14 +273,14 @@ def predict_texts(texts, m: dict) -> tuple[list[str], list[float]]:
                 memo.clear()
                 m["scores"], new = m["scores"][:0], list(dict.fromkeys(flat))
             memo.update(zip(new, range(len(memo), len(memo) + len(new))))
-            m["scores"] = np.concatenate([m["scores"], word_scores(new, m["trie"], m["prob"])])
+            m["scores"] = np.concatenate([m["scores"], with_noise(word_scores(new, m["trie"], m["prob"]), new)])
         each = m["scores"][np.fromiter(map(memo.__getitem__, flat), np.int64, len(flat))]
         lengths = np.array([n for _, n in owned])
         total = np.add.reduceat(each, np.concatenate(([0], np.cumsum(lengths)[:-1])), axis=0)
         best = total.argmax(axis=1)
         posterior = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         for (k, _), b, p in zip(owned, best, posterior):
-            pred[k], score[k] = langs[b], float(min(1.0, p))
+            pred[k], score[k] = langs[b], min(1.0, float(p))
     return pred, score
 
 

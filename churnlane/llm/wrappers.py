@@ -32,20 +32,23 @@ import re
 from collections import defaultdict
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import lower_ascii, ship, stage
+from churnlane.llm.common import discard, lower_ascii, per_batch, recorded, ship, stage
 
 CONSTANT = 0.5             # a node is template if one text has more than this share of its pages
 MIN_PAGES = 3              # and at least so many pages have that text
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
     |<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S | re.X)
-ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+REST = re.compile(r"<!--.*|<!\[CDATA\[(?P<cdata>.*)|<[!?].*|(?P<end>(?!))(?P<tag>(?!))(?P<attrs>(?!))", re.S)    # after the last ``>``
+ATTR = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
+BAND = 64                  # siblings further apart than this, by relative place, are not matched
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 head header hgroup html li main menu nav ol optgroup option p pre section select summary table
     tbody td tfoot th thead tr ul svg button label object audio video canvas map""".split())
@@ -53,6 +56,8 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "optgroup": {"option", "optgroup"}}
 P_ENDS = BLOCK - {"button", "label", "object", "audio", "video", "canvas", "map", "svg", "option", "optgroup", "html", "head", "body"}
+P_ONLY = frozenset({"p"})
+BARRIERS = frozenset("article main body table td th li".split())      # an inline end tag closes nothing beyond them
 SCOPE = frozenset("ul ol dl table select article section div main body html aside nav td th".split())
 DROPPED = frozenset("head nav aside footer form button select textarea fieldset svg object audio video canvas dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -66,7 +71,9 @@ HOLDERS = frozenset("""area bar block box button buttons container content form
     slot unit icon icons group row column col title x widget wrap wrapper zone posts articles stories top bottom left right main site page header body primary secondary""".split())
 STATES = frozenset("has have no not with without hide show".split())
 REGION = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figcaption caption article main body html".split())
+ODD = re.compile(r"[^\w:-]")        # in a tag: would be read as one of the marks of a label, or of a tree's text
 CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -106,52 +113,86 @@ def _label(tag: str, attrs: str) -> str:
         tag = "main"
     bad = tag in DROPPED or role in ROLES or (comments and tag not in ("main", "body", "html"))
     soft = named and tag not in ("article", "main", "body", "html")
-    return tag + ("!" if bad else "~" if soft else "") + "".join("." + w for w in sorted(words))
+    return ODD.sub("-", tag) + ("!" if bad else "~" if soft else "") + "".join("." + w for w in sorted(words))
 
 
 def _tag(label: str) -> str:
     return label.split(".")[0].rstrip("!~")
 
 
+class _Open:
+    """The open elements, with the places of each tag, so that none is searched for through the others."""
+
+    def __init__(self, root: Node):
+        self.tags: list[str] = []
+        self.nodes: list[Node | None] = []                        # inline elements have no node
+        self.boxes: list[Node] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.push("html", root)
+
+    def push(self, tag: str, node: Node | None = None) -> None:
+        self.places[tag].append(len(self.tags))
+        self.tags.append(tag)
+        self.nodes.append(node)
+        if node is not None:
+            if self.boxes:
+                self.boxes[-1].children.append(node)
+            self.boxes.append(node)
+
+    def cut(self, i: int) -> None:
+        while len(self.tags) > i:
+            self.places[self.tags.pop()].pop()
+            if self.nodes.pop() is not None:
+                self.boxes.pop()
+
+    def last(self, tags) -> int:
+        """Place of the innermost of ``tags``; 0 (the root) if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+
 def parse(page: str) -> tuple[Node, list[str]]:
     """The tree of block elements and, by number, the texts directly inside them (``ids`` of the nodes)."""
     root = Node("html")
-    stack: list[tuple[str, Node | None]] = [("html", root)]       # inline elements have no node
+    open_ = _Open(root)
     blocks: list[str] = []
     pending: list[str] = []
+    running = False                                              # the open block has text since it was last flushed
+    last_end = page.rfind(">")                                   # beyond it there are only comments and text
+
+    def say(text: str):
+        nonlocal running
+        pending.append(text)
+        running = running or not text.isspace()
 
     def flush():
+        nonlocal running
         text = " ".join("".join(pending).split())
         pending.clear()
+        running = False
         if text:
-            top = next(n for _, n in reversed(stack) if n is not None)
-            top.ids.append(len(blocks))
+            open_.boxes[-1].ids.append(len(blocks))
             blocks.append(text)
 
     def close(i: int):
-        if any(n is not None or t in BLOCK for t, n in stack[i:]):
+        if any(n is not None or t in BLOCK for t, n in zip(open_.tags[i:], open_.nodes[i:])):
             flush()
-        del stack[i:]
+        open_.cut(i)
 
     at = 0
-    while m := TOKEN.search(page, at):
+    while m := (TOKEN if at <= last_end else REST).search(page, at):
         if m.start() > at:
-            pending.append(html.unescape(page[at: m.start()]))
+            say(html.unescape(page[at: m.start()]))
         at = m.end()
-        if m["cdata"] is not None:
-            pending.append(m["cdata"])
+        if m["cdata"]:
+            say(m["cdata"])
         if not m["tag"]:
             continue
         tag = m["tag"].lower()
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if stack[i][0] in ("article", "main", "body", "table", "td", "th", "li") and tag not in BLOCK:
-                    break
-                if tag == "p" and stack[i][0] in SCOPE:
-                    break
+            i = open_.last((tag,))
+            barrier = BARRIERS if tag not in BLOCK else SCOPE if tag == "p" else ()
+            if i and i >= open_.last(barrier):
+                close(i)
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -165,34 +206,24 @@ def parse(page: str) -> tuple[Node, list[str]]:
             continue
         if tag in ("html", "body"):
             flush()
-            if tag == "body" and not any(t == "body" for t, _ in stack):
-                del stack[1:]
-                node = Node("body")
-                root.children.append(node)
-                stack.append((tag, node))
+            if tag == "body" and not open_.places.get("body"):
+                open_.cut(1)
+                open_.push(tag, Node("body"))
             continue
-        ends = CLOSES.get(tag) or ({"p"} if tag in P_ENDS else None)
-        if ends:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ends:
-                    close(i)
-                    break
-                if stack[i][0] in SCOPE and stack[i][0] not in ends:
-                    break
+        ends = CLOSES.get(tag) or (P_ONLY if tag in P_ENDS else None)
+        if ends and (i := open_.last(ends)) and i > open_.last(SCOPE - ends):
+            close(i)
         if tag in BLOCK:
             flush()
-            node = Node(_label(tag, m["attrs"]))
-            next(n for _, n in reversed(stack) if n is not None).children.append(node)
-            stack.append((tag, node))
+            open_.push(tag, Node(_label(tag, m["attrs"])))
         else:
             label = _label(tag, m["attrs"])
-            if "!" in label or "~" in label:                     # an inline box that announces itself
+            # an inline box that announces itself; within running text a class makes no box
+            if "!" in label or ("~" in label and not running):
                 flush()
-                node = Node(label)
-                next(n for _, n in reversed(stack) if n is not None).children.append(node)
-                stack.append((tag, node))
+                open_.push(tag, Node(label))
             else:
-                stack.append((tag, None))
+                open_.push(tag)
     if at < len(page):
         pending.append(html.unescape(page[at:]))
     flush()
@@ -237,7 +268,7 @@ def _fold_like(nodes: list[Node]) -> list[Node]:
         like = k
         while like < len(nodes) and nodes[like].shape == n.shape:
             like += 1
-        if like - k and (n.children or like - k > 8):
+        if like - k:
             for m in nodes[k:like]:
                 _merge(n, m)
             k = like
@@ -246,7 +277,7 @@ def _fold_like(nodes: list[Node]) -> list[Node]:
 
 def fold(nodes: list[Node], runs: dict[int, int]) -> list[Node]:
     """Like siblings become one node: paragraphs, headings, cells and the like within a run of such,
-    other neighbours if their whole trees are alike and are more than single boxes.  ``runs`` gets the
+    other neighbours if their whole trees are alike.  ``runs`` gets the
     run of each block, by its first: what the page has there as one text, before boxes are folded."""
     top = Node("")
     top.children = nodes
@@ -298,41 +329,118 @@ def read_tree(shape: str) -> list[tuple[str, list[int], int]]:
     return nodes
 
 
+def _interned(trees_: list[list[tuple[str, list[int], int]]]) -> list[tuple[list[int], list[int]]]:
+    """For each tree, by node: a number that equal subtrees share (children's are smaller), and the subtree's size."""
+    numbers: dict = {}
+    out = []
+    for nodes in trees_:
+        number, size = [0] * len(nodes), [1] * len(nodes)
+        for k in range(len(nodes) - 1, -1, -1):
+            label, children, _ = nodes[k]
+            number[k] = numbers.setdefault((label, *[number[c] for c in children]), len(numbers))
+            size[k] += sum(size[c] for c in children)
+        out.append((number, size))
+    return out
+
+
+def _ends(a: list[int], b: list[int]) -> tuple[int, int]:
+    """How many children two lists share at their starts, and then at their ends."""
+    most = min(len(a), len(b))
+    first = next((k for k in range(most) if a[k] != b[k]), most)
+    last = next((k for k in range(most - first) if a[-1 - k] != b[-1 - k]), most - first)
+    return first, last
+
+
+def _table(a: list[int], b: list[int], score) -> list[tuple[int, list[int]]]:
+    """Rows (first column, most matched pairs) of an order-keeping matching of two lists, near the diagonal."""
+    reach = BAND + len(b) // len(a)
+    rows = [(0, [0] * (min(len(b), reach) + 1))]
+    for k, x in enumerate(a, 1):
+        low, high = max(0, k * len(b) // len(a) - reach), min(len(b), k * len(b) // len(a) + reach)
+        before, old = rows[-1]
+        row: list[int] = []
+        for y in range(low, high + 1):
+            best = row[-1] if row else -1
+            at = y - before
+            if 0 <= at < len(old):
+                best = max(best, old[at])
+            if 0 < at <= len(old) and y:
+                best = max(best, old[at - 1] + score(x, b[y - 1]))
+            row.append(max(best, 0))
+        rows.append((low, row))
+    return rows
+
+
 def align(reference: str, shape: str) -> tuple[int, ...]:
-    """Simple tree matching: for each node of ``shape`` the node of ``reference`` it is matched with, or -1."""
+    """Simple tree matching: for each node of ``shape`` the node of ``reference`` it is matched with, or -1.
+
+    Equal subtrees are matched whole; so are the equal children at either end of
+    two lists of children, which loses no pair.  Between them, children are matched within
+    ``BAND`` places of their relative place.  Equal pairs of subtrees are solved once.
+    """
     a, b = read_tree(reference), read_tree(shape)
-    pairs = {(0, 0)} if a[0][0] == b[0][0] else set()           # that a top-down matching can reach
-    todo = list(pairs)
-    while todo:
-        i, j = todo.pop()
-        new = {(x, y) for x in a[i][1] for y in b[j][1] if a[x][0] == b[y][0]}      # a node has one parent: each pair comes once
-        pairs |= new
-        todo += new
-    size: dict[tuple[int, int], int] = {}                       # most pairs of an order-keeping matching of the trees at i and j
-    tables: dict[tuple[int, int], list[list[int]]] = {}
-    for i, j in sorted(pairs, reverse=True):                    # children have greater numbers
-        m = [[0] * (len(b[j][1]) + 1)]
-        for x in a[i][1]:
-            row = [0]
-            for k, y in enumerate(b[j][1]):
-                row.append(max(row[-1], m[-1][k + 1], m[-1][k] + size.get((x, y), 0)))
-            m.append(row)
-        tables[i, j], size[i, j] = m, 1 + m[-1][-1]
+    if reference == shape:
+        return tuple(range(len(b)))
+    (na, sa), (nb, sb) = _interned([a, b])
+    node_a = {n: k for k, n in reversed(list(enumerate(na)))}
+    node_b = {n: k for k, n in reversed(list(enumerate(nb)))}
+    kids = lambda nodes, number, k: [number[c] for c in nodes[k][1]]
+    middles: dict[tuple[int, int], tuple[int, list[int], list[int]]] = {}
+    todo = [(na[0], nb[0])] if a[0][0] == b[0][0] and na[0] != nb[0] else []
+    while todo:                                                 # distinct pairs of unequal subtrees that a matching can reach
+        u, v = todo.pop()
+        if (u, v) in middles:
+            continue
+        x, y = kids(a, na, node_a[u]), kids(b, nb, node_b[v])
+        first, last = _ends(x, y)
+        x, y = x[first: len(x) - last], y[first: len(y) - last]
+        middles[u, v] = first, x, y
+        if x and y:
+            reach, met = BAND + len(y) // len(x), set()
+            for k, p in enumerate(x):
+                at = k * len(y) // len(x)
+                met.update((p, q) for q in y[max(0, at - reach - 1): at + reach + 1])
+            todo += [(p, q) for p, q in met if p != q and a[node_a[p]][0] == b[node_b[q]][0]]
+    size: dict[tuple[int, int], int] = {}
+    tables: dict[tuple[int, int], list[tuple[int, list[int]]]] = {}
+
+    def score(p: int, q: int) -> int:
+        return sa[node_a[p]] if p == q else size.get((p, q), 0)
+    for u, v in sorted(middles):                                # subtrees have smaller numbers
+        first, x, y = middles[u, v]
+        ka = kids(a, na, node_a[u])
+        whole = sum(sa[node_a[n]] for n in ka[:first] + ka[first + len(x):])
+        tables[u, v] = _table(x, y, score) if x and y else []
+        size[u, v] = 1 + whole + (tables[u, v][-1][1][-1] if tables[u, v] else 0)
 
     out = [-1] * len(b)
-    todo = [(0, 0)] if pairs else []
+    todo = [(0, 0)] if a[0][0] == b[0][0] else []
     while todo:
         i, j = todo.pop()
+        if na[i] == nb[j]:
+            out[j: j + sb[j]] = range(i, i + sa[i])
+            continue
         out[j] = i
-        m, x, y = tables[i, j], len(a[i][1]), len(b[j][1])
-        while x and y:
-            if m[x][y] == m[x - 1][y]:
-                x -= 1
-            elif m[x][y] == m[x][y - 1]:
-                y -= 1
+        ca, cb = a[i][1], b[j][1]
+        first, x, y = middles[na[i], nb[j]]
+        todo += zip(ca[:first], cb[:first])
+        todo += zip(ca[first + len(x):], cb[first + len(y):])
+        rows = tables[na[i], nb[j]]
+        p, q = len(x), len(y)
+        while p and q and rows:
+            low, row = rows[p]
+            before, old = rows[p - 1]
+            value = row[q - low]
+            if 0 <= q - before < len(old) and old[q - before] == value:
+                p -= 1
+            elif q > low and row[q - 1 - low] == value:
+                q -= 1
             else:
-                x, y = x - 1, y - 1
-                todo.append((a[i][1][x], b[j][1][y]))
+                p, q = p - 1, q - 1
+                if x[p] == y[q] or (x[p], y[q]) in size:
+                    todo.append((ca[first + p], cb[first + q]))
+                if not 0 <= q - before < len(old):
+                    break
     return tuple(out)
 
 
@@ -402,6 +510,14 @@ def content(shape: str, owner: list[int], blocks: list[str], constant: list[bool
             break
     else:
         region = nothing
+    else_main = within("main", nothing)
+    tops = [k for k in range(len(nodes)) if region[k] and not (nodes[k][2] >= 0 and region[nodes[k][2]])]
+    if len(tops) == 1 and else_main[tops[0]]:                    # the main element around the only article is the page's content
+        region = else_main
+    beside = {nodes[k][2] for k in tops}
+    for k, (label, _, up) in enumerate(nodes):                   # a heading beside an article is the article's
+        if not bad[k] and up >= 0 and (_tag(label) in HEADINGS and "~" not in label and up in beside or region[up]):
+            region[k] = True
     holds = [False] * len(nodes)
     for k in range(len(nodes) - 1, -1, -1):
         holds[k] = holds[k] or (region[k] and not (k and region[nodes[k][2]]))
@@ -423,36 +539,31 @@ def content(shape: str, owner: list[int], blocks: list[str], constant: list[bool
 
 def parse_pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """id, url, host, shape (the folded tree), page (a hash of all), hashes (of each block's run), owner (node of each block), blocks."""
-    ship()
-
-    def each(batches):
-        for pdf in batches:
-            shapes, wholes, hashes, owners, texts = [], [], [], [], []
-            for page in pdf["html"]:
-                root, blocks = parse(page or "")
-                runs: dict[int, int] = {}
-                root.children = fold(root.children, runs)
-                shape, nodes = flatten(root)
-                owner = [0] * len(blocks)
-                for k, n in enumerate(nodes):
-                    for i in n.ids:
-                        owner[i] = k
-                shapes.append(shape)
-                run: dict[int, list[str]] = defaultdict(list)
-                for i, t in enumerate(blocks):
-                    run[runs.get(i, -1)].append(t)
-                whole = {k: _hash("\n".join(ts)) for k, ts in run.items()}
-                hashes.append([whole[runs.get(i, -1)] for i in range(len(blocks))])
-                wholes.append(_hash(f"{shape} {owner} {hashes[-1]}"))
-                owners.append(owner)
-                texts.append(blocks)
-            yield pd.DataFrame({"id": pdf["id"], "url": pdf["url"], "host": pdf["host"], "shape": shapes, "page": wholes, "hashes": hashes,
-                                "owner": owners, "blocks": texts})
+    def parsed(page: str | None) -> tuple:
+        root, blocks = parse(page or "")
+        runs: dict[int, int] = {}
+        root.children = fold(root.children, runs)
+        shape, nodes = flatten(root)
+        owner = [0] * len(blocks)
+        for k, n in enumerate(nodes):
+            for i in n.ids:
+                owner[i] = k
+        run: dict[int, list[str]] = defaultdict(list)
+        for i, t in enumerate(blocks):
+            run[runs.get(i, -1)].append(t)
+        whole = {k: _hash("\n".join(ts)) for k, ts in run.items()}
+        hashes = [whole[runs.get(i, -1)] for i in range(len(blocks))]
+        return shape, _hash(f"{shape} {owner} {hashes}"), hashes, owner, blocks
+
+    types = {"shape": pa.string(), "page": pa.int64(), "hashes": pa.list_(pa.int64()), "owner": pa.list_(pa.int32()),
+             "blocks": pa.list_(pa.string())}
+
+    def make():
+        return lambda b: dict(zip(types, zip(*map(parsed, b.column("html").to_pylist())))) if len(b) else dict.fromkeys(types, [])
     host = lower_ascii(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), "://([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(each, f"id {kind}, url string, host string, shape string, page long, hashes array<long>, "
-                           "owner array<int>, blocks array<string>")
+    return per_batch(rows, ["id", "url", "host"], "shape string, page long, hashes array<long>, owner array<int>, blocks array<string>",
+                     types, make)
 
 
 def induce(parsed: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -488,25 +599,30 @@ def induce(parsed: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_P
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url, text (the main content) and n_blocks of every page."""
     parsed = stage(parse_pages(pages, id_col, url_col, html_col), "wrapper-pages")
-    wrappers = stage(induce(parsed), "wrappers")
+    with recorded() as used:
+        induced = induce(parsed)
+    wrappers = stage(induced, "wrappers")
+    discard(pages.sparkSession, used)
 
-    def each(batches):
+    def make():
         seen: dict = {}
         fixed: dict = {}                                        # template by host
-        for pdf in batches:
-            texts = []
-            for host, shape, reference, template, hashes, owner, blocks in zip(
-                    pdf["host"], pdf["shape"], pdf["reference"], pdf["template"], pdf["hashes"], pdf["owner"], pdf["blocks"]):
-                if host not in fixed:
-                    if len(fixed) >= 256:
-                        fixed.clear()
-                    fixed[host] = frozenset() if template is None else frozenset(template.tolist())
-                constant = [False] * len(blocks)
-                if fixed[host]:
-                    nodes = addresses(seen, reference, shape)
-                    constant = [any(text_at(a, h) in fixed[host] for a in nodes[n]) for n, h in zip(owner, hashes.tolist())]
-                texts.append(content(shape, owner.tolist(), blocks.tolist(), constant))
-            yield pd.DataFrame({"id": pdf["id"], "url": pdf["url"], "text": texts, "n_blocks": [len(b) for b in pdf["blocks"]]})
-    kind = parsed.schema["id"].dataType.simpleString()
-    return (parsed.select("id", "url", "host", "shape", "hashes", "owner", "blocks").join(wrappers, "host")
-            .mapInPandas(each, f"id {kind}, url string, text string, n_blocks long"))
+
+        def main_text(host, shape, reference, template, hashes, owner, blocks) -> str:
+            if host not in fixed:
+                if len(fixed) >= 256:
+                    fixed.clear()
+                fixed[host] = frozenset(template or ())
+            constant = [False] * len(blocks)
+            if fixed[host]:
+                nodes = addresses(seen, reference, shape)
+                constant = [any(text_at(a, h) in fixed[host] for a in nodes[n]) for n, h in zip(owner, hashes)]
+            return content(shape, owner, blocks, constant)
+
+        def judge(b):
+            names = "host", "shape", "reference", "template", "hashes", "owner", "blocks"
+            rows = zip(*(b.column(n).to_pylist() for n in names))
+            return {"text": [main_text(*r) for r in rows], "n_blocks": [len(x) for x in b.column("blocks").to_pylist()]}
+        return judge
+    rows = parsed.select("id", "url", "host", "shape", "hashes", "owner", "blocks").join(wrappers, "host")
+    return per_batch(rows, ["id", "url"], "text string, n_blocks long", {"text": pa.string(), "n_blocks": pa.int64()}, make)

@@ -21,11 +21,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import ship
+from churnlane.llm.common import per_batch
 
 #: Base phrases and labels (fixed values).
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -194,17 +194,17 @@ def scan(text: str | None, signatures: list[Rule]) -> dict:
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, counts, labels, score and the kept findings as word spans."""
-    ship()
+    finding = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("label", pa.string())])
+    types = dict.fromkeys(("n_words", "n_base", "first_word", "last_word"), pa.int64()) | {
+        "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64(), "findings": pa.list_(finding)}
 
-    def each(batches):
+    def make():
         signatures = rules()
-        for pdf in batches:
-            out = pd.DataFrame([scan(t, signatures) for t in pdf["text"]], columns=[
-                "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "findings"])
-            out["first_word"], out["last_word"] = out["first_word"].astype("Int64"), out["last_word"].astype("Int64")
-            out.insert(0, "id", pdf["id"].to_numpy())
-            yield out
-    kind = docs.schema[id_col].dataType.simpleString()
+
+        def judge(b):
+            out = [scan(t, signatures) for t in b.column("text").to_pylist()]
+            return {name: [o[name] for o in out] for name in types}
+        return judge
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(each, f"id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, "
-                                  "labels string, score double, findings array<struct<start:int,end:int,label:string>>")
+    return per_batch(rows, ["id"], "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
+                                   "score double, findings array<struct<start:int,end:int,label:string>>", types, make)

@@ -30,11 +30,11 @@ import hashlib
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import ship
+from churnlane.llm.common import per_batch
 
 ROUNDS = 8
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73049        # to 2099-12-31
@@ -291,15 +291,15 @@ class Pseudonyms:
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, text (with pseudonyms) and findings (start, end, kind)."""
-    ship()
-
-    def each(batches):
+    def make():
         p = Pseudonyms(key.encode())
         digit = re.compile(r"\d|@")
-        for pdf in batches:
-            done = [p.rewrite(t) if t and digit.search(t) else (t, []) for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["id"], "text": pd.Series([d[0] for d in done], dtype=object), "findings": [
-                [{"start": a, "end": b, "kind": k} for a, b, k in d[1]] for d in done]})
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(each, f"id {kind}, text string, findings array<struct<start:int,end:int,kind:string>>")
+
+        def judge(b):
+            done = [p.rewrite(t) if t and digit.search(t) else (t, []) for t in b.column("body").to_pylist()]
+            return {"text": [d[0] for d in done], "findings": [[{"start": a, "end": e, "kind": k} for a, e, k in d[1]] for d in done]}
+        return judge
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
+    finding = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
+    return per_batch(rows, ["id"], "text string, findings array<struct<start:int,end:int,kind:string>>",
+                     {"text": pa.string(), "findings": pa.list_(finding)}, make)

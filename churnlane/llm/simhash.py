@@ -22,11 +22,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.common import ship, small, stage
+from churnlane.llm.common import discard, per_batch, recorded, ship, small, stage
 from churnlane.llm.components import connected_components
 
 BITS, BLOCKS, SHINGLE, MAX_BITS, SEED = 64, 6, 3, 2, 42
@@ -55,13 +56,9 @@ def fingerprint(text: str | None, words: int = SHINGLE, seed: int = SEED) -> int
 
 def fingerprints(rows: DataFrame, words: int = SHINGLE) -> DataFrame:
     """(rid, id, text) -> (rid, id, fp)."""
-    ship()
-
-    def each(batches):
-        for pdf in batches:
-            fps = np.fromiter((fingerprint(t, words) for t in pdf["text"]), np.uint64, len(pdf))
-            yield pd.DataFrame({"rid": pdf["rid"], "id": pdf["id"], "fp": fps.view(np.int64)})
-    return rows.mapInPandas(each, f"rid long, id {rows.schema['id'].dataType.simpleString()}, fp long")
+    def make():
+        return lambda b: {"fp": np.fromiter((fingerprint(t, words) for t in b.column("text").to_pylist()), np.uint64, len(b)).view(np.int64)}
+    return per_batch(rows, ["rid", "id"], "fp long", {"fp": pa.int64()}, make)
 
 
 def local_forest(fps: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -134,14 +131,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _grouped(prints: DataFrame, max_bits: int) -> DataFrame:
-    distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("id")), "simhash-fps")
-    roots = connected_components(fingerprint_edges(distinct.select("fp"), max_bits))
-    member = stage(roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "id"), "simhash-members")
-    named = stage(member.groupBy("root").agg(F.min("id").alias("component_id")), "simhash-names")
-    linked = member.drop("id").join(named, "root")
+    with recorded() as used:
+        distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("id")), "simhash-fps")
+        roots = connected_components(fingerprint_edges(distinct.select("fp"), max_bits))
+        member = stage(roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "id"), "simhash-members")
+        named = stage(member.groupBy("root").agg(F.min("id").alias("component_id")), "simhash-names")
+        linked = member.drop("id").join(named, "root")
     table = stage(distinct.join(linked, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
         F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")), "simhash-components")
+    discard(prints.sparkSession, used)
     return prints.join(table, "fp").select("rid", "id", "fp", "root", "component_id")
 
 
@@ -149,10 +148,13 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component (the smallest id, then the first row), all columns as they were."""
     rows = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row")), "near-rows")
-    prints = stage(fingerprints(rows.select("rid", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text")),
-                                words), "simhash")
-    grouped = _grouped(prints, max_bits)
-    keep = stage(grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("first"))
-                 .select("root", F.col("first.rid").alias("keep")), "near-keep")
-    dropped = stage(grouped.select("rid", "root").join(keep, "root").filter("rid <> keep").select("rid"), "near-dropped")
+    with recorded() as used:
+        prints = stage(fingerprints(rows.select("rid", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text")),
+                                    words), "simhash")
+        grouped = _grouped(prints, max_bits)
+        keep = stage(grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("first"))
+                     .select("root", F.col("first.rid").alias("keep")), "near-keep")
+        dropped = grouped.select("rid", "root").join(keep, "root").filter("rid <> keep").select("rid")
+    dropped = stage(dropped, "near-dropped")
+    discard(docs.sparkSession, used)
     return rows.join(small(dropped, dropped.count()), "rid", "left_anti").select("row.*")

@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from churnlane.llm import queries
+from churnlane.llm.common import discard, recorded, stage
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import slow_simhash
 
@@ -61,3 +62,32 @@ def test_pipeline(spark, con):
     bad = {r[0] for r in con.sql(queries.ORACLE["op6_decontaminate"]).fetchall() if r[5]}
     assert left["decontaminate"] == left["near_dedup"] - bad
     assert {r.doc_id for r in rows} <= left["decontaminate"]
+
+
+def test_stages_compose_without_writing(spark):
+    """One stage's frame handed to the next as it is gives what the run gives."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for _, stage_of in corpus_pipeline.STAGES:
+        docs = stage_of(spark, docs, SF_SMALL)
+    key = lambda df: sorted((r.doc_id, r.copies) for r in df.collect())
+    assert key(docs) == key(corpus_pipeline.run(spark, SF_SMALL))
+
+
+def test_two_runs_at_once(spark):
+    """Two runs whose stages interleave; scratch of either is its own."""
+    runs = [spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter(f"doc_id % 2 = {k}") for k in range(2)]
+    alone = []
+    for docs in runs:
+        for _, stage_of in corpus_pipeline.STAGES:
+            docs = stage(stage_of(spark, docs, SF_SMALL), "alone")
+        alone.append(sorted((r.doc_id, r.copies) for r in docs.collect()))
+    used = [[], []]
+    for _, stage_of in corpus_pipeline.STAGES:
+        for k in range(2):
+            with recorded() as mine:
+                kept = stage_of(spark, runs[k], SF_SMALL)
+            with recorded() as written:
+                runs[k] = stage(kept, "at-once")
+            discard(spark, [*used[k], *mine])
+            used[k] = written
+    assert [sorted((r.doc_id, r.copies) for r in d.collect()) for d in runs] == alone

@@ -3,7 +3,9 @@
 ``STAGES`` lists (name, function) with functions of (spark, docs, sf_dir).
 All stages but the last return the columns of ``documents``; the last adds
 ``copies``, how often the mix takes a document.  Each stage calls one operator
-of ``churnlane.llm`` over all rows and whole texts it is given.
+of ``churnlane.llm`` over all rows and whole texts it is given.  The stages hold
+no state: their frames may be composed without writing, and runs at the same
+time don't touch each other's files.
 """
 
 from __future__ import annotations
@@ -18,41 +20,29 @@ from churnlane.llm.mixing import mixed_rows
 from churnlane.llm.simhash import drop_near_copies
 
 
-_staged: dict[int, list[str]] = {}      # scratch folders of the last call of each stage
-
-
-def _call(k: int, spark: SparkSession, operator, *args) -> DataFrame:
-    """Runs stage ``k``; what it reads was written out, so its predecessor's scratch can go."""
-    discard(spark, _staged.pop(k - 1, []))
-    with recorded() as paths:
-        out = operator(*args)
-    _staged[k] = paths
-    return out
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told."""
-    return _call(0, spark, drop_unidentified, docs)
+    return drop_unidentified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the largest doc_id of each group of equal texts."""
-    return _call(1, spark, drop_exact_copies, docs)
+    return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest doc_id of each SimHash component."""
-    return _call(2, spark, drop_near_copies, docs)
+    return drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the benchmark contaminates."""
-    return _call(3, spark, drop_contaminated, docs, read(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes documents to the target weights of the production mix."""
-    return _call(4, spark, mixed_rows, docs)
+    return mixed_rows(docs)
 
 
 STAGES = [
@@ -68,9 +58,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, stage_of in STAGES:
-        docs = stage_of(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = stage(docs, f"pipeline-{name}")
-    return docs
+    """The mix of what the stages keep of ``documents``.
+
+    Each stage's output is written before the next one reads it; then what that
+    stage had staged, and its input, are removed.
+    """
+    docs, before = read(spark, sf_dir, "documents"), []
+    for name, stage_of in STAGES[:-1]:
+        with recorded() as used:
+            kept = stage_of(spark, docs, sf_dir)
+        with recorded() as written:
+            docs = stage(kept, f"pipeline-{name}")
+        discard(spark, [*before, *used])
+        before = written
+    return STAGES[-1][1](spark, docs, sf_dir)

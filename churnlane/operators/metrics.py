@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlane.operators.running import running_sums
+
 
 def confusion(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Counts per (label, prediction); a NULL prediction is its own group."""
@@ -120,3 +122,35 @@ def frame_info(df: DataFrame) -> DataFrame:
     parts = ", ".join(f"{i}, '{f.name}', '{f.dataType.simpleString()}', nn{i}"
                       for i, f in enumerate(fields))
     return wide.selectExpr(f"stack({len(fields)}, {parts}) AS (position, col_name, data_type, non_null)")
+
+
+def rank_metrics(df: DataFrame, label: str, score: str, positive: str = "Yes", clip: float = 1e-15) -> DataFrame:
+    """One row: n, n_pos, n_neg, ROC AUC and log loss of a positive-class score (AGG-2).
+
+    Rows become one (score, positives, negatives) record per distinct score, by
+    partial aggregation.  AUC is the share of (positive, negative) pairs ranked
+    right, a tie counting half (mid-ranks): per score, its positives times the
+    negatives below and half of those at it.  Negatives below are running sums
+    over pinned ranges (``running_sums``), so the scores are never ordered in one
+    task, and pairs are counted in integers.  Log loss clips scores to
+    [clip, 1 - clip].  Rows without label or score (NULL, NaN) are left out; a
+    metric that needs both classes is NULL where one is absent.
+    """
+    s = F.col(score).cast("double")
+    known = df.select(F.col(label).alias("y"), s.alias("s")).filter(F.col("y").isNotNull() & F.col("s").isNotNull() & ~F.isnan("s"))
+    hit = (F.col("y") == positive).cast("long")
+    counted = known.groupBy("s").agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
+    run = running_sums(counted, [], "s", ["neg"])
+    whole = lambda c: c.cast("decimal(19,0)")
+    p = F.greatest(F.lit(clip), F.least(F.lit(1 - clip), F.col("s")))
+    sums = run.agg(
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+        F.sum(whole(F.col("pos")) * whole(2 * F.col("run_neg") - F.col("neg"))).alias("pairs"),
+        F.sum(-(F.col("pos") * F.log(p) + F.col("neg") * F.log(1 - p))).alias("loss"))
+    n = F.col("n_pos") + F.col("n_neg")
+    both = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
+    auc = F.col("pairs").cast("double") / (2 * F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))
+    return sums.select(F.coalesce(n, F.lit(0).cast("long")).alias("n"), F.coalesce("n_pos", F.lit(0).cast("long")).alias("n_pos"),
+                       F.coalesce("n_neg", F.lit(0).cast("long")).alias("n_neg"),
+                       F.when(both, F.floor(auc * 1000000) / 1000000).alias("auc"),
+                       F.when(n > 0, F.round(F.col("loss") / n, 6)).alias("log_loss"))

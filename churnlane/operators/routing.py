@@ -3,20 +3,22 @@
 A request is routed by a hash of ``'route:' || key`` into 0..99 and the
 cumulative route percentages — deterministic per key (the same customer always
 meets the same version), independent of the train/test hash (different salt),
-and a pure per-row expression: no shuffle.  Both versions are native
-expressions, so scoring both in one pass costs one projection.
+and a pure per-row expression: no shuffle.  Every version is a native
+expression: a routed row evaluates its own version's only, and scoring all
+versions of a row is one projection.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlane.functions.columns import hash_bucket, route_name
-from churnlane.operators.tree import TreeSpec, predict, unused_name
+from churnlane.operators.tree import TreeSpec, label_column, predict, unused_name
 
 ROUTE_SALT = "route:"
 
@@ -48,23 +50,13 @@ def assign(df: DataFrame, key: str, routes: Sequence[Route], out: str = "variant
     return df.withColumn(out, variant_column(key, routes))
 
 
-def _labels(df: DataFrame, models: Mapping[str, TreeSpec]) -> tuple[DataFrame, dict[str, str]]:
-    """``df`` with every model's label, and the columns these are in."""
-    labels = {}
-    for i, (name, tree) in enumerate(models.items()):
-        labels[name] = unused_name(df, f"_label{i}")
-        df = predict(df, tree, labels[name])
-    return df, labels
-
-
 def score_routed(df: DataFrame, key: str, routes: Sequence[Route], models: Mapping[str, TreeSpec],
                  out: str = "prediction") -> DataFrame:
-    """Each row scored by the version its key is routed to, in one projection (SCO-5)."""
-    v = variant_column(key, routes)
+    """Each row scored by the version its key is routed to, and by no other (SCO-5)."""
+    v = unused_name(df, "_variant")
     columns = [c for c in df.columns if c.lower() not in ("variant", out.lower())]
-    scored, labels = _labels(df, models)
-    chosen = F.coalesce(*[F.when(v == name, F.col(c)) for name, c in labels.items()])
-    return scored.select(*columns, v.alias("variant"), chosen.alias(out))
+    chosen = reduce(lambda cases, m: cases.when(F.col(v) == m[0], label_column(m[1])), models.items(), F)
+    return df.withColumn(v, variant_column(key, routes)).select(*columns, F.col(v).alias("variant"), chosen.alias(out))
 
 
 def score_both(df: DataFrame, key: str, models: Mapping[str, TreeSpec]) -> DataFrame:
@@ -74,9 +66,8 @@ def score_both(df: DataFrame, key: str, models: Mapping[str, TreeSpec]) -> DataF
     ``explode`` emits one row per version — the result of a ``unionByName``
     of per-version scored frames without scanning the input twice.
     """
-    scored, labels = _labels(df, models)
-    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), F.col(c).alias("prediction")) for name, c in labels.items()])
-    return scored.withColumn("_v", F.explode(pairs)).select(*df.columns, "_v.variant", "_v.prediction")
+    pairs = F.array(*[F.struct(F.lit(name).alias("variant"), label_column(tree).alias("prediction")) for name, tree in models.items()])
+    return df.withColumn("_v", F.explode(pairs)).select(*df.columns, "_v.variant", "_v.prediction")
 
 
 def agreement(df: DataFrame, models: Mapping[str, TreeSpec]) -> DataFrame:

@@ -4,16 +4,16 @@ A fitted ``pyspark.ml`` tree is read from its *saved* node table (the
 ``data/`` parquet that ``model.write().save()`` produces: id, prediction,
 impurityStats, leftChild, rightChild, split).  The node list is the model
 itself (at most ``2^(depth+1)`` rows; a tree without a depth limit grows with
-its training rows, so give ``max_depth`` where those are many).
+its training rows: ``exact_tree`` keeps such a tree as a table).
 
-``predict`` scores a tree of any size in the same form: its nodes are literal
-arrays, and one small projection a level moves every row from its node to a
-child.  There is no Python worker, all levels share one generated function, and
-the plan grows with the depth only.  (4 M rows, local[8]: 0.9 s for 15 nodes,
-1.3 s for 511 and for 2,047; one nested ``CASE WHEN`` took 0.7, 5.0 and 13 s,
-since its code outgrows what the JVM compiles.)  Spark trees go left on
-``x <= threshold``; a NULL or NaN feature yields a NULL prediction, on this
-path as on every other.
+``predict`` scores a tree with one expression, no Python worker.  A small tree
+(``CASE_NODES``) is a nested ``CASE WHEN``.  A larger one is literal arrays of
+nodes and one fold over the levels that moves a row from its node to a child,
+whose size does not depend on the tree.  Either is safe to filter on: the
+optimizer pushes a filter below the projection by copying the expression, which
+for a chain of one projection a level would triple at each.
+Spark trees go left on ``x <= threshold``; a NULL or NaN feature yields a NULL
+prediction, on this path as on every other.
 
 ``predict_numpy`` evaluates the same spec on numpy arrays for the Arrow
 (pandas UDF / mapInPandas) paths used with opaque models.
@@ -121,6 +121,10 @@ class TreeSpec:
 
 # -- native scoring ---------------------------------------
 
+#: Nodes up to which a tree is a nested CASE WHEN: beyond it the generated code outgrows what the JVM compiles well.
+CASE_NODES = 63
+
+
 def missing(features: Sequence[str]) -> Column:
     """NULL or NaN in any of ``features``: such a row has no prediction, whatever scores it."""
     cond = F.lit(False)
@@ -154,20 +158,43 @@ def unused_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def at_leaf(df: DataFrame, tree: TreeSpec, node: str) -> DataFrame:
-    """Adds ``node``, the number of the leaf node a row falls into (NULL for a missing feature).
+def _let(value: Column, body) -> Column:
+    """``body(value)``, ``value`` computed once a row."""
+    return F.transform(F.array(value), body)[0]
 
-    One projection a level: the node's feature is compared with its threshold
-    and the answer added to its left child's number.
-    """
+
+def _case(tree: TreeSpec, value) -> Column:
+    """A nested ``CASE WHEN`` that ends in ``value(node number, leaf)``."""
     rows = _nodes(tree)
-    feature, threshold, left = (array_literal([r[i] for r in rows], t) for i, t in enumerate(("int", "double", "int")))
-    x, at = unused_name(df, "_x"), unused_name(df, "_at")
-    d = df.select("*", F.array(*[F.col(f).cast("double") for f in tree.features]).alias(x), F.lit(0).alias(at))
-    for _ in range(tree.depth()):
-        right = F.get(F.col(x), F.get(feature, F.col(at))) > F.get(threshold, F.col(at))      # NULL at a leaf
-        d = d.withColumn(at, F.get(left, F.col(at)) + F.when(right, 1).otherwise(0))
-    return d.withColumn(node, F.when(~missing(tree.features), F.col(at))).drop(x, at)
+
+    def walk(i: int) -> Column:
+        feature, threshold, left, leaf = rows[i]
+        if leaf is not None:
+            return F.lit(value(i, leaf))
+        return F.when(F.col(tree.features[feature]).cast("double") <= threshold, walk(left)).otherwise(walk(left + 1))
+    return walk(0)
+
+
+def leaf_node(tree: TreeSpec) -> Column:
+    """Number of the leaf node a row falls into, NULL where a feature is missing."""
+    rows = _nodes(tree)
+    if len(rows) <= CASE_NODES:
+        at = _case(tree, lambda i, leaf: i)
+    else:
+        feature, threshold, left = (array_literal([r[k] for r in rows], t) for k, t in enumerate(("int", "double", "int")))
+
+        def down(x: Column) -> Column:
+            def step(at: Column, _: Column) -> Column:
+                right = F.get(x, F.get(feature, at)) > F.get(threshold, at)          # NULL at a leaf, its own left child
+                return F.get(left, at) + F.when(right, 1).otherwise(0)
+            return F.aggregate(F.sequence(F.lit(1), F.lit(tree.depth())), F.lit(0), step)
+        at = _let(F.array(*[F.col(f).cast("double") for f in tree.features]), down)
+    return F.when(~missing(tree.features), at)
+
+
+def at_leaf(df: DataFrame, tree: TreeSpec, node: str) -> DataFrame:
+    """Adds ``node``, the number of the leaf node a row falls into (NULL for a missing feature)."""
+    return df.withColumn(node, leaf_node(tree))
 
 
 def _at(tree: TreeSpec, node: Column, value, cast: str) -> Column:
@@ -202,10 +229,16 @@ def probabilities_at(tree: TreeSpec, node: Column, prefix: str = "prob_") -> dic
     return {f"{prefix}{cls}": _at(tree, node, share(c), "double") for c, cls in enumerate(tree.classes)}
 
 
+def label_column(tree: TreeSpec) -> Column:
+    """The predicted class label as one expression, NULL where a feature is missing."""
+    if len(_nodes(tree)) <= CASE_NODES:
+        return F.when(~missing(tree.features), _case(tree, lambda i, leaf: leaf.label))
+    return label_at(tree, leaf_node(tree))
+
+
 def predict(df: DataFrame, tree: TreeSpec, out: str = "prediction", cast: str = "string") -> DataFrame:
     """``df`` with the predicted class label in ``out``, natively (SCO-1)."""
-    node = unused_name(df, "_node")
-    return at_leaf(df, tree, node).withColumn(out, label_at(tree, F.col(node)).cast(cast)).drop(node)
+    return df.withColumn(out, label_column(tree).cast(cast))
 
 
 def with_leaf_index(df: DataFrame, tree: TreeSpec, out: str) -> DataFrame:

@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None, ops: str = ""):
 
 
 MODULES = ("q_prepare", "q_features", "q_scoring", "q_models", "q_stats", "q_layout", "q_layered",
-           "q_routing", "q_online", "q_streams")
+           "q_routing", "q_online", "q_streams", "q_trees")
 
 
 def load_all() -> None:

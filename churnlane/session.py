@@ -153,6 +153,18 @@ def pin(df):
     return df.checkpoint(eager=True)
 
 
+def staged(df, name: str):
+    """(frame, path): ``df`` written to a new Parquet folder below the shared scratch root and read back.
+
+    Like ``pin``, but compressed, read by column, and of a size the planner
+    knows: for loops whose rounds each join the round before (estimates of a
+    pinned plan multiply).  The caller removes the path once nothing reads it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def ship() -> None:
     """Pickle this package's functions and classes by value, so Python workers need no copy of it."""
     cloudpickle.register_pickle_by_value(sys.modules["churnlane"])

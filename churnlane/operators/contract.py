@@ -20,9 +20,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType, NumericType, StructType
 
 from churnlane.operators.features import FeatureLookup
 from churnlane.session import ship
@@ -76,13 +76,25 @@ def capture_schema(df: DataFrame, features: Sequence[str]) -> StructType:
     return df.select(*features).schema
 
 
+def _loses(given: Column, value: Column, source: DataType, target: DataType) -> Column:
+    """Whether ``value``, ``given`` cast to ``target``, is no longer the value that was sent."""
+    gone = given.isNotNull() & value.isNull()
+    if not (isinstance(source, NumericType) and isinstance(target, NumericType)):
+        return gone
+    if isinstance(target, FractionalType) and not isinstance(target, DecimalType) and not isinstance(source, IntegralType):
+        wide = lambda c: F.abs(c.cast("double")) == float("inf")  # noqa: E731  a narrower fraction is rounded, but not to infinity
+        return gone | (wide(value) & ~wide(given))
+    return gone | (given.isNotNull() & ~value.try_cast(source).eqNullSafe(given))
+
+
 def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
             strict: bool = True) -> DataFrame:
     """Make scoring input match the contract, by name (CTR-2).
 
     Missing required feature -> error; numbers are cast to the declared
-    type (ints sent for double features), and a value that has no such form
-    (text in a number column) is an error too, or NULL unless ``strict``; extra columns are dropped
+    type (ints sent for double features).  A value that does not survive the
+    cast (text in a number column, a fraction or too large a number for an
+    integer) is an error, or NULL unless ``strict``; extra columns are dropped
     except ``keep`` (e.g. the key).
     """
     have = {c.lower(): c for c in df.columns}
@@ -92,10 +104,12 @@ def conform(df: DataFrame, contract: Contract, keep: Sequence[str] = (),
     cols = [F.col(k) for k in keep if k.lower() in have]
     for f in contract.input_schema.fields:
         given = F.col(have[f.name.lower()])
-        value = given.try_cast(f.dataType)
-        if strict and df.schema[have[f.name.lower()]].dataType.simpleString() in ("string", "binary"):
-            no = F.raise_error(F.concat(F.lit(f"{f.name} is not {f.dataType.simpleString()}: "), given.cast("string")))
-            value = F.when(given.isNotNull() & value.isNull(), no.cast(f.dataType)).otherwise(value)
+        value, source = given.try_cast(f.dataType), df.schema[have[f.name.lower()]].dataType
+        if source != f.dataType:
+            lost = F.lit(None).cast(f.dataType)
+            if strict:
+                lost = F.raise_error(F.concat(F.lit(f"{f.name} is not {f.dataType.simpleString()}: "), given.cast("string"))).cast(f.dataType)
+            value = F.when(_loses(given, value, source, f.dataType), lost).otherwise(value)
         cols.append(value.alias(f.name))
     return df.select(*cols)
 

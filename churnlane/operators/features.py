@@ -9,12 +9,12 @@ Lookup joins: the feature side is key-unique, the request side (labels,
 keys to score) may repeat a key many times.  We declare a plain equi-join and
 let Spark choose: AQE turns it into a broadcast join when the *measured*
 feature side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and
-otherwise runs a sort-merge join — over a bucketed feature table only the
-request side is shuffled — whose skewed request partitions AQE splits
-(``spark.sql.adaptive.skewJoin.enabled``); a key holding a third of all
-requests therefore does not end up in one task.  ``join_hot_split`` makes
-that explicit where wanted: hot request keys (found by a frequent-items
-sketch, at most ``1/fraction`` of them) join a bounded broadcast.
+otherwise runs a sort-merge join whose skewed request partitions AQE splits
+(``spark.sql.adaptive.skewJoin.enabled``), so a key holding a third of all
+requests does not end up in one task.  That needs both sides shuffled: over a
+*bucketed* feature table only the request side moves and AQE splits nothing,
+so hot keys want ``join_hot_split`` there: hot request keys (found by a
+frequent-items sketch, at most ``1/fraction`` of them) join a bounded broadcast.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.session import scratch_path, unique_name
+from churnlane.session import pin, scratch_path, unique_name
 
 
 class KeyViolation(ValueError):
@@ -135,15 +135,24 @@ class FeatureLookup:
         return FeatureLookup.of(d["table_name"], d["lookup_key"], d.get("feature_names"))
 
 
+def check_lookup_key(spark: SparkSession, fl: FeatureLookup) -> None:
+    """An error where a table declares a key and the lookup does not name all of it: the join would multiply rows."""
+    declared = {k.lower() for k in primary_keys_of(spark, fl.table_name)}
+    if not declared <= {k.lower() for k in fl.lookup_key}:
+        raise KeyViolation(f"lookup in {fl.table_name} by {list(fl.lookup_key)}, but its rows are unique by {sorted(declared)} only")
+
+
 def lookup(spark: SparkSession, df: DataFrame, lookups: Sequence[FeatureLookup],
            how: str = "left", skew_fraction: float | None = None) -> DataFrame:
     """Join each lookup's features onto ``df`` by its key (chained equi-joins).
 
+    A lookup key that lacks a part of the table's declared key is an error.
     ``skew_fraction``: split off request keys holding more than this share of
     the rows and serve them from a bounded broadcast (``lookup_skew_safe``).
     """
     out = df
     for fl in lookups:
+        check_lookup_key(spark, fl)
         if skew_fraction:
             out = lookup_skew_safe(spark, out, fl, skew_fraction, how)
         else:
@@ -264,6 +273,7 @@ def join_hot_split(df: DataFrame, feats: DataFrame, key: str | Sequence[str], fr
         out = join_hot_split(df.withColumn(name, packed), feats.withColumn(name, packed).drop(*keys), name, fraction, how)
         return out.drop(name)
     key = keys[0]
+    df = pin(df)                # read by the sketch, the counts and both joins; what made it runs once
     hot = hot_keys(df, key, fraction)
     if not hot:
         return df.join(feats, key, how)

@@ -18,9 +18,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from churnlane.session import scratch_path, unique_name
+from churnlane.session import pin, scratch_path, unique_name
 from churnlane.sources.sinks import swap_in
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -28,29 +27,32 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 def row_hash(df: DataFrame) -> Column:
     """Deterministic per-row hash of all columns (a tie-breaker, stable on task retry)."""
-    def hashable(f: T.StructField) -> Column:
-        return F.to_json(F.struct(F.col(f.name))) if "map<" in f.dataType.simpleString() else F.col(f.name)
-    return F.xxhash64(*[hashable(f) for f in df.schema.fields])
+    return F.xxhash64(*_hashable(df))
 
 
-def _with_tie_breaks(df: DataFrame) -> DataFrame:
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.to_json(F.struct(F.col(f.name))) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema.fields]
+
+
+def with_tie_breaks(df: DataFrame) -> DataFrame:
     """Add ``_rh`` (row hash) and ``_cp`` (copy number) so that the range key
     ``(..., _rh, _cp)`` is unique per row, even for exact copies.
 
-    ``_cp`` is the row's position after sorting its input partition by
-    content (hash, then every orderable column) — the same safeguard Spark
-    applies before a round-robin repartition.  Rows are then numbered in a
+    ``_cp`` is the row's position after sorting its input partition by two
+    hashes of its content (96 bits).  Rows are then numbered in a
     content order; identical rows are interchangeable, so a retried map task
     routes the same multiset of rows to the same ranges and no row is lost or
     doubled, whatever order its input arrived in.
     """
-    atomic = [f.name for f in df.schema.fields
-              if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-    return (df.withColumn("_rh", row_hash(df))
-              .sortWithinPartitions("_rh", *atomic)
+    return (df.withColumn("_rh", row_hash(df)).withColumn("_rh2", F.hash(*_hashable(df)))
+              .sortWithinPartitions("_rh", "_rh2").drop("_rh2")
               .withColumn("_cp", F.monotonically_increasing_id()))
 
 
+def without_tie_breaks(df: DataFrame) -> DataFrame:
+    return df.drop("_rh", "_cp")
+
+
 def clustered(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     """Range-partition on ``cols`` into ``files`` partitions, sorted within each.
 
@@ -60,7 +62,7 @@ def clustered(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     partitions (adjacent files) instead of one task writing one giant file.
     Sorting is by ``cols`` first, so clustering is unchanged.
     """
-    return (_with_tie_breaks(df)
+    return (with_tie_breaks(df)
             .repartitionByRange(files, *cols, "_rh", "_cp").sortWithinPartitions(*cols, "_rh", "_cp")
             .drop("_rh", "_cp"))
 
@@ -78,7 +80,7 @@ def partitioned_write(df: DataFrame, path: str, col: str, files: int | None = No
     writes one file per value in its range.
     """
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    (_with_tie_breaks(df)
+    (with_tie_breaks(df)
        .repartitionByRange(n, F.col(col), F.col("_rh"), F.col("_cp")).drop("_rh", "_cp")
        .write.mode(mode).partitionBy(col).parquet(path))
 
@@ -156,7 +158,7 @@ def compact(spark: SparkSession, name: str, cols: Sequence[str] | None = None,
             w = src.repartition(buckets, *by).write.format("parquet").option("path", new_path).bucketBy(buckets, *by)
             w = w.sortBy(*sort) if sort else w
         else:
-            spread = _with_tie_breaks(src).repartitionByRange(n, *parts, "_rh", "_cp").drop("_rh", "_cp")
+            spread = with_tie_breaks(src).repartitionByRange(n, *parts, "_rh", "_cp").drop("_rh", "_cp")
             w = spread.write.format("parquet").option("path", new_path)
         w = w.partitionBy(*parts) if parts else w
         w.saveAsTable(staging)
@@ -196,16 +198,14 @@ def interleave_bits(cols: Sequence[Column], bits: int = 8) -> Column:
 
 def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 8) -> DataFrame:
     """Z-order layout (LAY-4): rank each column into ``2^bits`` quantile buckets
-    (one approximate-quantile pass per column, JVM side), interleave the bucket
-    bits, range-partition and sort on the Z-value."""
-    out = df
-    ranks = []
-    for c in cols:
-        qd = QuantileDiscretizer(numBuckets=2 ** bits, inputCol=c, outputCol=f"_zr_{c}",
-                                 handleInvalid="keep", relativeError=0.001)
-        out = qd.fit(out).transform(out)
-        ranks.append(F.col(f"_zr_{c}"))
-    z = interleave_bits(ranks, bits)
-    keyed = _with_tie_breaks(out.withColumn("_z", z).drop(*[f"_zr_{c}" for c in cols]))
+    (one approximate-quantile pass over all of them, JVM side), interleave the bucket
+    bits, range-partition and sort on the Z-value.  The input is pinned: it is read
+    for the quantiles, the range sample and the write."""
+    df = pin(df)
+    names = [f"_zr_{c}" for c in cols]
+    qd = QuantileDiscretizer(numBuckets=2 ** bits, inputCols=list(cols), outputCols=names, handleInvalid="keep", relativeError=0.001)
+    out = qd.fit(df).transform(df)
+    z = interleave_bits([F.col(n) for n in names], bits)
+    keyed = with_tie_breaks(out.withColumn("_z", z).drop(*[f"_zr_{c}" for c in cols]))
     return (keyed.repartitionByRange(files, "_z", "_rh", "_cp").sortWithinPartitions("_z", "_rh", "_cp")
                  .drop("_z", "_rh", "_cp"))

@@ -15,8 +15,9 @@ from churnlane.plans.oracle_sql import BASE, BPZ, tree_case, with_ctes
 from churnlane.plans.q_features import churn_contract
 from churnlane.plans.q_online import LATEST_SQL
 from churnlane.plans.registry import query
-from churnlane.session import scratch_path, unique_name
+from churnlane.session import scratch_path, staged, unique_name
 from churnlane.sources.tables import FEATURES, KEY, events, table
+from churnlane.streaming.keyed import merged_changes, newest_changes
 from churnlane.streaming.scoring import request_log, score_stream
 from churnlane.streaming.snapshot import current_snapshot, maintain_latest
 
@@ -101,3 +102,49 @@ def q_stream_latest(spark, sf):
     maintain_latest(spark, src, ev.schema, root, scratch_path(spark, "latest-ckpt"),
                     "user_id", "ts", "event_id", per_trigger, compact_every=3)
     return current_snapshot(spark, root)
+
+
+@query("stream_resent", f"""{BPZ}
+SELECT o_orderkey AS client, customer_id, CAST(1 AS BIGINT) AS answers, {tree_case()} AS prediction
+FROM orders LEFT JOIN z ON customer_id = o_custkey""", "STR-3 STR-1")
+def q_stream_resent(spark, sf):
+    """One request an order, every one sent again later; the stream is stopped in between.  Each is answered once."""
+    asked = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("client"), F.col("o_orderdate").cast("timestamp").alias("sent_at"),
+                                              F.col("o_custkey").cast("string").alias(KEY))
+    path, out, ckpt = (scratch_path(spark, n) for n in ("requests", "stream-out", "stream-ckpt"))
+    features = staged(common.z(spark, sf).select(KEY, *FEATURES), "online-features")[0]
+    for again in ("0 seconds", "20 minutes"):
+        asked.withColumn("sent_at", F.col("sent_at") + F.expr(f"INTERVAL {again}")).write.mode("append").parquet(path)
+        score_stream(spark, path, asked.schema, features, churn_contract(spark, sf, "unused"), KEY, out, ckpt, "churn_model-1",
+                     keep=["client"], client_id="client", sent_at="sent_at", resent_within="3650 days")
+    rows = spark.read.parquet(out)
+    return rows.groupBy(F.col("client").cast("long").alias("client")).agg(
+        F.first(F.when(F.col("senior").isNotNull(), F.col(KEY))).alias(KEY), F.count("*").alias("answers"), F.first("prediction").alias("prediction"))
+
+
+@query("stream_composite", f"""{BPZ},
+r AS (SELECT CAST(customer_id AS varchar) AS k, 'Yes' AS churn FROM base UNION ALL SELECT 'x', 'No')
+SELECT TRY_CAST(k AS BIGINT) AS customer_id, r.churn, senior, tenure, monthly, total, {tree_case()} AS prediction
+FROM r LEFT JOIN z ON z.customer_id = TRY_CAST(k AS BIGINT) AND z.churn = r.churn""", "STR-1 JN-3")
+def q_stream_composite(spark, sf):
+    """Requests by a key of two columns, one of them text that must be a number."""
+    asked = common.b(spark, sf).select(F.col(KEY).cast("string").alias(KEY), F.lit("Yes").alias("churn"))
+    asked = asked.unionByName(spark.createDataFrame([("x", "No")], f"{KEY} string, churn string"))
+    path, out = scratch_path(spark, "requests"), scratch_path(spark, "stream-out")
+    per_trigger = _write_parts(asked, path)
+    features = staged(common.z(spark, sf).select(KEY, "churn", *FEATURES), "online-features")[0]
+    score_stream(spark, path, asked.schema, features, churn_contract(spark, sf, "unused"), [KEY, "churn"], out,
+                 scratch_path(spark, "stream-ckpt"), "churn_model-1", per_trigger)
+    return spark.read.parquet(out).select(KEY, "churn", *FEATURES, "prediction")
+
+
+@query("stream_keyed_state", f"SELECT *, CAST(1 AS BIGINT) AS changes FROM ({LATEST_SQL})", "STR-2 WIN-1")
+def q_stream_keyed_state(spark, sf):
+    """Events twice, the second time all of them late: the state puts a key's newest row out once, after a restart too."""
+    ev = events(spark, sf)
+    src, out, ckpt = (scratch_path(spark, n) for n in ("events-stream", "newest-changes", "newest-ckpt"))
+    for k in range(2):
+        ev.withColumn("_part", F.lit(k)).drop("_part").coalesce(4).write.mode("append").parquet(src)
+        newest_changes(spark, src, ev.schema, out, ckpt, "user_id", "ts", "event_id")
+    changes = spark.read.parquet(out).groupBy("user_id").agg(F.count("*").alias("changes"))
+    return merged_changes(spark, out, "user_id", "ts", "event_id").join(changes, "user_id")

@@ -84,6 +84,27 @@ def delete(spark: SparkSession, path: str) -> None:
         h[1].delete(h[2], True)
 
 
+def rename(spark: SparkSession, source: str, to: str) -> bool:
+    """Move a file; False where there is none (it has been moved already)."""
+    jvm, fs, p = _fs(spark, source)
+    return bool(fs.exists(p)) and bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(to)))
+
+
+def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
+    """Full paths of the files of ``folder`` itself whose names end in ``suffix``."""
+    _, fs, p = _fs(spark, folder)
+    return [s.getPath().toString() for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().endswith(suffix)] if fs.exists(p) else []
+
+
+def file_states(spark: SparkSession, path: str) -> dict[str, str]:
+    """``size:modified`` of the data file at ``path`` or of those directly in that folder (or matching that pattern), by full path."""
+    jvm, fs, p = _fs(spark, path)
+    found = list(fs.globStatus(p) or [])
+    files = [f for s in found for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
+    return {f.getPath().toString(): f"{f.getLen()}:{f.getModificationTime()}" for f in files
+            if f.isFile() and not f.getPath().getName().startswith(("_", "."))}
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Contents of ``path``, or None when it does not exist."""
     h = _fs(spark, path)

@@ -14,8 +14,8 @@ from pyspark.sql.types import ArrayType, StructType
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"'}
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """``spark.read.csv(path, inferSchema=True, header=True, multiLine=True, escape='"')``."""
+def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None) -> DataFrame:
+    """Rows of CSV files with a header line, quoted line breaks and doubled quotes; types are inferred unless ``schema`` is given."""
     r = spark.read.options(**CSV_OPTIONS)
     if schema is not None:
         r = r.schema(schema)

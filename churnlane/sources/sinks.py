@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from churnlane.session import scratch_path, unique_name
+from churnlane.sources import control
 
 
 def _q(s: str) -> str:
@@ -65,15 +66,47 @@ def append_evolve(spark: SparkSession, df: DataFrame, name: str) -> None:
     conformed.write.insertInto(name)
 
 
-def swap_in(spark: SparkSession, staging: str, name: str) -> None:
+def swap_in(spark: SparkSession, staging: str, name: str, keep_old: bool = True) -> None:
     """Make the fully written table ``staging`` the table ``name``.
 
     The data job has finished before the old table is touched, so a failed
-    or lost job leaves the previous table as it was; the swap itself is two
-    catalog operations (drop, rename), no data moves.
+    or lost job leaves the previous table as it was.  Where the new table has the
+    old one's columns and layout, the old entry is pointed at the new files by one
+    catalog operation, so there is no moment without a table; else the entry is
+    replaced by two (drop, rename).  No data moves.  ``keep_old=False`` removes the
+    old files, which a running query may still be reading.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    old = location_of(spark, name) if spark.catalog.tableExists(name) else None
+    if old and _same_layout(spark, staging, name):
+        new = location_of(spark, staging)
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {staging}").collect()}
+        pairs = ", ".join(f"'{_q(k)}' = '{_q(v)}'" for k, v in properties.items() if not k.startswith(("transient_", "spark.sql.")))
+        if pairs:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+        spark.sql(f"DROP TABLE {staging}")                     # an external table: its files stay
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    if old and not keep_old:
+        control.delete(spark, old)
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def location_of(spark: SparkSession, name: str) -> str:
+    return _described(spark, name)["Location"]
+
+
+def _same_layout(spark: SparkSession, a: str, b: str) -> bool:
+    """Both external Parquet tables of the same columns, neither partitioned nor bucketed."""
+    x, y = _described(spark, a), _described(spark, b)
+    plain = all(d.get("Type") == "EXTERNAL" and d.get("Provider", "").lower() == "parquet" and "Num Buckets" not in d
+                and "# Partition Information" not in d for d in (x, y))
+    return plain and spark.table(a).schema == spark.table(b).schema
 
 
 def materialize(spark: SparkSession, name: str, df: DataFrame, comment: str = "",
@@ -82,8 +115,7 @@ def materialize(spark: SparkSession, name: str, df: DataFrame, comment: str = ""
     """A named dataset with comment and table properties, rewritten each run (SNK-5).
 
     Written as a staging table in a new directory first, then swapped in
-    (``swap_in``): readers see the old or the new dataset, never none
-    while the write runs."""
+    (``swap_in``): while the write runs, readers see the old dataset."""
     staging = unique_name(f"{name}_staging")
     write_table(spark, df, staging, cluster_by=cluster_by, name=staging)
     if comment:
@@ -109,19 +141,23 @@ def analyze_table(spark: SparkSession, name: str) -> DataFrame:
     return out
 
 
-def capture_frame(requests: DataFrame, predictions: DataFrame, key: str, features: Sequence[str],
-                  outputs: Sequence[str], served_model: str, batch_id: int | None = None) -> DataFrame:
+def sent(requests: DataFrame, out: str = "request") -> DataFrame:
+    """``requests`` with each row as it was sent, as JSON (absent fields as null): before any lookup or cast."""
+    return requests.withColumn(out, F.to_json(F.struct(*requests.columns), {"ignoreNullFields": "false"}))
+
+
+def capture_frame(predictions: DataFrame, outputs: Sequence[str], served_model: str, request: str = "request",
+                  request_id: str | None = None, batch_id: int | None = None) -> DataFrame:
     """Request/response capture rows (SNK-7): JSON payloads + model + batch id.
 
-    Columns: ``request_id`` (the key as text), ``served_model``,
-    ``request`` (JSON of the features), ``response`` (JSON of the outputs),
-    ``batch_id``.
+    Columns: ``request_id`` (the client's, from column ``request_id``; else one of
+    the row's own, so that repeated keys stay apart), ``served_model``,
+    ``request`` (what ``sent`` kept of it), ``response`` (JSON of the outputs), ``batch_id``.
     """
-    joined = predictions.select(key, *features, *outputs)
-    return joined.select(
-        F.col(key).cast("string").alias("request_id"),
-        F.lit(served_model).alias("served_model"),
-        F.to_json(F.struct(*[F.col(f) for f in features])).alias("request"),
+    own = F.concat_ws("-", F.lit(batch_id).cast("string"), F.monotonically_increasing_id().cast("string"))
+    return predictions.select(
+        (F.col(request_id).cast("string") if request_id else own).alias("request_id"),
+        F.lit(served_model).alias("served_model"), F.col(request).alias("request"),
         F.to_json(F.struct(*[F.col(o) for o in outputs])).alias("response"),
         F.lit(batch_id).cast("bigint").alias("batch_id"))
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlane.session import pin, scratch_path, unique_name
@@ -212,7 +212,7 @@ def coerce_key(df: DataFrame, key: str | Sequence[str], like: DataFrame) -> Data
     return df.withColumns({k: F.col(k).try_cast(like.schema[k].dataType) for k in key_list(key)})
 
 
-def point_lookup(features: DataFrame, requests: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def point_lookup(features: DataFrame, requests: DataFrame, key: str | Sequence[str], push: int = 0) -> DataFrame:
     """Feature rows of the requested keys (FLT-3), keys sent as text (G11).
 
     Request keys are coerced to the table's key type (``"x"`` matches
@@ -220,12 +220,33 @@ def point_lookup(features: DataFrame, requests: DataFrame, key: str | Sequence[s
     a key requested a billion times is one row per map task — then a
     ``left_semi`` join returns each matching feature row once.  Neither side
     of the join can carry a hot key.
+
+    At most ``push`` distinct keys of one column go into the scan itself as a
+    filter: files and row groups are skipped by their statistics,
+    dictionaries and Bloom filters before they are read.  Beyond it the join decides.
     """
     keys = key_list(key)
     wanted = coerce_key(requests.select(*keys), keys, features).na.drop().distinct()
+    if push and len(keys) == 1:
+        few = [r[0] for r in wanted.limit(push + 1).collect()]          # bounded by ``push``
+        if len(few) <= push:
+            return features.where(_among(F.col(keys[0]), sorted(few)))
+        wanted = pin(wanted)
     return features.join(wanted, keys, "left_semi")
 
 
+#: Values that one pushed IN may list; longer lists reach the scan as a range only.
+_IN_PUSHED = 10
+
+
+def _among(c: Column, values: list) -> Column:
+    """``c IN (values)`` as an OR of lists that are short enough to reach the scan."""
+    parts = [c.isin(values[i: i + _IN_PUSHED]) for i in range(0, len(values), _IN_PUSHED)] or [F.lit(False)]
+    while len(parts) > 1:                                                # a balanced OR: its depth is the logarithm
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + (parts[-1:] if len(parts) % 2 else [])
+    return parts[0]
+
+
 def hot_keys(df: DataFrame, key: str, fraction: float = 0.01) -> list:
     """Keys holding more than ``fraction`` of ``df``'s rows.
 

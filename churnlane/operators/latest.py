@@ -38,9 +38,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts: str,
 
 
 def publish_snapshot(df: DataFrame, path: str, key: Sequence[str] | str, buckets: int | None = None,
-                     table: str | None = None) -> None:
+                     table: str | None = None, bloom: bool = True) -> None:
     """Write a key-unique snapshot as a full copy into a NEW path (SNK-6).
 
+    ``bloom``: row groups carry a Bloom filter of each key column, so a lookup whose keys
+    reach the scan (``point_lookup``) skips those that cannot hold any; the
+    files are parts of the key's hash, whose minimum and maximum tell nothing.
+
     With ``table``: a Parquet table sorted by the key.  With ``buckets`` it is
     bucketed too: joins on the key then move only the request side, but AQE
     splits a hot key only where *both* sides are shuffled, so with buckets
@@ -51,11 +55,12 @@ def publish_snapshot(df: DataFrame, path: str, key: Sequence[str] | str, buckets
     keys = [key] if isinstance(key, str) else list(key)
     n = buckets or default_buckets(df.sparkSession)
     out = df.repartition(n, *keys)
+    options = {f"parquet.bloom.filter.enabled#{k}": "true" for k in keys} if bloom else {}
     if table and not buckets:
-        (out.sortWithinPartitions(*keys).write.mode("overwrite").format("parquet").option("path", path)
+        (out.sortWithinPartitions(*keys).write.options(**options).mode("overwrite").format("parquet").option("path", path)
             .saveAsTable(table))
     elif table:
-        (out.write.mode("overwrite").format("parquet").option("path", path)
+        (out.write.options(**options).mode("overwrite").format("parquet").option("path", path)
             .bucketBy(n, *keys).sortBy(*keys).saveAsTable(table))
     else:
-        out.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+        out.sortWithinPartitions(*keys).write.options(**options).mode("overwrite").parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from churnlane.operators.features import point_lookup
 from churnlane.operators.latest import latest_per_key, publish_snapshot
 from churnlane.operators.score import score_requests
 from churnlane.plans import common
@@ -54,3 +55,16 @@ def q_online_score(spark, sf):
     req = good.unionByName(junk).withColumn(KEY, F.col("request_key"))
     contract = churn_contract(spark, sf, "unused")
     return score_requests(spark, contract, req, snapshot, KEY)
+
+
+@query("key_lookup_pushed", f"""{BPZ}
+SELECT customer_id, senior, tenure, monthly, total FROM z WHERE customer_id IN (
+    SELECT c_custkey FROM customer WHERE c_nationkey = 7 AND c_mktsegment = 'HOUSEHOLD')""", "FLT-3 JN-3 SNK-6")
+def q_key_lookup_pushed(spark, sf):
+    """Features of one nation's household customers, asked as text, from a published snapshot with Bloom filters: few enough
+    keys go into the scan as a filter, more are joined."""
+    name = unique_name("online_features")
+    publish_snapshot(common.z(spark, sf).select(KEY, *FEATURES), scratch_path(spark, "online-features"), KEY, table=name)
+    asked = (table(spark, sf, "customer").where("c_nationkey = 7 AND c_mktsegment = 'HOUSEHOLD'")
+             .select(F.col("c_custkey").cast("string").alias(KEY)))
+    return point_lookup(spark.read.table(name), asked, KEY, push=200)

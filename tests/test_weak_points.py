@@ -291,3 +291,39 @@ def test_state_puts_out_changed_rows_only(spark):
     want = latest_per_key(seen[0].unionByName(seen[1]), "k", "ts", "n")
     key = lambda df: sorted(map(tuple, df.select("k", "ts", "n", "v").collect()), key=repr)
     assert key(merged_changes(spark, out, "k", "ts", "n")) == key(want)
+
+
+# ---- pushed lookups -----------------------------------------------------------------------------------------------------
+
+def rows_read(df):
+    """The rows that the scans of a collected frame gave."""
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return found
+
+
+def test_pushed_lookups_skip_row_groups(spark):
+    from churnlane.operators.features import point_lookup
+    from churnlane.operators.latest import publish_snapshot
+    feats = spark.range(80000).select((F.col("id") * 3).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    read = {}
+    for bloom in (False, True):
+        path = scratch_path(spark, "snapshot")
+        publish_snapshot(feats, path, "k", buckets=16, bloom=bloom)
+        table_ = spark.read.parquet(path)
+        for name, asked, push in (("one", ["300"], 50), ("none", ["301", "x", None], 50), ("many", [str(3 * i) for i in range(0, 4000, 100)], 50),
+                                  ("joined", [str(3 * i) for i in range(0, 4000, 10)], 50), ("empty", [], 50)):
+            df = point_lookup(table_, spark.createDataFrame([(a,) for a in asked + asked], "k string"), "k", push=push)
+            got = sorted(r.k for r in df.collect())
+            assert got == sorted({int(a) for a in asked if a and a.isdigit() and int(a) % 3 == 0})
+            read[name, bloom] = rows_read(df)
+    assert read["one", True] <= 80000 / 16 * 1.2 < 80000 / 2 < read["one", False]
+    assert read["none", True] <= 80000 / 16 * 3 and read["empty", True] == 0

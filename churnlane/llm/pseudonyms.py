@@ -38,7 +38,6 @@ from churnlane.llm.common import per_batch
 
 ROUNDS = 8
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73049        # to 2099-12-31
-LONG = 100                 # from so many letters and digits on, a name is permuted as a list, not as one number
 _CHARS = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 NUMBER = re.compile(r"""(?<![\dA-Za-z])(?:
@@ -181,14 +180,20 @@ class Pseudonyms:
         return ".".join(map(str, v.to_bytes(4, "big")))
 
     def day(self, y: int, m: int, d: int, back: bool) -> datetime.date | None:
+        """The pseudonym of a date: one whose day and month have as many digits, so that it fits any way to write it."""
         try:
-            n = datetime.date(y, m, d).toordinal()
+            old = datetime.date(y, m, d)
         except ValueError:
             return None
-        if FIRST_DAY <= n < FIRST_DAY + DAYS:
-            return datetime.date.fromordinal(FIRST_DAY + self.fpe.permute(n - FIRST_DAY, DAYS, b"day", back))
-        low, high = (1, FIRST_DAY - 1) if n < FIRST_DAY else (FIRST_DAY + DAYS, datetime.date.max.toordinal())
-        return datetime.date.fromordinal(low + self.fpe.permute(n - low, high - low + 1, b"far", back))
+        n = old.toordinal()
+        near = FIRST_DAY <= n < FIRST_DAY + DAYS
+        low, size = ((FIRST_DAY, DAYS) if near else (1, FIRST_DAY - 1) if n < FIRST_DAY
+                     else (FIRST_DAY + DAYS, datetime.date.max.toordinal() - FIRST_DAY - DAYS + 1))
+        while True:
+            n = low + self.fpe.permute(n - low, size, b"day" if near else b"far", back)
+            new = datetime.date.fromordinal(n)
+            if (new.day < 10, new.month < 10) == (old.day < 10, old.month < 10):
+                return new
 
     def iso(self, s: str, back: bool) -> str | None:
         day = self.day(*map(int, s.split("-")), back)
@@ -196,13 +201,15 @@ class Pseudonyms:
 
     def date(self, s: str, back: bool) -> str | None:
         sep = "." if "." in s else "/"
-        d, m, y = map(int, s.split(sep))
-        day = self.day(y, m, d, back)          # day first; written with two digits each where one was or not
+        one, two, year = s.split(sep)
+        d, m, y = int(one), int(two), int(year)
+        write = lambda a, b, y: f"{a:0{len(one)}d}{sep}{b:0{len(two)}d}{sep}{y:04d}"
+        day = self.day(y, m, d, back)          # day first
         if day is None and sep == "/" and (day := self.day(y, d, m, back)):
             while day.day <= 12:               # month first: a day that cannot be read as a month
                 day = self.day(day.year, day.month, day.day, back)
-            return f"{day.month:02d}{sep}{day.day:02d}{sep}{day.year:04d}"
-        return day and f"{day.day:02d}{sep}{day.month:02d}{sep}{day.year:04d}"
+            return write(day.month, day.day, day.year)
+        return day and write(day.day, day.month, day.year)
 
     def iban(self, s: str, back: bool) -> str | None:
         t = s.replace(" ", "")
@@ -217,15 +224,8 @@ class Pseudonyms:
         chars = "".join(c.lower() for c in s if c.isalnum())
         if not chars:
             return s
-        if len(chars) >= LONG:
-            places = self.fpe.permute_list([_CHARS.index(c) for c in chars], 36, f"mail{len(chars)}".encode(), back)
-            return _refill(s, "".join(_CHARS[i] for i in places))
-        v = self.fpe.permute(int(chars, 36), 36 ** len(chars), f"mail{len(chars)}".encode(), back)
-        out = ""
-        for _ in chars:
-            v, r = divmod(v, 36)
-            out = _CHARS[r] + out
-        return _refill(s, out)
+        places = self.fpe.permute_list([_CHARS.index(c) for c in chars], 36, f"mail{len(chars)}".encode(), back)
+        return _refill(s, "".join(_CHARS[i] for i in places))
 
     def apart(self, text: str, a: int, s: str, kind: str, back: bool, before: list, failed: list) -> str:
         """The pseudonym of the card or IBAN ``s`` at ``a``; walked on while a span that was no value, and is read before it, would be one."""

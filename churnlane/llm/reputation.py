@@ -10,7 +10,8 @@ rate exceeds ``MAX_BAD``.  Explicit rules go before the method.
 
 Defined results: a null url, or one without ``://``, has host and path '' and
 is judged like any host of that name; pages without a label count in no rate;
-several labels of one page all count; with no label at all every rate is the
+several labels of one page all count; addresses (four numbers, or in brackets) are
+domains of their own, ports and trailing dots don't count; with no label at all every rate is the
 prior 1/2 with no weight and nothing is blocked; empty tables give empty
 tables; other columns are not read.
 """
@@ -26,6 +27,9 @@ from churnlane.llm.common import lower_ascii, stage
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MAX_BAD, Z = 0.25, 1.645
 MIN_SPREAD, MAX_SPREAD = 0.001, 0.5     # of the correlation within a parent
+#: Suffixes of several labels, below which hosts belong to different owners; a deployment passes a full list of public suffixes.
+SUFFIXES = ("appspot.com", "blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "s3.amazonaws.com",
+            "web.app", "wordpress.com")
 #: Second-level labels that belong to the public suffix under a two-letter country code.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
 
@@ -46,13 +50,23 @@ def rule_column(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def _families(hosts: DataFrame) -> DataFrame:
-    """Adds suffix and domain to ``host``."""
-    labels = F.split(F.regexp_replace("host", ":[0-9]*$", ""), "\\.")
+ADDRESS = "^([0-9]+([.][0-9]+){3}|\\[.*\\])$"
+
+
+def _families(hosts: DataFrame, suffixes=SUFFIXES) -> DataFrame:
+    """Adds suffix and domain to ``host`` (without port and trailing dots); an address is its own suffix and domain.
+
+    The suffix is the longest of ``suffixes`` that the host ends in, else two labels under a country's second level, else the last label.
+    """
+    plain = F.regexp_replace(F.regexp_replace("host", ":[0-9]*$", ""), "[.]+$", "")
+    labels = F.when(plain.rlike(ADDRESS), F.array(plain)).otherwise(F.split(plain, "\\."))
     n = F.size("labels")
     two = (n > 2) & (F.length(F.get("labels", n - 1)) == 2) & F.get("labels", n - 2).isin(*SECOND_LEVEL)
-    k = F.when(two, 2).otherwise(1)
     last = lambda c: F.array_join(F.slice("labels", F.greatest(F.lit(1), n - c + 1), n), ".")
+    by_size = {size: sorted(s for s in suffixes if s.count(".") + 1 == size) for size in {s.count(".") + 1 for s in suffixes}}
+    k = F.when(two, 2).otherwise(1)
+    for size in sorted(by_size):                                 # the longest is asked first
+        k = F.when((n > size) & last(F.lit(size)).isin(by_size[size]), size).otherwise(k)
     return hosts.withColumn("labels", labels).withColumn("suffix", last(k)).withColumn("domain", last(k + 1)).drop("labels")
 
 
@@ -71,10 +85,10 @@ def _level(children: DataFrame, parents: DataFrame, parent: str, child: str) ->
             .drop("all", "r", "prior"))
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
+def host_reputation(outcomes: DataFrame, public=SUFFIXES) -> DataFrame:
     """(host, n: labels or null, bad: their sum) of pages -> one row per host: n, bad, mean, low (lower posterior bound)."""
     hosts = stage(_families(outcomes.groupBy("host").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))), "rep-hosts")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), public), "rep-hosts")
     total = F.sum("n"), F.sum("bad")
     everything = hosts.agg(((F.coalesce(total[1], F.lit(0)) + 0.5) / (F.coalesce(total[0], F.lit(0)) + 1.0)).alias("mean"))
     everything = everything.select(F.lit(0).alias("root"), "mean")
@@ -89,13 +103,13 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               label_id: str = "doc_id", bad_col: str = "toxic", rules=RULES, max_bad: float = MAX_BAD) -> DataFrame:
+               label_id: str = "doc_id", bad_col: str = "toxic", rules=RULES, max_bad: float = MAX_BAD, suffixes=SUFFIXES) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, low.  ``labels`` has outcomes (1: bad) by page id."""
     known = labels.select(F.col(label_id).alias("id"), F.col(bad_col).cast("long").alias("bad")).filter(
         "id is not null and bad is not null").groupBy("id").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     urls = pages.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     outcomes = urls.select("id", "host").join(known, "id", "left").select("host", "n", "bad")
-    hosts = stage(host_reputation(outcomes), "rep-judged")
+    hosts = stage(host_reputation(outcomes, suffixes), "rep-judged")
     rule = rule_column(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("low") > max_bad, F.lit("block")).otherwise(F.lit("allow"))
     return (urls.join(hosts.select("host", "low"), "host").withColumn("fit", rule)
@@ -108,6 +122,10 @@ def oracle() -> str:
     fits = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{}}'".replace("{}", f"{h}{p}|{v}")
                     for v, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2])))
 
+    sizes = sorted({s.count(".") + 1 for s in SUFFIXES}, reverse=True)
+    known = "".join(f"WHEN len(l) > {z} AND array_to_string(l[-{z}:], '.') IN ({', '.join(repr(s) for s in SUFFIXES if s.count('.') + 1 == z)}) THEN {z} "
+                    for z in sizes)
+
     def level(name: str, children: str, parents: str, parent: str, child: str) -> str:
         return f"""{name}_p AS (SELECT c.*, p.mean AS prior FROM {children} c JOIN {parents} p USING ({parent})),
 {name}_r AS (SELECT greatest({MIN_SPREAD}, least({MAX_SPREAD}, coalesce((sum(pow(bad - n * prior, 2) / n) - sum(prior * (1 - prior)))
@@ -116,9 +134,10 @@ def oracle() -> str:
     return f"""
 WITH urls AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-h0 AS (SELECT host, count(toxic) AS n, coalesce(sum(toxic), 0)::BIGINT AS bad, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS l
+h0 AS (SELECT host, count(toxic) AS n, coalesce(sum(toxic), 0)::BIGINT AS bad, regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '[.]+$', '') AS plain,
+    CASE WHEN regexp_matches(plain, '{ADDRESS}') THEN [plain] ELSE string_split(plain, '.') END AS l
     FROM urls LEFT JOIN labels ON doc_id = page_id GROUP BY host),
-h1 AS (SELECT *, CASE WHEN len(l) > 2 AND length(l[-1]) = 2 AND l[-2] IN {SECOND_LEVEL} THEN 2 ELSE 1 END AS k FROM h0),
+h1 AS (SELECT *, CASE {known}WHEN len(l) > 2 AND length(l[-1]) = 2 AND l[-2] IN {SECOND_LEVEL} THEN 2 ELSE 1 END AS k FROM h0),
 hosts AS (SELECT host, n, bad, array_to_string(l[greatest(1, len(l) - k + 1):], '.') AS suffix,
     array_to_string(l[greatest(1, len(l) - k):], '.') AS domain FROM h1),
 every AS (SELECT 0 AS root, (sum(bad) + 0.5) / (sum(n) + 1.0) AS mean FROM hosts),

@@ -342,6 +342,17 @@ def test_url_reputation_of_few_labels(spark, labels):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict) and got[i].low == pytest.approx(low)
 
 
+def test_url_families(spark):
+    hosts = {"10.0.0.1": ("10.0.0.1",) * 2, "10.0.0.1:80": ("10.0.0.1",) * 2, "[::1]:8080": ("[::1]",) * 2, "a.co.uk.": ("co.uk", "a.co.uk"),
+             "x.y.example.com": ("com", "example.com"), "me.github.io": ("github.io", "me.github.io"), "a.me.github.io": ("github.io", "me.github.io"),
+             "github.io": ("io", "github.io"), "b.s3.amazonaws.com": ("s3.amazonaws.com", "b.s3.amazonaws.com"), "localhost": ("localhost",) * 2,
+             "": ("",) * 2, "...": ("",) * 2, "1.2.3": ("3", "2.3")}
+    got = {r.host: (r.suffix, r.domain) for r in reputation._families(spark.createDataFrame([(h,) for h in hosts], "host string")).collect()}
+    assert got == hosts
+    own = reputation._families(spark.createDataFrame([("q.city.kobe.jp",), ("a.b.city.kobe.jp",)], "host string"), ("city.kobe.jp",)).collect()
+    assert [(r.suffix, r.domain) for r in own] == [("city.kobe.jp", "q.city.kobe.jp"), ("city.kobe.jp", "b.city.kobe.jp")]
+
+
 def test_licenses(spark):
     texts = [None, "", "Under the MIT License. under the mit license under the", "Apache-License: Version 2.0", "CC-BY-NC 4.0, cc by nc",
              "Released under the GNU General Public License version 3 or later", "is in the public domain", "permit licensed work",
@@ -401,6 +412,57 @@ def test_license_abbreviations(text, label):
     assert licenses.scan(text, licenses.rules())["labels"] == label
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+    ("the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any", "gpl-3"),
+    ("the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License", "lgpl-2.1"),
+    ("licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa"), ("CC BY-NC-SA 4.0", "cc-by-nc,cc-by-nc-sa"), ("SPDX: MIT OR Apache-2.0", "apache-2,mit"),
+    ("SPDX-License-Identifier: (GPL-2.0-or-later AND BSD-3-Clause) x", "bsd-3-clause,gpl-2"), ("SPDX-License-Identifier: ISC or whatever", "isc"),
+    ("this is not licensed under the Apache License, Version 2", "apache-2"), ("It is never released under the ISC license", ""),
+    ("licensed under the EUPL v1.2", "eupl-1.2"), ("Academic Free License v3.0", "afl-3"), ("Common Public License Version 1.0", "cpl-1"),
+    ("Nor the names of its contributors may be used to endorse or promote products", "bsd-3-clause")])
+def test_license_notices(text, labels):
+    assert licenses.scan(text, licenses.rules())["labels"] == labels
+
+
+def test_a_negated_base_phrase_stays_but_counts_little():
+    got = licenses.scan("this is not licensed under the MIT license", licenses.rules())
+    assert (got["base_labels"], got["labels"], got["n_base"]) == ("mit", "mit", 1) and got["score"] < 0.1
+    assert licenses.scan("this is licensed under the MIT license", licenses.rules())["score"] > 0.9
+
+
+def slow_findings(text):
+    """All rules without keywords; a finding inside one of a higher priority (or the same and longer) is dropped, by comparing all pairs."""
+    line = b" %s " % b" ".join((text or "").encode().translate(licenses._WORDS).split())
+    found = licenses.expressions(line)
+    for phrase, label in licenses.BASE:
+        needle, at = f" {phrase} ".encode(), -1
+        while (at := line.find(needle, at + 1)) >= 0:
+            found.append((-100, 1 - len(needle), at, at + len(needle) - 1, label, 0))
+    every = [(-r.priority, m.start() - m.end(), *m.span(), r.label, 0) for r in RULES_ONCE for m in r.pattern.finditer(line)]
+    denied = [f for f in every if licenses.negated(line, f[2])]
+    found = sorted(f for f in found + [f for f in every if f not in denied] if f[0] == -100 or not any(d[2] <= f[2] and f[3] <= d[3] for d in denied))
+    return [f for k, f in enumerate(found) if not any(g[2] <= f[2] and f[3] <= g[3] for g in found[:k])]
+
+
+def test_suppression_by_brute_force():
+    """Priority and containment, and that the keyword gate loses nothing, on texts of licence words."""
+    parts = ["under the", "mit", "license", "apache license version 2", "gnu general public license", "version 3", "or later", "not", "spdx", "or", "bsd",
+             "3 clause", "creative commons attribution", "noncommercial", "cc by nc", "sa 4 0", "released", "lgpl v2 1", "word", "mozilla public license v 2 0"]
+    r = random.Random(6)
+    for _ in range(300):
+        text = " ".join(r.choice(parts) for _ in range(r.randrange(25)))
+        got = licenses.scan(text, RULES_ONCE)
+        words = " ".join(text.split()).split(" ") if text else []
+        line = " " + " ".join(words) + " "
+        want = {(line[:f[2]].count(" "), f[4]) for f in slow_findings(text)}
+        assert {(f["start"], f["label"]) for f in got["findings"]} == want
+        assert set(got["labels"].split(",")) - {""} == {f[1] for f in want} | {b for p, b in licenses.BASE if f" {p} " in line}
+
+
+RULES_ONCE = licenses.rules()
+
 P = pseudonyms.Pseudonyms(b"k")
 
 
@@ -411,6 +473,28 @@ def test_feistel_is_a_permutation(n):
     assert sorted(out) == list(range(n)) and [f.permute(v, n, b"t", True) for v in out] == list(range(n))
 
 
+@pytest.mark.parametrize("text", ["1/2/1999", "01/02/1999", "1.12.2001", "31.1.2001", "9/30/1850", "2/29/2020", "12/9/2300", "1/1/0001"])
+def test_dates_keep_their_digits(text):
+    new, found = P.rewrite(f"on {text}.")
+    assert len(found) == 1 and [len(x) for x in re.split("[./]", new[3:-1])] == [len(x) for x in re.split("[./]", text)] and new != f"on {text}."
+    assert P.rewrite(new, back=True)[0] == f"on {text}."
+
+
+def test_equal_dates_stay_linked_in_any_form():
+    one, two, iso = (P.rewrite(t)[0] for t in ("1/2/1999", "01/02/1999", "1999-02-01"))
+    assert [int(x) for x in one.split("/")] == [int(x) for x in two.split("/")] == [int(x) for x in reversed(iso.split("-"))]
+
+
+def test_pseudonyms_are_a_permutation():
+    """Brute force: all dates of two years, and all local parts of one and two characters, go to different ones and come back."""
+    start = datetime.date(2023, 1, 1).toordinal()
+    days = [datetime.date.fromordinal(start + k).isoformat() for k in range(731)]
+    names = [a + b for a in "ab7" for b in ("", *"0123456789abcdefghijklmnopqrstuvwxyz")]
+    for values, form in ((days, "{}"), (names, "{}@x.org")):
+        new = [P.rewrite(form.format(v))[0] for v in values]
+        assert len(set(new)) == len(values) and all(P.rewrite(n, back=True)[0] == form.format(v) for n, v in zip(new, values))
+
+
 def test_pseudonyms(spark):
     valid = ["4539 1488 0343 6467", "4539148803436467", "123-45-6789", "2020-02-29", "31.12.1999", "10.0.0.1", "DE89370400440532013000",
              "+1 (504) 555-2652", "(504) 555-2652", "jo.doe@example.com", "1850-05-05"]

@@ -13,7 +13,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType
 
 
 def try_cast_columns(df: DataFrame, columns: Iterable[str], to: str = "double") -> DataFrame:
@@ -82,10 +81,6 @@ def hash_bucket(key: Column | str, salt: str = "", buckets: int = 100) -> Column
     return (h % F.lit(buckets)).cast("bigint")
 
 
-def is_floating(t: DataType) -> bool:
-    return isinstance(t, (DoubleType, FloatType))
-
-
 def array_literal(values: Sequence, element_type: str) -> Column:
     """A constant array as one JSON text parsed by ``from_json``: a single
     string crosses to the JVM and the optimizer folds the parse into one

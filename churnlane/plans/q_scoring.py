@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlane.functions.columns import feature_columns
 from churnlane.operators.contract import Contract, ModelStore, capture_schema
 from churnlane.operators.ordering import row_position
 from churnlane.operators.score import multi_udf, score_columns, score_map, score_multi, score_stored, score_struct
@@ -31,7 +32,7 @@ def _test_features(spark, sf):
 def q_score_columns(spark, sf):
     """``withColumn("prediction", f(*cols))``: tree bound to columns by position, native CASE."""
     x = _test_features(spark, sf)
-    return score_columns(x, fixed_tree(), [c for c in x.columns if c != KEY])
+    return score_columns(x, fixed_tree(), feature_columns(x, KEY))
 
 
 @query("score_struct", _TEST_SCORED, "SCO-2 PRJ-6")

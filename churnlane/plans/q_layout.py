@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from churnlane.functions.columns import hash_bucket
 from churnlane.operators.curves import hilbert
+from churnlane.operators.features import lookup
 from churnlane.operators.layout import compact, partitioned_write, write_clustered, zorder
 from churnlane.operators.score import score_batch, score_columns
-from churnlane.operators.tree import fixed_tree
+from churnlane.operators.tree import fixed_tree, predict
 from churnlane.operators.upkeep import compact_files, file_facts
 from churnlane.plans import common
 from churnlane.plans.oracle_sql import BASE, BPZ, P, bucket, tree_case, with_ctes
@@ -85,9 +86,10 @@ def q_append_evolve(spark, sf):
     ft, _ = churn_feature_table(spark, sf)
     keys = common.b(spark, sf).where(hash_bucket(KEY) >= 80).select(KEY)
     name = create_typed_table(spark, unique_name("batch_inference"), INFERENCE_DDL)
-    append_evolve(spark, score_batch(spark, churn_contract(spark, sf, ft), keys), name)
-    v2 = score_batch(spark, churn_contract(spark, sf, ft, tenure_cut=1600.0), keys)
-    append_evolve(spark, v2.withColumn("model_version", F.lit(2)), name)
+    contract = churn_contract(spark, sf, ft)
+    found = pin(lookup(spark, keys, contract.lookups))            # both versions look the same keys up in the same table
+    append_evolve(spark, predict(found, contract.tree), name)
+    append_evolve(spark, predict(found, churn_contract(spark, sf, ft, tenure_cut=1600.0).tree).withColumn("model_version", F.lit(2)), name)
     return spark.read.table(name)
 
 

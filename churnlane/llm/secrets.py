@@ -9,11 +9,18 @@ alphabet's halves where there is but one class) and lag-1 serial correlation.
 
 Each is compared with what ordinary strings of that *length* give: identifiers
 and words use few characters, change class seldom and are serially tied.  The
-three standard scores are summed (Stouffer) into one p-value: how likely an
-ordinary string of this length looks this random.  Benjamini-Hochberg then
-controls the share of false findings at ``FDR`` within each class of length and
-encoding, over all candidates of the corpus (p-values are counted in bins, so
-the control is a small aggregate that grows with nothing).
+three standard scores are summed.  What that sum is for ordinary strings, the
+corpus itself tells: its *wordy* candidates (most of whose letters stand in
+word-like pieces: paths, slugs, compound names) give mean and spread of the sum,
+which has the scores' dependence in it, for each class of length and encoding; a class
+with fewer than ``MIN_WORDY`` of them takes its encoding's, else fixed ones.  The p-value is how
+likely an ordinary string of this class looks this random.  Benjamini-Hochberg then
+controls the share of false findings at ``FDR`` within each class, over all
+candidates of the corpus, with the share of wordy candidates beyond a
+threshold in place of its p-value where that is larger (so tails heavier than
+the normal one count).  P-values are counted in bins: the control is
+a small aggregate that grows with nothing.  Wordy candidates are never findings;
+``false_share`` says how many passed a threshold.
 
 Native: one pass over the texts; candidates are staged without them.
 
@@ -38,6 +45,8 @@ HEX = "[0-9a-f]{24,}"
 CANDIDATE = "[A-Za-z0-9+/_-]{20,}={0,2}"
 FDR = 0.01
 BINS = 60          # bins of -log2(p)
+MIN_WORDY, WORDY = 30, 0.6     # wordy candidates that tell of their class; share of a candidate's characters in word-like pieces
+_UNIT = 1000       # scores are added up in thousandths, so that sums don't depend on their order
 #: encoding: alphabet pattern, size, and how far ordinary strings are from uniform use (k * sum of squared shares - 1)
 ENCODINGS = (("hex", "[0-9a-f]+|[0-9A-F]+", "0123456789abcdef", 0.6),
              ("base32", "[A-Z2-7]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 1.1),
@@ -93,7 +102,7 @@ def encoding_of(token: Column) -> Column:
 
 
 def randomness(tokens: DataFrame) -> DataFrame:
-    """Adds encoding, n, z_chi, z_runs, z_serial and p to rows with a ``token``."""
+    """Adds encoding, n, z_chi, z_runs, z_serial and p (under the fixed null of independent scores) to rows with a ``token``."""
     pick = lambda values: F.coalesce(*[F.when(F.col("encoding") == k, F.lit(v)) for k, v in values.items()])
     plain = F.when(F.col("encoding") == "hex", F.lower("token")).otherwise(F.translate("token", "-_=", "+/"))
     t = tokens.withColumn("encoding", encoding_of(F.col("token"))).withColumn("plain", plain)
@@ -122,21 +131,60 @@ def randomness(tokens: DataFrame) -> DataFrame:
     return t.withColumn("p", p).drop("plain", "alphabet", "delta", "changes0", "k", "chi", "changes", "x", "mu", "pairs", "serial")
 
 
+def wordy(token: Column) -> Column:
+    """Whether most of a token stands in pieces that look like words: a capital at most, then lower-case letters, with a vowel."""
+    pieces = F.filter(F.regexp_extract_all(token, F.lit("[A-Z]?[a-z]{2,}|[A-Z]{3,}(?![a-z])"), F.lit(0)), lambda w: w.rlike("(?i)[aeiouy]"))
+    return F.aggregate(pieces, F.lit(0), lambda n, w: n + F.length(w)) >= WORDY * F.length(token)
+
+
+def ordinary(scored: DataFrame) -> DataFrame:
+    """(encoding, size, mean, spread) of the scores' sum among wordy candidates, for every class; a few dozen rows."""
+    q = F.round(F.col("score") * _UNIT).cast("decimal(20,0)")
+    sums = [F.count("*").alias("n"), F.sum(q).alias("a"), F.sum(q * q).alias("b")]
+    by_class = scored.groupBy("encoding", "size").agg(F.count("*").alias("all"), *[
+        f.alias(n) for f, n in ((F.count_if("wordy"), "n"), (F.sum(F.when(F.col("wordy"), q)), "a"), (F.sum(F.when(F.col("wordy"), q * q)), "b"))])
+    by_encoding = scored.filter("wordy").groupBy("encoding").agg(*sums).select("encoding", *[F.col(c).alias(f"e{c}") for c in "nab"])
+    t = by_class.join(by_encoding, "encoding", "left")
+    enough, some = F.col("n") >= MIN_WORDY, F.col("en") >= MIN_WORDY
+    pick = lambda c: F.when(enough, F.col(c)).when(some, F.col(f"e{c}")).cast("double")
+    mean = pick("a") / pick("n")
+    variance = pick("b") / pick("n") - mean * mean                # NULL where there are too few
+    spread = F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)) / _UNIT
+    return t.select("encoding", "size", F.coalesce(mean / _UNIT, F.lit(0.0)).alias("mean"),
+                    F.greatest(F.lit(1.0), F.coalesce(spread, F.lit(math.sqrt(3)))).alias("spread"))
+
+
+def with_p_values(scored: DataFrame) -> DataFrame:
+    """``scored`` with the p-value of each candidate in its class, and its bin."""
+    p = _normal_tail((F.col("score") - F.col("mean")) / F.col("spread"))
+    return (scored.join(F.broadcast(ordinary(scored)), ["encoding", "size"]).withColumn("p", p).drop("mean", "spread")      # a row per class
+            .withColumn("bin", F.floor(F.least(F.lit(float(BINS)), -F.log2(F.greatest("p", F.lit(1e-300))))).cast("int")))
+
+
 def length_class(n: Column) -> Column:
     return F.least(F.lit(6), F.floor(F.log2(n.cast("double") / 20) * 2)).cast("int")
 
 
 def accepted_bins(scored: DataFrame, fdr: float = FDR) -> DataFrame:
     """(encoding, size, bin): for each class the smallest bin of -log2(p) that Benjamini-Hochberg accepts."""
-    bins = scored.groupBy("encoding", "size", "bin").agg(F.count("*").alias("n"))
+    bins = scored.groupBy("encoding", "size", "bin").agg(F.count("*").alias("n"), F.count_if("wordy").alias("w"))
     cls = ["encoding", "size"]
     more = Window.partitionBy(*cls).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tested = bins.select(*cls, "bin", F.sum("n").over(more).alias("found"), F.sum("n").over(Window.partitionBy(*cls)).alias("all"))
+    total = Window.partitionBy(*cls)
+    tested = bins.select(*cls, "bin", F.sum("n").over(more).alias("found"), F.sum("n").over(total).alias("all"),
+                         F.sum("w").over(more).alias("false"), F.sum("w").over(total).alias("wordy"))
     # every p in a bin is at most 2 ** -bin
-    return (tested.filter(F.pow(F.lit(2.0), -F.col("bin")) * F.col("all") <= fdr * F.col("found"))
+    p = F.greatest(F.pow(F.lit(2.0), -F.col("bin")), F.coalesce(F.col("false") / F.nullif(F.col("wordy"), F.lit(0)), F.lit(0.0)))
+    return (tested.filter(p * F.col("all") <= fdr * F.col("found"))
             .groupBy(*cls).agg(F.min("bin").alias("least")))
 
 
+def false_share(scored: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Per class: candidates beyond its threshold, and how many of them are wordy: findings that would have been false."""
+    return (scored.join(F.broadcast(accepted), ["encoding", "size"]).filter("bin >= least").groupBy("encoding", "size")
+            .agg(F.count("*").alias("found"), F.count_if("wordy").alias("false")))
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: float = FDR) -> DataFrame:
     """One row per row of ``docs``: rid, id, base and added spans as arrays of (start, rank, end, kind)."""
     d = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
@@ -166,11 +214,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     runs = (rows.filter("size(runs) > 0").select("rid", F.explode(F.concat(bases.cast(span), F.col("runs").cast(span))).alias("s"))
             .withColumn("reach", reach).filter("s.match IS NOT NULL AND (reach IS NULL OR reach < s.end)")
             .select("rid", "s", F.col("s.match").alias("token")))
-    scored = stage(randomness(runs).select(
-        "rid", "s", "encoding", length_class(F.col("n")).alias("size"), "p",
-        F.floor(F.least(F.lit(float(BINS)), -F.log2(F.greatest("p", F.lit(1e-300))))).cast("int").alias("bin")), "secret-scores")
+    scores = stage(randomness(runs.withColumn("wordy", wordy(F.col("token")))).select(
+        "rid", "s", "encoding", length_class(F.col("n")).alias("size"), "wordy",
+        (F.col("z_chi") + F.col("z_runs") + F.col("z_serial")).alias("score")), "secret-scores")
+    scored = with_p_values(scores)
     accepted = accepted_bins(scored, fdr)
-    added = (scored.join(F.broadcast(accepted), ["encoding", "size"]).filter("bin >= least")      # a row per class at most
+    added = (scored.join(F.broadcast(accepted), ["encoding", "size"]).filter("bin >= least AND NOT wordy")      # a row per class at most
              .groupBy("rid").agg(F.collect_list("s").alias("added")))
     added = stage(added, "secret-added")
     none = F.array().cast(bare)

@@ -342,6 +342,48 @@ def test_url_reputation_of_few_labels(spark, labels):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict) and got[i].low == pytest.approx(low)
 
 
+def test_secret_control_by_brute_force(spark):
+    """The fitted null, the thresholds and the false share, against plain Python over all candidates."""
+    r = np.random.default_rng(4)
+    rows = []
+    for enc, size, n in (("base62", 0, 400), ("base62", 3, 40), ("base64", 1, 12), ("hex", 2, 90)):
+        for k in range(n):
+            w = enc != "hex" and k % 4 != 0
+            rows.append((k, enc, size, w, float(np.round(r.normal(-2 if w else 9, 2.5 if w else 4), 3))))
+    scored = secrets.with_p_values(spark.createDataFrame(rows, "rid long, encoding string, size int, wordy boolean, score double").repartition(4))
+    got = [tuple(x) for x in scored.select("encoding", "size", "wordy", "score", "p", "bin").collect()]
+
+    def null(enc, size):
+        for mine in ([x[4] for x in rows if x[1:4] == (enc, size, True)], [x[4] for x in rows if x[1] == enc and x[3]]):
+            if len(mine) >= secrets.MIN_WORDY:
+                return np.mean(mine), max(1.0, np.std(mine))
+        return 0.0, max(1.0, 3 ** 0.5)
+    for enc, size, w, score, p, bin_ in got:
+        m, sd = null(enc, size)
+        z = (score - m) / sd
+        from math import erfc
+        assert p == pytest.approx(0.5 * erfc(z / 2 ** 0.5), abs=2e-7) or p < 2e-7
+    least = {(x.encoding, x.size): x.least for x in secrets.accepted_bins(scored).collect()}
+    for cls in {x[:2] for x in got}:
+        mine = [x for x in got if x[:2] == cls]
+        ok = [b for b in {x[5] for x in mine}
+              if max(2.0 ** -b, sum(x[2] and x[5] >= b for x in mine) / max(1, sum(x[2] for x in mine))) * len(mine) <= secrets.FDR * sum(x[5] >= b for x in mine)]
+        assert least.get(cls) == (min(ok) if ok else None)
+        share = {(x.encoding, x.size): (x.found, x["false"]) for x in secrets.false_share(scored, secrets.accepted_bins(scored)).collect()}
+        if ok:
+            assert share[cls] == (sum(x[5] >= min(ok) for x in mine), sum(x[2] and x[5] >= min(ok) for x in mine))
+
+
+def test_ordinary_strings_are_no_secrets(spark):
+    slugs = ["see https://example.org/articles/2023/11/how-to-mend-a-broken-window-pane now", "https://shop.example.com/2024/05/summer-offers/garden-chairs-and-tables",
+             "ThisIsAnOrdinaryIdentifierWithManyWords", "/usr/local/share/applications/defaults/settings", "content_type_multipart_form_data_boundary"]
+    keys = [hashlib.sha256(bytes([i])).digest().hex()[:0] + __import__("base64").b64encode(hashlib.sha512(bytes([i])).digest()[:30]).decode() for i in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(slugs + [f"key {k} end" for k in keys])], "doc_id long, text string")
+    got = {r.id: r for r in secrets.scan_secrets(docs).collect()}
+    assert not any(got[i].added for i in range(len(slugs)))
+    assert sum(bool(got[len(slugs) + i].added) for i in range(6)) >= 5
+
+
 def test_url_families(spark):
     hosts = {"10.0.0.1": ("10.0.0.1",) * 2, "10.0.0.1:80": ("10.0.0.1",) * 2, "[::1]:8080": ("[::1]",) * 2, "a.co.uk.": ("co.uk", "a.co.uk"),
              "x.y.example.com": ("com", "example.com"), "me.github.io": ("github.io", "me.github.io"), "a.me.github.io": ("github.io", "me.github.io"),

@@ -228,13 +228,22 @@ def point_lookup(features: DataFrame, requests: DataFrame, key: str | Sequence[s
     keys = key_list(key)
     wanted = coerce_key(requests.select(*keys), keys, features).na.drop().distinct()
     if push and len(keys) == 1:
-        few = [r[0] for r in wanted.limit(push + 1).collect()]          # bounded by ``push``
-        if len(few) <= push:
-            return features.where(_among(F.col(keys[0]), sorted(few)))
         wanted = pin(wanted)
+        few = keys_in_scan(features, wanted, keys, push)
+        if few is not None:
+            return few
     return features.join(wanted, keys, "left_semi")
 
 
+def keys_in_scan(features: DataFrame, requests: DataFrame, key: str | Sequence[str], push: int) -> DataFrame | None:
+    """``features`` filtered to the keys of ``requests`` (of its type) by a filter that reaches the scan; None beyond ``push`` distinct keys."""
+    keys = key_list(key)
+    if len(keys) != 1:
+        return None
+    few = [r[0] for r in requests.select(*keys).na.drop().distinct().limit(push + 1).collect()]      # bounded by ``push``
+    return features.where(_among(F.col(keys[0]), sorted(few))) if len(few) <= push else None
+
+
 #: Values that one pushed IN may list; longer lists reach the scan as a range only.
 _IN_PUSHED = 10
 

@@ -102,10 +102,10 @@ def location_of(spark: SparkSession, name: str) -> str:
 
 
 def _same_layout(spark: SparkSession, a: str, b: str) -> bool:
-    """Both external Parquet tables of the same columns, neither partitioned nor bucketed."""
+    """Both external Parquet tables of the same columns, neither partitioned, bucketed nor clustered."""
     x, y = _described(spark, a), _described(spark, b)
     plain = all(d.get("Type") == "EXTERNAL" and d.get("Provider", "").lower() == "parquet" and "Num Buckets" not in d
-                and "# Partition Information" not in d for d in (x, y))
+                and "# Partition Information" not in d and "# Clustering Information" not in d for d in (x, y))
     return plain and spark.table(a).schema == spark.table(b).schema
 
 

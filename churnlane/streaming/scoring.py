@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from churnlane.operators.contract import Contract, conform
-from churnlane.operators.features import coerce_key, join_hot_split, key_list
+from churnlane.operators.features import coerce_key, join_hot_split, key_list, keys_in_scan
 from churnlane.operators.tree import predict
 from churnlane.sources.sinks import sent
 
@@ -34,7 +34,7 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
                  out_path: str, checkpoint: str, served_model: str, max_files_per_trigger: int | None = None,
                  keep: Sequence[str] = (), trigger: dict | None = None, wait: bool = True,
                  skew_fraction: float | None = None, client_id: str | None = None, sent_at: str | None = None,
-                 resent_within: str = "1 hour"):
+                 resent_within: str = "1 hour", push_keys: int = 0):
     """Start the scoring stream.
 
     The streaming plan only reads requests; the lookup join runs inside
@@ -42,7 +42,8 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
     AQE re-plans it from measured sizes (broadcast, or sort-merge with
     skewed request partitions split).  ``skew_fraction`` additionally splits
     request keys holding more than that share of a micro-batch off to a
-    bounded broadcast (``join_hot_split``).
+    bounded broadcast (``join_hot_split``).  ``push_keys``: a micro-batch with at most
+    so many distinct keys reads only the parts of the snapshot that may hold them.
 
     Output columns: request_id (unique: batch and row), request (JSON of the
     request as it came), request_key (text; JSON for a key of several columns), the key
@@ -83,7 +84,9 @@ def score_stream(spark: SparkSession, requests_path: str, request_schema: Struct
         else:
             snap = (snapshot() if callable(snapshot) else snapshot).select(*keys, *feats)
             rows = coerce_key(batch, keys, snap).select(*marks, *keys, *keep)
-            rows = join_hot_split(rows, snap, keys, skew_fraction, "left") if skew_fraction else rows.join(snap, keys, "left")
+            few = keys_in_scan(snap, rows, keys, push_keys) if push_keys else None
+            rows = (rows.join(few, keys, "left") if few is not None
+                    else join_hot_split(rows, snap, keys, skew_fraction, "left") if skew_fraction else rows.join(snap, keys, "left"))
         (predict(rows, contract.tree)
              .select(F.concat_ws("-", F.lit(str(batch_id)), F.monotonically_increasing_id().cast("string")).alias("request_id"),
                      *marks, *keys, *feats, "prediction", F.lit(served_model).alias("served_model"), *keep)

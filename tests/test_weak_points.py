@@ -327,3 +327,16 @@ def test_pushed_lookups_skip_row_groups(spark):
             read[name, bloom] = rows_read(df)
     assert read["one", True] <= 80000 / 16 * 1.2 < 80000 / 2 < read["one", False]
     assert read["none", True] <= 80000 / 16 * 3 and read["empty", True] == 0
+
+
+def test_small_micro_batches_read_parts_of_the_snapshot(spark):
+    from churnlane.operators.latest import publish_snapshot
+    path, req = scratch_path(spark, "snapshot"), scratch_path(spark, "req")
+    publish_snapshot(spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 5).cast("double").alias("v")), path, "k", buckets=4)
+    spark.createDataFrame([("7",), ("7",), ("9999",), ("x",), (None,)], "k string").write.parquet(req)
+    got = {}
+    for push in (0, 2, 50):
+        out = scratch_path(spark, "out")
+        score_stream(spark, req, "k string", lambda: spark.read.parquet(path), CONTRACT, "k", out, scratch_path(spark, "ckpt"), "m", push_keys=push)
+        got[push] = sorted(((r.request_key or "", r.k or -1, r.prediction or "") for r in spark.read.parquet(out).collect()))
+    assert got[0] == got[2] == got[50] == [("", -1, ""), ("7", 7, "lo"), ("7", 7, "lo"), ("9999", 9999, ""), ("x", -1, "")]

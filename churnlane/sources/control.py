@@ -63,9 +63,14 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
         except AnalysisException:
             return False
         return True
-    _, fs, p = h
+    jvm, fs, p = h
+    if fs.getUri().getScheme() == "file":
+        # Hadoop's local file system looks first and creates then; the operating system does both at once
+        fs.mkdirs(p.getParent())
+        if not jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).createNewFile():
+            return False
     try:
-        out = fs.create(p, False)
+        out = fs.create(p, fs.getUri().getScheme() == "file")
     except Py4JJavaError as e:
         if fs.exists(p):
             return False
